@@ -6,18 +6,17 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.coerce import largest_number, pay_tier
 from ..functions.skills import normalize, split_list
 from ..functions.text import clean
 
-JD = T.StructType.fromDDL("job_title string, min_experience_years int, core_technical_skills array<string>, domain string, is_management_role boolean, education_requirement string, max_notice_period_days int, executive_summary string, source_url string, _status string, _line_number int, _error string")
-PROFILE = T.StructType.fromDDL(
+JD = ("job_title string, min_experience_years int, core_technical_skills array<string>, domain string, is_management_role boolean, education_requirement string, max_notice_period_days int, executive_summary string, source_url string, _status string, _line_number int, _error string")
+PROFILE = (
     "role string, aliases array<string>, skill_paths array<array<string>>, supporting_skills array<string>, project_templates array<struct<name:string,skills:array<string>,business_problem:string,outcomes:array<string>,architecture:array<string>>>, "
     "jd_domain_preferences array<string>, preferred_company_domains array<string>, education_options array<string>, stage_titles map<string,array<string>>, experience_themes array<string>"
 )
-SCORES = T.StructType.fromDDL("index int, job_title string, overall_relevance_score double, skill_coverage double, experience_fit double, role_alignment double, domain_alignment double, education_fit double, deployment_alignment double, management_alignment double, matched_jd_skills string, score_rationale string")
+SCORES = ("index int, job_title string, overall_relevance_score double, skill_coverage double, experience_fit double, role_alignment double, domain_alignment double, education_fit double, deployment_alignment double, management_alignment double, matched_jd_skills string, score_rationale string")
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
@@ -27,12 +26,11 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("line_no", F.col("line_no") + 1)
 
 
-def jsonl(spark: SparkSession, path: str, schema: T.StructType, strict: bool = False) -> DataFrame:
-    """Line JSON with an explicit schema.  Strict fails on a bad line; otherwise bad and blank lines go."""
+def jsonl(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
+    """Line JSON with an explicit schema, given as DDL.  Strict fails on a bad line; otherwise bad and blank lines go."""
     if strict:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    wide = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    rows = spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+    rows = spark.read.schema(f"{schema}, _corrupt_record string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
     return rows.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 
@@ -44,14 +42,13 @@ def jds(spark: SparkSession, path: str) -> DataFrame:
 
 def taxonomy(spark: SparkSession, path: str) -> DataFrame:
     """Role profiles, the last of each role; a profile without a role fails the query."""
-    wide = T.StructType.fromDDL("role string")
-    numbered = lines(spark, path).where(F.trim("value") != "").select("line_no", F.from_json("value", PROFILE).alias("p"), F.from_json("value", wide).alias("r"))
-    checked = numbered.select("line_no", F.when(F.col("r.role").isNotNull(), F.col("p")).otherwise(F.raise_error(F.lit("a role profile has no role")).cast(PROFILE)).alias("p"))
-    last = checked.select("line_no", "p.*").withColumn("__n", F.row_number().over(Window.partitionBy("role").orderBy(F.desc("line_no"))))
+    numbered = lines(spark, path).where(F.trim("value") != "").select("line_no", F.from_json("value", PROFILE).alias("p"))
+    role = F.when(F.col("p.role").isNotNull(), F.col("p.role")).otherwise(F.raise_error(F.lit("a role profile has no role")).cast("string"))
+    last = numbered.select("line_no", F.col("p").withField("role", role).alias("p")).select("line_no", "p.*").withColumn("__n", F.row_number().over(Window.partitionBy("role").orderBy(F.desc("line_no"))))
     return last.where("__n = 1").drop("__n").withColumnRenamed("line_no", "ord")
 
 
-def whole_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def whole_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 

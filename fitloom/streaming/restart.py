@@ -6,13 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.sinks import append_new
 
 
-def incremental(spark: SparkSession, source: str, target: str, checkpoint: str, schema: T.StructType, key: str, transform: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
+def incremental(spark: SparkSession, source: str, target: str, checkpoint: str, schema: str, key: str, transform: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
     """Handles all files that are new since the last run and appends rows with keys that are new, so a
     repeated micro-batch changes nothing."""
     rows = spark.readStream.schema(schema).json(source)

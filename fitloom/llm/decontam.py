@@ -1,7 +1,7 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words become template tokens: numbers and number words <num>, units <unit>, words with a capital that
-don't start a sentence <name>, all else lower case without outer punctuation.  Windows of a
+Words become template tokens: numbers and number words one token, units another, words with a capital
+that don't start a sentence or line a third, all else its lower case without outer punctuation.  Windows of a
 benchmark item's template are joined by hash with those of documents.  Hits of one item on one line
 of alignment (document place minus item place) count together, and the slots that they cover must
 translate consistently: one item value always to one document value, and the other way round.  A
@@ -10,7 +10,6 @@ document holds an item if consistent windows make up at least `share` of the ite
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .frames import schema, slices, texts, with_columns
+from .frames import map_texts, schema, slices, texts, with_columns
 
 # Number words and units that make slots.
 NUMBER_WORDS = ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve", "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen", "twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety", "hundred", "thousand", "million", "billion"]
@@ -30,98 +29,114 @@ SHARE = 0.8
 #: Windows of benchmark items that may be broadcast (16 bytes each); beyond it they are joined by a shuffle.
 BROADCAST = 1 << 20
 
-_NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?\Z")
-_OUTER = re.compile(r"^[^\w$€£+-]+|[^\w%]+$")
-_WORDS, _UNIT_SET = frozenset(NUMBER_WORDS), frozenset(UNITS)
-
-
-def canonical(words: list[str]) -> tuple[list[str], list[str]]:
-    """Template token and plain form of each word."""
-    out, plain, begins = [], [], True
-    for w in words:
-        bare = _OUTER.sub("", w)
-        low = bare.lower()
-        if _NUMBER.match(bare) or low in _WORDS:
-            out.append("<num>")
-        elif low in _UNIT_SET:
-            out.append("<unit>")
-        elif not begins and bare[:1].isupper():
-            out.append("<name>")
-        else:
-            out.append(low)
-        plain.append(low)
-        begins = w[-1:] in ".!?:" or w[-2:-1] in ".!?"
-    return out, plain
-
-
-class Templates:
-    """Template hashes of the words of texts.  Most words mean the same wherever they stand, so their
-    hash comes from a bounded cache by their spelling; line starts count as sentence starts."""
-
-    def __init__(self):
-        self.cache: dict[bytes, tuple[int, int, bool]] = {}
-
-    def _look(self, w: bytes) -> tuple[int, int, bool]:
-        """Hash inside a sentence, hash at its start, whether the word ends a sentence."""
-        s = w.decode()
-        mid, first = canonical(["x", s])[0][1], canonical([s])[0][0]
-        h = tx.Words([mid.encode() or b"<>", first.encode() or b"<>"]).hashes()
-        got = int(h[0]), int(h[1]), s[-1:] in ".!?:" or s[-2:-1] in ".!?"
-        if len(self.cache) >= 400_000:
-            self.cache.clear()
-        self.cache[w] = got
-        return got
-
-    def hashes(self, text: bytes) -> np.ndarray:
-        words = text.split()
-        if not words:
-            return np.zeros(0, np.uint64)
-        get = self.cache.get
-        rows = [get(w) or self._look(w) for w in words]
-        mid, first, ends = zip(*rows, strict=True)
-        out = np.array(mid, np.uint64)
-        start = np.concatenate(([True], np.array(ends[:-1], bool)))
-        out[start] = np.array(first, np.uint64)[start]
-        return out
-
-
-def consistent(item: list[str], doc: list[str], slots: list[bool]) -> bool:
+#: Bytes that may stand in a number, and that end a sentence; ASCII letters, digits and bytes of other scripts are inside words.
+_FIGURE = np.zeros(256, bool)
+_FIGURE[list(b"0123456789.,:/%+-$")] = True
+_DIGIT = np.zeros(256, bool)
+_DIGIT[list(b"0123456789")] = True
+_STOP = np.zeros(256, bool)
+_STOP[list(b".!?:")] = True
+_INNER = np.zeros(256, bool)
+_INNER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256), 37, 36, 95]] = True
+
+
+def _hashes(words: list[str]) -> np.ndarray:
+    return np.sort(tx.Words([w.encode() for w in words]).hashes())
+
+
+_NUM, _UNIT, _NAME = (tx.mix(np.arange(k, k + 1, dtype=np.uint64))[0] for k in (11, 12, 13))
+
+
+class Template:
+    """Of several texts: for each word a template hash, the hash of its plain form (outer punctuation
+    off, A-Z and Latin-1 capitals lowered), and whether it is a slot."""
+
+    def __init__(self, raw: list[bytes]):
+        w = self.words = tx.Words(raw)
+        data = w.data
+        # capitals of two bytes are C3 80 to C3 9E
+        second = np.concatenate(([False], data[:-1] == 0xC3)) & (data >= 0x80) & (data <= 0x9E) & (data != 0x97) if len(data) else np.zeros(0, bool)
+        capital = ((data >= 65) & (data <= 90)) | np.concatenate((second[1:], [False]))[: len(data)]
+        start, end = w.start.copy(), w.end.copy()
+        first, last = w.start, w.end
+        n = len(start)
+        stops = np.zeros(n, bool)
+        if n:
+            stops = _STOP[data[last - 1]] | ((last - first > 1) & _STOP[data[np.maximum(last - 2, 0)]])
+        todo = np.arange(n)  # words whose ends may still be outer punctuation
+        while len(todo):
+            todo = todo[(start[todo] < end[todo]) & ~_INNER[data[np.minimum(start[todo], len(data) - 1)]]]
+            start[todo] += 1
+        todo = np.arange(n)
+        while len(todo):
+            todo = todo[(start[todo] < end[todo]) & ~_INNER[data[end[todo] - 1]]]
+            end[todo] -= 1
+        lines = np.concatenate(([0], np.cumsum(data == 10, dtype=np.int32)))
+        begins = np.ones(n, bool)
+        if n:
+            begins[1:] = stops[:-1] | (lines[first[1:]] > lines[last[:-1]])
+            begins[w.bounds[:-1][w.counts > 0]] = True
+        figures, digits = (np.concatenate(([0], np.cumsum(t[data], dtype=np.int32))) for t in (_FIGURE, _DIGIT))
+        number = (figures[end] - figures[start] == end - start) & (digits[end] > digits[start])
+        upper = (end > start) & capital[np.minimum(start, max(0, len(data) - 1))] if n else np.zeros(0, bool)
+        w.data = tx._LOWER[data] + np.where(second, 0x20, 0).astype(np.uint8)
+        w.start, w.end = start, end
+        self.plain = w.hashes()
+        w.start, w.end = first, last
+        number |= _member(self.plain, _NUMBERS)
+        unit = _member(self.plain, _UNIT_SET) & ~number
+        name = upper & ~begins & ~number & ~unit
+        self.slot = number | unit | name
+        self.tokens = np.where(number, _NUM, np.where(unit, _UNIT, np.where(name, _NAME, self.plain)))
+
+
+def _member(h: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of many hashes are in a small sorted set: a table of 16 bits first, then a search."""
+    table = np.zeros(1 << 16, bool)
+    table[(known & np.uint64(0xFFFF)).astype(np.int64)] = True
+    out = table[(h & np.uint64(0xFFFF)).astype(np.int64)]
+    at = np.flatnonzero(out)
+    if len(at):
+        place = np.minimum(np.searchsorted(known, h[at]), len(known) - 1)
+        out[at] = known[place] == h[at]
+    return out
+
+
+_NUMBERS, _UNIT_SET = _hashes(NUMBER_WORDS), _hashes(UNITS)
+
+
+def consistent(item: np.ndarray, doc: np.ndarray) -> bool:
     """Whether slot values translate one to one along an alignment."""
-    there: dict[str, str] = {}
-    back: dict[str, str] = {}
-    for a, b, s in zip(item, doc, slots, strict=True):
-        if s and (there.setdefault(a, b) != b or back.setdefault(b, a) != a):
-            return False
-    return True
+    there: dict[int, int] = {}
+    back: dict[int, int] = {}
+    return all(there.setdefault(a, b) == b and back.setdefault(b, a) == a for a, b in zip(item.tolist(), doc.tolist(), strict=True))
 
 
 class Item:
     def __init__(self, item_id: int, text: str):
         self.id = item_id
-        words = text.split()
-        self.tokens, self.plain = canonical(words)
-        h = np.array([int(tx.Words([t.encode() or b"<>"]).hashes()[0]) for t in self.tokens], np.uint64)
-        self.n = min(WINDOW, len(words))
-        self.windows = tx.windows(h, self.n) if words else np.zeros(0, np.uint64)
+        t = Template([text.encode()])
+        self.plain, self.slot = t.plain, t.slot
+        self.n = min(WINDOW, len(t.plain))
+        self.windows = tx.windows(t.tokens, self.n) if self.n else np.zeros(0, np.uint64)
 
 
-def check(item: Item, words: list[str], places: list[tuple[int, int]], share: float) -> tuple[float, int]:
-    """Best share of the item's windows on one alignment with consistent slots, and the document word it starts at."""
+def check(item: Item, plain: np.ndarray, places: list[tuple[int, int]], share: float) -> float:
+    """Best share of the item's windows on one alignment with consistent slots; 0 below `share`.
+    plain has the plain hashes of the document's words, places (document window, item window)."""
     lines: dict[int, set[int]] = defaultdict(set)
     for at, k in places:
         lines[at - k].add(k)
-    best, where = 0.0, -1
+    best = 0.0
     for shift, ks in lines.items():
         got = len(ks) / len(item.windows)
         if got < share or got <= best:
             continue
-        cover = sorted({k + j for k in ks for j in range(item.n)})
-        _, plain = canonical(words[max(0, shift) : shift + len(item.plain)])
-        off = -min(0, shift)
-        pairs = [(item.plain[c], plain[c - off], item.tokens[c][:1] == "<") for c in cover if 0 <= c - off < len(plain)]
-        if consistent(*map(list, zip(*pairs, strict=True))):
-            best, where = got, shift
-    return best, where
+        cover = np.unique(np.array(sorted(ks))[:, None] + np.arange(item.n)[None, :])
+        cover = cover[item.slot[cover]]
+        if consistent(item.plain[cover], plain[cover + shift]):
+            best = got
+    return best
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
@@ -138,14 +153,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
     return _shuffled(docs, items, share)
 
 
-def _mark(hits: dict[int, list[tuple[int, int]]], items: dict[int, Item], text: bytes, share: float) -> tuple[list[int], float]:
-    words, found, top = text.decode().split(), [], 0.0
+def _mark(hits: dict[int, list[tuple[int, int]]], items: dict[int, Item], plain: np.ndarray, share: float) -> tuple[list[int], float]:
+    found, top = set(), 0.0
     for i, places in hits.items():
-        got, _ = check(items[i], words, places, share)
+        got = check(items[i], plain, places, share)
         if got:
-            found.append(items[i].id)
+            found.add(items[i].id)
             top = max(top, got)
-    return sorted(set(found)), top
+    return sorted(found), top
 
 
 def _broadcast(docs: DataFrame, items: list[Item], share: float) -> DataFrame:
@@ -158,26 +173,26 @@ def _broadcast(docs: DataFrame, items: list[Item], share: float) -> DataFrame:
     known = dict(enumerate(items))
 
     def run(batches):
-        templates = Templates()
         for whole in batches:
-            for batch in slices(whole, "text"):
-                found, top = [], []
-                for t in texts(batch.column("text")):
-                    h, hits = templates.hashes(t), defaultdict(list)
-                    for n, (keys, which, place) in by_length.items():
-                        g = tx.windows(h, n)
-                        low = np.searchsorted(keys, g)
-                        for at in np.flatnonzero(keys[np.minimum(low, len(keys) - 1)] == g).tolist():
-                            k = int(low[at])
-                            while k < len(keys) and keys[k] == g[at]:
-                                hits[int(which[k])].append((at, int(place[k])))
-                                k += 1
-                    ids, best = _mark(hits, known, t, share) if hits else ([], 0.0)
-                    found.append(ids)
-                    top.append(best)
+            for batch in slices(whole, "text", 1 << 20):
+                t = Template(texts(batch.column("text")))
+                bounds = t.words.bounds
+                hits: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
+                for n, (keys, which, place) in by_length.items():
+                    g = tx.windows(t.tokens, n)
+                    at = np.flatnonzero(_member(g, keys) & tx.inside(bounds, n, len(t.tokens)))
+                    rows = np.searchsorted(bounds, at, "right") - 1
+                    low = np.searchsorted(keys, g[at])
+                    for a, r, k in zip(at.tolist(), rows.tolist(), low.tolist(), strict=True):
+                        while k < len(keys) and keys[k] == g[a]:
+                            hits[r][int(which[k])].append((a - int(bounds[r]), int(place[k])))
+                            k += 1
+                found, top = [[] for _ in range(batch.num_rows)], [0.0] * batch.num_rows
+                for r, of in hits.items():
+                    found[r], top[r] = _mark(of, known, t.plain[bounds[r] : bounds[r + 1]], share)
                 yield with_columns(batch, items=pa.array(found, pa.list_(pa.int64())), coverage=pa.array(top, pa.float64()), kept=pa.array([not f for f in found]))
 
-    return docs.mapInArrow(run, schema(docs, items="array<long>", coverage="double", kept="boolean"))
+    return map_texts(docs, run, schema(docs, items="array<long>", coverage="double", kept="boolean"))
 
 
 def _shuffled(docs: DataFrame, items: DataFrame, share: float) -> DataFrame:
@@ -192,38 +207,36 @@ def _shuffled(docs: DataFrame, items: DataFrame, share: float) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in ((i, pa.int64()), (item.n, pa.int64()), (len(item.windows), pa.int64()), (times, pa.int64()), (int(np.uint64(h).view(np.int64)), pa.int64()))], names=["item_id", "n", "total", "times", "window"])
 
     def of_docs(batches):
-        templates = Templates()
         for whole in batches:
-            for batch in slices(whole, "text"):
-                for d, t in zip(batch.column("__row").to_pylist(), texts(batch.column("text")), strict=True):
-                    h = templates.hashes(t)
+            for batch in slices(whole, "text", 1 << 20):
+                for d, raw in zip(batch.column("__row").to_pylist(), texts(batch.column("text")), strict=True):
+                    t = Template([raw])
                     for n in range(1, WINDOW + 1):
-                        g = np.unique(tx.windows(h, n)).view(np.int64)
+                        g = np.unique(tx.windows(t.tokens, n)).view(np.int64)
                         if len(g):
                             yield pa.RecordBatch.from_arrays([pa.array([d] * len(g), pa.binary()), pa.array([n] * len(g), pa.int64()), pa.array(g)], names=["__row", "n", "window"])
 
     def decide(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 1 << 20):
                 found, top = [], []
-                templates = Templates()
-                for t, some in zip(texts(batch.column("text")), batch.column("__items").to_pylist(), strict=True):
+                for raw, some in zip(texts(batch.column("text")), batch.column("__items").to_pylist(), strict=True):
                     known = {k: Item(x["item_id"], x["text"]) for k, x in enumerate(some or [])}
-                    h, hits = templates.hashes(t), defaultdict(list)
+                    hits, t = defaultdict(list), Template([raw]) if known else None
                     for k, item in known.items():
-                        g = tx.windows(h, item.n)
+                        g = tx.windows(t.tokens, item.n)
                         for j, x in enumerate(item.windows):
                             hits[k] += [(int(at), j) for at in np.flatnonzero(g == x)]
-                    ids, best = _mark(hits, known, t, share)
+                    ids, best = _mark(hits, known, t.plain, share) if known else ([], 0.0)
                     found.append(ids)
                     top.append(best)
                 yield with_columns(batch, ("__row", "__items"), items=pa.array(found, pa.list_(pa.int64())), coverage=pa.array(top, pa.float64()), kept=pa.array([not f for f in found]))
 
     keyed = docs.withColumn("__row", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
-    grams = items.mapInArrow(of_items, schema(None, item_id="long", n="long", total="long", times="long", window="long"))
-    seen = keyed.select("__row", "text").mapInArrow(of_docs, schema(None, __row="binary", n="long", window="long"))
+    grams = map_texts(items, of_items, schema(None, item_id="long", n="long", total="long", times="long", window="long"))
+    seen = map_texts(keyed.select("__row", "text"), of_docs, schema(None, __row="binary", n="long", window="long"))
     pairs = seen.join(grams, ["n", "window"]).groupBy("__row", "item_id", "total").agg(F.sum("times").alias("hit"))
     pairs = pairs.where(F.col("hit") >= share * F.col("total")).select("__row", "item_id").distinct().join(items, "item_id")
     brought = pairs.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("item_id", "text"))).alias("__items"))
     out = keyed.join(brought, "__row", "left")
-    return out.mapInArrow(decide, schema(docs, items="array<long>", coverage="double", kept="boolean"))
+    return map_texts(out, decide, schema(docs, items="array<long>", coverage="double", kept="boolean"))

@@ -91,7 +91,7 @@ class Words:
             a, b = self.start[at:to] - low, self.end[at:to] - low
             m = int(b[-1])
             total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[self.data[low : low + m]] * _power(_BASE, m), dtype=np.uint64)))
-            out[at:to] = (total[b] - total[a]) * _power(_INVERSE, m)[a] + (b - a).astype(np.uint64) * _ODD
+            out[at:to] = (total[b] - total[a]) * _power(_INVERSE, m + 1)[a] + (b - a).astype(np.uint64) * _ODD
             at = to
         return mix(out)
 

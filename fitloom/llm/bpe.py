@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .frames import schema, slices, with_columns
+from .frames import map_texts, schema, slices, with_columns
 
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: A run of one pre-token class that a chunk's end may have cut, by its first (non-blank) character.
@@ -30,10 +30,10 @@ _RUNS = [regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+")]
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNITS = re.compile(rf" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 CHUNK = 1 << 16
-_CACHE = 400_000
+_CACHE = 150_000
 
 
-def _byte_chars() -> dict[str, int]:
+def byte_chars() -> dict[str, int]:
     """The printable stand-ins of the 256 bytes in byte-level vocabularies."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
@@ -46,7 +46,7 @@ class Merges:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        chars = _byte_chars()
+        chars = byte_chars()
         vocab = spec["model"]["vocab"]
         special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.special = special
@@ -319,21 +319,26 @@ def model(path: str) -> Merges:
     return Merges(path)
 
 
-def encode(docs: DataFrame, path: str, column: str = "text", ids: str = "ids") -> DataFrame:
-    """docs with a column of token ids of `column`; null and empty texts give an empty list.  A column
-    of docs that is named as `ids` is replaced; others stay, whatever they are."""
+def encode(docs: DataFrame, path: str, column: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """docs with a column of token ids of `column`; null and empty texts give an empty list.  With
+    `decoded` the ids are decoded again in the same pass, into a column of that name.  A column of docs
+    that has one of these names is replaced; others stay, whatever they are."""
 
     def run(batches):
-        encoder = Encoder(model(path))
+        encoder, decoder = Encoder(model(path)), Decoder(model(path)) if decoded else None
         for whole in batches:
             for batch in slices(whole, column):
                 rows = [encoder.encode(t or "") for t in batch.column(column).to_pylist()]
                 ends = np.cumsum([0, *map(len, rows)])
                 flat = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32)
-                yield with_columns(batch, **{ids: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))})
+                extra = {ids: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))}
+                if decoder:
+                    extra[decoded] = pa.array([decoder.decode(r) for r in rows], pa.string())
+                yield with_columns(batch, **extra)
 
-    out = T.StructType([*schema(docs, **{ids: "long"}).fields[:-1], T.StructField(ids, T.ArrayType(T.IntegerType()))])
-    return docs.mapInArrow(run, out)
+    own = [ids, decoded] if decoded else [ids]
+    fields = [f for f in docs.schema.fields if f.name not in own] + [T.StructField(ids, T.ArrayType(T.IntegerType()))]
+    return map_texts(docs, run, T.StructType(fields + [T.StructField(decoded, T.StringType())] * bool(decoded)))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -343,7 +348,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
         decoder = Decoder(model(path))
         for batch in batches:
             column = batch.column(ids)
-            ends, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
-            yield with_columns(batch, **{text: pa.array([decoder.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())})
+            rows = [decoder.decode(np.asarray(r.values, np.int64)) if r.is_valid else "" for r in column]
+            yield with_columns(batch, **{text: pa.array(rows, pa.string())})
 
-    return df.mapInArrow(run, schema(df, **{text: "string"}))
+    return map_texts(df, run, schema(df, **{text: "string"}))

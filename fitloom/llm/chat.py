@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import schema, shared_folder
+from .frames import map_texts, schema, shared_folder
 
 ROLES = ["system", "user", "assistant"]
 #: States: nothing yet, then one for each role.
@@ -161,7 +161,7 @@ def repaired(conversations: DataFrame) -> DataFrame:
             yield close(*held)
 
     path = shared_folder(spark, "turns")
-    rows.mapInArrow(pack, packed).write.parquet(path)
+    map_texts(rows, pack, packed).write.parquet(path)
     segments = spark.read.schema(packed).parquet(path)
 
     def bounds(group):
@@ -190,4 +190,4 @@ def repaired(conversations: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([seg["conv_id"]] * n, pa.int64()), pa.array([seg["segment"]] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array(seg["turns"], pa.int64()), *(pa.array(out[c], t) for c, t in kinds.items())], names=["conv_id", "segment", "place", "turn", *kinds])
 
     joined = segments.drop("costs").join(states, "segment")
-    return joined.mapInArrow(fix, "conv_id long, segment long, place long, turn long, action string, role string, inserted array<string>, closing array<string>, rendered string")
+    return map_texts(joined, fix, "conv_id long, segment long, place long, turn long, action string, role string, inserted array<string>, closing array<string>, rendered string")

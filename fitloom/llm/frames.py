@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -27,6 +30,49 @@ def shared_folder(spark: SparkSession, what: str) -> str:
     return f"{top.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+def modest(spark: SparkSession, rows: int = 1000) -> None:
+    """Lowers the rows of an Arrow batch: whole texts are long, and JVM and Python each hold batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name, "10000")) > rows or int(spark.conf.get(name, "10000")) <= 0:
+        spark.conf.set(name, str(rows))
+
+
+def give_back() -> None:
+    """Hands freed memory back to the machine: Python workers live on between tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(work):
+    """A batch function that gives memory back when its partition ends."""
+
+    def run(batches):
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
+def lean_group(work, keyed: bool = True):
+    """The same for a group function, after each group of some size."""
+
+    def run(*args):
+        out = work(*(args if keyed else args[-1:]))
+        if sum(t.nbytes for t in args if isinstance(t, pa.Table)) > 1 << 20:
+            give_back()
+        return out
+
+    return (lambda key, group: run(key, group)) if keyed else (lambda group: run(group))
+
+
+def map_texts(df: DataFrame, work, out) -> DataFrame:
+    """df.mapInArrow with modest batches and a lean function."""
+    modest(df.sparkSession)
+    return df.mapInArrow(lean(work), out)
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """df as a Parquet table in the shared folder: later reads survive lost executors and don't repeat the work."""
     path = shared_folder(df.sparkSession, what)
@@ -47,7 +93,7 @@ def with_columns(batch: pa.RecordBatch | pa.Table, drop: tuple[str, ...] = (), *
     return kind.from_arrays([*(batch.column(n) for n in keep), *extra.values()], names=[*keep, *extra])
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in pieces whose texts take about `most` bytes; one longer text makes a piece of its own."""
     sizes = np.fromiter((0 if v is None else v for v in pa.compute.binary_length(batch.column(column)).to_pylist()), np.int64, batch.num_rows)
     total, at = np.cumsum(sizes), 0

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .frames import NO_ID, ids, schema, slices, table, texts, with_columns, written
+from .frames import NO_ID, ids, lean_group, map_texts, schema, slices, table, texts, with_columns, written
 from .graph import components
 
 ROWS = 6
@@ -122,7 +122,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
                     band[i] = row.astype(np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], _LONG), pa.array(key, _BIN), pa.array(band, pa.list_(_LONG))], names=["doc_id", "n_shingles", "key", "bands"])
 
-    made = written(docs.mapInArrow(sketch, schema(None, doc_id="long", n_shingles="long", key="binary", bands="array<long>")), "minmax")
+    made = written(map_texts(docs, sketch, schema(None, doc_id="long", n_shingles="long", key="binary", bands="array<long>")), "minmax")
     # one document stands for all of equal sets
     classes = made.where("key is not null").groupBy("key").agg(F.min(F.coalesce("doc_id", F.lit(int(NO_ID)))).alias("u"), F.min_by("bands", F.coalesce("doc_id", F.lit(int(NO_ID)))).alias("bands"), F.max("n_shingles").alias("size"))
     classes = written(classes, "classes")
@@ -150,10 +150,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
                 yield batch.filter(pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() == k for s, k in zip(sets, batch.column("key").to_pylist(), strict=True)]))
 
     keyed = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(int(NO_ID)))).join(member, "doc_id")
-    keyed = keyed.mapInArrow(mark, keyed.schema).dropDuplicates(["doc_id", "key"]).drop("key")
+    keyed = map_texts(keyed, mark, keyed.schema).dropDuplicates(["doc_id", "key"]).drop("key")
     pairs = F.expr("transform(sequence(0, blocks - 1), x -> struct(least(x, block) as a, greatest(x, block) as b))")
     dealt = keyed.withColumn("pair", F.explode(pairs)).select("v", "pair.a", "pair.b", "block", "doc_id", "text")
-    links = dealt.groupBy("v", "a", "b").applyInArrow(confirm, schema(None, u="long", v="long"))
+    links = dealt.groupBy("v", "a", "b").applyInArrow(lean_group(confirm), schema(None, u="long", v="long"))
     found = components(links)
     stands = classes.select("key", "u").join(found, "u", "left").select("key", F.coalesce("v", "u").alias("component"))
     out = made.select("doc_id", "n_shingles", "key").join(stands, "key", "left")

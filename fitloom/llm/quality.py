@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from . import text as tx
-from .frames import schema, slices, texts, with_columns
+from .frames import map_texts, schema, slices, texts, with_columns
 
 CHUNK = 4096
 LEVEL = 3
@@ -51,10 +51,10 @@ def base_counts(raw: list[bytes]) -> dict[str, np.ndarray]:
     """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of each text."""
     w = tx.Words(raw)
     n, own = len(raw), w.owner()
-    head = np.concatenate(([0], np.cumsum((w.data & 0xC0) != 0x80)))  # code points before each byte
+    head = np.concatenate(([0], np.cumsum((w.data & 0xC0) != 0x80, dtype=np.int32)))  # code points before each byte
     symbol = np.zeros(256, bool)
     symbol[list(SYMBOLS)] = True
-    marks = np.concatenate(([0], np.cumsum(symbol[w.data])))
+    marks = np.concatenate(([0], np.cumsum(symbol[w.data], dtype=np.int32)))
     h = w.hashes()
     out = {"n_words": w.counts, "word_chars": np.bincount(own, head[w.end] - head[w.start], n).astype(np.int64)}
     out["n_symbols"] = marks[w.text_start[1:] - 1] - marks[w.text_start[:-1]] if n else np.zeros(0, np.int64)
@@ -96,4 +96,4 @@ def rules(docs: DataFrame) -> DataFrame:
                 kept = ~failed & np.array(good)
                 yield with_columns(batch, **{k: pa.array(c[k], pa.int64()) for k in names}, ratio=pa.array(ratio, pa.float64()), bad_chunks=pa.array(share, pa.float64()), base_failed=pa.array(failed), kept=pa.array(kept))
 
-    return docs.mapInArrow(run, schema(docs, **dict.fromkeys(names, "long"), ratio="double", bad_chunks="double", base_failed="boolean", kept="boolean"))
+    return map_texts(docs, run, schema(docs, **dict.fromkeys(names, "long"), ratio="double", bad_chunks="double", base_failed="boolean", kept="boolean"))

@@ -27,7 +27,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    coded = bpe.encode(docs.select("doc_id", "text"), path, decoded="decoded")
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import text as tx
-from .frames import dealt, ids, parts, schema, table, texts, with_columns
+from .frames import dealt, give_back, ids, lean_group, parts, schema, table, texts, with_columns
 
 ANCHOR = 5
 #: Parts that one copy of a reference piece serves.
@@ -190,6 +190,12 @@ def remove_repeats(docs: DataFrame, n: int = 13) -> DataFrame:
         return _deal(part[shared], out, 0, 0)
 
     def cut(key, group, answers):
+        try:
+            return pieces_of(key, group, answers)
+        finally:
+            give_back()
+
+    def pieces_of(key, group, answers):
         if not answers.num_rows or not group.num_rows:
             return table(_KINDS, [])
         own = key[0].as_py()
@@ -273,6 +279,12 @@ def remove_repeats(docs: DataFrame, n: int = 13) -> DataFrame:
         return _deal(away["part"], spots, 0, 0)
 
     def finish(key, group, found):
+        try:
+            return rest_of(key, group, found)
+        finally:
+            give_back()
+
+    def rest_of(key, group, found):
         if not group.num_rows:
             return schema_out.empty_table()
         doc, raw = ids(group.column("doc_id")), texts(group.column("text"))
@@ -304,11 +316,11 @@ def remove_repeats(docs: DataFrame, n: int = 13) -> DataFrame:
     order_out = out.names
     schema_out = to_arrow_schema(out)
     rows = schema(None, dest="long", kind="int", part="int", data="binary")
-    told = base.groupBy("__part").applyInArrow(tell, rows)
-    answers = told.groupBy("dest").applyInArrow(answer, rows)
+    told = base.groupBy("__part").applyInArrow(lean_group(tell, False), rows)
+    answers = told.groupBy("dest").applyInArrow(lean_group(answer, False), rows)
     pieces = base.groupBy("__part").cogroup(answers.withColumn("dest", F.col("dest").cast("int")).groupBy("dest")).applyInArrow(cut, rows)
-    matched = pieces.groupBy("dest").applyInArrow(match, rows)
-    settled = matched.groupBy("dest", "kind").applyInArrow(settle, rows)
+    matched = pieces.groupBy("dest").applyInArrow(lean_group(match, False), rows)
+    settled = matched.groupBy("dest", "kind").applyInArrow(lean_group(settle), rows)
     return base.groupBy("__part").cogroup(settled.withColumn("dest", F.col("dest").cast("int")).groupBy("dest")).applyInArrow(finish, out)
 
 

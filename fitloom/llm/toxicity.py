@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .frames import schema, slices, texts, with_columns
+from .frames import map_texts, schema, slices, texts, with_columns
 
 #: Bytes of a word start.
 START = 5
 #: Labelled rows that training takes at most: those of least hash of the id.
-SAMPLE = 10_000
+SAMPLE = 8_000
 #: Features in fewer of these rows, or with a chi-squared statistic against toxicity below CHI times the
 #: logarithm of the number of features tested, have no weight.
 LEAST, CHI = 3, 2.5
@@ -148,16 +148,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str =
                 raw = texts(batch.column("text"))
                 row, f, value, _ = features(raw)
                 cut = np.searchsorted(row, np.arange(batch.num_rows + 1))
-                pack = [pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()) for x in (f, value)]
+                pack = [pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()) for x in (f, value.astype(np.float32))]
                 marks = pa.array([x.tobytes() for x in sketch(raw)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("__label"), *pack, marks], names=["doc_id", "label", "f", "v", "marks"])
 
-    got = rows.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, schema(None, doc_id="long", label="int", f="binary", v="binary", marks="binary")).toArrow()
+    got = map_texts(rows.withColumn("doc_id", F.col("doc_id").cast("long")), run, schema(None, doc_id="long", label="int", f="binary", v="binary", marks="binary")).toArrow()
     if not got.num_rows:
         return Ordinal(np.zeros(0, np.uint64), np.zeros(0), np.array([10.0]))
     got = got.sort_by([("doc_id", "ascending"), ("marks", "ascending")])
     got = got.take(distinct(np.frombuffer(b"".join(got.column("marks").to_pylist()), np.uint64).reshape(-1, LOOKS)))
-    f, v = (np.frombuffer(b"".join(got.column(n).to_pylist()), t) for n, t in (("f", np.uint64), ("v", np.float64)))
+    f, v = (np.frombuffer(b"".join(got.column(n).to_pylist()), t) for n, t in (("f", np.uint64), ("v", np.float32)))
     row = np.repeat(np.arange(got.num_rows), [len(x) // 8 for x in got.column("f").to_pylist()])
     y = (got.column("label").to_numpy() > 0).astype(int)
     return fit(row, f, v, severity(row, f, v, y))
@@ -180,4 +180,4 @@ def predict(docs: DataFrame, model: Ordinal, limit: float = 0.5) -> DataFrame:
                 each = np.concatenate((np.ones((len(s), 1)), above), 1) - np.concatenate((above, np.zeros((len(s), 1))), 1)
                 yield with_columns(batch, severity=pa.array(above.sum(1)), grade=pa.array(each.argmax(1), pa.int64()), p_toxic=pa.array(above[:, 0]), kept=pa.array(above[:, 0] < limit))
 
-    return docs.mapInArrow(run, schema(docs, severity="double", grade="long", p_toxic="double", kept="boolean"))
+    return map_texts(docs, run, schema(docs, severity="double", grade="long", p_toxic="double", kept="boolean"))

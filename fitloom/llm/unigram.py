@@ -17,11 +17,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .frames import schema, slices, with_columns
+from .frames import map_texts, schema, slices, with_columns
 
 MARK = "▁"
 UNKNOWN = 10.0
-_CACHE = 400_000
+_CACHE = 150_000
 
 
 def vocabulary(path: str) -> tuple[list[tuple[str, float]], int]:
@@ -109,4 +109,4 @@ def count_tokens(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
                 rows = [count.text(t or "") for t in batch.column(column).to_pylist()]
                 yield with_columns(batch, n_tokens=pa.array([r[0] for r in rows], pa.int64()), score=pa.array(np.array([r[1] for r in rows], np.float64)))
 
-    return docs.mapInArrow(run, schema(docs, n_tokens="long", score="double"))
+    return map_texts(docs, run, schema(docs, n_tokens="long", score="double"))

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import schema, shared_folder, slices, table, written
+from .frames import map_texts, schema, shared_folder, slices, table, written
 from .wavelet import get, put
 
 #: The skippable frame that carries a dictionary, and the frame mark of Zstandard.
@@ -160,7 +160,7 @@ def write_archives(pages: DataFrame, least: int = 0, folder: str | None = None,
             close()
         yield from table({"path": pa.string(), "records": pa.int64()}, made).to_batches()
 
-    return written(rows.mapInArrow(run, schema(None, path="string", records="long")), "archives")
+    return written(map_texts(rows, run, schema(None, path="string", records="long")), "archives")
 
 
 def _page(name: str | None) -> int | None:
@@ -191,4 +191,4 @@ def read_archives(paths: DataFrame, payloads: bool = False) -> DataFrame:
                 yield from table(kinds, rows).to_batches()
 
     n = max(1, min(2000, paths.count()))
-    return paths.select("path").repartition(n, "path").mapInArrow(run, schema(None, **types))
+    return map_texts(paths.select("path").repartition(n, "path"), run, schema(None, **types))

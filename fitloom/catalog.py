@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import q_data, q_score, q_text
+from .plans import q_data, q_generate, q_score, q_text
 
-MODULES = [q_text, q_score, q_data]
+MODULES = [q_text, q_score, q_data, q_generate]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

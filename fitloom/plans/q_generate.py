@@ -87,6 +87,22 @@ def _answers(s, d):
     return X.complete(rows, "prompts", Echo, limiter=_fast)
 
 
+def _paced(s, d):
+    """When each call of a task may start, at 55 a minute over four tasks, on a clock that only waiting moves."""
+    def run(pdf):
+        clock = [0.0]
+        pace = X.Limiter(55, 4, now=lambda: clock[0], sleep=lambda x: clock.__setitem__(0, clock[0] + x))
+        starts = []
+        for _ in range(len(pdf)):
+            pace.wait()
+            starts.append(clock[0])
+        return pdf.sort_values("c_custkey").assign(start=starts)[["c_custkey", "start"]]
+
+    rows = read(s, d, "customer").select("c_custkey", F.pmod("c_custkey", F.lit(4)).alias("task"))
+    return rows.groupBy("task").applyInPandas(run, "c_custkey long, start double").select("c_custkey", half_up(K("start"), 3).alias("start"))
+
+
+Q["EXT4"] = (_paced, "SELECT c_custkey, floor((row_number() OVER (PARTITION BY c_custkey % 4 ORDER BY c_custkey) - 1) * 240.0::DOUBLE / 55.0::DOUBLE * 1000.0::DOUBLE + 0.5::DOUBLE) / 1000.0::DOUBLE AS start FROM customer")
 Q["EXT1"] = (lambda s, d: _answers(s, d).select("doc_id", "answer", "_error", "tries"), None)
 Q["EXT2"] = (
     lambda s, d: X.complete(read(s, d, "documents").join(read(s, d, "labels"), "doc_id").select("doc_id", X.judge_prompts(K("text"), F.struct("quality", "toxic")).alias("prompts")), "prompts", Echo, rpm=10, settings={"temperature": 0}, limiter=_fast).select("doc_id", "answer", "_error", "tries"),

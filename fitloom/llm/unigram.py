@@ -21,7 +21,7 @@ from .frames import map_texts, schema, slices, with_columns
 
 MARK = "▁"
 UNKNOWN = 10.0
-_CACHE = 150_000
+_CACHE = 250_000
 
 
 def vocabulary(path: str) -> tuple[list[tuple[str, float]], int]:
@@ -35,7 +35,7 @@ def vocabulary(path: str) -> tuple[list[tuple[str, float]], int]:
 class Counter:
     def __init__(self, pieces: list[tuple[str, float]], unknown: int = 0):
         self.auto = ahocorasick.Automaton()
-        self.single = set()
+        self.single, self.spelled = set(), pieces[unknown][0] if 0 <= unknown < len(pieces) else ""
         for k, (piece, score) in enumerate(pieces):
             if piece:  # only the unknown piece pays in bytes
                 self.auto.add_word(piece, (len(piece), score, len(piece.encode()) if k == unknown else 0))
@@ -44,10 +44,19 @@ class Counter:
         self.auto.make_automaton()
         self.unknown = min(s for _, s in pieces) - UNKNOWN
         self.cache: dict[str, tuple[int, float]] = {}
+        self.older: dict[str, tuple[int, float]] = {}
 
     def word(self, word: str) -> tuple[int, float]:
         """Pieces and score of one word, its mark included.  A run of unknown characters counts its bytes."""
         n = len(word)
+        if self.single.issuperset(word) and not (self.spelled and self.spelled in word):  # no unknown piece can win
+            best, count, width = [0.0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+            for end, (size, score, _) in self.auto.iter(word):
+                at, end = end + 1 - size, end + 1
+                value, w = best[at] + score, width[end]
+                if not w or value > best[end] or (value == best[end] and size > w):
+                    best[end], count[end], width[end] = value, count[at] + 1, size
+            return count[n], best[n]
         ends: list[list[tuple[int, float, int]]] = [[] for _ in range(n)]
         for end, piece in self.auto.iter(word):
             ends[end].append(piece)
@@ -76,18 +85,22 @@ class Counter:
             return 0, 0.0
         text = text.replace(" ", MARK)
         words = (text[1:] if text[0] == MARK else text).split(MARK)
-        get, total, score = self.cache.get, 0, 0.0
-        for w in words:
-            got = get(w)
-            if got is None:
-                got = self.word(MARK + w)
-                if len(w) <= 64:
-                    if len(self.cache) >= _CACHE:
-                        self.cache.clear()
-                    self.cache[w] = got
-            total += got[0]
-            score += got[1]
-        return total, score
+        got = list(map(self.cache.get, words))
+        if None in got:
+            got = [self._miss(w) if g is None else g for g, w in zip(got, words, strict=True)]
+        counts, scores = zip(*got, strict=True)
+        return sum(counts), float(sum(scores))
+
+    def _miss(self, word: str) -> tuple[int, float]:
+        """From the older words, or anew; the cache has two generations of bounded size."""
+        got = self.older.get(word)
+        if got is None:
+            got = self.word(MARK + word)
+        if len(word) <= 64:
+            if len(self.cache) >= _CACHE:
+                self.older, self.cache = self.cache, {}
+            self.cache[word] = got
+        return got
 
 
 @cache

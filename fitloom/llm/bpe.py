@@ -13,6 +13,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from array import array
 from functools import cache
 
 import numpy as np
@@ -30,7 +31,8 @@ _RUNS = [regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+")]
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNITS = re.compile(rf" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 CHUNK = 1 << 16
-_CACHE = 150_000
+_CACHE = 200_000
+_ENDS = (",", ".")
 
 
 def byte_chars() -> dict[str, int]:
@@ -164,21 +166,33 @@ class Encoder:
     def __init__(self, merges: Merges):
         self.m = merges
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.held, self.run, self.pipe = "", None, Transducer(merges)
 
     def _piece(self, unit: str) -> bytes:
         """Ids of a unit that is whole, as packed 32-bit integers."""
-        out: list[int] = []
-        for p in PATTERN.findall(unit):
-            out += self.pipe.feed(p.encode())
-            out += self.pipe.finish()
-        packed = np.array(out, np.uint32).tobytes()
+        packed = self.older.get(unit)
+        if packed is None:
+            packed = self._new(unit)
         if len(unit) <= 64:
             if len(self.cache) >= _CACHE:
-                self.cache.clear()
+                self.older, self.cache = self.cache, {}
             self.cache[unit] = packed
         return packed
 
+    def _new(self, unit: str) -> bytes:
+        core = unit[1:] if unit[0] == " " else unit
+        if core.isalpha() and len(core) < CHUNK:  # one pre-token
+            return array("I", self._whole(unit)).tobytes()
+        if core[-1:] in _ENDS and core[:-1].isalpha() and len(core) < CHUNK:  # two, of which one is a word
+            word = unit[:-1]
+            return (self.cache.get(word) or self._piece(word)) + array("I", [self.m.byte_id[ord(unit[-1])]]).tobytes()
+        out: list[int] = []
+        for p in PATTERN.findall(unit):
+            out += self.pipe.feed(p.encode())
+            out += self.pipe.finish()
+        return array("I", out).tobytes()
+
     def feed(self, text: str) -> bytes:
         """Packed ids that are stable by now.  White space, and a piece that may go on, are held back."""
         out = []
@@ -235,6 +249,7 @@ class Encoder:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text; the strings of special tokens become those tokens."""
+        self.held, self.run, self.pipe.carry = "", None, b""
         out = []
         sp = self.m.split_special
         for k, part in enumerate(sp.split(text) if sp and any(s in text for s in self.m.special) else [text]):
@@ -319,16 +334,22 @@ def model(path: str) -> Merges:
     return Merges(path)
 
 
+@cache
+def encoder(path: str) -> Encoder:
+    """One a process: a worker's tasks share the pieces met."""
+    return Encoder(model(path))
+
+
 def encode(docs: DataFrame, path: str, column: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """docs with a column of token ids of `column`; null and empty texts give an empty list.  With
     `decoded` the ids are decoded again in the same pass, into a column of that name.  A column of docs
     that has one of these names is replaced; others stay, whatever they are."""
 
     def run(batches):
-        encoder, decoder = Encoder(model(path)), Decoder(model(path)) if decoded else None
+        coder, decoder = encoder(path), Decoder(model(path)) if decoded else None
         for whole in batches:
             for batch in slices(whole, column):
-                rows = [encoder.encode(t or "") for t in batch.column(column).to_pylist()]
+                rows = [coder.encode(t or "") for t in batch.column(column).to_pylist()]
                 ends = np.cumsum([0, *map(len, rows)])
                 flat = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32)
                 extra = {ids: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))}

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -39,7 +38,6 @@ def modest(spark: SparkSession, rows: int = 1000) -> None:
 
 def give_back() -> None:
     """Hands freed memory back to the machine: Python workers live on between tasks."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)

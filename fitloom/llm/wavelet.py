@@ -12,7 +12,8 @@ zeros), the compressed document table (doc_id and token count as int64), the com
 from __future__ import annotations
 
 import json
-import zlib
+import re
+from array import array
 from functools import cache
 
 import numpy as np
@@ -23,13 +24,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .frames import schema, shared_folder, slices, table, written
+from . import text as tx
+from .bpe import byte_chars
+from .frames import map_texts, schema, shared_folder, slices, table, texts, written
 
 MAGIC = b"FLWM0001"
 BLOCK = 1024
 #: Tokens after which a shard is closed; a document is never cut.
 SHARD = 1 << 21
-_CACHE = 400_000
+_CACHE = 600_000
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 
@@ -79,19 +82,21 @@ class WaveletMatrix:
         for b in range(bits - 1, -1, -1):
             one = (now >> b & 1).astype(bool)
             planes.append((Plane(np.packbits(one), len(ids)), int(len(ids) - one.sum())))
-            now = np.concatenate((now[~one], now[one]))
+            now = np.concatenate((now.take(np.flatnonzero(~one)), now.take(np.flatnonzero(one))))  # masks would mispredict
         return cls(len(ids), planes)
 
     def all(self) -> np.ndarray:
         """Every id in order, from the last plane up."""
-        now = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        now = np.zeros(self.n, kind)
         for b, (plane, zeros) in enumerate(reversed(self.planes)):
-            one = np.unpackbits(plane.bits, count=self.n).astype(bool)
-            up = np.empty(self.n, np.uint32)
-            up[~one] = now[:zeros]
-            up[one] = now[zeros:] | np.uint32(1 << b)
+            one = np.unpackbits(plane.bits, count=self.n).view(bool)
+            now[zeros:] |= kind(1 << b)
+            up = np.empty(self.n, kind)
+            up[np.flatnonzero(~one)] = now[:zeros]
+            up[np.flatnonzero(one)] = now[zeros:]
             now = up
-        return now
+        return now.astype(np.uint32)
 
     def access(self, i: int) -> int:
         got = 0
@@ -156,24 +161,77 @@ def _tokenizer(path: str):
 
 
 class WordEncoder:
-    """The tokenizers library, word by word: for a tokenizer whose pieces never cross ASCII white space
-    the ids of a text are those of its words.  Words met before come from a bounded cache."""
+    """The tokenizers library, word by word, for a tokenizer whose pieces never cross ASCII white space:
+    the ids of a text are those of its words.  Each distinct word of a batch is looked up once, in a
+    bounded cache of two generations; new words of plain Latin letters, which a case-folding normaliser
+    leaves as they are, go to the library's model alone.  A comma or stop after a letter is a piece of
+    its own, so such words share an entry.  Texts with special tokens go to the library whole."""
+
+    _PLAIN = re.compile(r"[a-z\u00e0-\u00f6\u00f8-\u00ff]+")
 
     def __init__(self, path: str):
-        self.t, self.cache = _tokenizer(path), {}
-
-    def encode(self, text: bytes) -> bytes:
-        words = text.split()
-        try:
-            return b"".join(map(self.cache.__getitem__, words))
-        except KeyError:
-            pass
+        self.t, self.cache, self.older = _tokenizer(path), {}, {}
+        self.kind = np.uint16 if self.t.get_vocab_size() <= 1 << 16 else np.uint32
+        self.chars = {b: c for c, b in byte_chars().items()}
+        spec = json.loads(self.t.to_str())
+        steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        if "Lowercase" not in steps or not spec["model"]["end_of_word_suffix"]:
+            raise ValueError("the tokenizer must fold case and mark word ends")
+        self.marks = [t["content"][:2].encode() for t in spec["added_tokens"]]
+
+    def _new(self, word: bytes) -> bytes:
+        text = word.decode()
+        if self._PLAIN.fullmatch(text):
+            ids = [x.id for x in self.t.model.tokenize(text if text.isascii() else "".join(self.chars[b] for b in word))]
+        else:
+            ids = self.t.encode(text, add_special_tokens=False).ids
+        return array("H" if self.kind is np.uint16 else "I", ids).tobytes()
+
+    def _miss(self, word: bytes) -> bytes:
+        """From the older words, or anew; rare words pass through, frequent ones come back."""
+        packed = self.older.get(word)
+        if packed is None:
+            packed = self._new(word)
         if len(self.cache) >= _CACHE:
-            self.cache.clear()
-        new = list({w for w in words if w not in self.cache})
-        for w, e in zip(new, self.t.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-            self.cache[w] = np.array(e.ids, np.uint16 if self.t.get_vocab_size() <= 1 << 16 else np.uint32).tobytes()
-        return b"".join(map(self.cache.__getitem__, words))
+            self.older, self.cache = self.cache, {}
+        self.cache[word] = packed
+        return packed
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each text."""
+        odd = {i for i, t in enumerate(texts) if any(m in t for m in self.marks)}
+        w = tx.Words([b"" if i in odd else t for i, t in enumerate(texts)], lower=True)
+        stop = np.zeros(len(w), bool)
+        if len(w):
+            last, before = w.data[w.end - 1], w.data[np.maximum(w.end - 2, 0)]
+            stop = ((last == 44) | (last == 46)) & (w.end - w.start > 1) & ((before >= 97) & (before <= 122) | (before >= 48) & (before <= 57))
+            w.end = w.end - stop
+        _, first, which = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        data, get = w.data.tobytes(), self.cache.get
+        names = [data[a:b] for a, b in zip(w.start[first].tolist(), w.end[first].tolist(), strict=True)]
+        packed = [get(x) or self._miss(x) for x in names]
+        flat = np.frombuffer(b"".join(packed), self.kind)
+        size = np.fromiter(map(len, packed), np.int64, len(packed)) // self.kind().itemsize
+        of, n = (np.cumsum(size) - size)[which], size[which]  # place in flat and length of each word
+        core = np.cumsum(n) - n
+        place = core + np.cumsum(stop) - stop
+        out = np.empty(int(n.sum() + stop.sum()), self.kind)
+        step = np.arange(int(n.sum()))
+        out[np.repeat(place - core, n) + step] = flat[np.repeat(of - core, n) + step]
+        if stop.any():
+            comma, dot = (np.frombuffer(self._new(x), self.kind)[0] for x in (b",", b"."))
+            out[(place + n)[stop]] = np.where(last[stop] == 44, comma, dot)
+        ends = np.concatenate((place, [len(out)]))[w.bounds]
+        rows = [out[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        for i in odd:
+            rows[i] = np.array(self.t.encode(texts[i].decode(), add_special_tokens=False).ids, self.kind)
+        return rows
+
+
+@cache
+def encoder(path: str) -> WordEncoder:
+    """One a process: a worker's tasks share the words met."""
+    return WordEncoder(path)
 
 
 def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
@@ -207,26 +265,24 @@ def write_shards(docs: DataFrame, tokenizer: str, end: int, folder: str | None =
     folder = folder or shared_folder(spark, "wavelet")
 
     def run(batches):
-        coder, bits = WordEncoder(tokenizer), max(1, (_tokenizer(tokenizer).get_vocab_size() - 1).bit_length())
+        coder, bits = encoder(tokenizer), max(1, (_tokenizer(tokenizer).get_vocab_size() - 1).bit_length())
         kind = np.uint16 if bits <= 16 else np.uint32
-        tail, part = np.array([end], kind).tobytes(), TaskContext.get().partitionId()
+        tail, part = np.array([end], kind), TaskContext.get().partitionId()
         rows, chunks, size, k, made = [], [], 0, 0, []
 
         def close():
             nonlocal rows, chunks, size, k
             path = f"{folder}/shard-{part:07d}-{k:05d}.wm"
-            put(path, dump(rows, np.frombuffer(b"".join(chunks), kind), bits))
+            put(path, dump(rows, np.concatenate(chunks), bits))
             made.append((part << 24 | k, path, len(rows), size))
             rows, chunks, size, k = [], [], 0, k + 1
 
         for whole in batches:
-            for batch in slices(whole, "text"):
-                for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                    data = coder.encode(text or b"") + tail
-                    n = len(data) // kind().itemsize
-                    rows.append((doc, n))
-                    chunks.append(data)
-                    size += n
+            for batch in slices(whole, "text", 8 << 20):
+                for doc, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(texts(batch.column("text"))), strict=True):
+                    rows.append((doc, len(ids) + 1))
+                    chunks += [ids, tail]
+                    size += len(ids) + 1
                     if size >= shard:
                         close()
         if rows:
@@ -234,7 +290,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end: int, folder: str | None =
         yield from table({"shard": pa.int64(), "path": pa.string(), "docs": pa.int64(), "tokens": pa.int64()}, made).to_batches()
 
     ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return written(ordered.mapInArrow(run, schema(None, shard="long", path="string", docs="long", tokens="long")), "manifest")
+    return written(map_texts(ordered, run, schema(None, shard="long", path="string", docs="long", tokens="long")), "manifest")
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
@@ -259,7 +315,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
     before = F.coalesce(F.sum("tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = manifest.select("path", before.cast("long").alias("start"), "shard")
     n = max(1, min(2000, manifest.count()))
-    return placed.repartition(n, "shard").mapInArrow(run, schema(None, doc_id="long", start="long", n_tokens="long", ids="binary"))
+    return map_texts(placed.repartition(n, "shard"), run, schema(None, doc_id="long", start="long", n_tokens="long", ids="binary"))
 
 
 def crc(column: str = "ids"):

@@ -107,8 +107,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     component_id and counts as larger than any other.  Rows that repeat a doc_id share a component if
     their texts link; each carries its own n_shingles.  Other columns of docs don't matter.
     """
-    spark, bands = docs.sparkSession, bands_for(percent / 100)
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text"))
+    return _flags(docs, n, percent).drop("__hash")
+
+
+def _flags(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """near_duplicates() with a hash of each row's text."""
+    bands = bands_for(percent / 100)
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text"), F.xxhash64("text").alias("__hash"))
 
     def sketch(batches):
         for whole in batches:
@@ -120,9 +125,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
                 for i, row in zip(full, keys, strict=True):
                     key[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                     band[i] = row.astype(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], _LONG), pa.array(key, _BIN), pa.array(band, pa.list_(_LONG))], names=["doc_id", "n_shingles", "key", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("__hash"), pa.array([len(s) for s in sets], _LONG), pa.array(key, _BIN), pa.array(band, pa.list_(_LONG))], names=["doc_id", "__hash", "n_shingles", "key", "bands"])
 
-    made = written(map_texts(docs, sketch, schema(None, doc_id="long", n_shingles="long", key="binary", bands="array<long>")), "minmax")
+    made = written(map_texts(docs, sketch, schema(None, doc_id="long", __hash="long", n_shingles="long", key="binary", bands="array<long>")), "minmax")
     # one document stands for all of equal sets
     classes = made.where("key is not null").groupBy("key").agg(F.min(F.coalesce("doc_id", F.lit(int(NO_ID)))).alias("u"), F.min_by("bands", F.coalesce("doc_id", F.lit(int(NO_ID)))).alias("bands"), F.max("n_shingles").alias("size"))
     classes = written(classes, "classes")
@@ -149,20 +154,22 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
                 sets, _ = shingle_sets(texts(batch.column("text")), n)
                 yield batch.filter(pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() == k for s, k in zip(sets, batch.column("key").to_pylist(), strict=True)]))
 
-    keyed = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(int(NO_ID)))).join(member, "doc_id")
+    keyed = docs.drop("__hash").withColumn("doc_id", F.coalesce("doc_id", F.lit(int(NO_ID)))).join(member, "doc_id")
     keyed = map_texts(keyed, mark, keyed.schema).dropDuplicates(["doc_id", "key"]).drop("key")
     pairs = F.expr("transform(sequence(0, blocks - 1), x -> struct(least(x, block) as a, greatest(x, block) as b))")
     dealt = keyed.withColumn("pair", F.explode(pairs)).select("v", "pair.a", "pair.b", "block", "doc_id", "text")
     links = dealt.groupBy("v", "a", "b").applyInArrow(lean_group(confirm), schema(None, u="long", v="long"))
     found = components(links)
     stands = classes.select("key", "u").join(found, "u", "left").select("key", F.coalesce("v", "u").alias("component"))
-    out = made.select("doc_id", "n_shingles", "key").join(stands, "key", "left")
+    out = made.select("doc_id", "__hash", "n_shingles", "key").join(stands, "key", "left")
     own = F.coalesce("doc_id", F.lit(int(NO_ID)))
     component = F.coalesce("component", own)
-    return out.select("doc_id", "n_shingles", F.when(component != int(NO_ID), component).alias("component_id"), (own == component).alias("kept"))
+    return out.select("doc_id", "__hash", "n_shingles", F.when(component != int(NO_ID), component).alias("component_id"), (own == component).alias("kept"))
 
 
 def keep_first(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs whose doc_id is the least of its component; of rows that repeat a doc_id one stays."""
-    flags = near_duplicates(docs, n, percent).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(flags, docs.doc_id.eqNullSafe(flags["__kept"]), "left_semi").dropDuplicates(["doc_id"])
+    """The rows of docs that near_duplicates() keeps; of rows alike in doc_id and text one stays."""
+    flags = _flags(docs, n, percent).where("kept").select(F.col("doc_id").alias("__kept"), "__hash").distinct()
+    rows = docs.withColumn("__own", F.xxhash64("text"))
+    same = rows.doc_id.cast("long").eqNullSafe(flags["__kept"]) & (rows["__own"] == flags["__hash"])
+    return rows.join(flags, same, "left_semi").dropDuplicates(["doc_id", "__own"]).drop("__own")

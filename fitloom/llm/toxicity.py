@@ -163,7 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str =
     return fit(row, f, v, severity(row, f, v, y))
 
 
-def predict(docs: DataFrame, model: Ordinal, limit: float = 0.5) -> DataFrame:
+def predict(docs: DataFrame, model: Ordinal, limit: float = 0.4) -> DataFrame:
     """docs with severity (expected grade), grade (the likeliest), p_toxic and kept (p_toxic < limit).
 
     Null and empty texts have no features.  Columns of docs with these names are replaced.

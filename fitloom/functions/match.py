@@ -32,19 +32,32 @@ def compacted(items: Column) -> Column:
     return F.transform(items, compact)
 
 
+def paired(items: Column) -> Column:
+    """Items with their compact forms, (x, c): lambdas would work a form out anew at each use."""
+    return F.transform(items, lambda x: F.struct(x.alias("x"), compact(x).alias("c")))
+
+
 def matched(required: Column, observed_compact: Column) -> Column:
     """Required items that match an observed one, distinct and in order."""
-    return distinct_in_order(F.filter(required, lambda r: F.exists(observed_compact, lambda o: compact_match(compact(r), o))))
+    return matched_pairs(paired(required), observed_compact)
+
+
+def matched_pairs(pairs: Column, observed_compact: Column) -> Column:
+    """The same of items that are paired with their compact forms already."""
+    hits = F.filter(pairs, lambda r: F.exists(observed_compact, lambda o: compact_match(r["c"], o)))
+    return distinct_in_order(F.transform(hits, lambda r: r["x"]))
 
 
 def unmatched(catalogue: Column, known_compact: Column) -> Column:
     """Catalogue items that match no known one."""
-    return F.filter(catalogue, lambda r: ~F.exists(known_compact, lambda o: compact_match(compact(r), o)))
+    return F.transform(F.filter(paired(catalogue), lambda r: ~F.exists(known_compact, lambda o: compact_match(r["c"], o))), lambda r: r["x"])
 
 
 def first_match(skill: Column, catalogue: Column) -> Column:
     """First catalogue item that matches the skill, or null."""
-    return F.try_element_at(F.filter(catalogue, lambda c: skill_match(skill, c)), F.lit(1))
+    own = F.transform(F.array(skill), compact)
+    hits = F.filter(paired(catalogue), lambda r: F.exists(own, lambda o: compact_match(o, r["c"])))
+    return F.try_element_at(hits, F.lit(1))["x"]
 
 
 def contains_any(text: Column, words: list[str]) -> Column:
@@ -67,4 +80,4 @@ def domains_match(wanted: Column, observed: Column) -> Column:
 
 def path_score(path: Column, matched_compact: Column) -> Column:
     """3 for each item of the path that matches one of the matched skills."""
-    return F.lit(3) * F.size(F.filter(path, lambda s: F.exists(matched_compact, lambda m: compact_match(compact(s), m))))
+    return F.lit(3) * F.size(F.filter(compacted(path), lambda c: F.exists(matched_compact, lambda m: compact_match(c, m))))

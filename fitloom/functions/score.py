@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .match import DEPLOYMENT, compact_match, contains_any
-from .text import compact, normal, sentences
+from .match import DEPLOYMENT, contains_any, matched
+from .text import normal, sentences
 
 # Weights of the axes, in the order they are summed.
 WEIGHTS = {"skill_coverage": 0.38, "experience_fit": 0.24, "role_alignment": 0.14, "domain_alignment": 0.09, "education_fit": 0.05, "deployment_alignment": 0.05, "management_alignment": 0.05}
@@ -23,8 +23,8 @@ ELITE_WANTED = ["iit", "nit", "iiit", "bits"]
 ELITE_HELD = ["iit", "iiit", "nit", "bits", "international institute", "technology"]
 
 
-def coverage(matched: Column, wanted: Column) -> Column:
-    return F.when(wanted == 0, 0.5).otherwise(matched / F.greatest(wanted, F.lit(1)))
+def coverage(hits: Column, wanted: Column) -> Column:
+    return F.when(wanted == 0, 0.5).otherwise(hits / F.greatest(wanted, F.lit(1)))
 
 
 def experience(years: Column, required: Column) -> Column:
@@ -64,8 +64,9 @@ def management(wanted: Column, held: Column) -> Column:
 
 def deployment(skills: Column, observed_compact: Column, terms: list[str] | None = None) -> Column:
     """Share of the deployment skills among `skills` that are observed; 0.5 if there are none."""
-    needed = F.filter(skills, lambda s: contains_any(normal(s), terms or DEPLOYMENT))
-    have = F.size(F.array_distinct(F.filter(needed, lambda r: F.exists(observed_compact, lambda o: compact_match(compact(r), o)))))
+    plain = F.transform(skills, lambda s: F.struct(s.alias("x"), normal(s).alias("t")))
+    needed = F.transform(F.filter(plain, lambda r: contains_any(r["t"], terms or DEPLOYMENT)), lambda r: r["x"])
+    have = F.size(matched(needed, observed_compact))
     return F.when(F.size(needed) == 0, 0.5).otherwise(have / F.greatest(F.size(needed), F.lit(1)))
 
 
@@ -130,11 +131,11 @@ def fits_preset(preset: Column, score: Column, experience_fit: Column, same_role
     return out.otherwise(True)
 
 
-def rationale(wanted: Column, matched: Column, years: Column, required: Column, role_score: Column, domain_score: Column, manages: Column, management_score: Column) -> Column:
-    """One sentence for each ground of the score.  wanted and matched are arrays."""
+def rationale(wanted: Column, found: Column, years: Column, required: Column, role_score: Column, domain_score: Column, manages: Column, management_score: Column) -> Column:
+    """One sentence for each ground of the score.  wanted and found are arrays."""
     shown = F.format_string("shows %.1f years", years)
-    lead = F.array_join(F.slice(matched, 1, 3), ", ")
-    skills = F.concat(F.format_string("matches %d/%d JD skills", F.size(matched), F.size(wanted)), F.when(lead != "", F.concat(F.lit(" including "), lead)).otherwise(""))
+    lead = F.array_join(F.slice(found, 1, 3), ", ")
+    skills = F.concat(F.format_string("matches %d/%d JD skills", F.size(found), F.size(wanted)), F.when(lead != "", F.concat(F.lit(" including "), lead)).otherwise(""))
     over = F.when(years > 5.0, F.concat(shown, F.lit(" which may be overqualified for a fresher role"))).when(years > 2.0, F.concat(shown, F.lit(", slightly above fresher expectations"))).otherwise(F.concat(shown, F.lit(" which fits the fresher role expectation")))
     return sentences(
         F.array(

@@ -61,8 +61,7 @@ def split_list(c: Column) -> Column:
     return F.coalesce(F.split(c, r"[,;\n\r|]+"), F.array().cast("array<string>"))
 
 
-def is_generic(c: Column) -> Column:
-    k = key(c)
+def _generic(k: Column) -> Column:
     parts, ends = F.lit(False), F.lit(False)
     for p in GENERIC_PARTS:
         parts = parts | k.contains(p)
@@ -71,17 +70,13 @@ def is_generic(c: Column) -> Column:
     return F.when(k == "", True).when(k.isin(KEPT), False).otherwise(k.isin(GENERIC) | ends | parts)
 
 
-def expand(c: Column) -> Column:
-    """The skills that one item stands for."""
-    item = clean(c)
-    k = key(item)
-    parts = F.filter(F.transform(F.split(item, "/"), lambda p: F.trim(p)), lambda p: p != "")
-    slashed = item.contains("/") & (k != "ci/cd") & F.size(parts).between(2, 3)
-    return F.coalesce(F.try_element_at(_table(MULTI), k), F.when(slashed, parts), F.array(item))
+def _expand(t: Column, k: Column) -> Column:
+    parts = F.filter(F.transform(F.split(t, "/"), lambda p: F.trim(p)), lambda p: p != "")
+    slashed = t.contains("/") & (k != "ci/cd") & F.size(parts).between(2, 3)
+    return F.coalesce(F.try_element_at(_table(MULTI), k), F.when(slashed, parts), F.array(t))
 
 
-def canonical(c: Column) -> Column:
-    t, k = clean(c), key(c)
+def _canonical(t: Column, k: Column) -> Column:
     return (
         F.when(t == "", "")
         .when(k.isin(list(CANONICAL)), F.try_element_at(_table(CANONICAL), k))
@@ -97,11 +92,33 @@ def canonical(c: Column) -> Column:
     )
 
 
+def is_generic(c: Column) -> Column:
+    return _generic(key(c))
+
+
+def expand(c: Column) -> Column:
+    """The skills that one item stands for."""
+    return _expand(clean(c), key(c))
+
+
+def canonical(c: Column) -> Column:
+    return _canonical(clean(c), key(c))
+
+
+def _keyed(items: Column) -> Column:
+    """Items cleaned, with their keys, (t, k): lambdas would work a key out anew at each use."""
+    return F.transform(items, lambda x: F.struct(clean(x).alias("t"), key(x).alias("k")))
+
+
 def normalize(items: Column) -> Column:
     """An array of raw skills to canonical ones, generic ones left out, the first of each key kept, in order."""
-    wide = F.flatten(F.transform(F.coalesce(items, F.array().cast("array<string>")), lambda x: expand(x)))
-    good = F.filter(F.transform(wide, lambda x: canonical(x)), lambda s: ~is_generic(s))
-    pairs = F.transform(good, lambda s: F.struct(key(s).alias("k"), s.alias("s")))
-    # position of a key's first item tells whether an item is that first one
-    keys = F.transform(pairs, lambda p: p["k"])
-    return F.transform(F.filter(pairs, lambda p, i: F.array_position(keys, p["k"]) == i + 1), lambda p: p["s"])
+    raw = _keyed(F.coalesce(items, F.array().cast("array<string>")))
+    wide = _keyed(F.flatten(F.transform(raw, lambda r: _expand(r["t"], r["k"]))))
+    named = F.transform(wide, lambda r: _canonical(r["t"], r["k"]))
+    good = F.filter(F.transform(named, lambda s: F.struct(key(s).alias("k"), s.alias("s"))), lambda p: ~_generic(p["k"]))
+
+    def first(acc: Column, p: Column) -> Column:
+        return F.when(F.exists(acc, lambda q: q["k"] == p["k"]), acc).otherwise(F.concat(acc, F.array(p)))
+
+    kept = F.aggregate(good, F.array().cast("array<struct<k:string,s:string>>"), first)
+    return F.transform(kept, lambda p: p["s"])

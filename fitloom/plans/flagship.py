@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import score as S
 from ..functions.coerce import half_up
-from ..functions.match import compacted, matched
+from ..functions.match import compacted, contains_any, matched_pairs, paired
 
 TERMS = ["hot", "cold"]
 
@@ -45,6 +45,9 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("jd_role"), F.col("n_regionkey").alias("jd_region"), F.col("c_mktsegment").alias("jd_domain"),
         (F.col("o_orderpriority") == "1-URGENT").alias("jd_manages"), F.size("jd_skills").alias("required_years"),
     )
+    # forms of the order's skills are made here, once, and not for each candidate
+    jd = jd.withColumn("pairs", paired(F.col("jd_skills")))
+    jd = jd.withColumn("needed", F.filter("pairs", lambda r: contains_any(r["x"], TERMS)))
     presets = F.posexplode(F.array(*map(F.lit, S.PRESETS))).alias("k", "preset")
     pairs = jd.crossJoin(F.broadcast(many)).select("*", presets)  # one row
     pairs = pairs.withColumn("custkey", F.pmod(F.col("o_custkey") + 31 * F.col("k"), F.col("many")))
@@ -54,14 +57,15 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("inventory", F.array().cast("array<string>")).alias("inventory"), F.coalesce("total_years", F.lit(0.0)).alias("total_years"),
     )
     candidate = candidate.withColumn("compact", compacted(F.col("inventory")))
-    both = pairs.join(candidate, "custkey").withColumn("matched", matched(F.col("jd_skills"), F.col("compact")))
+    both = pairs.join(candidate, "custkey").withColumn("matched", matched_pairs(F.col("pairs"), F.col("compact")))
+    have = F.size(F.filter("needed", lambda r: F.array_contains("matched", r["x"])))
     axes = {
         "skill_coverage": S.coverage(F.size("matched"), F.size("jd_skills")),
         "experience_fit": S.experience(F.col("total_years"), F.col("required_years")),
         "role_alignment": S.role(F.col("jd_role") == F.col("cand_role"), F.col("jd_region") == F.col("cand_region")),
         "domain_alignment": S.domain(F.col("jd_domain"), F.array("cand_domain")),
         "education_fit": F.lit(0.5),
-        "deployment_alignment": S.deployment(F.col("jd_skills"), F.col("compact"), TERMS),
+        "deployment_alignment": F.when(F.size("needed") == 0, 0.5).otherwise(have / F.greatest(F.size("needed"), F.lit(1))),
         "management_alignment": S.management(F.col("jd_manages"), F.col("cand_manages")),
     }
     out = both.withColumns(axes)

@@ -27,7 +27,7 @@ from .graph import components
 
 ROWS = 6
 #: Shingles of a block; two blocks make a task.
-BLOCK = 100_000
+BLOCK = 40_000
 _LONG, _BIN = pa.int64(), pa.binary()
 
 

@@ -210,7 +210,7 @@ def _tolerant(s, d):
     return readers.jds(s, path).groupBy("job_title").agg(F.count("*").alias("n"), F.sum("min_experience_years").alias("years"))
 
 
-Q["SRC2"] = (_tolerant, "SELECT event_type AS job_title, count(*) AS n, sum(CAST(user_id AS INT)) AS years FROM events WHERE event_id % 7 NOT IN (1, 2) AND event_id % 5 <> 0 GROUP BY 1")
+Q["SRC2"] = (_tolerant, "SELECT event_type AS job_title, count(*) AS n, CAST(sum(CAST(user_id AS INT)) AS BIGINT) AS years FROM events WHERE event_id % 7 NOT IN (1, 2) AND event_id % 5 <> 0 GROUP BY 1")
 
 
 def _whole(s, d):

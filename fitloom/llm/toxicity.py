@@ -20,7 +20,7 @@ from .frames import map_texts, schema, slices, texts, with_columns
 #: Bytes of a word start.
 START = 5
 #: Labelled rows that training takes at most: those of least hash of the id.
-SAMPLE = 8_000
+SAMPLE = 5_000
 #: Features in fewer of these rows, or with a chi-squared statistic against toxicity below CHI times the
 #: logarithm of the number of features tested, have no weight.
 LEAST, CHI = 3, 2.5

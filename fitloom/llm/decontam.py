@@ -1,11 +1,13 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words become template tokens: numbers and number words one token, units another, words with a capital
-that don't start a sentence or line a third, all else its lower case without outer punctuation.  Windows of a
-benchmark item's template are joined by hash with those of documents.  Hits of one item on one line
+that don't start a sentence or line a third, all else its lower case without outer punctuation.  A second
+view of each text doesn't look at lines and sentences: there every word with a capital is a name.  Windows of a
+benchmark item's template are joined by hash with those of documents, view by view.  Hits of one item on one line
 of alignment (document place minus item place) count together, and the slots that they cover must
-translate consistently: one item value always to one document value, and the other way round.  A
-document holds an item if consistent windows make up at least `share` of the item's windows.
+translate consistently: one item value always to one document value, and the other way round.  In the
+second view a window of few plain words must have the item's own slot values.  A document holds an
+item if consistent windows make up at least `share` of the item's windows in one of the views.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ NUMBER_WORDS = ["zero", "one", "two", "three", "four", "five", "six", "seven", "
 UNITS = ["mm", "cm", "km", "mg", "kg", "lb", "oz", "ml", "mph", "kmh", "meter", "meters", "metre", "metres", "kilometer", "kilometers", "mile", "miles", "foot", "feet", "inch", "inches", "gram", "grams", "kilogram", "kilograms", "pound", "pounds", "liter", "liters", "litre", "litres", "second", "seconds", "minute", "minutes", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years", "dollar", "dollars", "euro", "euros", "cent", "cents", "percent"]
 
 WINDOW = 5
+#: Words outside slots that a window of the second view needs for its slots to take other values than the item's.
+PLAIN = 2
 SHARE = 0.8
 #: Windows of benchmark items that may be broadcast (16 bytes each); beyond it they are joined by a shuffle.
 BROADCAST = 1 << 20
@@ -49,7 +53,7 @@ _NUM, _UNIT, _NAME = (tx.mix(np.arange(k, k + 1, dtype=np.uint64))[0] for k in (
 
 class Template:
     """Of several texts: for each word a template hash, the hash of its plain form (outer punctuation
-    off, A-Z and Latin-1 capitals lowered), and whether it is a slot."""
+    off, A-Z and Latin-1 capitals lowered), and whether it is a slot; views has both views."""
 
     def __init__(self, raw: list[bytes]):
         w = self.words = tx.Words(raw)
@@ -85,9 +89,16 @@ class Template:
         w.start, w.end = first, last
         number |= _member(self.plain, _NUMBERS)
         unit = _member(self.plain, _UNIT_SET) & ~number
-        name = upper & ~begins & ~number & ~unit
-        self.slot = number | unit | name
-        self.tokens = np.where(number, _NUM, np.where(unit, _UNIT, np.where(name, _NAME, self.plain)))
+        title = upper & ~number & ~unit
+        fixed = np.where(number, _NUM, np.where(unit, _UNIT, self.plain))
+        self.views = [View(np.where(name, _NAME, fixed), self.plain, number | unit | name, w.bounds) for name in (title & ~begins, title)]
+
+
+class View:
+    """One reading of several texts: for each token its template hash, its value and whether it is a slot."""
+
+    def __init__(self, tokens: np.ndarray, value: np.ndarray, slot: np.ndarray, bounds: np.ndarray):
+        self.tokens, self.value, self.slot, self.bounds = tokens, value, slot, bounds
 
 
 def _member(h: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -113,28 +124,39 @@ def consistent(item: np.ndarray, doc: np.ndarray) -> bool:
 
 
 class Item:
-    def __init__(self, item_id: int, text: str):
-        self.id = item_id
-        t = Template([text.encode()])
-        self.plain, self.slot = t.plain, t.slot
-        self.n = min(WINDOW, len(t.plain))
+    """One view of a benchmark item."""
+
+    def __init__(self, item_id: int, view: int, t: View):
+        self.id, self.view = item_id, view
+        self.value, self.slot = t.value, t.slot
+        self.n = min(WINDOW, len(t.tokens))
         self.windows = tx.windows(t.tokens, self.n) if self.n else np.zeros(0, np.uint64)
+        of = np.arange(len(self.windows))[:, None] + np.arange(self.n)[None, :]
+        self.free = (view == 0) | (self.n == WINDOW) & ((~t.slot[of]).sum(1) >= PLAIN)
 
 
-def check(item: Item, plain: np.ndarray, places: list[tuple[int, int]], share: float) -> float:
+def views(item_id: int, text: str) -> list[Item]:
+    return [Item(item_id, k, t) for k, t in enumerate(Template([text.encode()]).views)]
+
+
+def check(item: Item, value: np.ndarray, places: list[tuple[int, int]], share: float) -> float:
     """Best share of the item's windows on one alignment with consistent slots; 0 below `share`.
-    plain has the plain hashes of the document's words, places (document window, item window)."""
+    value has the values of the document's tokens, places (document window, item window)."""
     lines: dict[int, set[int]] = defaultdict(set)
     for at, k in places:
         lines[at - k].add(k)
-    best = 0.0
+    best, total = 0.0, len(item.windows)
     for shift, ks in lines.items():
-        got = len(ks) / len(item.windows)
+        if len(ks) / total < share or len(ks) / total <= best:
+            continue
+        of = np.array(sorted(ks))[:, None] + np.arange(item.n)[None, :]
+        of = of[item.free[of[:, 0]] | (item.value[of] == value[of + shift]).all(1)]
+        got = len(of) / total
         if got < share or got <= best:
             continue
-        cover = np.unique(np.array(sorted(ks))[:, None] + np.arange(item.n)[None, :])
+        cover = np.unique(of)
         cover = cover[item.slot[cover]]
-        if consistent(item.plain[cover], plain[cover + shift]):
+        if consistent(item.value[cover], value[cover + shift]):
             best = got
     return best
 
@@ -149,14 +171,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
     items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null and trim(text) <> ''").distinct()
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     if size // 2 <= BROADCAST:  # a word and its blank take two characters at least
-        return _broadcast(docs, [Item(i, t) for i, t in items.collect()], share)
+        return _broadcast(docs, [v for i, t in items.collect() for v in views(i, t)], share)
     return _shuffled(docs, items, share)
 
 
-def _mark(hits: dict[int, list[tuple[int, int]]], items: dict[int, Item], plain: np.ndarray, share: float) -> tuple[list[int], float]:
+def _mark(hits: dict[int, list[tuple[int, int]]], items: dict[int, Item], values: list[np.ndarray], share: float) -> tuple[list[int], float]:
     found, top = set(), 0.0
     for i, places in hits.items():
-        got = check(items[i], plain, places, share)
+        got = check(items[i], values[items[i].view], places, share)
         if got:
             found.add(items[i].id)
             top = max(top, got)
@@ -164,23 +186,23 @@ def _mark(hits: dict[int, list[tuple[int, int]]], items: dict[int, Item], plain:
 
 
 def _broadcast(docs: DataFrame, items: list[Item], share: float) -> DataFrame:
-    by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-    for n in {i.n for i in items if len(i.windows)}:
-        rows = [(h, k, j) for k, i in enumerate(items) if i.n == n for j, h in enumerate(i.windows)]
+    by_length: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+    for v, n in {(i.view, i.n) for i in items if len(i.windows)}:
+        rows = [(h, k, j) for k, i in enumerate(items) if (i.view, i.n) == (v, n) for j, h in enumerate(i.windows)]
         h, k, j = (np.array(c, t) for c, t in zip(zip(*rows, strict=True), (np.uint64, np.int64, np.int64), strict=True))
         order = np.argsort(h, kind="stable")
-        by_length[n] = h[order], k[order], j[order]
+        by_length[v, n] = h[order], k[order], j[order]
     known = dict(enumerate(items))
 
     def run(batches):
         for whole in batches:
             for batch in slices(whole, "text", 1 << 20):
                 t = Template(texts(batch.column("text")))
-                bounds = t.words.bounds
                 hits: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
-                for n, (keys, which, place) in by_length.items():
-                    g = tx.windows(t.tokens, n)
-                    at = np.flatnonzero(_member(g, keys) & tx.inside(bounds, n, len(t.tokens)))
+                for (v, n), (keys, which, place) in by_length.items():
+                    tokens, bounds = t.views[v].tokens, t.views[v].bounds
+                    g = tx.windows(tokens, n)
+                    at = np.flatnonzero(_member(g, keys) & tx.inside(bounds, n, len(tokens)))
                     rows = np.searchsorted(bounds, at, "right") - 1
                     low = np.searchsorted(keys, g[at])
                     for a, r, k in zip(at.tolist(), rows.tolist(), low.tolist(), strict=True):
@@ -189,7 +211,7 @@ def _broadcast(docs: DataFrame, items: list[Item], share: float) -> DataFrame:
                             k += 1
                 found, top = [[] for _ in range(batch.num_rows)], [0.0] * batch.num_rows
                 for r, of in hits.items():
-                    found[r], top[r] = _mark(of, known, t.plain[bounds[r] : bounds[r + 1]], share)
+                    found[r], top[r] = _mark(of, known, [x.value[x.bounds[r] : x.bounds[r + 1]] for x in t.views], share)
                 yield with_columns(batch, items=pa.array(found, pa.list_(pa.int64())), coverage=pa.array(top, pa.float64()), kept=pa.array([not f for f in found]))
 
     return map_texts(docs, run, schema(docs, items="array<long>", coverage="double", kept="boolean"))
@@ -202,40 +224,40 @@ def _shuffled(docs: DataFrame, items: DataFrame, share: float) -> DataFrame:
     def of_items(batches):
         for batch in batches:
             for i, t in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                item = Item(i, t)
-                for h, times in Counter(item.windows.tolist()).items():
-                    yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in ((i, pa.int64()), (item.n, pa.int64()), (len(item.windows), pa.int64()), (times, pa.int64()), (int(np.uint64(h).view(np.int64)), pa.int64()))], names=["item_id", "n", "total", "times", "window"])
+                for item in views(i, t):
+                    for h, times in Counter(item.windows.tolist()).items():
+                        yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in ((i, pa.int64()), (item.view, pa.int64()), (item.n, pa.int64()), (len(item.windows), pa.int64()), (times, pa.int64()), (int(np.uint64(h).view(np.int64)), pa.int64()))], names=["item_id", "view", "n", "total", "times", "window"])
 
     def of_docs(batches):
         for whole in batches:
             for batch in slices(whole, "text", 1 << 20):
                 for d, raw in zip(batch.column("__row").to_pylist(), texts(batch.column("text")), strict=True):
-                    t = Template([raw])
-                    for n in range(1, WINDOW + 1):
-                        g = np.unique(tx.windows(t.tokens, n)).view(np.int64)
-                        if len(g):
-                            yield pa.RecordBatch.from_arrays([pa.array([d] * len(g), pa.binary()), pa.array([n] * len(g), pa.int64()), pa.array(g)], names=["__row", "n", "window"])
+                    for v, t in enumerate(Template([raw]).views):
+                        for n in range(1, WINDOW + 1):
+                            g = np.unique(tx.windows(t.tokens, n)).view(np.int64)
+                            if len(g):
+                                yield pa.RecordBatch.from_arrays([pa.array([d] * len(g), pa.binary()), pa.array([v] * len(g), pa.int64()), pa.array([n] * len(g), pa.int64()), pa.array(g)], names=["__row", "view", "n", "window"])
 
     def decide(batches):
         for whole in batches:
             for batch in slices(whole, "text", 1 << 20):
                 found, top = [], []
                 for raw, some in zip(texts(batch.column("text")), batch.column("__items").to_pylist(), strict=True):
-                    known = {k: Item(x["item_id"], x["text"]) for k, x in enumerate(some or [])}
+                    known = dict(enumerate(v for x in some or [] for v in views(x["item_id"], x["text"])))
                     hits, t = defaultdict(list), Template([raw]) if known else None
                     for k, item in known.items():
-                        g = tx.windows(t.tokens, item.n)
+                        g = tx.windows(t.views[item.view].tokens, item.n)
                         for j, x in enumerate(item.windows):
                             hits[k] += [(int(at), j) for at in np.flatnonzero(g == x)]
-                    ids, best = _mark(hits, known, t.plain, share) if known else ([], 0.0)
+                    ids, best = _mark(hits, known, [x.value for x in t.views], share) if known else ([], 0.0)
                     found.append(ids)
                     top.append(best)
                 yield with_columns(batch, ("__row", "__items"), items=pa.array(found, pa.list_(pa.int64())), coverage=pa.array(top, pa.float64()), kept=pa.array([not f for f in found]))
 
     keyed = docs.withColumn("__row", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
-    grams = map_texts(items, of_items, schema(None, item_id="long", n="long", total="long", times="long", window="long"))
-    seen = map_texts(keyed.select("__row", "text"), of_docs, schema(None, __row="binary", n="long", window="long"))
-    pairs = seen.join(grams, ["n", "window"]).groupBy("__row", "item_id", "total").agg(F.sum("times").alias("hit"))
+    grams = map_texts(items, of_items, schema(None, item_id="long", view="long", n="long", total="long", times="long", window="long"))
+    seen = map_texts(keyed.select("__row", "text"), of_docs, schema(None, __row="binary", view="long", n="long", window="long"))
+    pairs = seen.join(grams, ["view", "n", "window"]).groupBy("__row", "item_id", "view", "total").agg(F.sum("times").alias("hit"))
     pairs = pairs.where(F.col("hit") >= share * F.col("total")).select("__row", "item_id").distinct().join(items, "item_id")
     brought = pairs.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("item_id", "text"))).alias("__items"))
     out = keyed.join(brought, "__row", "left")

@@ -214,3 +214,32 @@ def test_pipeline_against_plain_stages(spark):
     want = brute.op2([(d, t) for d, t in cut if not any(i in t for i in items)])
     got = sorted(tuple(r) for r in corpus_pipeline.run(spark, sf).collect())
     assert got == want
+
+
+CHOICES = "Which city is the capital of France and lies on the Seine\nA) London\nB) Paris\nC) Rome\nD) Madrid"
+
+
+def both_ways(spark, texts, items):
+    """Items that each text holds, which the broadcast and the shuffled join agree on."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    one, two = ({r["doc_id"]: r["items"] for r in f(docs, bench, decontam.SHARE).collect()} for f in (decontam.contaminated, decontam._shuffled))
+    assert one == two
+    return [one[k] for k in range(len(texts))]
+
+
+def test_items_without_their_line_breaks(spark):
+    short = "Name the city\nParis"
+    texts = [CHOICES, " ".join(CHOICES.split()), "some text before it " + " ".join(CHOICES.split()) + " Answer", CHOICES.replace("\n", "\n\n"), " ".join(short.split()), "Visit the city Bern", "A) London B) Paris C) Rome D) Madrid"]
+    assert both_ways(spark, texts, [CHOICES, short]) == [[0], [0], [0], [0], [1], [], []]
+    lists = "Bern Oslo Rome Wien Riga Lima Kiel Cork Bonn"
+    assert both_ways(spark, [lists, "Some " + " ".join(x.title() for x in "ab cd ef gh ij kl mn op".split())], ["Paris " + lists]) == [[0], []]
+
+
+def test_pipeline_drops_items_whose_lines_stage_three_joined(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([(1, CHOICES)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, "some own words come before\n" + CHOICES + "\nand other words after it"), (2, "a clean text about\nnothing that is asked")], "doc_id long, text string")
+    cut = corpus_pipeline.cut_repeats(spark, docs, str(tmp_path))
+    assert [r["doc_id"] for r in corpus_pipeline.drop_leaks(spark, cut, str(tmp_path)).collect()] == [2]

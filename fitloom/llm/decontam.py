@@ -2,11 +2,12 @@
 
 Words become template tokens: numbers and number words one token, units another, words with a capital
 that don't start a sentence or line a third, all else its lower case without outer punctuation.  A second
-view of each text doesn't look at lines and sentences: there every word with a capital is a name.  Windows of a
+view of each text doesn't look at lines and sentences: there every word with a capital is a name.  In a third
+one neighbouring slots of a kind with no punctuation between them make one slot besides.  Windows of a
 benchmark item's template are joined by hash with those of documents, view by view.  Hits of one item on one line
 of alignment (document place minus item place) count together, and the slots that they cover must
-translate consistently: one item value always to one document value, and the other way round.  In the
-second view a window of few plain words must have the item's own slot values.  A document holds an
+translate consistently: one item value always to one document value.  In the
+second and third view a window of few plain words must have the item's own slot values.  A document holds an
 item if consistent windows make up at least `share` of the item's windows in one of the views.
 """
 
@@ -27,7 +28,7 @@ NUMBER_WORDS = ["zero", "one", "two", "three", "four", "five", "six", "seven", "
 UNITS = ["mm", "cm", "km", "mg", "kg", "lb", "oz", "ml", "mph", "kmh", "meter", "meters", "metre", "metres", "kilometer", "kilometers", "mile", "miles", "foot", "feet", "inch", "inches", "gram", "grams", "kilogram", "kilograms", "pound", "pounds", "liter", "liters", "litre", "litres", "second", "seconds", "minute", "minutes", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years", "dollar", "dollars", "euro", "euros", "cent", "cents", "percent"]
 
 WINDOW = 5
-#: Words outside slots that a window of the second view needs for its slots to take other values than the item's.
+#: Words outside slots that a window of the second or third view needs for its slots to take other values than the item's.
 PLAIN = 2
 SHARE = 0.8
 #: Windows of benchmark items that may be broadcast (16 bytes each); beyond it they are joined by a shuffle.
@@ -53,7 +54,7 @@ _NUM, _UNIT, _NAME = (tx.mix(np.arange(k, k + 1, dtype=np.uint64))[0] for k in (
 
 class Template:
     """Of several texts: for each word a template hash, the hash of its plain form (outer punctuation
-    off, A-Z and Latin-1 capitals lowered), and whether it is a slot; views has both views."""
+    off, A-Z and Latin-1 capitals lowered), and whether it is a slot; views has all views."""
 
     def __init__(self, raw: list[bytes]):
         w = self.words = tx.Words(raw)
@@ -92,13 +93,39 @@ class Template:
         title = upper & ~number & ~unit
         fixed = np.where(number, _NUM, np.where(unit, _UNIT, self.plain))
         self.views = [View(np.where(name, _NAME, fixed), self.plain, number | unit | name, w.bounds) for name in (title & ~begins, title)]
+        touch = np.zeros(n, bool)  # words with no punctuation between them and the word before
+        if n:
+            touch[1:] = (end[:-1] == last[:-1]) & (start[1:] == first[1:])
+            touch[w.bounds[:-1][w.counts > 0]] = False
+        self.views.append(self.views[1].merged(touch))
 
 
 class View:
-    """One reading of several texts: for each token its template hash, its value and whether it is a slot."""
+    """One reading of several texts: for each token its template hash, its value, whether it is a slot and its words."""
 
-    def __init__(self, tokens: np.ndarray, value: np.ndarray, slot: np.ndarray, bounds: np.ndarray):
+    def __init__(self, tokens: np.ndarray, value: np.ndarray, slot: np.ndarray, bounds: np.ndarray, size: np.ndarray | None = None):
         self.tokens, self.value, self.slot, self.bounds = tokens, value, slot, bounds
+        self.size = np.ones(len(tokens), np.int64) if size is None else size
+
+    def merged(self, touch: np.ndarray) -> View:
+        """Runs of slots of one kind that touch as one slot, whose value is that of all their words in order."""
+        joins = touch & self.slot
+        joins[1:] &= self.tokens[1:] == self.tokens[:-1]
+        head = np.flatnonzero(~joins)
+        size = np.diff(np.append(head, len(joins)))
+        value = self.value[head]
+        long = np.flatnonzero(size > 1)
+        if len(long):
+            m = size[long]
+            to = np.concatenate(([0], np.cumsum(m)[:-1]))
+            k = np.arange(m.sum()) - np.repeat(to, m)
+            value[long] = np.add.reduceat(tx.mix(self.value[np.repeat(head[long], m) + k] + (k + 1).astype(np.uint64) * tx._ODD), to)
+        return View(self.tokens[head], value, self.slot[head], np.searchsorted(head, self.bounds), size)
+
+    def text(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Values and sizes of the tokens of text i."""
+        at = slice(self.bounds[i], self.bounds[i + 1])
+        return self.value[at], self.size[at]
 
 
 def _member(h: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -117,10 +144,9 @@ _NUMBERS, _UNIT_SET = _hashes(NUMBER_WORDS), _hashes(UNITS)
 
 
 def consistent(item: np.ndarray, doc: np.ndarray) -> bool:
-    """Whether slot values translate one to one along an alignment."""
+    """Whether each slot value of the item has one value of the document along an alignment."""
     there: dict[int, int] = {}
-    back: dict[int, int] = {}
-    return all(there.setdefault(a, b) == b and back.setdefault(b, a) == a for a, b in zip(item.tolist(), doc.tolist(), strict=True))
+    return all(there.setdefault(a, b) == b for a, b in zip(item.tolist(), doc.tolist(), strict=True))
 
 
 class Item:
@@ -128,7 +154,7 @@ class Item:
 
     def __init__(self, item_id: int, view: int, t: View):
         self.id, self.view = item_id, view
-        self.value, self.slot = t.value, t.slot
+        self.value, self.slot, self.size = t.value, t.slot, t.size
         self.n = min(WINDOW, len(t.tokens))
         self.windows = tx.windows(t.tokens, self.n) if self.n else np.zeros(0, np.uint64)
         of = np.arange(len(self.windows))[:, None] + np.arange(self.n)[None, :]
@@ -139,9 +165,9 @@ def views(item_id: int, text: str) -> list[Item]:
     return [Item(item_id, k, t) for k, t in enumerate(Template([text.encode()]).views)]
 
 
-def check(item: Item, value: np.ndarray, places: list[tuple[int, int]], share: float) -> float:
+def check(item: Item, value: np.ndarray, size: np.ndarray, places: list[tuple[int, int]], share: float) -> float:
     """Best share of the item's windows on one alignment with consistent slots; 0 below `share`.
-    value has the values of the document's tokens, places (document window, item window)."""
+    value and size are of the document's tokens, places has (document window, item window)."""
     lines: dict[int, set[int]] = defaultdict(set)
     for at, k in places:
         lines[at - k].add(k)
@@ -156,6 +182,9 @@ def check(item: Item, value: np.ndarray, places: list[tuple[int, int]], share: f
             continue
         cover = np.unique(of)
         cover = cover[item.slot[cover]]
+        # a slot at the item's edge may have grown together with words around the item
+        edge = ((cover == 0) | (cover == len(item.slot) - 1)) & (size[cover + shift] > item.size[cover])
+        cover = cover[~edge]
         if consistent(item.value[cover], value[cover + shift]):
             best = got
     return best
@@ -175,10 +204,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
     return _shuffled(docs, items, share)
 
 
-def _mark(hits: dict[int, list[tuple[int, int]]], items: dict[int, Item], values: list[np.ndarray], share: float) -> tuple[list[int], float]:
+def _mark(hits: dict[int, list[tuple[int, int]]], items: dict[int, Item], values: list[tuple[np.ndarray, np.ndarray]], share: float) -> tuple[list[int], float]:
     found, top = set(), 0.0
     for i, places in hits.items():
-        got = check(items[i], values[items[i].view], places, share)
+        got = check(items[i], *values[items[i].view], places, share)
         if got:
             found.add(items[i].id)
             top = max(top, got)
@@ -211,7 +240,7 @@ def _broadcast(docs: DataFrame, items: list[Item], share: float) -> DataFrame:
                             k += 1
                 found, top = [[] for _ in range(batch.num_rows)], [0.0] * batch.num_rows
                 for r, of in hits.items():
-                    found[r], top[r] = _mark(of, known, [x.value[x.bounds[r] : x.bounds[r + 1]] for x in t.views], share)
+                    found[r], top[r] = _mark(of, known, [x.text(r) for x in t.views], share)
                 yield with_columns(batch, items=pa.array(found, pa.list_(pa.int64())), coverage=pa.array(top, pa.float64()), kept=pa.array([not f for f in found]))
 
     return map_texts(docs, run, schema(docs, items="array<long>", coverage="double", kept="boolean"))
@@ -249,7 +278,7 @@ def _shuffled(docs: DataFrame, items: DataFrame, share: float) -> DataFrame:
                         g = tx.windows(t.views[item.view].tokens, item.n)
                         for j, x in enumerate(item.windows):
                             hits[k] += [(int(at), j) for at in np.flatnonzero(g == x)]
-                    ids, best = _mark(hits, known, [x.value for x in t.views], share) if known else ([], 0.0)
+                    ids, best = _mark(hits, known, [x.text(0) for x in t.views], share) if known else ([], 0.0)
                     found.append(ids)
                     top.append(best)
                 yield with_columns(batch, ("__row", "__items"), items=pa.array(found, pa.list_(pa.int64())), coverage=pa.array(top, pa.float64()), kept=pa.array([not f for f in found]))

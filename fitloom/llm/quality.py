@@ -1,7 +1,9 @@
 """Quality rules: base counts and bands of zstandard compression ratios.
 
 A ratio is compressed size over size.  Very small ratios mean repetition, ratios near one mean noise
-such as keys, dumps or ciphers.  Small texts compress badly whatever they are, so limits depend on
+such as keys, dumps or ciphers.  Upper limits lie above natural text of a length and below base64 from
+192 bytes on, random letters from 2 KB and hexadecimal digits from 8 KB; below that the ratios of
+noise and of natural text overlap.  Small texts compress badly whatever they are, so limits depend on
 length: a band holds from its length up to the next.  Whole texts have one set of bands; chunks of
 CHUNK bytes another; a text of several chunks may have BAD_CHUNKS of its bytes in chunks outside it.
 """
@@ -19,9 +21,9 @@ from .frames import map_texts, schema, slices, texts, with_columns
 CHUNK = 4096
 LEVEL = 3
 #: (least bytes, least ratio, greatest ratio) of whole texts.
-WHOLE = [(0, 0.0, 9.0), (256, 0.25, 1.0), (1024, 0.20, 0.85), (4096, 0.18, 0.78), (16384, 0.15, 0.75)]
+WHOLE = [(0, 0.0, 9.0), (192, 0.0, 0.91), (256, 0.25, 0.85), (384, 0.25, 0.82), (512, 0.25, 0.78), (768, 0.25, 0.75), (1024, 0.20, 0.69), (1536, 0.20, 0.64), (2048, 0.20, 0.585), (4096, 0.18, 0.56), (8192, 0.18, 0.515), (16384, 0.15, 0.50)]
 #: The same of chunks; only a last chunk is shorter than CHUNK.
-PIECE = [(0, 0.0, 9.0), (1024, 0.20, 0.88), (4096, 0.18, 0.80)]
+PIECE = [(0, 0.0, 9.0), (192, 0.0, 0.91), (256, 0.0, 0.85), (384, 0.0, 0.82), (512, 0.0, 0.78), (768, 0.0, 0.75), (1024, 0.20, 0.69), (1536, 0.20, 0.64), (2048, 0.20, 0.585), (4096, 0.18, 0.56)]
 #: Share of chunks, weighted by bytes, that may lie outside their band.
 BAD_CHUNKS = 0.25
 SYMBOLS = b"#*$%&|<>"

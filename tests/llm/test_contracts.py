@@ -144,3 +144,26 @@ def test_quality_bands():
     assert quality.compression(b"", z) == (None, 0.0, True)
     assert not quality.compression(b"abc " * 1000, z)[2]
     assert not quality.compression(os.urandom(9000), z)[2]
+
+
+def noise(symbols, size, width, seed=1):
+    import random
+
+    s = "".join(random.Random(seed).choices(symbols, k=size))
+    return " ".join(s[i : i + width] for i in range(0, size, width))[:size].encode()
+
+
+def test_noise_fails_and_natural_text_stays():
+    import string
+
+    z = __import__("zstandard").ZstdCompressor(level=3)
+    alnum = string.ascii_letters + string.digits
+    kinds = [(alnum + "+/", 8, 192), (alnum + "+/", 76, 192), (alnum, 10, 192), (string.printable[:94], 8, 192), (string.ascii_lowercase, 6, 2048), ("0123456789abcdef", 8, 8192), ("0123456789abcdef", 64, 8192)]
+    for symbols, width, least in kinds:
+        for size in (192, 250, 256, 383, 400, 511, 512, 767, 800, 1023, 1024, 1500, 2000, 3000, 4095, 5000, 8192, 16000, 20000, 100000, 1 << 20):
+            if size >= least:
+                assert not quality.compression(noise(symbols, size, width), z)[2], (symbols, width, size)
+    texts = [r[0].encode() for r in duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall()]
+    for t in texts:
+        ratio = quality.compression(t, z)[0]
+        assert ratio is None or len(t) < 192 or quality.within(len(t), max(ratio, 0.3), quality.WHOLE)

@@ -5,7 +5,8 @@ such as keys, dumps or ciphers.  Upper limits lie above natural text of a length
 192 bytes on, random letters from 2 KB and hexadecimal digits from 8 KB; below that the ratios of
 noise and of natural text overlap.  Small texts compress badly whatever they are, so limits depend on
 length: a band holds from its length up to the next.  Whole texts have one set of bands; chunks of
-CHUNK bytes another; a text of several chunks may have BAD_CHUNKS of its bytes in chunks outside it.
+CHUNK bytes another; a text of several chunks may have a share of its bytes in chunks outside it that
+falls with its length, and no BAD_RUN whole chunks in a row.
 """
 
 from __future__ import annotations
@@ -24,8 +25,10 @@ LEVEL = 3
 WHOLE = [(0, 0.0, 9.0), (192, 0.0, 0.91), (256, 0.25, 0.85), (384, 0.25, 0.82), (512, 0.25, 0.78), (768, 0.25, 0.75), (1024, 0.20, 0.69), (1536, 0.20, 0.64), (2048, 0.20, 0.585), (4096, 0.18, 0.56), (8192, 0.18, 0.515), (16384, 0.15, 0.50)]
 #: The same of chunks; only a last chunk is shorter than CHUNK.
 PIECE = [(0, 0.0, 9.0), (192, 0.0, 0.91), (256, 0.0, 0.85), (384, 0.0, 0.82), (512, 0.0, 0.78), (768, 0.0, 0.75), (1024, 0.20, 0.69), (1536, 0.20, 0.64), (2048, 0.20, 0.585), (4096, 0.18, 0.56)]
-#: Share of chunks, weighted by bytes, that may lie outside their band.
-BAD_CHUNKS = 0.25
+#: (least bytes, share of chunks, weighted by bytes, that may lie outside their band).
+BAD_CHUNKS = [(0, 0.25), (32768, 0.15), (65536, 0.10), (262144, 0.05)]
+#: Whole chunks in a row outside their band that a text may not have.
+BAD_RUN = 2
 SYMBOLS = b"#*$%&|<>"
 
 
@@ -39,14 +42,19 @@ def compression(text: bytes, z: zstandard.ZstdCompressor) -> tuple[float | None,
     if not text:
         return None, 0.0, True
     ratio = len(z.compress(text)) / len(text)
-    bad = 0
+    bad = run = longest = 0
     if len(text) > CHUNK:
         for at in range(0, len(text), CHUNK):
             c = text[at : at + CHUNK]
             if not within(len(c), len(z.compress(c)) / len(c), PIECE):
                 bad += len(c)
+                run += len(c) == CHUNK
+                longest = max(longest, run)
+            else:
+                run = 0
     share = bad / len(text)
-    return ratio, share, within(len(text), ratio, WHOLE) and share <= BAD_CHUNKS
+    most = next(m for least, m in reversed(BAD_CHUNKS) if len(text) >= least)
+    return ratio, share, within(len(text), ratio, WHOLE) and share <= most and longest < BAD_RUN
 
 
 def base_counts(raw: list[bytes]) -> dict[str, np.ndarray]:

@@ -167,3 +167,22 @@ def test_noise_fails_and_natural_text_stays():
     for t in texts:
         ratio = quality.compression(t, z)[0]
         assert ratio is None or len(t) < 192 or quality.within(len(t), max(ratio, 0.3), quality.WHOLE)
+
+
+def test_noise_within_a_long_text():
+    import string
+
+    z = __import__("zstandard").ZstdCompressor(level=3)
+    texts = [r[0].encode() for r in duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet' ORDER BY doc_id").fetchall()]
+    good = b" ".join(t for t in texts if len(t) > 500 and quality.compression(t, z)[2])
+    good = (good * (1 + (1 << 20) // len(good)))[: 1 << 20]
+
+    def kept(size, *places):
+        t = bytearray(good[:size])
+        for k in places:
+            t[k * 4096 : k * 4096 + 4096] = noise(string.ascii_letters + string.digits, 4096, 8, k)
+        return quality.compression(bytes(t), z)[2]
+
+    assert kept(40960) and kept(40960, 3) and kept(1 << 20, 5)
+    assert not kept(40960, 3, 4) and not kept(40960, 3, 7) and not kept(1 << 20, 5, 6)
+    assert kept(1 << 20, *range(0, 24, 2)) and not kept(1 << 20, *range(0, 120, 2))

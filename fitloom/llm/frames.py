@@ -20,13 +20,40 @@ NO_ID = np.iinfo(np.int64).max
 _TYPES = {"long": T.LongType(), "int": T.IntegerType(), "boolean": T.BooleanType(), "string": T.StringType(), "binary": T.BinaryType(), "double": T.DoubleType(), "array<double>": T.ArrayType(T.DoubleType()), "array<long>": T.ArrayType(T.LongType()), "array<string>": T.ArrayType(T.StringType())}
 
 
+#: Paths given out inside scratch() blocks, innermost last.
+_open: list[list[str]] = []
+
+
 def shared_folder(spark: SparkSession, what: str) -> str:
-    """A new path below spark.checkpoint.dir; where that is unset, as in tests, below a folder of this machine."""
+    """A new path below spark.checkpoint.dir.  Where that is unset, a local master, as in tests, gets a
+    folder of this machine; on a cluster, whose executors would not see it, that is an error."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         top = "file://" + tempfile.mkdtemp(prefix="fitloom-")
         spark.conf.set("spark.checkpoint.dir", top)
-    return f"{top.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    path = f"{top.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
+    return path
+
+
+def removed(spark: SparkSession, *paths: str) -> None:
+    """Deletes tables of the shared folder that nothing reads any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Deletes, at its end, what was put into the shared folder within it; results must be written by then."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        removed(spark, *_open.pop())
 
 
 def modest(spark: SparkSession, rows: int = 1000) -> None:
@@ -71,11 +98,16 @@ def map_texts(df: DataFrame, work, out) -> DataFrame:
     return df.mapInArrow(lean(work), out)
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: later reads survive lost executors and don't repeat the work."""
+def stored(df: DataFrame, what: str) -> tuple[DataFrame, str]:
+    """df as a Parquet table in the shared folder, and its path."""
     path = shared_folder(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, what: str) -> DataFrame:
+    """df as a Parquet table in the shared folder: later reads survive lost executors and don't repeat the work."""
+    return stored(df, what)[0]
 
 
 def schema(df: DataFrame | None, **extra: str) -> T.StructType:
@@ -116,9 +148,10 @@ def table(kinds: dict[str, pa.DataType], rows: list[tuple]) -> pa.Table:
     return pa.table({k: pa.array(list(c), t) for (k, t), c in zip(kinds.items(), columns, strict=True)})
 
 
-def parts(docs: DataFrame, rows: int = 1500) -> int:
-    """How many parts of about `rows` rows a table makes."""
-    return max(1, -(-docs.count() // rows))
+def parts(docs: DataFrame, rows: int = 1500, size: int = 8 << 20) -> int:
+    """How many parts of about `rows` rows, or `size` bytes of text where texts are long, a table makes."""
+    many, total = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    return max(1, -(-many // rows), -(-total // size))
 
 
 def dealt(docs: DataFrame, n: int, key: str = "doc_id") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import written
+from .frames import removed, stored
 
 
 def _small(edges: DataFrame) -> DataFrame:
@@ -15,11 +15,12 @@ def _small(edges: DataFrame) -> DataFrame:
     return out.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _large(edges: DataFrame, spent: list[str]) -> DataFrame:
     """edges u > v: for every node, its larger neighbours to its least neighbour (or itself)."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     # written, so that both sides of the join are plain exchanges and a hub's edges can be split over tasks
-    least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cc")
+    least, path = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cc")
+    spent.append(path)
     back = edges.select(F.col("v").alias("u"), F.col("u").alias("w"))
     return back.join(least, "u").select(F.col("w").alias("u"), F.col("m").alias("v")).distinct()
 
@@ -28,13 +29,15 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(u, v): v is the least node of u's component, for every u that isn't itself the least.
 
     edges has long columns u and v; order, repeats and loops don't matter.  Only two counts a round
-    reach the driver; each round is written to the shared folder.
+    reach the driver; each round is written to the shared folder, and deleted when the next one is there.
     """
     e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    e, before = written(e, "cc"), None
+    (e, path), before = stored(e, "cc"), None
     for _ in range(most_rounds):
-        e = written(_small(_large(e)), "cc")
+        spent = [path]
+        e, path = stored(_small(_large(e, spent)), "cc")
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        removed(e.sparkSession, *spent)
         if now == before:
             return e
         before = now

@@ -38,6 +38,8 @@ ROWS = 6
 BLOCK, BLOCK_ROWS = 40_000, 128
 #: Leaders that the blocks of a large group are compared with, on average.
 LEADERS = 16
+#: Tasks, at most, that the rows of one group spread over in joins with one row a group.
+SALTS = 16
 #: Counters of shingles, by their hash, that order them by rarity; their number doesn't depend on the corpus.
 COUNTERS = 1 << 18
 #: Nodes from here on stand for classes without an id of their own; real ids are smaller.
@@ -222,6 +224,13 @@ def _rarest(members: DataFrame, n: int, percent: int) -> DataFrame:
     return map_texts(members.select("v", "node", "text"), rare, schema(None, node="long", token="long"))
 
 
+def _by_group(rows: DataFrame, groups: DataFrame, by: str) -> DataFrame:
+    """Inner join of rows with node to one row a group, which is copied SALTS times, so that the rows of one group
+    spread over as many tasks.  Groups of one component are left out before, so copies are few."""
+    salted = groups.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("__salt", _block("node", F.lit(SALTS), 5)).join(salted, [by, "__salt"]).drop("__salt")
+
+
 def _remainder(big: DataFrame, found: DataFrame, n: int, percent: int) -> DataFrame | None:
     """Links that the leaders of large groups missed, or None if there is nothing left to compare.
 
@@ -230,26 +239,29 @@ def _remainder(big: DataFrame, found: DataFrame, n: int, percent: int) -> DataFr
     open_ = _split(labelled, "v")
     if open_.isEmpty():
         return None
-    members = big.join(open_.select("v").distinct(), "v", "left_semi")
+    open_, path = stored(open_.select("v").distinct(), "open")
+    members = _by_group(big, open_, "v")
     closer = components(_stars(_rarest(members, n, percent), "token", "node"))
-    near = labelled.join(open_.select("v").distinct(), "v", "left_semi").join(closer.select(F.col("u").alias("node"), F.col("v").alias("w")), "node", "left")
+    near = _by_group(labelled, open_, "v").join(closer.select(F.col("u").alias("node"), F.col("v").alias("w")), "node", "left")
     near = near.select("node", "size", "c", F.coalesce("w", "node").alias("w"))
-    rest, path = stored(_split(near, "w"), "rest")
+    near, _ = stored(near, "near")
+    rest, _ = stored(_split(near, "w"), "rest")
+    removed(big.sparkSession, path)
     if rest.isEmpty():
-        removed(big.sparkSession, path)
         return None
     least = rest.groupBy("w").agg(_blocks(F.sum("size"), F.count("*")).alias("few"))
     every = near.groupBy("w").agg(_blocks(F.sum("size"), F.count("*")).alias("many")).join(least, "w")
     text = big.select("node", "text")
-    one = rest.select("w", "node").join(every, "w").join(text, "node").select("w", "node", "text", _block("node", F.col("few"), 1).alias("i"), _each(F.col("many")).alias("j"), F.lit(0).alias("side"))
-    two = near.select("w", "node").join(every, "w").join(text, "node").select("w", "node", "text", _each(F.col("few")).alias("i"), _block("node", F.col("many"), 2).alias("j"), F.lit(1).alias("side"))
+    one = _by_group(rest.select("w", "node"), every, "w").join(text, "node").select("w", "node", "text", _block("node", F.col("few"), 1).alias("i"), _each(F.col("many")).alias("j"), F.lit(0).alias("side"))
+    two = _by_group(near.select("w", "node"), every, "w").join(text, "node").select("w", "node", "text", _each(F.col("few")).alias("i"), _block("node", F.col("many"), 2).alias("j"), F.lit(1).alias("side"))
     return _compare(one.unionByName(two), ["w", "i", "j"], n, percent, True)
 
 
 def _split(rows: DataFrame, by: str) -> DataFrame:
-    """Rows outside the largest component c of their group."""
-    top = rows.groupBy(by, "c").agg(F.count("*").alias("__n")).groupBy(by).agg(F.max(F.struct("__n", "c")).alias("__top"))
-    return rows.join(top, by).where("c <> __top.c").drop("__top")
+    """Rows outside the largest component c of their group; groups with one component are left out first."""
+    top = rows.groupBy(by, "c").agg(F.count("*").alias("__n")).groupBy(by).agg(F.max(F.struct("__n", "c")).alias("__top"), F.count("*").alias("__parts"))
+    top = top.where("__parts > 1").drop("__parts")
+    return _by_group(rows, top, by).where("c <> __top.c").drop("__top")
 
 
 def _links(keyed: DataFrame, n: int, percent: int) -> DataFrame:

@@ -10,11 +10,13 @@ document meets only the shards that can hold its passages:
    the first with these anchors) and later pieces (another is the first), and sends both to shards.
 3. A shard builds one suffix automaton of its reference pieces, with the least document below each
    state, and streams the later pieces through it: the matching statistic, kept at n words, says which
-   windows the first document has.  A window that it doesn't have goes to a bucket of its own hash,
-   where only such windows meet.
+   windows the first document has.  Of a window that it doesn't have, all but the least document with it
+   in the shard are settled there, and that one goes to a bucket of the window's hash, where only such
+   windows meet, one document a shard.
 4. Parts join what was found with their documents and cut the words out.
 
-A first document that many parts refer to is copied to several shards, which share these parts.
+Parts are of bounded rows and bytes.  A first document whose anchors many documents have is copied to
+several shards, which share these documents' parts.
 Words are compared as 64-bit hashes.
 """
 
@@ -31,10 +33,10 @@ from . import text as tx
 from .frames import dealt, give_back, ids, lean_group, parts, schema, table, texts, with_columns
 
 ANCHOR = 5
-#: Parts that one copy of a reference piece serves.
-SERVES = 64
-_ANSWER = np.dtype([("anchor", "u8"), ("doc", "i8"), ("parts", "i4")])
-_SEEN = np.dtype([("anchor", "u8"), ("low", "i8"), ("several", "u1")])
+#: Documents that one copy of a reference piece serves, about; shards for each part.
+SERVES, SHARDS = 1024, 4
+_ANSWER = np.dtype([("anchor", "u8"), ("doc", "i8"), ("docs", "i8")])
+_SEEN = np.dtype([("anchor", "u8"), ("low", "i8"), ("docs", "i4")])
 _SPOT = np.dtype([("doc", "i8"), ("text", "u8"), ("at", "i4")])
 _OPEN = np.dtype([("window", "u8"), ("doc", "i8"), ("text", "u8"), ("at", "i4"), ("part", "i4")])
 _KINDS = {"dest": pa.int64(), "kind": pa.int32(), "part": pa.int32(), "data": pa.binary()}
@@ -169,9 +171,9 @@ def remove_repeats(docs: DataFrame, n: int = 13) -> DataFrame:
         order, number = _first(a, d)
         a, d = a[order], d[order]
         head = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))
-        tail = np.concatenate((head[1:], [len(a)])) - 1
         seen = np.empty(len(head), _SEEN)
-        seen["anchor"], seen["low"], seen["several"] = a[head], d[head], d[head] != d[tail]
+        new = np.concatenate(([True], (number[1:] != number[:-1]) | (d[1:] != d[:-1])))
+        seen["anchor"], seen["low"], seen["docs"] = a[head], d[head], np.add.reduceat(new.astype(np.int32), head)
         bucket = (seen["anchor"] >> np.uint64(20)) % np.uint64(count)
         return _deal(bucket, seen, 0, group.column("__part")[0].as_py())
 
@@ -181,12 +183,11 @@ def remove_repeats(docs: DataFrame, n: int = 13) -> DataFrame:
         part, seen = np.repeat(part, [len(x) for x in data]), np.concatenate(data)
         order, number = _first(seen["anchor"], seen["low"])
         seen, part = seen[order], part[order]
-        many = np.bincount(number)
         low = seen["low"][np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))]
-        several = np.bincount(number, seen["several"]) > 0
-        shared = (several | (many > 1))[number]
+        many = np.bincount(number, seen["docs"]).astype(np.int64)[number]
+        shared = many > 1
         out = np.empty(int(shared.sum()), _ANSWER)
-        out["anchor"], out["doc"], out["parts"] = seen["anchor"][shared], low[number][shared], many[number][shared]
+        out["anchor"], out["doc"], out["docs"] = seen["anchor"][shared], low[number][shared], many[shared]
         return _deal(part[shared], out, 0, 0)
 
     def cut(key, group, answers):
@@ -212,22 +213,22 @@ def remove_repeats(docs: DataFrame, n: int = 13) -> DataFrame:
         f, r = first[place], p.row[place]
         start = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1] + 1) | (f[1:] != f[:-1]) | (r[1:] != r[:-1]))))
         end = np.concatenate((start[1:], [len(place)])) - 1
-        serve = np.maximum.reduceat(known["parts"][at[place]], start)
+        serve = np.minimum(-(-np.maximum.reduceat(known["docs"][at[place]], start) // SERVES), count)
         rows, spots = [], p.spots(r[start], place[start])
         later: dict[tuple[int, int, bytes], list[bytes]] = {}
         copies: dict[int, int] = {}
         mine = f[start] == doc[place[start]]
         for d, s in zip(f[start][mine].tolist(), serve[mine].tolist(), strict=True):
-            copies[d] = max(copies.get(d, 1), -(-s // SERVES))
+            copies[d] = max(copies.get(d, 1), s)
         for a, b, d, ref, s, spot in zip(place[start].tolist(), place[end].tolist(), f[start].tolist(), mine.tolist(), serve.tolist(), spots, strict=True):
             piece = p.h[a : b + n].tobytes()
             if ref:
                 for c in range(copies[d]):
-                    rows.append((_shard(d, c, count), 0, own, np.int64(d).tobytes() + piece))
+                    rows.append((_shard(d, c, SHARDS * count), 0, own, np.int64(d).tobytes() + piece))
             else:
-                later.setdefault((d, own % -(-s // SERVES), piece), []).append(spot.tobytes())
+                later.setdefault((d, own % s, piece), []).append(spot.tobytes())
         for (d, c, piece), where in later.items():
-            rows.append((_shard(d, c, count), 1, own, np.array([d, len(where)], np.int64).tobytes() + b"".join(where) + piece))
+            rows.append((_shard(d, c, SHARDS * count), 1, own, np.array([d, len(where)], np.int64).tobytes() + b"".join(where) + piece))
         return table(_KINDS, rows)
 
     def match(group):
@@ -255,28 +256,23 @@ def remove_repeats(docs: DataFrame, n: int = 13) -> DataFrame:
                 away = _moved(where, miss, _OPEN)
                 away["window"], away["part"] = np.tile(g[miss], many), own
                 out.append((None, away))
+        away = np.concatenate([x for own, x in out if own is None] or [np.zeros(0, _OPEN)])
+        if len(away):
+            away, later = _least(away)
+            out += [(own, _spots(later[later["part"] == own])) for own in np.unique(later["part"]).tolist()]
         hits: dict[int, list[np.ndarray]] = {}
         for own, x in out:
-            hits.setdefault(own, []).append(x)
-        rows = [(own, 0, own, np.concatenate(x).tobytes()) for own, x in hits.items() if own is not None]
-        if None not in hits:
-            return table(_KINDS, rows)
-        away = np.concatenate(hits[None])
-        return pa.concat_tables([table(_KINDS, rows), _deal((away["window"] >> np.uint64(20)) % np.uint64(count), away, 1, 0)])
+            if own is not None:
+                hits.setdefault(own, []).append(x)
+        rows = [(own, 0, own, np.concatenate(x).tobytes()) for own, x in hits.items()]
+        return pa.concat_tables([table(_KINDS, rows), _deal((away["window"] >> np.uint64(20)) % np.uint64(SHARDS * count), away, 1, 0)])
 
     def settle(key, group):
         data = group.column("data").to_pylist()
         if not key[1].as_py():
             return table(_KINDS, [(key[0].as_py(), 0, 0, b"".join(data))])
-        away = np.concatenate([np.frombuffer(x, _OPEN) for x in data])
-        order, number = _first(away["window"], away["doc"])
-        away = away[order]
-        low = away["doc"][np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))]
-        away = away[away["doc"] > low[number]]
-        spots = np.empty(len(away), _SPOT)
-        for c in ("doc", "text", "at"):
-            spots[c] = away[c]
-        return _deal(away["part"], spots, 0, 0)
+        _, later = _least(np.concatenate([np.frombuffer(x, _OPEN) for x in data]))
+        return _deal(later["part"], _spots(later), 0, 0)
 
     def finish(key, group, found):
         try:
@@ -338,6 +334,22 @@ def _deal(to: np.ndarray, data: np.ndarray, kind: int, part: int) -> pa.Table:
     return table(_KINDS, [(int(to[a]), kind, part, data[a:b].tobytes()) for a, b in zip(head, [*head[1:], len(to)], strict=True)])
 
 
+def _least(away: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of open windows those of the least document that has them, and the others."""
+    order, number = _first(away["window"], away["doc"])
+    away = away[order]
+    low = away["doc"][np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))]
+    later = away["doc"] > low[number]
+    return away[~later], away[later]
+
+
+def _spots(away: np.ndarray) -> np.ndarray:
+    out = np.empty(len(away), _SPOT)
+    for c in ("doc", "text", "at"):
+        out[c] = away[c]
+    return out
+
+
 def _moved(where: np.ndarray, at: np.ndarray, kind: np.dtype) -> np.ndarray:
     """Each spot moved on by each of `at`."""
     out = np.empty(len(where) * len(at), kind)

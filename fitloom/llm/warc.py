@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import map_texts, schema, shared_folder, slices, table, written
@@ -128,23 +128,32 @@ def write_archives(pages: DataFrame, least: int = 0, folder: str | None = None,
     """Writes a record for each row of pages (page_id, url, html) and returns the archives' paths.
 
     Of payloads alike, of `least` bytes at least, the row of least page_id is the response and others
-    revisit it; rows that tie in page_id too are responses.  Null html is empty.  A null page_id counts as
-    larger than any other and has an empty record id.
+    revisit it; of rows that tie in page_id, the one of least url, nulls first, and of rows alike in that
+    too any one.  Null html is empty.  A null page_id counts as larger than any other and has an empty
+    record id; payloads of null ids alone are all responses, as there is no id to refer to.  Names of
+    archives hold the task's attempt, and only archives that the result names, those of attempts that
+    Spark committed, are read.
     """
     spark = pages.sparkSession
     folder = folder or shared_folder(spark, "warc")
     url = F.col("url") if "url" in pages.columns else F.lit(None).cast("string")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), url.cast("string").alias("url"), F.coalesce(F.col("html"), F.lit("")).alias("html"))
     rows = rows.withColumn("key", F.unhex(F.sha1("html")))
-    first = rows.where(F.octet_length("html") >= least).groupBy("key").agg(F.min("page_id").alias("first"), F.count("*").alias("many")).where("many > 1 and first is not null").select("key", "first")
-    rows = rows.join(first, "key", "left").select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("first"))
+    alike = rows.where(F.octet_length("html") >= least).select("key", "page_id").groupBy("key", "page_id").agg(F.count("*").alias("n"))
+    alike = alike.groupBy("key").agg(F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "n"))).alias("s"), F.sum("n").alias("many")).where("many > 1 and s is not null")
+    first = written(alike.select("key", F.col("s.page_id").alias("first"), F.col("s.n").alias("tied")), "first")
+    rows = rows.join(first, "key", "left").withColumn("leads", F.col("page_id").eqNullSafe(F.col("first")))
+    if not first.where("tied > 1").isEmpty():  # rows that repeat a page_id and its payload
+        tied = rows.where("leads and tied > 1").withColumn("leads", F.row_number().over(Window.partitionBy("key").orderBy("url")) == 1)
+        rows = rows.where("not coalesce(leads and tied > 1, false)").unionByName(tied)
+    rows = rows.select("page_id", "url", "html", F.when(~F.col("leads"), F.col("first")).alias("first"))
 
     def run(batches):
-        part, k, held, size, made = TaskContext.get().partitionId(), 0, [], 0, []
+        part, attempt, k, held, size, made = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), 0, [], 0, []
 
         def close():
             nonlocal k, held, size
-            path = f"{folder}/part-{part:07d}-{k:05d}.warc.zst"
+            path = f"{folder}/part-{part:07d}-{k:05d}-{attempt}.warc.zst"
             put(path, archive(held))
             made.append((path, len(held)))
             k, held, size = k + 1, [], 0

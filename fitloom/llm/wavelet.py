@@ -259,7 +259,9 @@ def write_shards(docs: DataFrame, tokenizer: str, end: int, folder: str | None =
     (shard, path, docs, tokens) comes back, read from the shared folder.
 
     Null and empty texts give the end id alone.  Rows of a null doc_id come first, rows that repeat a
-    doc_id stand side by side, ordered by text.  An empty table makes no file.
+    doc_id stand side by side, in the order of a hash of the text, by which they are also dealt out.  An
+    empty table makes no file.  File names hold the task's attempt, and only files that the manifest names,
+    those of attempts that Spark committed, are read.
     """
     spark = docs.sparkSession
     folder = folder or shared_folder(spark, "wavelet")
@@ -267,12 +269,12 @@ def write_shards(docs: DataFrame, tokenizer: str, end: int, folder: str | None =
     def run(batches):
         coder, bits = encoder(tokenizer), max(1, (_tokenizer(tokenizer).get_vocab_size() - 1).bit_length())
         kind = np.uint16 if bits <= 16 else np.uint32
-        tail, part = np.array([end], kind), TaskContext.get().partitionId()
+        tail, part, attempt = np.array([end], kind), TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         rows, chunks, size, k, made = [], [], 0, 0, []
 
         def close():
             nonlocal rows, chunks, size, k
-            path = f"{folder}/shard-{part:07d}-{k:05d}.wm"
+            path = f"{folder}/shard-{part:07d}-{k:05d}-{attempt}.wm"
             put(path, dump(rows, np.concatenate(chunks), bits))
             made.append((part << 24 | k, path, len(rows), size))
             rows, chunks, size, k = [], [], 0, k + 1
@@ -289,7 +291,8 @@ def write_shards(docs: DataFrame, tokenizer: str, end: int, folder: str | None =
             close()
         yield from table({"shard": pa.int64(), "path": pa.string(), "docs": pa.int64(), "tokens": pa.int64()}, made).to_batches()
 
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = ("doc_id", F.xxhash64("text"))
+    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(*order).sortWithinPartitions(*order, "text")
     return written(map_texts(ordered, run, schema(None, shard="long", path="string", docs="long", tokens="long")), "manifest")
 
 
@@ -312,8 +315,13 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                     )
                     start += int(ends[-1])
 
-    before = F.coalesce(F.sum("tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = manifest.select("path", before.cast("long").alias("start"), "shard")
+    # tokens before a shard: those of earlier partitions, one row each, and those before it in its own
+    earlier = lambda column, window: F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    manifest = manifest.withColumn("part", F.shiftright("shard", 24))
+    totals = manifest.groupBy("part").agg(F.sum("tokens").alias("sum"))
+    totals = totals.select("part", earlier("sum", Window.orderBy("part")).alias("base"))
+    own = earlier("tokens", Window.partitionBy("part").orderBy("shard"))
+    placed = manifest.select("part", "path", "shard", own.alias("own")).join(totals, "part").select("path", (F.col("base") + F.col("own")).cast("long").alias("start"), "shard")
     n = max(1, min(2000, manifest.count()))
     return map_texts(placed.repartition(n, "shard"), run, schema(None, doc_id="long", start="long", n_tokens="long", ids="binary"))
 

@@ -89,7 +89,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP5 = f"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s FROM w),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edge AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
+reach(d, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT d, b FROM reach JOIN edge ON r = a)
+SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, m AS component_id, s.doc_id = m AS kept FROM s JOIN (SELECT d, min(r) AS m FROM reach GROUP BY d) ON s.doc_id = d"""
+_OP7 = f"""WITH w AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w)),
+first AS (SELECT g, min(doc_id) AS f FROM win GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM (SELECT doc_id, i, unnest(range(13)) AS k FROM win JOIN first ON win.g = first.g WHERE f < doc_id)),
+pos AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM w),
+cut AS (SELECT p.doc_id, count(*) AS n, count(g.i) AS r, string_agg(x, ' ' ORDER BY p.i) FILTER (g.i IS NULL) AS t FROM pos p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY p.doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_words, coalesce(r, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM documents d LEFT JOIN cut ON d.doc_id = cut.doc_id"""
+_BASE32 = "array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(((('0x' || substr(h, CAST(5 * (k // 4) + 1 AS BIGINT), 5))::BIGINT >> CAST(15 - 5 * (k % 4) AS BIGINT)) & 31) AS BIGINT), 1)), '')"
+_OP9 = f"""SELECT page_id, strlen(t) AS payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, nullif(first, page_id) AS refers_to
+FROM (SELECT page_id, t, sha1(t) AS h, min(page_id) OVER (PARTITION BY t) AS first FROM (SELECT page_id, coalesce(html, '') AS t FROM pages))"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """None: tokenizers, compression, hashing archives and fixed-point work have no SQL.  tests/llm
-    holds each query against a brute-force version, the tokenizers library or held-out rows."""
-    return {}
+    """SQL of the three queries that have one.  Tokenizers, compression ratios, the fitted model and dynamic
+    programming have none: tests/llm holds those against the libraries, brute force or held-out rows."""
+    return {"op5_minmax_dedup": _OP5, "op7_substring_dedup": _OP7, "op9_warc_zstd": _OP9}

@@ -61,6 +61,17 @@ def test_empty_table(spark, tmp_path, name):
     assert run(spark, tmp_path, name, "documents", []).count() == 0
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_against_sql(spark, name):
+    c = duckdb.connect()
+    for t in ("documents", "pages"):
+        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    want = c.sql(queries.oracle_sql()[name])
+    got = queries.queries()[name](spark, SF)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(repr, (tuple(r) for r in got.select(*want.columns).collect()))) == sorted(map(repr, want.fetchall()))
+
+
 WARC = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
 
 

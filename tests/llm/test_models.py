@@ -60,16 +60,33 @@ def test_counts_equal_library():
     assert [c.text(x)[0] for x in texts] == [len(e.ids) for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
+#: What may follow what, and what repairs cost, stated here once more.
+FOLLOWS = {None: {"system", "user"}, "system": {"user"}, "user": {"assistant"}, "assistant": {"user"}}
+NAMES = ["system", "user", "assistant"]
+
+
+def empties(before, role):
+    """Fewest empty turns between what came last and a turn of this role."""
+    if role in FOLLOWS[before]:
+        return 0
+    return next(n for n in (1, 2, 3) for mid in itertools.product(NAMES, repeat=n) if all(b in FOLLOWS[a] for a, b in zip((before, *mid), (*mid, role), strict=True))) if role != "system" else 99
+
+
 def brute_repair(roles):
-    """Least cost over all choices, by enumeration of the automaton's runs."""
-    best = {0: 0}
-    for r in roles:
-        now = {}
-        for cost, s, t, *_ in chat.MOVES[r]:
-            if s in best:
-                now[t] = min(now.get(t, 1 << 40), best[s] + cost)
-        best = now
-    return min(c + chat.INSERT * chat.FILL[t, 3][0] for t, c in best.items() if (t, 3) in chat.FILL)
+    """Least cost over every choice of role and merge of every turn."""
+    best = 10**6
+    for made in itertools.product(NAMES, repeat=len(roles)):
+        for merged in itertools.product((False, True), repeat=len(roles)):
+            cost, last = 0, None
+            for given, role, merge in zip(roles, made, merged, strict=True):
+                cost += 0 if given is not None and role == NAMES[given] else 3
+                if merge:
+                    cost += 1 if role == last else 99
+                else:
+                    cost += 2 * empties(last, role)
+                    last = role
+            best = min(best, cost + (0 if last == "assistant" else 2 if last == "user" else 4))
+    return best
 
 
 def legal(roles):
@@ -81,25 +98,78 @@ def legal(roles):
     return state == 3
 
 
+def repaired_in_parts(parts):
+    """Choices for a conversation cut into parts, and the state after it."""
+    costs, entries = chat.START, []
+    for p in parts:
+        entries.append(costs)
+        costs = chat.after(costs, chat.matrix(p))
+    state = end = chat.last_state(costs)
+    out = []
+    for p, entry in zip(parts[::-1], entries[::-1], strict=True):
+        out = chat.repair(p, entry, state) + out
+        state = chat.back(p, entry)[state]
+    assert state == chat.FRESH
+    return out, end
+
+
 def test_repair_is_legal_and_cheapest_and_segments_dont_matter():
     for n in range(1, 6):
         for roles in itertools.product([0, 1, 2, None], repeat=n):
-            cut = n // 2
-            parts = [list(roles[:cut]), list(roles[cut:])] if cut else [list(roles)]
-            states = chat.settle([chat.matrix(p) for p in parts])
+            whole, end = repaired_in_parts([list(roles)])
+            for cut in range(1, n):
+                assert repaired_in_parts([list(roles[:cut]), list(roles[cut:])]) == (whole, end)
             out, cost = [], 0
-            for part, (a, b) in zip(parts, states, strict=True):
-                for (action, fill, r), given in zip(chat.repair(part, a, b), part, strict=True):
-                    out += list(fill)
-                    cost += chat.INSERT * len(fill) + (0 if r == given else chat.UNKNOWN if given is None else chat.RELABEL)
-                    if action == "merge":
-                        cost += chat.MERGE
-                        assert out[-1] == r
-                    else:
-                        out.append(r)
-            end = chat.FILL[states[-1][1], 3][1]
-            assert legal(out + list(end))
-            assert cost + chat.INSERT * len(end) == brute_repair(roles)
+            for (action, fill, r, own), given in zip(whole, roles, strict=True):
+                out += list(fill)
+                by = chat.INSERT * len(fill) + (0 if r == given else chat.UNKNOWN if given is None else chat.RELABEL)
+                if action == "merge":
+                    by += chat.MERGE
+                    assert out[-1] == r
+                else:
+                    out.append(r)
+                assert own == by
+                cost += by
+            close = chat.FILL[end, 3][1]
+            assert legal(out + list(close))
+            if n < 5:
+                assert cost + chat.INSERT * len(close) == brute_repair(roles)
+
+
+def test_repair_of_random_cuts():
+    rnd = random.Random(11)
+    for _ in range(300):
+        roles = [rnd.choice([0, 1, 2, None]) for _ in range(rnd.randint(2, 60))]
+        cuts = sorted({0, len(roles), *(rnd.randrange(len(roles)) for _ in range(4))})
+        assert repaired_in_parts([roles[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]) == repaired_in_parts([roles])
+
+
+def test_repair_of_odd_tables(spark, tmp_path, monkeypatch):
+    """The registered query: nulls, empties, a long text, ties, repeats, clashing columns, no rows; the same rows for any cuts."""
+    from fitloom.llm import queries
+
+    rnd = random.Random(12)
+    data = [(conv, rnd.randrange(40), rnd.choice(["user", "USER ", "assistant", "system", "tool", None, ""]), rnd.choice(["a", "", None, "b c"])) for conv in (1, 1, 1, 2, 3, None, None, 9) for _ in range(30)]
+    data += [data[0]] * 5 + [(7, None, "user", "y " * 600000), (7, 1, "assistant", "z"), (8, 0, "assistant", None)]
+    df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS place", "'x' AS action", "2 AS segment", "true AS last", "3 AS run")
+    df.repartition(3).write.parquet(f"{tmp_path}/a/conversations.parquet")
+    df.limit(0).write.parquet(f"{tmp_path}/b/conversations.parquet")
+    run = queries.queries()["op3_chat_repair"]
+    seen = []
+    for size, partitions in ((2, 4), (7, 1), (512, 4), (512, 23)):
+        monkeypatch.setattr(chat, "SEGMENT", size)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        seen.append(sorted(map(repr, run(spark, f"{tmp_path}/a").collect())))
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert len(seen[0]) == len(data) and seen.count(seen[0]) == 4
+    got = run(spark, f"{tmp_path}/a").collect()
+    for conv in {r["conv_id"] for r in got}:
+        turns = sorted((r for r in got if r["conv_id"] == conv), key=lambda r: r["place"])
+        assert [r["place"] for r in turns] == list(range(len(turns)))
+        roles = [chat.role_of(r["role"]) for r in turns]
+        assert legal([chat.ROLES.index(x.partition("|>")[0]) for x in "".join(r["rendered"] for r in turns).split("<|")[1:] if not x.startswith("end")])
+        assert sum(r["cost"] for r in turns) >= 0 and len(roles) == len(turns)
+    assert run(spark, f"{tmp_path}/b").count() == 0
 
 
 def test_long_conversation_in_segments(spark, monkeypatch):
@@ -266,6 +336,52 @@ def test_items_with_other_names_numbers_and_lengths(spark):
     assert both_ways(spark, ["IS THIS", "Oslo And So On For Ever"], ["WHAT IS THE CAPITAL OF FRANCE"]) == [[], []]
 
 
+def test_slots_alone_are_no_evidence(spark):
+    """Numbers, names and short items match their own values only."""
+    numbers = "3 7 12 19 44"
+    texts = ["row 901 22 388 5 61 end", "row 3 7 12 19 44 end", "oh yes it is", "Yes", "45 apples", "12 apples", "we had 12 apples", "1 2 3 4 5 6 7 8 9 10 " * 50, None, "", "12 apples"]
+    assert both_ways(spark, texts, [numbers, "yes", "12 apples"]) == [[], [0], [], [1], [], [2], [], [], [], [], [2]]
+
+
+def brute_items(text, item, n=5, share=0.8):
+    """Whether one alignment of lower-cased words has `share` of the item's windows verbatim."""
+    d, i = text.lower().split(), item.lower().split()
+    if len(i) < n:
+        return d == i
+    total = len(i) - n + 1
+    return any(sum(0 <= s + j and d[s + j : s + j + n] == i[j : j + n] for j in range(total)) >= share * total for s in range(-len(i), len(d)))
+
+
+def test_partial_items_against_brute_force(spark):
+    """Plain lower-case words: held is what brute force over all alignments says, for items cut and joined at random."""
+    rnd = random.Random(9)
+    word = lambda: rnd.choice("ab cd ef gh ij kl mn op".split())
+    items = [" ".join(word() for _ in range(rnd.randint(1, 14))) for _ in range(30)]
+    texts = []
+    for _ in range(120):
+        parts = [items[rnd.randrange(30)].split() for _ in range(rnd.randint(1, 3))]
+        texts.append(" ".join(w for p in parts for w in p[rnd.randint(0, 2) : len(p) - rnd.randint(0, 2)]))
+    assert both_ways(spark, texts, items) == [[k for k, i in enumerate(items) if brute_items(t, i)] for t in texts]
+
+
+def test_decontamination_of_odd_tables(spark, tmp_path):
+    """The registered query with nulls, repeats, a long text, clashing columns, and without rows."""
+    from fitloom.llm import queries
+
+    item = "the quick brown fox jumps over the lazy dog near the old river bank"
+    data = [(1, item), (1, item), (None, item), (2, None), (3, ""), (4, "x y " * 300000 + item), (5, "nothing of it here at all")]
+    docs = spark.createDataFrame(data, "doc_id long, text string").selectExpr("*", "1 AS items", "'a' AS kept", "2 AS coverage", "3 AS key", "4 AS view")
+    bench = spark.createDataFrame([(7, item), (7, item), (8, None)], "item_id long, text string").selectExpr("*", "1 AS doc_id")
+    docs.write.parquet(f"{tmp_path}/a/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/a/benchmark.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/b/documents.parquet")
+    bench.limit(0).write.parquet(f"{tmp_path}/b/benchmark.parquet")
+    run = queries.queries()["op8_decontamination"]
+    got = sorted((r["doc_id"] or 99, tuple(r["items"]), r["kept"]) for r in run(spark, f"{tmp_path}/a").collect())
+    assert got == [(1, (7,), False), (1, (7,), False), (2, (), True), (3, (), True), (4, (7,), False), (5, (), True), (99, (7,), False)]
+    assert run(spark, f"{tmp_path}/b").count() == 0
+
+
 def test_merged_slots_keep_to_their_texts():
     t = decontam.Template([b"we saw New York", b"Old Town, New Town and 2 3 4 km", b"", b"Oslo"])
     v = t.views[2]

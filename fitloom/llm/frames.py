@@ -48,10 +48,10 @@ def removed(spark: SparkSession, *paths: str) -> None:
 
 @contextlib.contextmanager
 def scratch(spark: SparkSession):
-    """Deletes, at its end, what was put into the shared folder within it; results must be written by then."""
+    """Deletes, at its end, what was put into the shared folder within it and is still in the list it gives."""
     _open.append([])
     try:
-        yield
+        yield _open[-1]
     finally:
         removed(spark, *_open.pop())
 

@@ -133,6 +133,7 @@ def fits_preset(preset: Column, score: Column, experience_fit: Column, same_role
 
 def rationale(wanted: Column, found: Column, years: Column, required: Column, role_score: Column, domain_score: Column, manages: Column, management_score: Column) -> Column:
     """One sentence for each ground of the score.  wanted and found are arrays."""
+    # The phrases of a rationale.
     shown = F.format_string("shows %.1f years", years)
     lead = F.array_join(F.slice(found, 1, 3), ", ")
     skills = F.concat(F.format_string("matches %d/%d JD skills", F.size(found), F.size(wanted)), F.when(lead != "", F.concat(F.lit(" including "), lead)).otherwise(""))

@@ -7,9 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions.coerce import half_up
 
+# Fixed value: the instruction field of each pointwise record.
 INSTRUCTION = "Given the job description and candidate profile, rate the candidate's fit on a scale from 0 to 10."
 
 
+def accepted(scored: DataFrame, test) -> DataFrame:
+    """Rows that pass test(row).  A plain filter on worked-out columns is pushed below them, and works them
+    out again for each use; here the row is made first, once, and the test looks at it."""
+    return scored.select(F.inline(F.filter(F.array(F.struct(*scored.columns)), test)))
+
+
 def rank(scored: DataFrame, by: str, score: str, serial: str) -> DataFrame:
     """Adds rank: 1 for the greatest score of a group, ties in order of `serial`."""
     return scored.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(F.desc(score), F.asc(serial))))

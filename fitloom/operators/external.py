@@ -21,6 +21,8 @@ from ..functions.text import clean, is_overflow, looks_complete, quality_ok, tri
 
 # Fields that a structured record and a judge's answer must have.
 RECORD_FIELDS = ["job_title", "min_experience_years", "core_technical_skills", "domain", "is_management_role", "education_requirement", "max_notice_period_days", "executive_summary"]
+EXTRACT = "Extract the fields " + ", ".join(RECORD_FIELDS) + " from the job text as one JSON object. State only what the text says; use defaults otherwise.\n\nTitle:\n"
+JUDGE = "Judge each field of the record against the text, 0 or 1 (skills and overall between). Answer with one JSON object.\n\nText:\n"
 TRIM_STEPS = (1.0, 0.75, 0.55)
 LEAST_TOKENS, TOKENS = 1200, 7192
 
@@ -96,13 +98,12 @@ def complete(df: DataFrame, prompts: str, factory: Callable[[], object], rpm: fl
 
 def extraction_prompts(title: Column, text: Column) -> Column:
     """Prompts of three tries, each with a smaller part of the text."""
-    ask = "Extract the fields " + ", ".join(RECORD_FIELDS) + " from the job text as one JSON object. State only what the text says; use defaults otherwise.\n\nTitle:\n"
-    return F.array(*(F.concat(F.lit(ask), title, F.lit("\n\nText:\n"), trim_budget(text, max(LEAST_TOKENS, int(TOKENS * step)))) for step in TRIM_STEPS))
+    return F.array(*(F.concat(F.lit(EXTRACT), title, F.lit("\n\nText:\n"), trim_budget(text, max(LEAST_TOKENS, int(TOKENS * step)))) for step in TRIM_STEPS))
 
 
 def judge_prompts(text: Column, record: Column, tries: int = 3) -> Column:
     """The same prompt for each try: the text and the record to be judged, as JSON."""
-    one = F.concat(F.lit("Judge each field of the record against the text, 0 or 1 (skills and overall between). Answer with one JSON object.\n\nText:\n"), trim_chars(text), F.lit("\n\nRecord:\n"), F.to_json(record, {"ignoreNullFields": "false"}))
+    one = F.concat(F.lit(JUDGE), trim_chars(text), F.lit("\n\nRecord:\n"), F.to_json(record, {"ignoreNullFields": "false"}))
     return F.array_repeat(one, tries)
 
 

@@ -8,7 +8,7 @@ no state runs from row to row.  Company usage is a batch's counts, given as a ta
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import match as M
@@ -16,6 +16,7 @@ from ..functions import rng
 from ..functions import score as S
 from ..functions.coerce import half_up
 from ..functions.text import normal
+from .joins import bounded
 
 # Dials by preset, and the share of matched skills that a preset may keep.
 DIALS = {
@@ -37,10 +38,15 @@ STAGE_LINES = {"entry": ["shipped scoped work with review", "learned production
 EXTRA_IMPACTS = {"entry": ["improved test coverage", "reduced manual steps", "fixed flaky checks", "cleaner handovers"], "mid": ["faster issue resolution", "safer releases", "lower tail latency", "fewer alerts"], "senior": ["predictable delivery", "lower running cost", "better recovery time", "simpler systems"]}
 SUFFIXES = ["Platform", "Console", "Engine", "Portal", "Service", "Hub"]
 LABELS = {"financial": ["Payments", "Risk"], "bank": ["Core Banking", "Treasury"], "retail": ["Catalog", "Checkout"], "internet": ["Growth", "Content"], "education": ["Learning", "Assessment"], "health": ["Clinical Data", "Claims"]}
+GENERAL_LABELS = ["Platform", "Operations", "Workflow", "Customer"]
 CITIES = ["Bengaluru", "Pune", "Chennai", "Hyderabad", "Delhi", "Noida"]
 FIRST_NAMES, LAST_NAMES = ["Asha", "Ravi", "Meera", "Kiran", "Divya", "Arjun", "Nila", "Tara"], ["Rao", "Iyer", "Sen", "Das", "Nair", "Gill", "Bose", "Shah"]
 
+MAILS = ["gmail.com", "outlook.com", "yahoo.com"]
+
 KEY = "__key"
+#: Companies of a pool.
+POOL = 10_000
 
 
 def by_value(c: Column, values: dict[str, Column | float | str], other=None) -> Column:
@@ -189,19 +195,21 @@ def focus(themes: Column, matched: Column, target: Column, stage: Column, manage
     )
 
 
-def figures(stage: Column, architecture: Column, target: Column, branches: list[tuple[str, list[str]]], names: dict[str, tuple[str, str]], key: Column, salt: str) -> Column:
-    """A map of two figures by the domain's branch and the stage, and more for event and serverless designs."""
+def figures(stage: Column, architecture: Column, target: Column, branches: list[tuple[str, list[str]]], names: dict[str, list[str]], key: Column, salt: str) -> Column:
+    """One of the stage's maps of the domain's branch, the first whose words the domain has, with values by
+    stage, and more for event and serverless designs.  A branch has five figures, a map two neighbours."""
 
     def branch_of(d: Column) -> Column:
-        branch = F.when(F.lit(False), "")
+        out = F.when(F.lit(False), strings([""]))
         for name, words in branches:
-            branch = branch.when(M.contains_any(d, words), name)
-        return branch.otherwise("other")
+            out = out.when(M.contains_any(d, words), strings(names[name]))
+        return out.otherwise(strings(names["other"]))
 
     size = by_value(stage, {"entry": 1, "mid": 10, "senior": 100}, 1)
+    at = rng.integer(key, salt + ".map", F.lit(1), F.when(stage == "entry", 3).otherwise(4))
     one = F.concat((rng.integer(key, salt + ".a", 2, 9) * size).cast("string"), F.lit("k+"))
     other = F.concat(F.lit("<"), rng.integer(key, salt + ".b", 1, 5).cast("string"), F.lit("%"))
-    two = lambda b: F.create_map(by_value(b, {k: n[0] for k, n in names.items()}), one, by_value(b, {k: n[1] for k, n in names.items()}), other)
+    two = lambda b: let(at, lambda i: F.create_map(F.element_at(b, i), one, F.element_at(b, i + 1), other))
     low, none = F.lower(architecture), F.create_map().cast("map<string,string>")
     event = F.when(low.contains("event"), F.create_map(F.lit("events"), F.lit("1M+/day"))).otherwise(none)
     serverless = F.when(low.contains("serverless"), F.create_map(F.lit("autoscaling"), F.lit("0 to 1k in 1 min"))).otherwise(none)
@@ -215,7 +223,7 @@ def label(target: Column, key: Column, salt: str) -> Column:
         out = F.when(F.lit(False), strings([""]))
         for fragment, labels in LABELS.items():
             out = out.when(d.contains(fragment), strings(labels))
-        return out.otherwise(strings(["Platform", "Operations", "Workflow", "Customer"]))
+        return out.otherwise(strings(GENERAL_LABELS))
 
     return let(normal(target), lambda d: let(of(d), lambda a: rng.pick(a, key, salt)))
 
@@ -288,15 +296,18 @@ def projects(chosen: Column, recent: Column, recent_compact: Column, skills: Col
 def choose_company(rows: DataFrame, companies: DataFrame, usage: DataFrame | None, stage: str, strength: str, preferred: str, excluded: str | None, salt: str, out: str) -> DataFrame:
     """Adds a company struct: tiers in the stage's order (reversed for weak candidates), the first tier
     with companies of a preferred domain, blended with four tier-mates if it has fewer than three; weighted
-    by usage, without bias.  rows has __key; companies is a small dimension that rides along as an array."""
+    by usage, without bias.  rows has __key; companies is a dimension of POOL rows at most, which is checked, that
+    rides along as an array."""
+    if companies.limit(POOL + 1).count() > POOL:
+        raise ValueError(f"more than {POOL} companies")
     weight = F.lit(1.0)
     pool = companies
     if usage is not None:
-        pool = companies.join(F.broadcast(usage), "name", "left")
+        pool = companies.join(usage, "name", "left")
         weight = S.usage_weight(F.coalesce(F.col("used"), F.lit(0)).cast("double"))
     every = pool.select(F.struct("tier", "name", "domain", "ctc", weight.alias("w")).alias("c")).agg(F.array_sort(F.collect_list("c")).alias("__pool"))
     key = F.col(KEY)
-    r = rows.crossJoin(F.broadcast(every))  # one row: the dimension as an array
+    r = rows.crossJoin(F.broadcast(every))  # one row of POOL structs at most
     order = by_value(F.col(stage), {k: strings(v) for k, v in LADDER.items()})
     order = F.when(F.col(strength) < 0.35, F.reverse(order)).otherwise(order)
     free = F.filter("__pool", lambda c: c["name"] != F.coalesce(F.col(excluded), F.lit(""))) if excluded else F.col("__pool")
@@ -320,7 +331,7 @@ def contact(record_id: Column) -> Column:
     """Contact data that depend on the id only."""
     name = F.concat(rng.pick(strings(FIRST_NAMES), record_id, "first"), F.lit(" "), rng.pick(strings(LAST_NAMES), record_id, "last"))
     phone = F.format_string("+91 %d%09d", rng.integer(record_id, "p1", 6, 9), rng.integer(record_id, "p2", 100_000_000, 999_999_999))
-    mail = F.concat(F.translate(F.lower(name), " '", "."), rng.integer(record_id, "m", 1, 99).cast("string"), F.lit("@"), rng.pick(strings(["gmail.com", "outlook.com", "yahoo.com"]), record_id, "d"))
+    mail = F.concat(F.translate(F.lower(name), " '", "."), rng.integer(record_id, "m", 1, 99).cast("string"), F.lit("@"), rng.pick(strings(MAILS), record_id, "d"))
     return F.struct(name.alias("name"), rng.pick(strings(CITIES), record_id, "city").alias("city"), phone.alias("phone"), mail.alias("email"))
 
 
@@ -339,7 +350,7 @@ def candidates(jds: DataFrame, profiles: DataFrame, companies: DataFrame, colleg
     r = r.withColumn("filler", F.when(F.col("preset") == "hard_negative", F.coalesce(by_value(F.col("jd_role"), adjacent), F.col("role"))).otherwise(F.col("role")))
     mine = profiles.select(F.col("role"), *(F.col(c).alias(f"p_{c}") for c in profiles.columns if c != "role"))
     fill = profiles.select(F.col("role").alias("filler"), F.col("skill_paths").alias("f_paths"), F.col("supporting_skills").alias("f_support"), F.col("templates").alias("f_templates"))
-    r = r.join(F.broadcast(mine), "role").join(F.broadcast(fill), "filler")  # one row a role
+    r = r.join(bounded(mine), "role").join(bounded(fill), "filler")  # one row a role
     need = S.required_years(F.col("min_years"), F.col("job_title"))
     r = r.withColumn("need", need).withColumn("years", experience(F.col("need.years"), F.col("dials.experience_years"), F.col("preset"), k))
     r = r.withColumn("stage", S.stage(F.col("years"))).withColumn("band", S.band(F.col("job_title")))
@@ -382,7 +393,7 @@ def candidates(jds: DataFrame, profiles: DataFrame, companies: DataFrame, colleg
     r = r.withColumn("projects", projects(F.col("chosen"), F.col("recent_stack"), F.col("recent_compact"), F.col("bundle"), F.col("kept"), F.col("target"), F.col("stage"), F.col("dials.deployment_skills"), F.col("generated_manages"), k, branches, names))
     tier = S.college_tier(F.col("education"), F.col("dials.education_tier"))
     schools = colleges.groupBy("tier").agg(F.array_sort(F.collect_list("name")).alias("schools"))
-    r = r.withColumn("tier", tier).join(F.broadcast(schools), "tier", "left")
+    r = r.withColumn("tier", tier).join(F.broadcast(schools), "tier", "left")  # three rows
     buffer = F.when(F.col("band") == "principal", 2).when(F.col("stage").isin("mid", "senior"), 1).otherwise(0)
     year = F.lit(as_of_year) - F.greatest(F.lit(1), F.bround(F.col("years") + buffer, 0).cast("int"))
     school = F.struct(F.coalesce(rng.pick(F.col("schools"), k, "school"), F.lit("Open University")).alias("institution"), degree(F.col("p_degrees"), F.col("education"), F.col("stage"), k).alias("degree"), year.alias("graduation_year"))
@@ -416,8 +427,19 @@ def _scored(r: DataFrame, adjacent: dict[str, str]) -> DataFrame:
     )
 
 
-def accepted(tries: DataFrame, by: list[str]) -> DataFrame:
-    """Of several attempts the first that its preset accepts, else the last."""
-    ok = S.fits_preset(F.col("preset"), F.col("overall"), F.col("experience_fit"), F.col("jd_role") == F.col("role"))
-    w = Window.partitionBy(*by).orderBy(F.when(ok, F.col("attempt")).otherwise(1000 - F.col("attempt")))
-    return tries.withColumn("__n", F.row_number().over(w)).where("__n = 1").withColumn("accepted", ok).drop("__n")
+def passes() -> Column:
+    """Whether a scored candidate is what its preset asks for."""
+    return S.fits_preset(F.col("preset"), F.col("overall"), F.col("experience_fit"), F.col("jd_role") == F.col("role"))
+
+
+def accepted(jds: DataFrame, by: list[str], make, store, most: int = 6) -> DataFrame:
+    """One candidate for each row of jds (keys `by`): the first attempt that its preset accepts, else the last
+    of `most`.  make(jds with column attempt) generates; only what is still open is tried again, and store(df)
+    writes each attempt's candidates to a table that is then read."""
+    out, left = None, jds
+    for n in range(1, most + 1):
+        tried = store(make(left.withColumn("attempt", F.lit(n))).withColumn("accepted", passes()))
+        done = tried if n == most else tried.where("accepted")
+        out = done if out is None else out.unionByName(done)
+        left = left.join(tried.where("not accepted").select(*by), by, "left_semi")
+    return out

@@ -6,6 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows that a dimension may have to be broadcast.
+SMALL = 20_000
+
+
+def bounded(df: DataFrame, rows: int = SMALL) -> DataFrame:
+    """df marked for broadcast if it has `rows` rows at most, which is checked; else as it is, for Spark to shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def keep_last(df: DataFrame, key: list[str], order: list[str], where: Column | None = None) -> DataFrame:
     """The last row of each key; rows that fail `where` never hide an earlier one."""
     rows = df if where is None else df.where(where)
@@ -40,8 +49,10 @@ def best_role(titles: DataFrame, title: str, roles: DataFrame, score: Column, ca
     """Role of greatest score for each distinct title (ties: least ord); where no score is positive,
     the cascade's role, else the first role; `product` titles of managers become product_manager.
 
-    roles is a small dimension (role, ord, ...): the join is distinct titles by roles.
+    roles is a small dimension (role, ord, ...), SMALL rows at most: the join is distinct titles by roles.
     """
+    if roles.limit(SMALL + 1).count() > SMALL:
+        raise ValueError(f"more than {SMALL} roles")
     w = Window.partitionBy(title).orderBy(F.desc("__score"), F.asc("ord"))
     every = titles.select(title).distinct().crossJoin(F.broadcast(roles)).withColumn("__score", score)
     top = every.withColumn("__n", F.row_number().over(w)).where("__n = 1").select(title, F.col("role").alias("__role"), F.col("__score").alias("role_score"))

@@ -31,9 +31,35 @@ ADJACENT = {"backend_developer": "data_engineer", "data_engineer": "backend_deve
 MISMATCH = {"backend_developer": ["frontend_developer"], "data_engineer": ["frontend_developer"], "devops_engineer": ["frontend_developer", "data_engineer"], "frontend_developer": ["data_engineer", "devops_engineer"], "generic_engineering": ["frontend_developer"]}
 COMPANIES = [(f"tier_{t}", f"{name} {t}", domain, f"₹{pay} LPA") for t, pay in ((1, 42), (2, 24), (3, 16), (4, 11), (5, 7)) for name, domain in (("Northwind Pay", "Fintech"), ("Blue Basket", "Retail"), ("Cloud Yard", "Cloud Computing"), ("Learn Lane", "Education"), ("Data Forge", "Analytics"))]
 COLLEGES = [(f"tier_{t}", f"{name} {t}") for t in (1, 2, 3) for name in ("Institute of Technology", "City University", "State College")]
-#: Branch of figures by words of the domain (searched in this order, as substrings), and figures by stage.
-METRIC_BRANCHES = [("money", ["fintech", "financial", "payment", "bank", "insurance", "trading"]), ("mobile", ["mobile", "android", "ios", "app"]), ("data", ["data", "analytics", "ml", "ai", "science"]), ("platform", ["devops", "infra", "cloud", "platform", "it services", "internet"]), ("security", ["security", "cyber"]), ("web", ["frontend", "ui", "web", "education", "media"]), ("games", ["game", "gaming", "entertainment"]), ("retail", ["retail", "ecommerce", "marketplace"]), ("health", ["health", "pharma"]), ("people", ["recruitment", "staffing", "hr tech"]), ("industry", ["manufactur", "automotive", "semiconductor"])]
-METRIC_NAMES = {"money": ("transactions", "error_rate"), "mobile": ("daily_users", "crash_rate"), "data": ("rows_a_day", "late_jobs"), "platform": ("deploys_a_week", "failed_changes"), "security": ("findings_closed", "open_days"), "web": ("page_views", "load_time"), "games": ("players", "bug_escapes"), "retail": ("orders_a_day", "cart_loss"), "health": ("records", "audit_findings"), "people": ("profiles", "time_to_fill"), "industry": ("lines", "downtime"), "other": ("requests", "error_rate")}
+# Words of a domain that lead to a branch of figures, searched in this order, as substrings.
+METRIC_BRANCHES = [
+    ("money", ["fintech", "financial", "payment", "banking", "trading", "insurance", "bank", "bfsi", "nbfc", "lending", "wealth", "capital", "fund", "property casualty", "p c insurance"]),
+    ("mobile", ["mobile", "android", "ios", "app", "consumer app", "mobile app development"]),
+    ("data", ["data", "analytics", "ml", "machine learning", "ai", "science", "kpo", "research", "data science", "big data", "bi ", "business intelligence", "artificial intelligence"]),
+    ("platform", ["devops", "infra", "cloud", "platform", "sre", "reliability", "cloud computing", "it services", "it infrastructure", "managed services", "consulting", "internet", "telecom", "software product", "saas", "paas", "it & information"]),
+    ("security", ["security", "cyber", "appsec", "pentest", "information security", "cybersecurity"]),
+    ("web", ["frontend", "ui", "web", "design", "advertising", "marketing", "media", "ott", "e learning", "edtech", "education"]),
+    ("games", ["game", "gaming", "entertainment", "sports", "fantasy"]),
+    ("retail", ["retail", "e commerce", "ecommerce", "marketplace", "d2c", "direct to consumer", "fmcg", "grocery", "food", "consumer goods", "fashion", "apparel"]),
+    ("health", ["health", "pharma", "medical", "life science", "hospital", "clinical", "pharmaceutical", "biotech", "diagnostics"]),
+    ("people", ["recruitment", "staffing", "hr tech", "human resource", "bpm", "bpo", "outsourc"]),
+    ("industry", ["manufactur", "industrial", "automotive", "auto component", "semiconductor", "hardware", "electronic", "equipment"]),
+]
+#: Five figures of each branch: a stage's maps take two neighbours, so there are three maps for entry and four for later stages.
+METRIC_NAMES = {
+    "money": ["payments_checked", "booking_errors", "ledgers_closed", "late_postings", "claims_paid"],
+    "mobile": ["daily_users", "crashes", "screens_built", "slow_starts", "reviews_won"],
+    "data": ["rows_a_day", "late_jobs", "tables_owned", "bad_rows", "models_served"],
+    "platform": ["deploys_a_week", "failed_changes", "hosts_kept", "pages_at_night", "clusters_moved"],
+    "security": ["findings_closed", "false_alarms", "hosts_scanned", "overdue_patches", "reviews_done"],
+    "web": ["page_views", "slow_pages", "components_built", "broken_links", "sign_ups"],
+    "games": ["players", "bug_escapes", "levels_shipped", "lost_sessions", "items_sold"],
+    "retail": ["orders_a_day", "cart_loss", "listings_kept", "returns", "stores_served"],
+    "health": ["records_kept", "audit_findings", "visits_booked", "missed_slots", "labs_linked"],
+    "people": ["profiles_screened", "drop_outs", "roles_filled", "idle_days", "offers_made"],
+    "industry": ["parts_traced", "downtime", "lines_watched", "scrap", "sensors_read"],
+    "other": ["requests", "error_rate", "users_served", "slow_calls", "tasks_done"],
+}
 
 
 def profiles(spark: SparkSession) -> DataFrame:

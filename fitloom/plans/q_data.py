@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import rng
@@ -12,7 +11,7 @@ from ..operators import corpus, joins, metrics, sampling
 from ..sources import readers, sinks
 from . import flagship
 from .q_score import _AXES, _ranked
-from .tools import TITLES, pick, read, sql_clean, sql_pick, sql_text, sql_u
+from .tools import TITLES, pick, read, scratch, sql_clean, sql_pick, sql_text, sql_u
 
 Q: dict = {}
 
@@ -83,28 +82,33 @@ Q["PRJ5"] = (
     lambda s, d: _with_resume(s, d).select("resume_text", F.to_json(F.struct(F.col("jd_role").alias("job_title"), F.col("jd_domain").alias("domain"), F.col("jd_manages").alias("is_management_role"))).alias("jd"), F.col("jd_role").alias("jd_role_key"), F.array_join("inventory", ",").alias("skills"), "skill_coverage", half_up(F.col("overall") * 10, 2).alias("relevance_score")),
     _WITH + """SELECT resume_text, '{"job_title":"' || jd_role || '","domain":"' || jd_domain || '","is_management_role":' || CASE WHEN jd_manages THEN 'true' ELSE 'false' END || '}' AS jd, jd_role AS jd_role_key, array_to_string(inventory, ',') AS skills, skill_coverage, floor(overall * 10 * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS relevance_score FROM rp""",
 )
-Q["PRJ4"] = (lambda s, d: flagship.scored(s, d).select("candidate_id", F.struct(F.col("jd_role").alias("job_title"), F.col("jd_domain").alias("domain"), "required_years").alias("jd"), F.transform(F.slice("inventory", 1, 4), lambda x: F.struct(x.alias("role_title"), F.length(x).alias("duration_years"))).alias("experience")), None)
+Q["PRJ4"] = (
+    lambda s, d: flagship.scored(s, d).select("candidate_id", F.struct(F.col("jd_role").alias("job_title"), F.col("jd_domain").alias("domain"), "required_years").alias("jd"), F.transform("inventory", lambda x: F.struct(x.alias("role_title"), F.length(x).alias("duration_years"))).alias("experience")).select("candidate_id", F.to_json("jd").alias("jd"), F.to_json("experience").alias("experience")),
+    _AXES + """SELECT candidate_id, '{"job_title":"' || jd_role || '","domain":"' || jd_domain || '","required_years":' || required_years || '}' AS jd, '[' || array_to_string(list_transform(inventory, lambda x: '{"role_title":"' || x || '","duration_years":' || length(x) || '}'), ',') || ']' AS experience FROM scored""",
+)
 
-_EVENTS = "SELECT user_id, event_type, event_id, ts, value FROM events"
+#: Events before this moment make the old side of a merge, later ones the new side.
+_CUT = "2024-01-16 00:00:00"
 
 
-def _latest(s, d, even: bool):
-    e = read(s, d, "events").where((F.col("event_id") % 2 == 0) == F.lit(even))
+def _latest(s, d, where=None):
+    e = read(s, d, "events") if where is None else read(s, d, "events").where(where)
     return joins.keep_last(e, ["user_id"], ["event_id"], F.col("event_type") != "error").select("user_id", "event_type", "value")
 
 
-_LAST = "SELECT user_id, event_type, value FROM events WHERE event_id % 2 {0} 0 AND event_type <> 'error' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1"
-Q["DED3"] = (lambda s, d: _latest(s, d, True), _LAST.format("="))
+_LAST = "SELECT user_id, event_type, value FROM events WHERE {0} event_type <> 'error' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1"
+Q["DED3"] = (lambda s, d: _latest(s, d), _LAST.format(""))
 
 
 def _merge(s, d):
-    order = read(s, d, "customer").where("c_custkey < 400").select(F.col("c_custkey").alias("user_id"), "c_name")
-    return joins.upsert(order, _latest(s, d, True), _latest(s, d, False), "user_id", ["event_type", "value"])
+    order = read(s, d, "customer").select(F.col("c_custkey").alias("user_id"), "c_name")
+    cut = F.to_timestamp(F.lit(_CUT))
+    return joins.upsert(order, _latest(s, d, F.col("ts") < cut), _latest(s, d, F.col("ts") >= cut), "user_id", ["event_type", "value"])
 
 
 Q["JOI14"] = (
     _merge,
-    f"SELECT c_custkey AS user_id, c_name, CASE WHEN n.user_id IS NOT NULL THEN n.event_type ELSE o.event_type END AS event_type, CASE WHEN n.user_id IS NOT NULL THEN n.value ELSE o.value END AS value, n.user_id IS NOT NULL AS replaced FROM customer LEFT JOIN ({_LAST.format('<>')}) n ON c_custkey = n.user_id LEFT JOIN ({_LAST.format('=')}) o ON c_custkey = o.user_id WHERE c_custkey < 400 AND (n.user_id IS NOT NULL OR o.user_id IS NOT NULL)",
+    f"SELECT c_custkey AS user_id, c_name, CASE WHEN n.user_id IS NOT NULL THEN n.event_type ELSE o.event_type END AS event_type, CASE WHEN n.user_id IS NOT NULL THEN n.value ELSE o.value END AS value, n.user_id IS NOT NULL AS replaced FROM customer LEFT JOIN ({_LAST.format(f"ts >= TIMESTAMP '{_CUT}' AND")}) n ON c_custkey = n.user_id LEFT JOIN ({_LAST.format(f"ts < TIMESTAMP '{_CUT}' AND")}) o ON c_custkey = o.user_id WHERE n.user_id IS NOT NULL OR o.user_id IS NOT NULL",
 )
 Q["JOI13"] = (
     lambda s, d: read(s, d, "labels").where("quality = 0").join(read(s, d, "documents").select("doc_id", "lang"), "doc_id", "left").select("doc_id", "lang", F.col("lang").isNull().alias("no_prompt")),
@@ -124,15 +128,22 @@ Q["SRC7"] = (
 
 
 def _details(s, d):
-    h = F.col("html")
-    title = readers.strip_tags(F.regexp_extract(h, r"(?is)<h1\b[^>]*>(.*?)</h1>", 1))
-    body = readers.strip_tags(F.regexp_extract(h, r"(?is)<article\b[^>]*>(.*?)</article>", 1))
-    return read(s, d, "pages").select("page_id", F.coalesce(F.nullif(title, F.lit("")), F.lit("Unknown Title")).alias("job_title"), body.alias("raw_jd_text")).where("raw_jd_text <> ''")
+    """Pages whose article is a div of some class, or a section, or of no class that counts."""
+    k = F.col("page_id")
+    tag = F.when(k % 7 == 0, "p").when(k % 2 == 0, "div").otherwise("section")
+    kind = F.when(k % 5 == 0, "x JOB-DESC-text").otherwise("job-desc")
+    html = F.regexp_replace("html", "(?i)</?div[^>]*>", " ")
+    html = F.replace(F.replace(html, F.lit("<article>"), F.concat(F.lit("<"), tag, F.lit(' id="a" class="'), kind, F.lit('">'))), F.lit("</article>"), F.concat(F.lit("</"), tag, F.lit(">")))
+    return readers.details(read(s, d, "pages").select(F.concat(F.lit("/p/"), k).alias("url"), html.alias("html")), "url", "html")
 
 
 _STRIP = lambda x: sql_clean(f"regexp_replace({x}, '<[^>]*>', ' ', 'g')")
 _H1, _ART = r"regexp_extract(html, '(?is)<h1\b[^>]*>(.*?)</h1>', 1)", r"regexp_extract(html, '(?is)<article\b[^>]*>(.*?)</article>', 1)"
-Q["SRC8"] = (_details, f"SELECT * FROM (SELECT page_id, coalesce(nullif({_STRIP(_H1)}, ''), 'Unknown Title') AS job_title, {_STRIP(_ART)} AS raw_jd_text FROM pages) WHERE raw_jd_text <> ''")
+Q["SRC8"] = (_details, f"SELECT * FROM (SELECT '/p/' || page_id AS source_url, coalesce(nullif({_STRIP(_H1)}, ''), 'Unknown Title') AS job_title, {_STRIP(_ART)} AS raw_jd_text FROM pages WHERE page_id % 7 <> 0) WHERE raw_jd_text <> ''")
+Q["SRC7_search"] = (
+    lambda s, d: read(s, d, "nation").select("n_nationkey", F.posexplode(readers.search_pages(F.concat(F.lit("/jobs-"), "n_name"), 3)).alias("n", "url")).select("n_nationkey", "url"),
+    "SELECT n_nationkey, '/jobs-' || n_name || CASE WHEN i > 1 THEN '-' || i ELSE '' END AS url FROM nation, (SELECT unnest([1, 2, 3]) AS i)",
+)
 Q["SRC10"] = (lambda s, d: readers.first_rows(read(s, d, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 75), "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 75")
 #: Markdown lines made of parts: a tier heading, a domain heading, a header row, a separator, table rows.
 _MD_ROWS = 5
@@ -179,7 +190,7 @@ Q["SRC6"] = (
 def _round_trip(name: str, strict: bool):
     def run(s, d):
         """events written as line JSON to the shared folder and read back with an explicit schema."""
-        path = _scratch(s, name)
+        path = scratch(s, name)
         e = read(s, d, "events").select("event_id", "user_id", "event_type", "value", "props")
         sinks.write_jsonl(e, path)
         return readers.jsonl(s, path, "event_id bigint, user_id bigint, event_type string, value double, props string", strict)
@@ -187,14 +198,6 @@ def _round_trip(name: str, strict: bool):
     return run
 
 
-def _scratch(s, name: str) -> str:
-    import tempfile
-    import uuid
-
-    top = s.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="fitloom-")
-    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 _EV = "SELECT event_id, user_id, event_type, value, props FROM events"
 Q["SRC1"] = (_round_trip("src1", True), _EV)
 Q["SNK1"] = (_round_trip("snk1", True), _EV)
@@ -202,7 +205,7 @@ Q["SNK1"] = (_round_trip("snk1", True), _EV)
 
 def _tolerant(s, d):
     """Line JSON with blank, broken and skipped lines among good ones."""
-    path = _scratch(s, "src2")
+    path = scratch(s, "src2")
     k = F.col("event_id")
     good = F.to_json(F.struct(F.col("event_type").alias("job_title"), F.col("user_id").cast("int").alias("min_experience_years"), F.when(k % 5 == 0, "skipped").alias("_status")))
     rows = read(s, d, "events").select(F.when(k % 7 == 1, "").when(k % 7 == 2, F.substring(good, 1, 9)).otherwise(good).alias("value"))
@@ -215,7 +218,7 @@ Q["SRC2"] = (_tolerant, "SELECT event_type AS job_title, count(*) AS n, CAST(sum
 
 def _whole(s, d):
     """One JSON document over several lines, read as a whole."""
-    path = _scratch(s, "src4")
+    path = scratch(s, "src4")
     rows = read(s, d, "nation").select(F.struct("n_nationkey", "n_name").alias("r")).agg(F.array_sort(F.collect_list("r")).alias("a"))
     rows.select(F.to_json("a", {"pretty": "true"}).alias("value")).coalesce(1).write.text(path)
     return readers.whole_json(s, path, "n_nationkey int, n_name string")
@@ -226,18 +229,30 @@ Q["SRC4"] = (_whole, "SELECT n_nationkey, n_name FROM nation")
 
 def _taxonomy(s, d):
     """Role profiles as line JSON with repeated roles; the last of each counts."""
-    path = _scratch(s, "src3")
+    path = scratch(s, "src3")
     p = read(s, d, "part").select("p_partkey", F.to_json(F.struct(F.col("p_brand").alias("role"), F.array("p_name").alias("aliases"), F.array(F.array("p_type")).alias("skill_paths"))).alias("value"))
-    p.coalesce(1).sortWithinPartitions("p_partkey").select("value").write.text(path)
-    return readers.taxonomy(s, path).select("role", "aliases", "skill_paths")
+    p.repartitionByRange("p_partkey").sortWithinPartitions("p_partkey").select("value").write.text(path)
+    return readers.taxonomy(s, path).select("role", F.array_join("aliases", ",").alias("aliases"), F.array_join(F.flatten("skill_paths"), ",").alias("skills"))
+
+
+Q["SRC3"] = (_taxonomy, "SELECT p_brand AS role, p_name AS aliases, p_type AS skills FROM part QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey DESC) = 1")
+
+
+def _appended(s, d):
+    """Events appended in two parts, the second twice and with rows of the first among it: each is there once."""
+    path = scratch(s, "snk2")
+    e = read(s, d, "events").select("event_id", "user_id", "event_type", "value", "props")
+    sinks.append_new(e.where("event_type = 'click'"), path, "event_id")
+    sinks.append_new(e, path, "event_id")
+    sinks.append_new(e, path, "event_id")
+    return readers.jsonl(s, path, "event_id bigint, user_id bigint, event_type string, value double, props string")
 
 
-Q["SRC3"] = (_taxonomy, None)
-Q["SNK2"] = (_round_trip("snk2", False), None)
+Q["SNK2"] = (_appended, _EV)
 
 
 def _pools(s, d):
-    path = _scratch(s, "snk6")
+    path = scratch(s, "snk6")
     sinks.write_pool(readers.companies(_markdown(s, d)), path)
     return s.read.json(path).groupBy("tier").agg(F.count("*").alias("n"))
 
@@ -324,10 +339,10 @@ Q["WIN4_by_group"] = (
 )
 Q["WIN10"] = (lambda s, d: read(s, d, "labels").where("quality = 0").select("doc_id").orderBy("doc_id"), "SELECT doc_id FROM labels WHERE quality = 0 ORDER BY doc_id")
 Q["PRJ9"] = (
-    lambda s, d: read(s, d, "orders").where("o_orderstatus = 'F'").select("o_orderkey", F.row_number().over(Window.partitionBy("o_orderpriority").orderBy("o_orderkey")).cast("long").alias("jd_index"), "o_orderpriority"),
+    lambda s, d: sampling.ordinals(read(s, d, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_orderpriority"), "o_orderpriority", "o_orderkey", "jd_index"),
     "SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS jd_index, o_orderpriority FROM orders WHERE o_orderstatus = 'F'",
 )
-_SYSTEM = "You are a resume analyst. Given a job description and a candidate's resume text, extract the candidate profile and score their fit for the role. Respond with a single valid JSON object — no markdown, no explanation."
+_SYSTEM = "You compare one resume with one job. Read both, note the candidate's role, and answer with a JSON object of the role and a relevance score, and with nothing else."
 
 
 def _chat(s, d):

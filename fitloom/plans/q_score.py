@@ -311,7 +311,7 @@ Q["SCR8"] = (_scored_full, _AXES + f"SELECT {', '.join(_ALL)}, {_SCR8_TEXT} AS r
 Q["WIN1"] = (lambda s, d: _ranked(s, d).select("o_orderkey", "candidate_id", "overall", F.col("rank").cast("long").alias("rank")), _AXES + "SELECT o_orderkey, candidate_id, overall, rank FROM ranked")
 _OK = "CASE preset WHEN 'full_match' THEN overall >= 0.72::DOUBLE WHEN 'balanced' THEN overall >= 0.5::DOUBLE AND overall <= 0.82::DOUBLE WHEN 'hard_negative' THEN overall >= 0.32::DOUBLE AND overall <= 0.72::DOUBLE AND experience_fit <= 0.85::DOUBLE ELSE overall <= 0.45::DOUBLE AND jd_role <> cand_role END"
 Q["FLT1"] = (
-    lambda s, d: flagship.scored(s, d).where(S.fits_preset(F.col("preset"), F.col("overall"), F.col("experience_fit"), F.col("jd_role") == F.col("cand_role"))).select("candidate_id", "preset", "overall"),
+    lambda s, d: corpus.accepted(flagship.scored(s, d).select("candidate_id", "preset", "overall", "experience_fit", "jd_role", "cand_role"), lambda r: S.fits_preset(r["preset"], r["overall"], r["experience_fit"], r["jd_role"] == r["cand_role"])).select("candidate_id", "preset", "overall"),
     _AXES + f"SELECT candidate_id, preset, overall FROM scored WHERE {_OK}",
 )
 _PAIRS = _AXES + "SELECT a.o_orderkey, a.candidate_id AS chosen_id, b.candidate_id AS rejected_id, floor((a.overall - b.overall) * 1000.0::DOUBLE + 0.5::DOUBLE) / 1000.0::DOUBLE AS score_gap FROM ranked a JOIN ranked b ON a.o_orderkey = b.o_orderkey AND a.rank < b.rank"
@@ -338,4 +338,4 @@ Q["PRJ1"] = (
     lambda s, d: flagship.scored(s, d).where("k = 0").select("o_orderkey", F.array_join("jd_skills", ",").alias("core_technical_skills"), F.col("required_years").cast("int").alias("min_experience_years"), F.col("jd_domain").alias("domain"), F.col("jd_manages").alias("is_management_role"), F.col("jd_role").alias("job_title")),
     _AXES + "SELECT o_orderkey, array_to_string(jd_skills, ',') AS core_technical_skills, CAST(required_years AS INT) AS min_experience_years, jd_domain AS domain, jd_manages AS is_management_role, jd_role AS job_title FROM scored WHERE k = 0",
 )
-Q["PRJ2"] = (lambda s, d: flagship.scored(s, d).select("candidate_id", F.struct("inventory", "total_years", "cand_role", "cand_domain").alias("structured_profile"), F.col("preset").alias("profile_preset"), "overall", F.struct(*S.WEIGHTS).alias("score_breakdown")), None)
+Q["PRJ2"] = (lambda s, d: flagship.scored(s, d).select("candidate_id", F.struct("inventory", "total_years", "cand_role", "cand_domain").alias("structured_profile"), F.col("preset").alias("profile_preset"), "overall", F.struct(*S.WEIGHTS).alias("score_breakdown")).select("candidate_id", F.array_join("structured_profile.inventory", ",").alias("skills"), "structured_profile.total_years", "structured_profile.cand_role", "structured_profile.cand_domain", "profile_preset", "overall", "score_breakdown.*"), _AXES + f"SELECT candidate_id, array_to_string(inventory, ',') AS skills, total_years, cand_role, cand_domain, preset AS profile_preset, overall, {', '.join(S.WEIGHTS)} FROM scored")

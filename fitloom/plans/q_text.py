@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import coerce as C
 from ..functions import text as T
-from .tools import ERRORS, LINES_SQL, TITLES, VALUES, contains_sql, first_case, lines_of_orders, pick, read, sql_clean, sql_compact, sql_key, sql_normal, sql_pick, sql_text
+from .tools import ERRORS, LINES_SQL, TITLES, VALUES, contains_sql, first_case, lines_of_orders, pick, read, sql_clean, sql_compact, sql_key, sql_head, sql_normal, sql_pick, sql_text, sql_trim
 
 Q: dict = {}
 
@@ -24,28 +24,13 @@ def sampled(name: str, values: list[str], fn, sql: str) -> None:
     )
 
 
-def _head(x: str) -> str:
-    return f"trim(regexp_replace({x}, ' [^ ]*$', ''))"
-
-
-def _tail(x: str) -> str:
-    return f"trim(regexp_replace({x}, '^[^ ]* ', ''))"
-
-
-def _trim(x: str, most: int, head: int, tail: int, or_: bool) -> str:
-    h, t = _head(f"substr({x}, 1, {head})"), _tail(f"right({x}, {tail})")
-    whole = f"trim(substr({x}, 1, {most}))"
-    cases = f"WHEN {h} = '' OR {t} = '' THEN {whole}" if or_ else f"WHEN {h} = '' THEN {whole} WHEN {t} = '' THEN {h}"
-    return f"CASE WHEN length({x}) <= {most} THEN {x} ELSE CASE {cases} ELSE {h} || '{T.CUT}' || {t} END END"
-
-
 docs("TXT1", T.clean, sql_clean("text"))
 docs("TXT2", T.normal, sql_normal("text"))
 docs("TXT3", T.compact, sql_compact("text"))
 docs("TXT5", T.token_estimate, "CAST(greatest(1, floor((length(text) + 3) / 4)) AS INT)")
-docs("TXT6", lambda c: T.trim_budget(c, 300), _trim(sql_clean("text"), 1200, 840, 347, False))
-docs("TXT7", lambda c: T.trim_chars(c, 2500), _trim(sql_clean("text"), 2500, 1800, 687, True))
-docs("TXT8", T.summary, f"CASE WHEN length({sql_clean('text')}) > 700 THEN {_head(f'substr({sql_clean("text")}, 1, 700)')} ELSE {sql_clean('text')} END")
+docs("TXT6", lambda c: T.trim_budget(c, 300), sql_trim(sql_clean("text"), 1200, 840, 347, False))
+docs("TXT7", lambda c: T.trim_chars(c, 2500), sql_trim(sql_clean("text"), 2500, 1800, 687, True))
+docs("TXT8", T.summary, f"CASE WHEN length({sql_clean('text')}) > 700 THEN {sql_head(f'substr({sql_clean("text")}, 1, 700)')} ELSE {sql_clean('text')} END")
 docs("FLT6", T.looks_complete, "(" + " OR ".join(rf"ends_with(regexp_replace(coalesce(text, ''), '\s+$', ''), '{e}')" for e in T.COMPLETE_ENDINGS) + ")")
 docs("JSN7", lambda c: F.to_json(F.struct(F.length(c).alias("n"), F.lit("x").alias("k"))), """'{"n":' || CAST(length(text) AS VARCHAR) || ',"k":"x"}'""")
 

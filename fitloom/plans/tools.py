@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import CUT
 from .flagship import read
 
-__all__ = ["read", "pick", "sql_pick", "sql_text", "sql_list", "sql_clean", "sql_normal", "sql_compact", "sql_key", "sql_match", "sql_u", "contains_sql", "first_case", "lines_of_orders", "LINES_SQL"]
+__all__ = ["read", "pick", "sql_pick", "sql_text", "sql_list", "sql_clean", "sql_normal", "sql_compact", "sql_key", "sql_match", "sql_u", "contains_sql", "first_case", "lines_of_orders", "LINES_SQL", "scratch", "stored", "sql_trim", "sql_head"]
 
 TITLES = ["Senior Java Developer", "Data Engineer II", "Principal Cloud Architect", "DevOps / SRE Lead", "Frontend Developer", "iOS Engineer", "Product Manager", "QA Automation", "", "Machine Learning Engineer", "Full Stack Developer (MERN)", "Database Administrator", "UI/UX Designer", "Site Reliability Engineer", "Back End Dev", "Guidewire Billing Developer", "Head of Engineering", "Android Developer III", "Security Analyst", "Office Clerk"]
 SKILLS = ["react js", "REST API", "aws (ec2, s3)", "CI/CD", "ci cd pipelines", "JavaScript/TypeScript", "ECS/EKS", "machine learning algorithms", "leadership", "Azure Synapse Analytics", "data quality frameworks", "agile methodologies", "oracle 12c database", "rest", "apis", "sql", "docker", "JENKINS", "Spring  Boot", "Java / Kotlin / Scala", "a/b/c/d", "", "  ", "AI", "helm chart", "Node JS", "postgres", "PostgreSQL", "Redis–Cluster", "gcp", "Azure (AKS)", "problem solving", "C#", "grafana", "ChatGPT", "Kafka", "kafka", "vector databases", "public, private and hybrid cloud technologies", "dbt"]
@@ -61,6 +65,21 @@ def sql_u(key: str, salt: str, i: str = "0") -> str:
     return f"((('0x' || substr(md5(CAST({key} AS VARCHAR) || '|{salt}|' || CAST({i} AS VARCHAR)), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)"
 
 
+def sql_head(x: str) -> str:
+    return f"trim(regexp_replace({x}, ' [^ ]*$', ''))"
+
+
+def sql_tail(x: str) -> str:
+    return f"trim(regexp_replace({x}, '^[^ ]* ', ''))"
+
+
+def sql_trim(x: str, most: int, head: int, tail: int, or_: bool) -> str:
+    h, t = sql_head(f"substr({x}, 1, {head})"), sql_tail(f"right({x}, {tail})")
+    whole = f"trim(substr({x}, 1, {most}))"
+    cases = f"WHEN {h} = '' OR {t} = '' THEN {whole}" if or_ else f"WHEN {h} = '' THEN {whole} WHEN {t} = '' THEN {h}"
+    return f"CASE WHEN length({x}) <= {most} THEN {x} ELSE CASE {cases} ELSE {h} || '{CUT}' || {t} END END"
+
+
 def contains_sql(x: str, words: list[str]) -> str:
     return "(" + " OR ".join(f"contains({x}, {sql_text(w)})" for w in words) + ")"
 
@@ -70,6 +89,21 @@ def first_case(x: str, pairs: list[tuple[str, str]], other: str) -> str:
     return "CASE " + " ".join(f"WHEN contains({x}, {sql_text(w)}) THEN {out}" for w, out in pairs) + f" ELSE {other} END"
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that executors share; only a local master, as in tests, may do without one."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{(top or 'file://' + tempfile.mkdtemp(prefix='fitloom-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table in the shared folder."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def lines_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(l_orderkey, body): an order's lines as 'NAME at BRAND (n years)', one below the other."""
     line = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))

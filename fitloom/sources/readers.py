@@ -20,10 +20,15 @@ SCORES = ("index int, job_title string, overall_relevance_score double, skill_co
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, value) of text files.  A file is read by one task, so its lines keep their
-    numbers: row ids within a task count up without gaps from that file's first."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "value"))
-    return raw.withColumn("line_no", F.col("line_no") + 1)
+    """(file, line_no, value) of text files.  A large file is read in blocks: lines are numbered within their
+    block, in the order that its task reads them, and blocks start where the counts of those before end."""
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__id"))
+    counts = raw.groupBy(F.col("file").alias("__f"), F.col("__block").alias("__b")).agg(F.count("*").alias("__many"))
+    before = F.sum("__many").over(Window.partitionBy("__f").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("__f", "__b", F.coalesce(before, F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("file", "__block").orderBy("__id"))
+    both = raw.withColumn("__n", place).join(counts, (F.col("file") == F.col("__f")) & (F.col("__block") == F.col("__b")))
+    return both.select("file", (F.col("__before") + F.col("__n")).alias("line_no"), "value")
 
 
 def jsonl(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
@@ -41,11 +46,11 @@ def jds(spark: SparkSession, path: str) -> DataFrame:
 
 
 def taxonomy(spark: SparkSession, path: str) -> DataFrame:
-    """Role profiles, the last of each role; a profile without a role fails the query."""
-    numbered = lines(spark, path).where(F.trim("value") != "").select("line_no", F.from_json("value", PROFILE).alias("p"))
+    """Role profiles, the last of each role, files in the order of their names; a profile without a role fails the query."""
+    numbered = lines(spark, path).where(F.trim("value") != "").select("file", "line_no", F.from_json("value", PROFILE).alias("p"))
     role = F.when(F.col("p.role").isNotNull(), F.col("p.role")).otherwise(F.raise_error(F.lit("a role profile has no role")).cast("string"))
-    last = numbered.select("line_no", F.col("p").withField("role", role).alias("p")).select("line_no", "p.*").withColumn("__n", F.row_number().over(Window.partitionBy("role").orderBy(F.desc("line_no"))))
-    return last.where("__n = 1").drop("__n").withColumnRenamed("line_no", "ord")
+    last = numbered.select("file", "line_no", F.col("p").withField("role", role).alias("p")).select("file", "line_no", "p.*").withColumn("__n", F.row_number().over(Window.partitionBy("role").orderBy(F.desc("file"), F.desc("line_no"))))
+    return last.where("__n = 1").drop("__n", "file").withColumnRenamed("line_no", "ord")
 
 
 def whole_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -57,19 +62,35 @@ def first_rows(df: DataFrame, by: str, limit: int) -> DataFrame:
     return df.orderBy(by).limit(limit) if limit > 0 else df
 
 
+#: Lines that one task fills headings in.
+CHUNK = 1 << 16
+
+
+def filled(numbered: DataFrame, columns: list[str]) -> DataFrame:
+    """Columns with nulls replaced by the last value before, by line_no, within a file if there is a column of
+    that name.  Lines are filled in chunks; what a chunk starts with comes from the last values of the chunks before it."""
+    file = F.col("file") if "file" in numbered.columns else F.lit("")
+    rows = numbered.withColumns({"__file": file, "__chunk": F.floor(F.col("line_no") / CHUNK)})
+    last = rows.groupBy("__file", "__chunk").agg(*(F.max_by(c, F.when(F.col(c).isNotNull(), F.col("line_no"))).alias(c) for c in columns))
+    w = Window.partitionBy("__file").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    start = last.select(F.col("__file").alias("__f"), F.col("__chunk").alias("__c"), *(F.last(c, True).over(w).alias(f"__start{i}") for i, c in enumerate(columns)))
+    w = Window.partitionBy("__file", "__chunk").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    both = rows.withColumns({c: F.last(c, True).over(w) for c in columns}).join(start, (F.col("__file") == F.col("__f")) & (F.col("__chunk") == F.col("__c")))
+    return both.withColumns({c: F.coalesce(c, f"__start{i}") for i, c in enumerate(columns)}).drop("__file", "__chunk", "__f", "__c", *(f"__start{i}" for i in range(len(columns))))
+
+
 def companies(numbered: DataFrame) -> DataFrame:
     """Company rows of Markdown pipe tables under sticky tier and domain headings.
 
     numbered has line_no and value (and file, if of several files).
     """
-    by = ["file"] if "file" in numbered.columns else []
-    w = Window.partitionBy(*by).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     t = F.trim("value")
     digit = F.regexp_extract(t, r"(?i)## TIER (\d)", 1)
     special = F.upper(t).contains("## SPECIALIZED SECTORS")
     heading = F.when(digit != "", F.concat(F.lit("tier_"), digit)).when(special, "specialized")
     domain = F.when(heading.isNull() & t.startswith("### "), F.trim(F.replace(t, F.lit("### "), F.lit(""))))
-    rows = numbered.select("*", F.last(heading, True).over(w).alias("__tier"), F.coalesce(F.last(domain, True).over(w), F.lit("General Software Engineering")).alias("domain"), F.split(t, r"\|").alias("__parts"), t.alias("__line"))
+    rows = filled(numbered.withColumns({"__tier": heading, "__domain": domain}), ["__tier", "__domain"])
+    rows = rows.select("*", F.coalesce("__domain", F.lit("General Software Engineering")).alias("domain"), F.split(t, r"\|").alias("__parts"), t.alias("__line"))
     table = rows.where(F.col("__line").startswith("|") & ~F.col("__line").contains("Company") & ~F.col("__line").contains("---") & (F.size("__parts") >= 6))
     cell = lambda i: F.trim(F.col("__parts")[i])
     paid = pay_tier(largest_number(cell(2)))

@@ -299,11 +299,13 @@ def _flags(docs: DataFrame, n: int, percent: int) -> DataFrame:
     label = F.coalesce("v", "node")
     classes = classes.select("key", "node", "least", "text_hash").join(found.withColumnRenamed("u", "node"), "node", "left").withColumn("label", label).drop("v")
     # a label is the least id of its component but for classes whose id another class has as well
-    hidden = classes.where((F.col("node") >= _SURROGATE) & (F.col("least") < int(NO_ID))).groupBy("label").agg(F.min(F.struct("least", "node")).alias("hidden"))
-    classes = classes.join(hidden, "label", "left")
-    behind = F.coalesce(F.col("hidden.least") < F.col("label"), F.lit(False))
-    component = F.when(behind, F.col("hidden.least")).when(F.col("label") < _SURROGATE, F.col("label"))
-    stands = F.col("node") == F.when(behind, F.col("hidden.node")).otherwise(F.col("label"))
+    hidden, _ = stored(classes.where((F.col("node") >= _SURROGATE) & (F.col("least") < int(NO_ID))).groupBy("label").agg(F.min(F.struct("least", "node")).alias("hidden")), "hidden")
+    component, stands = F.when(F.col("label") < _SURROGATE, F.col("label")), F.col("node") == F.col("label")
+    if not hidden.isEmpty():
+        classes = classes.join(hidden, "label", "left")
+        behind = F.coalesce(F.col("hidden.least") < F.col("label"), F.lit(False))
+        component = F.when(behind, F.col("hidden.least")).otherwise(component)
+        stands = F.col("node") == F.when(behind, F.col("hidden.node")).otherwise(F.col("label"))
     classes = classes.select("key", component.alias("component"), stands.alias("stands"), "least", "text_hash")
     out = made.select("doc_id", "__hash", "n_shingles", "key").join(classes, "key", "left").withColumn("component", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component")))
     first = F.col("stands") & (own == F.col("least")) & (F.col("__hash") == F.col("text_hash"))

@@ -34,7 +34,7 @@ from .frames import dealt, give_back, ids, lean_group, parts, schema, table, tex
 
 ANCHOR = 5
 #: Documents that one copy of a reference piece serves, about; shards for each part.
-SERVES, SHARDS = 1024, 4
+SERVES, SHARDS = 256, 4
 _ANSWER = np.dtype([("anchor", "u8"), ("doc", "i8"), ("docs", "i8")])
 _SEEN = np.dtype([("anchor", "u8"), ("low", "i8"), ("docs", "i4")])
 _SPOT = np.dtype([("doc", "i8"), ("text", "u8"), ("at", "i4")])

@@ -29,6 +29,7 @@ PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\
 _RUNS = [regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+")]
 #: Pieces that no pre-token crosses: an optional blank with what isn't white space, or white space.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_BLANK = re.compile(rf"[{_WHITE}]+")
 _UNITS = re.compile(rf" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 CHUNK = 1 << 16
 _CACHE = 200_000
@@ -194,9 +195,20 @@ class Encoder:
         return array("I", out).tobytes()
 
     def feed(self, text: str) -> bytes:
-        """Packed ids that are stable by now.  White space, and a piece that may go on, are held back."""
+        """Packed ids that are stable by now.  What may go on is held back: of a long run of white space the
+        last character, which may belong to the next piece, of other long runs nothing but the transducer's state."""
         out = []
-        if self.run:  # inside a long run of one class
+        if self.run is _BLANK:
+            m = self.run.match(text)
+            inner = m.end() if m else 0
+            white, text = self.held + text[:inner], text[inner:]
+            self.held = white[-1:]
+            out.append(np.array(self.pipe.feed(white[:-1].encode()), np.uint32).tobytes())
+            if not text:
+                return b"".join(out)
+            out.append(np.array(self.pipe.finish(), np.uint32).tobytes())
+            self.run = None
+        elif self.run:  # inside a long run of one class
             m = self.run.match(text)
             inner = m.end() if m else 0
             out.append(np.array(self.pipe.feed(text[:inner].encode()), np.uint32).tobytes())
@@ -215,8 +227,12 @@ class Encoder:
         get = self.cache.get
         out += [get(u) or self._piece(u) for u in units]
         self.held = last
-        if len(last) > max(8, CHUNK) and not last.isspace():
-            out.append(self._long(last))
+        if len(last) > max(8, CHUNK):
+            if _BLANK.fullmatch(last):
+                self.held, self.run = last[-1], _BLANK
+                out.append(np.array(self.pipe.feed(last[:-1].encode()), np.uint32).tobytes())
+            elif not last.isspace():
+                out.append(self._long(last))
         return b"".join(out)
 
     def _long(self, unit: str) -> bytes:
@@ -239,6 +255,9 @@ class Encoder:
 
     def finish(self) -> bytes:
         out = []
+        if self.run is _BLANK:  # at the end all of the white space is one piece
+            out.append(np.array(self.pipe.feed(self.held.encode()), np.uint32).tobytes())
+            self.held = ""
         if self.run:
             out.append(np.array(self.pipe.finish(), np.uint32).tobytes())
             self.run = None

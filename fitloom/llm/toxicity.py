@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .frames import map_texts, schema, slices, texts, with_columns
+from .frames import map_texts, removed, schema, slices, stored, texts, with_columns
 
 #: Bytes of a word start.
 START = 5
-#: Labelled rows that training takes at most: those of least hash of the id.
-SAMPLE = 5_000
+#: Labelled rows that training takes at most: those of least hash of the id.  Their features are counted on the
+#: executors; only features with a weight reach the driver.
+SAMPLE = 20_000
 #: Features in fewer of these rows, or with a chi-squared statistic against toxicity below CHI times the
 #: logarithm of the number of features tested, have no weight.
 LEAST, CHI = 3, 2.5
@@ -62,14 +63,25 @@ class Ordinal:
         return _sigmoid(score[:, None] - self.thresholds[None, :])
 
 
-def fit(row: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray, steps: int = 400, rate: float = 0.05, ridge: float = 1e-4) -> Ordinal:
-    """Penalised maximum likelihood by Adam; thresholds are a first one and positive gaps."""
+def telling(has: np.ndarray, pos: np.ndarray, rows: int, toxic: int, tested: int) -> np.ndarray:
+    """Which features get a weight: has and pos are the rows, and the toxic rows, that each is in."""
+    share = toxic / rows if rows else 0.0
+    chi = (pos - has * share) ** 2 / np.maximum(1e-9, has * share * (1 - share) * (1 - has / (rows + 1)))
+    return (has >= LEAST) & (chi >= CHI * np.log(max(2, tested)))
+
+
+def marking(pos: np.ndarray, has: np.ndarray, rows: int, toxic: int) -> np.ndarray:
+    """Which features are at least 20 times as frequent in toxic texts as in others."""
+    return (pos >= LEAST) & (pos / max(1, toxic) > 20 * (has - pos + 0.5) / max(1, rows - toxic))
+
+
+def fit(row: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray, steps: int = 400, rate: float = 0.05, tested: int | None = None) -> Ordinal:
+    """Maximum likelihood by Adam; thresholds are a first one and positive gaps.  tested is the number of
+    features that there were, if only some are given."""
     n, k = len(grade), max(1, int(grade.max(initial=0)))
     names, feature = np.unique(feature, return_inverse=True)
-    has, pos = np.bincount(feature), np.bincount(feature[grade[row] > 0], minlength=len(names))
-    share = (grade > 0).mean() if n else 0.0
-    chi = (pos - has * share) ** 2 / np.maximum(1e-9, has * share * (1 - share) * (1 - has / (n + 1)))
-    good = (has >= LEAST) & (chi >= CHI * np.log(max(2, len(names))))
+    has, pos = np.bincount(feature, minlength=len(names)), np.bincount(feature[grade[row] > 0], minlength=len(names))
+    good = telling(has, pos, n, int((grade > 0).sum()), tested or len(names))
     use = good[feature]
     row, feature, value = row[use], (np.cumsum(good) - 1)[feature[use]], value[use]
     names = names[good]
@@ -100,12 +112,10 @@ def fit(row: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarr
 
 
 def severity(row: np.ndarray, feature: np.ndarray, value: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Grades 0, 1, 2 from 0/1 labels: toxic texts are cut at the median of their markers' summed values.
-    Markers are features at least 20 times as frequent in toxic texts as in others."""
-    _, feature = np.unique(feature, return_inverse=True)
-    ones, zeros = max(1, toxic.sum()), max(1, (1 - toxic).sum())
-    here, there = (np.bincount(feature[toxic[row] == y], minlength=feature.max(initial=0) + 1) for y in (1, 0))
-    marker = (here >= LEAST) & (here / ones > 20 * (there + 0.5) / zeros)
+    """Grades 0, 1, 2 from 0/1 labels: toxic texts are cut at the median of their markers' summed values."""
+    names, feature = np.unique(feature, return_inverse=True)
+    has, pos = np.bincount(feature, minlength=len(names)), np.bincount(feature[toxic[row] == 1], minlength=len(names))
+    marker = marking(pos, has, len(toxic), int(toxic.sum()))
     mass = np.bincount(row, value * marker[feature], len(toxic))
     middle = np.median(mass[toxic == 1]) if toxic.any() else 0
     return np.where(toxic == 0, 0, np.where(mass > middle, 2, 1))
@@ -137,7 +147,10 @@ def distinct(sketches: np.ndarray) -> list[int]:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "toxic") -> Ordinal:
     """Fits on at most `sample` labelled rows, whole texts, near copies left out.  Rows with a null id or label are left out; of
-    labels that repeat an id the greatest counts.  Without any rows the model calls nothing toxic."""
+    labels that repeat an id the greatest counts.  Without any rows the model calls nothing toxic.
+
+    The driver gets sketches and labels of these rows, and of their features those that tell or mark: at least
+    LEAST rows have each of them."""
     given = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("__label"))
     given = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(given), "doc_id")  # given has `sample` rows at most
@@ -152,15 +165,61 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str =
                 marks = pa.array([x.tobytes() for x in sketch(raw)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("__label"), *pack, marks], names=["doc_id", "label", "f", "v", "marks"])
 
-    got = map_texts(rows.withColumn("doc_id", F.col("doc_id").cast("long")), run, schema(None, doc_id="long", label="int", f="binary", v="binary", marks="binary")).toArrow()
-    if not got.num_rows:
-        return Ordinal(np.zeros(0, np.uint64), np.zeros(0), np.array([10.0]))
-    got = got.sort_by([("doc_id", "ascending"), ("marks", "ascending")])
-    got = got.take(distinct(np.frombuffer(b"".join(got.column("marks").to_pylist()), np.uint64).reshape(-1, LOOKS)))
+    made = map_texts(rows.withColumn("doc_id", F.col("doc_id").cast("long")), run, schema(None, doc_id="long", label="int", f="binary", v="binary", marks="binary"))
+    made, path = stored(made.withColumn("own", F.xxhash64("doc_id", "f")), "labelled")
+    seen = made.select("doc_id", "own", "marks", "label").toArrow().sort_by([("doc_id", "ascending"), ("own", "ascending")])
+    try:
+        if not seen.num_rows:
+            return Ordinal(np.zeros(0, np.uint64), np.zeros(0), np.array([10.0]))
+        seen = seen.take(distinct(np.frombuffer(b"".join(seen.column("marks").to_pylist()), np.uint64).reshape(-1, LOOKS)))
+        return _fitted(made, np.unique(seen.column("own").to_numpy()))
+    finally:
+        removed(docs.sparkSession, path)
+
+
+def _fitted(made: DataFrame, kept: np.ndarray) -> Ordinal:
+    """The model of the rows of these numbers; rows alike count once."""
+    spark = made.sparkSession
+    chosen = spark.sparkContext.broadcast(kept)  # SAMPLE numbers at most
+
+    def count(batches):
+        for batch in batches:
+            use = batch.filter(pa.array(np.isin(batch.column("own").to_numpy(), chosen.value)))
+            f, label = (use.column(c).to_pylist() for c in ("f", "label"))
+            every = np.frombuffer(b"".join(f), np.int64)
+            toxic = np.repeat(np.array(label) > 0, [len(x) // 8 for x in f]) if f else np.zeros(0, bool)
+            name, which = np.unique(every, return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(np.bincount(which, minlength=len(name)).astype(np.int64)), pa.array(np.bincount(which[toxic], minlength=len(name)).astype(np.int64))], names=["f", "has", "pos"])
+
+    each = made.dropDuplicates(["own"])
+    labelled = each.select("own", "label").toArrow()
+    toxic = labelled.column("label").to_numpy()[np.isin(labelled.column("own").to_numpy(), kept)] > 0
+    n, ones = len(toxic), int(toxic.sum())
+    counts = map_texts(each.select("own", "label", "f"), count, schema(None, f="long", has="long", pos="long")).groupBy("f").agg(F.sum("has").alias("has"), F.sum("pos").alias("pos"))
+    counts, path = stored(counts, "counts")
+    tested = counts.count()
+    some = counts.where(F.col("has") >= LEAST).toArrow()
+    has, pos = some.column("has").to_numpy(), some.column("pos").to_numpy()
+    names = np.sort(some.column("f").to_numpy()[telling(has, pos, n, ones, tested) | marking(pos, has, n, ones)].view(np.uint64))
+    known = spark.sparkContext.broadcast(names)
+
+    def pick(batches):
+        for batch in batches:
+            use = batch.filter(pa.array(np.isin(batch.column("own").to_numpy(), chosen.value)))
+            f, v = [], []
+            for a, b in zip(use.column("f").to_pylist(), use.column("v").to_pylist(), strict=True):
+                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.float32)
+                hit = np.isin(a, known.value)
+                f.append(a[hit].tobytes())
+                v.append(b[hit].tobytes())
+            yield pa.RecordBatch.from_arrays([use.column("own"), use.column("label"), pa.array(f, pa.binary()), pa.array(v, pa.binary())], names=["own", "label", "f", "v"])
+
+    got = map_texts(each.select("own", "label", "f", "v"), pick, schema(None, own="long", label="int", f="binary", v="binary")).toArrow().sort_by("own")
+    removed(spark, path)
     f, v = (np.frombuffer(b"".join(got.column(n).to_pylist()), t) for n, t in (("f", np.uint64), ("v", np.float32)))
     row = np.repeat(np.arange(got.num_rows), [len(x) // 8 for x in got.column("f").to_pylist()])
     y = (got.column("label").to_numpy() > 0).astype(int)
-    return fit(row, f, v, severity(row, f, v, y))
+    return fit(row, f, v, severity(row, f, v, y), tested=tested)
 
 
 def predict(docs: DataFrame, model: Ordinal, limit: float = 0.4) -> DataFrame:

@@ -42,10 +42,27 @@ def matched(required: Column, observed_compact: Column) -> Column:
     return matched_pairs(paired(required), observed_compact)
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value worked out once: lambdas have no common subexpressions."""
+    return F.transform(F.array(value), body)[0]
+
+
 def matched_pairs(pairs: Column, observed_compact: Column) -> Column:
-    """The same of items that are paired with their compact forms already."""
-    hits = F.filter(pairs, lambda r: F.exists(observed_compact, lambda o: compact_match(r["c"], o)))
-    return distinct_in_order(F.transform(hits, lambda r: r["x"]))
+    """The same of items that are paired with their compact forms already.
+
+    All observed forms as one text, between bars, tell by one search whether an item equals one of them or is
+    within one.  Observed forms that may be within an item are first sought in the text of all items, so that
+    items are held against these few one by one, and not against all."""
+
+    def hits(text: Column, near: Column) -> Column:
+        equal = lambda c: text.contains(F.concat(F.lit("|"), c, F.lit("|")))
+        within = lambda c: (F.length(c) >= 4) & text.contains(c)
+        return F.filter(pairs, lambda r: (r["c"] != "") & (equal(r["c"]) | within(r["c"]) | F.exists(near, lambda o: r["c"].contains(o))))
+
+    whole = F.concat(F.lit("|"), F.array_join(observed_compact, "|"), F.lit("|"))
+    items = F.array_join(F.transform(pairs, lambda r: r["c"]), "|")
+    few = let(items, lambda t: F.filter(observed_compact, lambda o: (F.length(o) >= 4) & t.contains(o)))
+    return distinct_in_order(F.transform(let(whole, lambda t: let(few, lambda n: hits(t, n))), lambda r: r["x"]))
 
 
 def unmatched(catalogue: Column, known_compact: Column) -> Column:

@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean, is_overflow, looks_complete, quality_ok, trim_budget, trim_chars
+from ..functions.coerce import retry_after
+from ..functions.text import clean, error_message, is_overflow, looks_complete, quality_ok, trim_budget, trim_chars
 
 # Fields that a structured record and a judge's answer must have.
 RECORD_FIELDS = ["job_title", "min_experience_years", "core_technical_skills", "domain", "is_management_role", "education_requirement", "max_notice_period_days", "executive_summary"]
@@ -35,6 +36,12 @@ class CallError(Exception):
         self.status, self.retry_after, self.overflow = status, retry_after, overflow
 
 
+def error_fields(payload: Column, status: Column, wait: Column) -> Column:
+    """What a CallError carries, of a table of responses: message, status, retry_after and overflow."""
+    message = error_message(payload, status)
+    return F.struct(message.alias("message"), status.alias("status"), retry_after(wait).alias("retry_after"), is_overflow(message).alias("overflow"))
+
+
 @dataclass
 class Limiter:
     """At most `rpm` calls a minute, shared by `tasks` tasks; time and sleep can be replaced in tests."""

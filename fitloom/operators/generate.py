@@ -56,11 +56,6 @@ def by_value(c: Column, values: dict[str, Column | float | str], other=None) ->
     return out.otherwise(other if isinstance(other, Column) else F.lit(other)) if other is not None else out
 
 
-def let(value: Column, body) -> Column:
-    """body(value) with the value worked out once: lambdas have no common subexpressions."""
-    return F.transform(F.array(value), body)[0]
-
-
 def strings(values: list[str]) -> Column:
     return F.array(*map(F.lit, values))
 
@@ -209,11 +204,11 @@ def figures(stage: Column, architecture: Column, target: Column, branches: list[
     at = rng.integer(key, salt + ".map", F.lit(1), F.when(stage == "entry", 3).otherwise(4))
     one = F.concat((rng.integer(key, salt + ".a", 2, 9) * size).cast("string"), F.lit("k+"))
     other = F.concat(F.lit("<"), rng.integer(key, salt + ".b", 1, 5).cast("string"), F.lit("%"))
-    two = lambda b: let(at, lambda i: F.create_map(F.element_at(b, i), one, F.element_at(b, i + 1), other))
+    two = lambda b: M.let(at, lambda i: F.create_map(F.element_at(b, i), one, F.element_at(b, i + 1), other))
     low, none = F.lower(architecture), F.create_map().cast("map<string,string>")
     event = F.when(low.contains("event"), F.create_map(F.lit("events"), F.lit("1M+/day"))).otherwise(none)
     serverless = F.when(low.contains("serverless"), F.create_map(F.lit("autoscaling"), F.lit("0 to 1k in 1 min"))).otherwise(none)
-    return F.map_concat(let(let(normal(target), branch_of), two), event, serverless)
+    return F.map_concat(M.let(M.let(normal(target), branch_of), two), event, serverless)
 
 
 def label(target: Column, key: Column, salt: str) -> Column:
@@ -225,7 +220,7 @@ def label(target: Column, key: Column, salt: str) -> Column:
             out = out.when(d.contains(fragment), strings(labels))
         return out.otherwise(strings(GENERAL_LABELS))
 
-    return let(normal(target), lambda d: let(of(d), lambda a: rng.pick(a, key, salt)))
+    return M.let(normal(target), lambda d: M.let(of(d), lambda a: rng.pick(a, key, salt)))
 
 
 def project_name(name: Column, target: Column, key: Column, salt: str) -> Column:
@@ -235,14 +230,14 @@ def project_name(name: Column, target: Column, key: Column, salt: str) -> Column
         overlap = F.arrays_overlap(words, F.split(plain, " "))
         suffix = rng.pick(F.filter(strings(SUFFIXES), lambda x: (F.lower(x) != plain) & (F.lower(x) != F.element_at(words, -1))), key, salt + ".suffix")
         variants = lambda long: F.array_distinct(F.array(base, long, F.when(overlap, long).otherwise(F.concat(base, F.lit(" for "), ctx)), F.when(overlap, F.concat(base, F.lit(" Engine"))).otherwise(F.concat(ctx, F.lit(" "), suffix))))
-        return let(F.concat(base, F.lit(" "), suffix), lambda long: let(variants(long), lambda a: rng.pick(a, key, salt + ".variant")))
+        return M.let(F.concat(base, F.lit(" "), suffix), lambda long: M.let(variants(long), lambda a: rng.pick(a, key, salt + ".variant")))
 
-    return let(F.initcap(name), lambda base: let(F.split(normal(base), " "), lambda words: let(label(target, key, salt + ".ctx"), lambda ctx: let(normal(ctx), lambda plain: of(base, words, ctx, plain)))))
+    return M.let(F.initcap(name), lambda base: M.let(F.split(normal(base), " "), lambda words: M.let(label(target, key, salt + ".ctx"), lambda ctx: M.let(normal(ctx), lambda plain: of(base, words, ctx, plain)))))
 
 
 def problem(text: Column, target: Column, stage: Column, key: Column, salt: str) -> Column:
     tail = lambda ctx: by_value(stage, {"entry": F.concat(F.lit("Aimed at "), ctx, F.lit(" users.")), "mid": F.concat(F.lit("Served the "), ctx, F.lit(" domain under load.")), "senior": F.concat(F.lit("Supports "), ctx, F.lit(" at scale."))})
-    return F.concat(text, F.lit(" "), let(label(target, key, salt + ".ctx"), tail))
+    return F.concat(text, F.lit(" "), M.let(label(target, key, salt + ".ctx"), tail))
 
 
 def templates_for(templates: Column, skills_compact: Column, stage: Column, key: Column) -> Column:
@@ -267,14 +262,14 @@ def projects(chosen: Column, recent: Column, recent_compact: Column, skills: Col
     def tech_of(acc: Column, t: Column, own: Column) -> Column:
         """Up to four: own ones first, then of the recent stack and the skills what is new."""
         rest = F.transform(F.array_distinct(F.concat(recent, skills)), lambda x: F.struct(x.alias("x"), M.compact(x).alias("c")))
-        fresh = let(M.compacted(own), lambda mine: F.filter(rest, lambda r: ~F.exists(F.concat(acc["seen"], mine), lambda o: M.compact_match(r["c"], o))))
+        fresh = M.let(M.compacted(own), lambda mine: F.filter(rest, lambda r: ~F.exists(F.concat(acc["seen"], mine), lambda o: M.compact_match(r["c"], o))))
         more = F.slice(F.transform(fresh, lambda r: r["x"]), F.lit(1), F.greatest(F.lit(0), F.lit(4) - F.size(own)))
-        return let(F.slice(M.distinct_in_order(F.concat(own, more)), 1, 6), lambda a: F.when(F.size(a) > 0, a).otherwise(F.slice(M.distinct_in_order(F.concat(t["skills"], skills)), 1, 4)))
+        return M.let(F.slice(M.distinct_in_order(F.concat(own, more)), 1, 6), lambda a: F.when(F.size(a) > 0, a).otherwise(F.slice(M.distinct_in_order(F.concat(t["skills"], skills)), 1, 4)))
 
     def signals_of(acc: Column, t: Column) -> Column:
         extra = by_value(stage, {k: strings(v) for k, v in EXTRA_IMPACTS.items()})
         fresh = F.filter(M.distinct_in_order(F.concat(t["outcomes"], shuffled(extra, key, "extra"))), lambda x: ~F.array_contains(acc["impacts"], x))
-        return let(fresh, lambda a: F.slice(shuffled(F.when(F.size(a) > 0, a).otherwise(extra), key, "impact"), 1, 2))
+        return M.let(fresh, lambda a: F.slice(shuffled(F.when(F.size(a) > 0, a).otherwise(extra), key, "impact"), 1, 2))
 
     def row_of(acc: Column, t: Column, tech: Column, shape: Column, signals: Column) -> Column:
         why = F.concat(F.lit("Extends the "), F.array_join(lead, ", "), F.lit(" stack of the candidate's experience."), F.when(manages, " It also shows coordination.").otherwise(""))
@@ -287,8 +282,8 @@ def projects(chosen: Column, recent: Column, recent_compact: Column, skills: Col
 
     def add(acc: Column, t: Column) -> Column:
         shapes = M.distinct_in_order(F.concat(t["architecture"], F.when(deployment > 0.65, strings(["Event-Driven", "Serverless"])).otherwise(none)))
-        shape = F.coalesce(let(shapes, lambda a: rng.pick(a, key, "shape", F.size(acc["done"]))), F.lit("Microservices"))
-        return let(own_of(acc, t), lambda own: let(tech_of(acc, t, own), lambda tech: let(shape, lambda sh: let(signals_of(acc, t), lambda sig: row_of(acc, t, tech, sh, sig)))))
+        shape = F.coalesce(M.let(shapes, lambda a: rng.pick(a, key, "shape", F.size(acc["done"]))), F.lit("Microservices"))
+        return M.let(own_of(acc, t), lambda own: M.let(tech_of(acc, t, own), lambda tech: M.let(shape, lambda sh: M.let(signals_of(acc, t), lambda sig: row_of(acc, t, tech, sh, sig)))))
 
     return F.aggregate(chosen, empty, add, lambda acc: acc["done"])
 

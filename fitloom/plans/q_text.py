@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import coerce as C
 from ..functions import text as T
+from ..operators.external import error_fields
 from .tools import ERRORS, LINES_SQL, TITLES, VALUES, contains_sql, first_case, lines_of_orders, pick, read, sql_clean, sql_compact, sql_key, sql_head, sql_normal, sql_pick, sql_text, sql_trim
 
 Q: dict = {}
@@ -160,6 +161,11 @@ Q["EXT5"] = (
     f"SELECT c_custkey, CASE WHEN w > 0 THEN greatest(1.0::DOUBLE, w) WHEN st = 429 THEN a * 5.0::DOUBLE WHEN st >= 500 THEN least(12.0::DOUBLE, a * 2.0::DOUBLE) WHEN c_custkey % 5 = 0 THEN 1.0::DOUBLE ELSE least(8.0::DOUBLE, a) END AS seconds FROM (SELECT c_custkey, CAST(c_custkey % 9 + 1 AS DOUBLE) AS a, {_STATUS} AS st, CASE WHEN try_cast(trim({sql_pick(['3', '0.2', 'soon', '', '7'], 'c_custkey')}) AS DOUBLE) IS NULL THEN NULL ELSE {_WAIT} END AS w FROM customer)",
 )
 sampled("EXT6", ["3", "0.2", "soon", "", "7", "-4", " 12 "], lambda c: C.retry_after(c), "CASE WHEN try_cast(trim(v) AS DOUBLE) IS NULL THEN NULL ELSE greatest(0.0::DOUBLE, try_cast(trim(v) AS DOUBLE)) END")
+_WAITS = ["3", "0.2", "soon", "", "7"]
+Q["EXT11"] = (
+    lambda s, d: read(s, d, "customer").select("c_custkey", error_fields(pick(ERRORS, F.col("c_custkey")), F.lit(500), pick(_WAITS, F.col("c_custkey"), 3)).alias("e")).select("c_custkey", "e.*"),
+    f"SELECT c_custkey, m AS message, 500 AS status, CASE WHEN try_cast(trim(w) AS DOUBLE) IS NULL THEN NULL ELSE greatest(0.0::DOUBLE, try_cast(trim(w) AS DOUBLE)) END AS retry_after, {contains_sql('lower(m)', T.OVERFLOW_MARKERS)} AS overflow FROM (SELECT c_custkey, w, {_error_sql('v')} AS m FROM (SELECT c_custkey, {sql_pick(ERRORS, 'c_custkey')} AS v, {sql_pick(_WAITS, 'c_custkey', 3)} AS w FROM customer))",
+)
 _PAY = ["₹80-90 LPA", "₹67.3 LPA", "₹4,00,000/month", "n/a", "₹12-18 LPA", "10"]
 _MAX = r"coalesce(list_max(list_transform(regexp_extract_all(replace(v, ',', ''), '\d+\.?\d*'), lambda x: CAST(x AS DOUBLE))), 0.0::DOUBLE)"
 sampled("AGG12", _PAY, C.largest_number, _MAX)

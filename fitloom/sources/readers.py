@@ -144,6 +144,19 @@ def raw_skills(c: Column) -> Column:
     return normalize(split_list(c))
 
 
+def settings_table(lines: DataFrame, environment: dict[str, str] | None = None) -> DataFrame:
+    """(name, value) of KEY=VALUE lines in column value, quotes stripped; comments and other lines go, the environment wins."""
+    t = F.trim("value")
+    at = F.instr(t, "=")
+    name = F.trim(F.substring(t, F.lit(1), at - 1))
+    value = F.regexp_replace(F.trim(F.substring(t, at + 1, F.length(t))), "^[\"']+|[\"']+$", "")
+    rows = lines.where((at > 1) & ~t.startswith("#")).select(name.alias("name"), value.alias("value"))
+    if not environment:
+        return rows
+    known = F.create_map(*(F.lit(x) for pair in environment.items() for x in pair))
+    return rows.select("name", F.coalesce(F.try_element_at(known, F.col("name")), F.col("value")).alias("value"))
+
+
 def settings(path: str) -> dict[str, str]:
     """KEY=VALUE lines with quotes stripped; the environment wins."""
     out = {}

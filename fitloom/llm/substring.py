@@ -10,9 +10,9 @@ document meets only the shards that can hold its passages:
    the first with these anchors) and later pieces (another is the first), and sends both to shards.
 3. A shard builds one suffix automaton of its reference pieces, with the least document below each
    state, and streams the later pieces through it: the matching statistic, kept at n words, says which
-   windows the first document has.  Of a window that it doesn't have, all but the least document with it
-   in the shard are settled there, and that one goes to a bucket of the window's hash, where only such
-   windows meet, one document a shard.
+   windows the first document has.  Windows that it doesn't have make a second automaton, through which
+   their pieces go once more: it names the least document in the shard with a window, and settles all
+   others.  The least one goes to a bucket of the window's hash, where such documents of all shards meet.
 4. Parts join what was found with their documents and cut the words out.
 
 Parts are of bounded rows and bytes.  A first document whose anchors many documents have is copied to
@@ -234,13 +234,12 @@ def remove_repeats(docs: DataFrame, n: int = 13) -> DataFrame:
     def match(group):
         kind, part, data = (group.column(c).to_pylist() for c in ("kind", "part", "data"))
         names: dict[int, int] = {}
-        refs = sorted({d for k, d in zip(kind, data, strict=True) if not k})
         auto = SuffixAutomaton()
-        for d in refs:
-            words = np.frombuffer(d, np.uint64, offset=8).tolist()
-            auto.add([names.setdefault(w, len(names)) for w in words], int.from_bytes(d[:8], "little", signed=True))
+        for d in sorted({d for k, d in zip(kind, data, strict=True) if not k}):
+            auto.add(_named(np.frombuffer(d, np.uint64, offset=8), names), int.from_bytes(d[:8], "little", signed=True))
         auto.close()
-        out, answers = [], {}
+        hits: dict[int, list[np.ndarray]] = {}
+        answers, open_ = {}, []
         for k, own, d in zip(kind, part, data, strict=True):
             if not k:
                 continue
@@ -249,21 +248,19 @@ def remove_repeats(docs: DataFrame, n: int = 13) -> DataFrame:
             if (got := answers.get((doc, piece))) is None:
                 h = np.frombuffer(piece, np.uint64)
                 low = np.array(auto.windows([names.get(w) for w in h.tolist()], n))
-                got = answers[doc, piece] = np.flatnonzero(low == doc), np.flatnonzero(low != doc), tx.windows(h, n)
-            hit, miss, g = got
-            out.append((own, _moved(where, hit, _SPOT)))
+                got = answers[doc, piece] = np.flatnonzero(low == doc), np.flatnonzero(low != doc), h
+            hit, miss, h = got
+            hits.setdefault(own, []).append(_moved(where, hit))
             if len(miss):
-                away = _moved(where, miss, _OPEN)
-                away["window"], away["part"] = np.tile(g[miss], many), own
-                out.append((None, away))
-        away = np.concatenate([x for own, x in out if own is None] or [np.zeros(0, _OPEN)])
-        if len(away):
-            away, later = _least(away)
-            out += [(own, _spots(later[later["part"] == own])) for own in np.unique(later["part"]).tolist()]
-        hits: dict[int, list[np.ndarray]] = {}
-        for own, x in out:
-            if own is not None:
-                hits.setdefault(own, []).append(x)
+                open_.append((own, where, miss, h))
+        away = [np.zeros(0, _OPEN)]
+        for own, where, miss, h, low in _later(open_, n):
+            spots = _moved(where, miss)
+            low = np.tile(low, len(where))
+            hits[own].append(spots[spots["doc"] > low])
+            least = spots["doc"] == low
+            away.append(_opened(spots[least], np.tile(tx.windows(h, n)[miss], len(where))[least], own))
+        away = np.concatenate(away)
         rows = [(own, 0, own, np.concatenate(x).tobytes()) for own, x in hits.items()]
         return pa.concat_tables([table(_KINDS, rows), _deal((away["window"] >> np.uint64(20)) % np.uint64(SHARDS * count), away, 1, 0)])
 
@@ -271,7 +268,7 @@ def remove_repeats(docs: DataFrame, n: int = 13) -> DataFrame:
         data = group.column("data").to_pylist()
         if not key[1].as_py():
             return table(_KINDS, [(key[0].as_py(), 0, 0, b"".join(data))])
-        _, later = _least(np.concatenate([np.frombuffer(x, _OPEN) for x in data]))
+        later = _least(np.concatenate([np.frombuffer(x, _OPEN) for x in data]))
         return _deal(later["part"], _spots(later), 0, 0)
 
     def finish(key, group, found):
@@ -334,13 +331,33 @@ def _deal(to: np.ndarray, data: np.ndarray, kind: int, part: int) -> pa.Table:
     return table(_KINDS, [(int(to[a]), kind, part, data[a:b].tobytes()) for a, b in zip(head, [*head[1:], len(to)], strict=True)])
 
 
-def _least(away: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of open windows those of the least document that has them, and the others."""
+def _named(h: np.ndarray, names: dict[int, int]) -> list[int]:
+    """Word hashes as small numbers, new ones added to names."""
+    return [names.setdefault(w, len(names)) for w in h.tolist()]
+
+
+def _later(open_: list[tuple], n: int):
+    """Open windows of later pieces, each with the least document among these pieces that has the window: a
+    second automaton, of just the runs of open windows, says which."""
+    auto, names, seen = SuffixAutomaton(), {}, set()
+    for _, where, miss, h in open_:
+        doc = int(where["doc"].min())
+        for run in np.split(miss, np.flatnonzero(np.diff(miss) > 1) + 1):
+            words = h[run[0] : run[-1] + n]
+            if (doc, words.tobytes()) not in seen:
+                seen.add((doc, words.tobytes()))
+                auto.add(_named(words, names), doc)
+    auto.close()
+    for own, where, miss, h in open_:
+        yield own, where, miss, h, np.array(auto.windows([names.get(w) for w in h.tolist()], n))[miss]
+
+
+def _least(away: np.ndarray) -> np.ndarray:
+    """Of open windows those that aren't of the least document with them."""
     order, number = _first(away["window"], away["doc"])
     away = away[order]
     low = away["doc"][np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))]
-    later = away["doc"] > low[number]
-    return away[~later], away[later]
+    return away[away["doc"] > low[number]]
 
 
 def _spots(away: np.ndarray) -> np.ndarray:
@@ -350,9 +367,17 @@ def _spots(away: np.ndarray) -> np.ndarray:
     return out
 
 
-def _moved(where: np.ndarray, at: np.ndarray, kind: np.dtype) -> np.ndarray:
+def _opened(spots: np.ndarray, windows: np.ndarray, part: int) -> np.ndarray:
+    out = np.empty(len(spots), _OPEN)
+    for c in ("doc", "text", "at"):
+        out[c] = spots[c]
+    out["window"], out["part"] = windows, part
+    return out
+
+
+def _moved(where: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Each spot moved on by each of `at`."""
-    out = np.empty(len(where) * len(at), kind)
+    out = np.empty(len(where) * len(at), _SPOT)
     for c in ("doc", "text"):
         out[c] = np.repeat(where[c], len(at))
     out["at"] = (where["at"][:, None] + at[None, :]).ravel()

@@ -72,9 +72,12 @@ def unmatched(catalogue: Column, known_compact: Column) -> Column:
 
 def first_match(skill: Column, catalogue: Column) -> Column:
     """First catalogue item that matches the skill, or null."""
-    own = F.transform(F.array(skill), compact)
-    hits = F.filter(paired(catalogue), lambda r: F.exists(own, lambda o: compact_match(o, r["c"])))
-    return F.try_element_at(hits, F.lit(1))["x"]
+    return let(paired(catalogue), lambda pairs: first_of_pairs(skill, pairs))
+
+
+def first_of_pairs(skill: Column, pairs: Column) -> Column:
+    """The same of a catalogue whose items are paired with their compact forms."""
+    return let(compact(skill), lambda own: F.try_element_at(F.filter(pairs, lambda r: compact_match(own, r["c"])), F.lit(1))["x"])
 
 
 def contains_any(text: Column, words: list[str]) -> Column:
@@ -90,7 +93,11 @@ def is_delivery(path: Column) -> Column:
 
 def domains_match(wanted: Column, observed: Column) -> Column:
     """Whether one domain is within the other or they share two words; an empty wanted one never matches."""
-    w, o = normal(wanted), normal(observed)
+    return plain_domains_match(normal(wanted), normal(observed))
+
+
+def plain_domains_match(w: Column, o: Column) -> Column:
+    """The same of normalised domains."""
     shared = F.size(F.array_intersect(F.split(w, " "), F.split(o, " ")))
     return (w != "") & (o.contains(w) | w.contains(o) | (shared >= 2))
 

@@ -16,7 +16,6 @@ from ..functions import rng
 from ..functions import score as S
 from ..functions.coerce import half_up
 from ..functions.text import normal
-from .joins import bounded
 
 # Dials by preset, and the share of matched skills that a preset may keep.
 DIALS = {
@@ -291,22 +290,21 @@ def projects(chosen: Column, recent: Column, recent_compact: Column, skills: Col
 def choose_company(rows: DataFrame, companies: DataFrame, usage: DataFrame | None, stage: str, strength: str, preferred: str, excluded: str | None, salt: str, out: str) -> DataFrame:
     """Adds a company struct: tiers in the stage's order (reversed for weak candidates), the first tier
     with companies of a preferred domain, blended with four tier-mates if it has fewer than three; weighted
-    by usage, without bias.  rows has __key; companies is a dimension of POOL rows at most, which is checked, that
+    by usage, without bias.  rows has __key; companies is a dimension of POOL rows at most, or the query fails, that
     rides along as an array."""
-    if companies.limit(POOL + 1).count() > POOL:
-        raise ValueError(f"more than {POOL} companies")
     weight = F.lit(1.0)
     pool = companies
     if usage is not None:
         pool = companies.join(usage, "name", "left")
         weight = S.usage_weight(F.coalesce(F.col("used"), F.lit(0)).cast("double"))
-    every = pool.select(F.struct("tier", "name", "domain", "ctc", weight.alias("w")).alias("c")).agg(F.array_sort(F.collect_list("c")).alias("__pool"))
+    every = pool.select(F.struct("tier", "name", "domain", "ctc", weight.alias("w"), normal(F.col("domain")).alias("plain")).alias("c")).agg(F.array_sort(F.collect_list("c")).alias("__pool"))
+    every = every.select(F.when(F.size("__pool") <= POOL, F.col("__pool")).otherwise(F.raise_error(F.lit(f"more than {POOL} companies"))).alias("__pool"))
     key = F.col(KEY)
     r = rows.crossJoin(F.broadcast(every))  # one row of POOL structs at most
     order = by_value(F.col(stage), {k: strings(v) for k, v in LADDER.items()})
     order = F.when(F.col(strength) < 0.35, F.reverse(order)).otherwise(order)
     free = F.filter("__pool", lambda c: c["name"] != F.coalesce(F.col(excluded), F.lit(""))) if excluded else F.col("__pool")
-    fits = F.filter(free, lambda c: F.exists(F.col(preferred), lambda p: M.domains_match(p, c["domain"])))
+    fits = M.let(F.transform(preferred, normal), lambda wanted: F.filter(free, lambda c: F.exists(wanted, lambda w: M.plain_domains_match(w, c["plain"]))))
     r = r.withColumns({"__order": order, "__free": free, "__fits": fits})
     tiers = F.filter("__order", lambda t: F.exists("__fits", lambda c: c["tier"] == t))
     r = r.withColumn("__tier", F.try_element_at(tiers, F.lit(1)))
@@ -318,7 +316,7 @@ def choose_company(rows: DataFrame, companies: DataFrame, usage: DataFrame | Non
     r = r.withColumn("__cands", candidates)
     keyed = F.transform("__cands", lambda c, i: F.struct((-F.log(rng.uniform(key, salt, i)) / c["w"]).alias("u"), c.alias("c")))
     won = F.try_element_at(F.array_sort(keyed), F.lit(1))["c"]
-    default = F.struct(F.lit("tier_5").alias("tier"), F.lit("Confidential Company").alias("name"), F.lit("Technology").alias("domain"), F.lit("₹10 LPA").alias("ctc"), F.lit(1.0).alias("w"))
+    default = F.struct(F.lit("tier_5").alias("tier"), F.lit("Confidential Company").alias("name"), F.lit("Technology").alias("domain"), F.lit("₹10 LPA").alias("ctc"), F.lit(1.0).alias("w"), F.lit("technology").alias("plain"))
     return r.withColumn(out, F.coalesce(won, default)).drop("__pool", "__order", "__free", "__fits", "__tier", "__cands")
 
 
@@ -345,20 +343,21 @@ def candidates(jds: DataFrame, profiles: DataFrame, companies: DataFrame, colleg
     r = r.withColumn("filler", F.when(F.col("preset") == "hard_negative", F.coalesce(by_value(F.col("jd_role"), adjacent), F.col("role"))).otherwise(F.col("role")))
     mine = profiles.select(F.col("role"), *(F.col(c).alias(f"p_{c}") for c in profiles.columns if c != "role"))
     fill = profiles.select(F.col("role").alias("filler"), F.col("skill_paths").alias("f_paths"), F.col("supporting_skills").alias("f_support"), F.col("templates").alias("f_templates"))
-    r = r.join(bounded(mine), "role").join(bounded(fill), "filler")  # one row a role
+    r = r.join(mine, "role").join(fill, "filler")  # one row a role: Spark broadcasts them if their size allows
     need = S.required_years(F.col("min_years"), F.col("job_title"))
     r = r.withColumn("need", need).withColumn("years", experience(F.col("need.years"), F.col("dials.experience_years"), F.col("preset"), k))
     r = r.withColumn("stage", S.stage(F.col("years"))).withColumn("band", S.band(F.col("job_title")))
     r = r.withColumn("generated_manages", F.col("manages") | (F.col("band") == "principal"))
     cat = catalogue(F.col("p_skill_paths"), F.col("p_supporting_skills"), F.col("p_templates"))
     r = r.withColumns({"catalogue": cat, "jd_compact": M.compacted(F.col("skills"))})
-    r = r.withColumn("available", M.distinct_in_order(F.transform("skills", lambda s: M.first_match(s, F.col("catalogue")))))
+    firsts = M.let(M.paired(F.col("catalogue")), lambda pairs: F.transform("skills", lambda s: M.first_of_pairs(s, pairs)))
+    r = r.withColumn("firsts", firsts).withColumn("available", M.distinct_in_order(F.col("firsts")))
     r = r.withColumn("kept", rng.subset(F.col("available"), match_count(F.size("available"), F.col("dials.skill_coverage"), F.col("preset"), k), k, "keep"))
     r = r.withColumns({"kept_compact": M.compacted(F.col("kept")), "most": most_skills(F.col("strength"), F.col("preset"))})
     spare = F.slice(shuffled(fillers(F.col("f_paths"), F.col("f_support"), F.col("f_templates"), F.col("jd_compact")), k, "fill"), F.lit(1), F.greatest(F.lit(0), F.col("most") - F.size("kept")))
     r = r.withColumn("bundle", M.distinct_in_order(F.concat("kept", spare)))
     short = (F.size("bundle") < 4) & (F.col("preset") != "mismatch")
-    missing = F.filter("skills", lambda s: M.first_match(s, F.col("catalogue")).isNull())
+    missing = F.filter("skills", lambda s, i: F.element_at(F.col("firsts"), i + 1).isNull())
     r = r.withColumn("bundle", F.slice(F.when(short, M.distinct_in_order(F.concat("bundle", missing))).otherwise(F.col("bundle")), F.lit(1), F.col("most")))
     r = r.withColumn("ranked", ranked_paths(F.col("f_paths"), F.col("kept_compact"), k))
     r = r.withColumn("paths", chosen_paths(F.col("ranked"), F.col("strength"), F.col("dials.deployment_skills"), F.col("preset"), k))
@@ -388,7 +387,7 @@ def candidates(jds: DataFrame, profiles: DataFrame, companies: DataFrame, colleg
     r = r.withColumn("projects", projects(F.col("chosen"), F.col("recent_stack"), F.col("recent_compact"), F.col("bundle"), F.col("kept"), F.col("target"), F.col("stage"), F.col("dials.deployment_skills"), F.col("generated_manages"), k, branches, names))
     tier = S.college_tier(F.col("education"), F.col("dials.education_tier"))
     schools = colleges.groupBy("tier").agg(F.array_sort(F.collect_list("name")).alias("schools"))
-    r = r.withColumn("tier", tier).join(F.broadcast(schools), "tier", "left")  # three rows
+    r = r.withColumn("tier", tier).join(schools, "tier", "left")
     buffer = F.when(F.col("band") == "principal", 2).when(F.col("stage").isin("mid", "senior"), 1).otherwise(0)
     year = F.lit(as_of_year) - F.greatest(F.lit(1), F.bround(F.col("years") + buffer, 0).cast("int"))
     school = F.struct(F.coalesce(rng.pick(F.col("schools"), k, "school"), F.lit("Open University")).alias("institution"), degree(F.col("p_degrees"), F.col("education"), F.col("stage"), k).alias("degree"), year.alias("graduation_year"))

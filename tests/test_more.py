@@ -177,8 +177,8 @@ def test_dimensions_are_checked(spark, monkeypatch):
     with pytest.raises(ValueError, match="roles"):
         catalog.queries()["JOI11"](spark, SF)
     monkeypatch.setattr(generate, "POOL", 3)
-    with pytest.raises(ValueError, match="companies"):
-        catalog.queries()["SMP9"](spark, SF)
+    with pytest.raises(Exception, match="more than 3 companies"):
+        catalog.queries()["SMP11"](spark, SF).collect()
 
 
 def test_accepted_keeps_rows_and_columns(spark):

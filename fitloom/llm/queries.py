@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, minhash, quality, substring, toxicity, unigram, warc, wavelet
+from . import bpe, chat, decontam, minhash, quality, substring, toxicity, trie, unigram, warc, wavelet
+from .frames import written
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +75,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rules(_read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = written(trie.ordered(_read(spark, sf_dir, "conversations")), "ordered")
+    head = F.crc32(F.encode(F.col("conv_id").cast("string"), "UTF-8")) % 9
+    return trie.prefix_trie(*trie.with_shared_heads(turns, head, most=8, every=5))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_wavelet_tokens": op1,
@@ -86,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8,
         "op9_warc_zstd": op9,
         "op10_quality_bands": op10,
+        "op11_prefix_trie": op11,
     }
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, minhash, quality, substring, toxicity, trie, unigram, warc, wavelet
+from . import bpe, chat, decontam, minhash, pii, quality, substring, toxicity, trie, unigram, warc, wavelet
 from .frames import written
 
 
@@ -81,6 +81,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(*trie.with_shared_heads(turns, head, most=8, every=5))
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["base"])
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("pii")).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_wavelet_tokens": op1,
@@ -94,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_warc_zstd": op9,
         "op10_quality_bands": op10,
         "op11_prefix_trie": op11,
+        "op13_pii": op13,
     }
 
 

@@ -131,3 +131,22 @@ def op11(rows):
         leaves[k] = sum(leaves[x] for x in children[k]) if children[k] else 1
         saved[k] = sum(saved[x] for x in children[k]) + (len(node[k]) - 1) * (len(k[-1][1].encode()) if k else 0)
     return [(min(v), len(k), min(node[k[:-1]]) if k else None, len(v), len(children[k]), leaves[k], saved[k], sha(",".join(str(c) for c in sorted(v) if len(whole[c]) == len(k)))) for k, v in node.items()]
+
+
+def luhn(digits):
+    return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def op13(rows):
+    """Base spans alone."""
+    kinds = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.split("."))),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda m: 13 <= len(d := re.sub("[^0-9]", "", m)) <= 19 and luhn(d)),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(re.sub("[^0-9]", "", m)) <= 15),
+    }
+    out = []
+    for d, text in rows:
+        found = [[f"{k}:{m.start()}:{m.end()}" for m in re.finditer(p, text or "") if ok(m[0])] for k, (p, ok) in kinds.items()]
+        out.append((d, *map(len, found), sha(",".join(x for f in found for x in f))))
+    return out

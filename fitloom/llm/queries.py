@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, minhash, pii, quality, substring, toxicity, trie, unigram, warc, wavelet
+from . import bpe, chat, decontam, minhash, pii, quality, substring, toxicity, trie, unigram, variants, warc, wavelet
 from .frames import written
 
 
@@ -81,6 +81,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(*trie.with_shared_heads(turns, head, most=8, every=5))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.count_words(_read(spark, sf_dir, "documents"), least=6, occurrences=5, misspell=199)
+    return variants.grouped(words, factor=5)
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("pii", lambda s: s["base"])
@@ -100,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_warc_zstd": op9,
         "op10_quality_bands": op10,
         "op11_prefix_trie": op11,
+        "op12_spelling_variants": op12,
         "op13_pii": op13,
     }
 

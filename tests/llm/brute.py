@@ -150,3 +150,36 @@ def op13(rows):
         found = [[f"{k}:{m.start()}:{m.end()}" for m in re.finditer(p, text or "") if ok(m[0])] for k, (p, ok) in kinds.items()]
         out.append((d, *map(len, found), sha(",".join(x for f in found for x in f))))
     return out
+
+
+def op12_words(rows):
+    n = Counter()
+    for d, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            n[run[: h % len(run)] + run[h % len(run) + 1 :] if h % 199 == 0 else run] += 1
+    return {w: k for w, k in n.items() if len(w) >= 6 and k >= 5}
+
+
+def op12(rows):
+    n = op12_words(rows)
+    has, near = defaultdict(set), defaultdict(set)
+    for w in n:
+        for i in range(len(w)):
+            has[w[:i] + "?" + w[i + 1 :]].add(w)
+            if (shorter := w[:i] + w[i + 1 :]) in n:
+                near[w].add(shorter)
+                near[shorter].add(w)
+    for some in has.values():
+        for w in some:
+            near[w] |= some - {w}
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best and n[best] >= 5 * n[w] else None
+
+    def root(w):
+        return root(form[w]) if form[w] else w
+
+    return [(w, form[w], root(w), k, len(near[w]), n[form[w]] if form[w] else None) for w, k in n.items()]

@@ -2,8 +2,8 @@
 
 Everything is built-in column expressions on the row, so there is no shuffle and no Python.  One pass of a
 pattern sets a mark around each match; the text split at the marks alternates between what lies outside and
-matches, and sums of lengths give the places.  Sums go by blocks of about the square root of the number of
-pieces, as arrays have no running sum.
+matches, and sums of lengths give the places.  Sums go by blocks, and blocks of blocks, of the cube root of the
+number of pieces, as arrays have no running sum.
 
 Base spans (email, ip, card, phone: the patterns of BASE, leftmost, without overlap, each with its check) are
 always kept; their score only tells.  MORE adds spans where the base left none of that kind: e-mail addresses
@@ -127,6 +127,11 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
 
+def _blocks(values: Column, step: Column) -> Column:
+    """Sums of each `step` values."""
+    return F.transform(F.sequence(F.lit(0), F.floor(F.size(values) / step).cast("int")), lambda b: _total(F.slice(values, b * step + 1, step)))
+
+
 def _has(text: Column, words: list[str]) -> Column:
     return F.lower(text).rlike(rf"(?<![\p{{L}}])(?:{'|'.join(words)})(?![\p{{L}}])")
 
@@ -141,11 +146,11 @@ def _spans(pieces: Column, kind: str, rule: Rule, base: bool) -> Column:
     """Spans of the pieces that a pattern cut; matches are the odd ones."""
 
     def places(lengths: Column) -> Column:
-        return _let(F.ceil(F.sqrt(F.size(lengths))).cast("int"), lambda step: _let(F.transform(F.sequence(F.lit(0), F.floor(F.size(lengths) / step).cast("int")), lambda b: _total(F.slice(lengths, b * step + 1, step))), lambda sums: F.transform(F.sequence(F.lit(1), F.size(lengths) - 2, F.lit(2)), lambda k: span(k, lengths, step, sums))))
+        return _let(F.ceil(F.cbrt(F.size(lengths))).cast("int"), lambda step: _let(_blocks(lengths, step), lambda sums: _let(_blocks(sums, step), lambda tops: F.transform(F.sequence(F.lit(1), F.size(lengths) - 2, F.lit(2)), lambda k: span(k, lengths, sums, tops, step)))))
 
-    def span(k: Column, lengths: Column, step: Column, sums: Column) -> Column:
-        block = F.floor(k / step).cast("int")
-        start = _total(F.slice(sums, 1, block)) + _total(F.slice(lengths, block * step + 1, k - block * step))
+    def span(k: Column, lengths: Column, sums: Column, tops: Column, step: Column) -> Column:
+        block, top = F.floor(k / step).cast("int"), F.floor(k / (step * step)).cast("int")
+        start = _total(F.slice(tops, 1, top)) + _total(F.slice(sums, top * step + 1, block - top * step)) + _total(F.slice(lengths, block * step + 1, k - block * step))
         value = F.get(pieces, k)
         score = rule.score(value) if callable(rule.score) else F.lit(rule.score)
         steps = _let(_near(pieces, k), lambda near: _has(near, CONTEXT[kind]).cast("int") - _has(near, _OTHER_NUMBERS).cast("int"))

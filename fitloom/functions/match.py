@@ -65,9 +65,21 @@ def matched_pairs(pairs: Column, observed_compact: Column) -> Column:
     return distinct_in_order(F.transform(let(whole, lambda t: let(few, lambda n: hits(t, n))), lambda r: r["x"]))
 
 
+def joined(items_compact: Column) -> Column:
+    """Compact forms as one text between bars, and those that may be within others: what known() searches.  Bind it
+    with let(), so that it is made once a row."""
+    return F.struct(F.concat(F.lit("|"), F.array_join(items_compact, "|"), F.lit("|")).alias("text"), F.filter(items_compact, lambda o: F.length(o) >= 4).alias("long"))
+
+
+def known(c: Column, items: Column) -> Column:
+    """Whether a compact form matches one of the joined() items: one search of a text tells whether it equals or is
+    within one, and only the items that may be within it are held against it one by one."""
+    return (c != "") & (items["text"].contains(F.concat(F.lit("|"), c, F.lit("|"))) | ((F.length(c) >= 4) & items["text"].contains(c)) | F.exists(items["long"], lambda o: c.contains(o)))
+
+
 def unmatched(catalogue: Column, known_compact: Column) -> Column:
     """Catalogue items that match no known one."""
-    return F.transform(F.filter(paired(catalogue), lambda r: ~F.exists(known_compact, lambda o: compact_match(r["c"], o))), lambda r: r["x"])
+    return let(joined(known_compact), lambda k: F.transform(F.filter(paired(catalogue), lambda r: ~known(r["c"], k)), lambda r: r["x"]))
 
 
 def first_match(skill: Column, catalogue: Column) -> Column:

@@ -2,8 +2,9 @@
 
 Every draw is a hash of the row's key, a name for the draw site and a counter, so a row gives the same
 candidate in any partition, on any retry.  Tables that the generator looks up (profiles, companies,
-colleges) are small dimensions carried into the row as arrays by equi-joins; nothing is collected and
-no state runs from row to row.  Company usage is a batch's counts, given as a table.
+colleges) are dimensions that rows meet by equi-joins; a row gets the companies it may draw from, which are
+worked out once for each list of preferred domains and order of tiers, never the whole pool.  Company usage
+runs in rounds: the counts of the rounds so far weigh the next one's draws (in_rounds).
 """
 
 from __future__ import annotations
@@ -56,7 +57,8 @@ def by_value(c: Column, values: dict[str, Column | float | str], other=None) ->
 
 
 def strings(values: list[str]) -> Column:
-    return F.array(*map(F.lit, values))
+    quoted = (v.replace("\\", "\\\\").replace("'", "\\'") for v in values)
+    return F.expr("array(" + ", ".join(f"'{v}'" for v in quoted) + ")")  # one call to the JVM
 
 
 def dials(preset: Column, key: Column) -> Column:
@@ -241,7 +243,8 @@ def problem(text: Column, target: Column, stage: Column, key: Column, salt: str)
 
 def templates_for(templates: Column, skills_compact: Column, stage: Column, key: Column) -> Column:
     """The two (senior: three) templates with most matched skills, ties by chance."""
-    rows = F.transform(templates, lambda t, i: F.struct((-F.size(F.filter(t["skills"], lambda s: F.exists(skills_compact, lambda o: M.compact_match(M.compact(s), o))))).alias("s"), rng.uniform(key, "template", i).alias("u"), t.alias("t")))
+    hits = lambda t, known: F.filter(M.compacted(t["skills"]), lambda c: M.known(c, known))
+    rows = M.let(M.joined(skills_compact), lambda known: F.transform(templates, lambda t, i: F.struct((-F.size(hits(t, known))).alias("s"), rng.uniform(key, "template", i).alias("u"), t.alias("t"))))
     return F.transform(F.slice(F.array_sort(rows), F.lit(1), F.when(stage == "senior", 3).otherwise(2)), lambda r: r["t"])
 
 
@@ -252,16 +255,14 @@ def projects(chosen: Column, recent: Column, recent_compact: Column, skills: Col
     empty = F.from_json(F.lit('{"done":[],"seen":[],"impacts":[]}'), kind)
     lead = F.slice(F.when(F.size(matched) > 0, matched).otherwise(skills), 1, 2)
 
-    def own_of(acc: Column, t: Column) -> Column:
+    def own_of(t: Column, recent_known: Column, seen: Column) -> Column:
         """The template's skills that the recent stack has and no earlier project used."""
-        rows = F.transform(t["skills"], lambda x: F.struct(x.alias("x"), M.compact(x).alias("c")))
-        seen = lambda r: F.exists(acc["seen"], lambda o: M.compact_match(r["c"], o))
-        return F.transform(F.filter(rows, lambda r: F.exists(recent_compact, lambda o: M.compact_match(r["c"], o)) & ~seen(r)), lambda r: r["x"])
+        rows = M.paired(t["skills"])
+        return F.transform(F.filter(rows, lambda r: M.known(r["c"], recent_known) & ~M.known(r["c"], seen)), lambda r: r["x"])
 
-    def tech_of(acc: Column, t: Column, own: Column) -> Column:
+    def tech_of(t: Column, own: Column, every: Column, seen: Column) -> Column:
         """Up to four: own ones first, then of the recent stack and the skills what is new."""
-        rest = F.transform(F.array_distinct(F.concat(recent, skills)), lambda x: F.struct(x.alias("x"), M.compact(x).alias("c")))
-        fresh = M.let(M.compacted(own), lambda mine: F.filter(rest, lambda r: ~F.exists(F.concat(acc["seen"], mine), lambda o: M.compact_match(r["c"], o))))
+        fresh = M.let(M.joined(M.compacted(own)), lambda mine: F.filter(every, lambda r: ~M.known(r["c"], seen) & ~M.known(r["c"], mine)))
         more = F.slice(F.transform(fresh, lambda r: r["x"]), F.lit(1), F.greatest(F.lit(0), F.lit(4) - F.size(own)))
         return M.let(F.slice(M.distinct_in_order(F.concat(own, more)), 1, 6), lambda a: F.when(F.size(a) > 0, a).otherwise(F.slice(M.distinct_in_order(F.concat(t["skills"], skills)), 1, 4)))
 
@@ -279,45 +280,64 @@ def projects(chosen: Column, recent: Column, recent_compact: Column, skills: Col
         )
         return F.struct(F.concat(acc["done"], F.array(row)).alias("done"), F.concat(acc["seen"], M.compacted(tech)).alias("seen"), F.array_union(acc["impacts"], signals).alias("impacts")).cast(kind)
 
-    def add(acc: Column, t: Column) -> Column:
+    def add(acc: Column, t: Column, recent_known: Column, every: Column) -> Column:
         shapes = M.distinct_in_order(F.concat(t["architecture"], F.when(deployment > 0.65, strings(["Event-Driven", "Serverless"])).otherwise(none)))
         shape = F.coalesce(M.let(shapes, lambda a: rng.pick(a, key, "shape", F.size(acc["done"]))), F.lit("Microservices"))
-        return M.let(own_of(acc, t), lambda own: M.let(tech_of(acc, t, own), lambda tech: M.let(shape, lambda sh: M.let(signals_of(acc, t), lambda sig: row_of(acc, t, tech, sh, sig)))))
+        tech = lambda seen: M.let(own_of(t, recent_known, seen), lambda own: tech_of(t, own, every, seen))
+        return M.let(M.let(M.joined(acc["seen"]), tech), lambda tech: M.let(shape, lambda sh: M.let(signals_of(acc, t), lambda sig: row_of(acc, t, tech, sh, sig))))
 
-    return F.aggregate(chosen, empty, add, lambda acc: acc["done"])
+    fold = lambda recent_known, every: F.aggregate(chosen, empty, lambda acc, t: add(acc, t, recent_known, every), lambda acc: acc["done"])
+    return M.let(M.joined(recent_compact), lambda k: M.let(M.paired(F.array_distinct(F.concat(recent, skills))), lambda every: fold(k, every)))
 
 
-def choose_company(rows: DataFrame, companies: DataFrame, usage: DataFrame | None, stage: str, strength: str, preferred: str, excluded: str | None, salt: str, out: str) -> DataFrame:
-    """Adds a company struct: tiers in the stage's order (reversed for weak candidates), the first tier
-    with companies of a preferred domain, blended with four tier-mates if it has fewer than three; weighted
-    by usage, without bias.  rows has __key; companies is a dimension of POOL rows at most, or the query fails, that
-    rides along as an array."""
-    weight = F.lit(1.0)
-    pool = companies
+def company_choices(rows: DataFrame, companies: DataFrame, usage: DataFrame | None) -> DataFrame:
+    """(preferred, order, c_*): what rows with this list of preferred domains and this order of tiers draw from.
+
+    c_good are the companies of a preferred domain in the first tier that has any, c_mates others of that tier if
+    these are few; c_next and c_next_mates the same of the next tier, for rows whose only one is taken; c_ladder
+    those of the order's tiers, and c_all the pool, where next to nothing fits.  weight w is by usage.  The pool is
+    one row of POOL companies at most, or the query fails; it meets the distinct lists, not the rows."""
+    pool, weight = companies, F.lit(1.0)
     if usage is not None:
         pool = companies.join(usage, "name", "left")
         weight = S.usage_weight(F.coalesce(F.col("used"), F.lit(0)).cast("double"))
-    every = pool.select(F.struct("tier", "name", "domain", "ctc", weight.alias("w"), normal(F.col("domain")).alias("plain")).alias("c")).agg(F.array_sort(F.collect_list("c")).alias("__pool"))
-    every = every.select(F.when(F.size("__pool") <= POOL, F.col("__pool")).otherwise(F.raise_error(F.lit(f"more than {POOL} companies"))).alias("__pool"))
+    every = pool.select(F.struct("tier", "name", "domain", "ctc", weight.alias("w"), normal(F.col("domain")).alias("plain")).alias("c")).agg(F.array_sort(F.collect_list("c")).alias("pool"))
+    every = every.select(F.when(F.size("pool") <= POOL, F.col("pool")).otherwise(F.raise_error(F.lit(f"more than {POOL} companies"))).alias("pool"))
+    orders = [F.struct(F.lit(f"{stage}|{weak}").alias("order"), strings(tiers[::-1] if weak else tiers).alias("tiers")) for stage, tiers in LADDER.items() for weak in (False, True)]
+    fits = M.let(F.transform("preferred", normal), lambda wanted: F.filter("pool", lambda c: F.exists(wanted, lambda w: M.plain_domains_match(w, c["plain"]))))
+    d = rows.select("preferred").distinct().crossJoin(F.broadcast(every)).withColumn("fits", fits).select("*", F.inline(F.array(*orders)))  # one row
+    d = d.withColumn("levels", F.filter("tiers", lambda t: F.exists("fits", lambda c: c["tier"] == t)))
+    nothing = F.filter("pool", lambda c: F.lit(False))
+    of = lambda k: F.filter("fits", lambda c: c["tier"] == F.get("levels", F.lit(k)))
+    d = d.withColumns({"c_good": of(0), "c_next": of(1)}).withColumn("c_next", F.when(F.size("c_good") == 1, F.col("c_next")).otherwise(nothing))
+    mates = lambda k: F.filter("pool", lambda c: (c["tier"] == F.get("levels", F.lit(k))) & ~F.exists("fits", lambda g: g["name"] == c["name"]))
+    few = lambda c: (F.size(c) > 0) & (F.size(c) <= 3)
+    none_left = (F.size("c_good") == 0) | ((F.size("c_good") == 1) & (F.size("c_next") == 0))
+    ladder = F.when(none_left, F.filter("pool", lambda c: F.array_contains("tiers", c["tier"]))).otherwise(nothing)
+    d = d.withColumns({"c_mates": F.when(few("c_good"), mates(0)).otherwise(nothing), "c_next_mates": F.when(few("c_next"), mates(1)).otherwise(nothing), "c_ladder": ladder})
+    d = d.withColumn("c_all", F.when(none_left & (F.size("c_ladder") <= 1), F.col("pool")).otherwise(nothing))
+    return d.select("preferred", "order", "c_good", "c_mates", "c_next", "c_next_mates", "c_ladder", "c_all")
+
+
+def choose_company(rows: DataFrame, choices: DataFrame, stage: str, strength: str, excluded: str | None, salt: str, out: str) -> DataFrame:
+    """Adds a company struct: tiers in the stage's order (reversed for weak candidates), the first tier
+    with companies of a preferred domain, blended with four tier-mates if it has fewer than three; weighted
+    by usage, without bias.  rows has __key and preferred; choices are company_choices()."""
     key = F.col(KEY)
-    r = rows.crossJoin(F.broadcast(every))  # one row of POOL structs at most
-    order = by_value(F.col(stage), {k: strings(v) for k, v in LADDER.items()})
-    order = F.when(F.col(strength) < 0.35, F.reverse(order)).otherwise(order)
-    free = F.filter("__pool", lambda c: c["name"] != F.coalesce(F.col(excluded), F.lit(""))) if excluded else F.col("__pool")
-    fits = M.let(F.transform(preferred, normal), lambda wanted: F.filter(free, lambda c: F.exists(wanted, lambda w: M.plain_domains_match(w, c["plain"]))))
-    r = r.withColumns({"__order": order, "__free": free, "__fits": fits})
-    tiers = F.filter("__order", lambda t: F.exists("__fits", lambda c: c["tier"] == t))
-    r = r.withColumn("__tier", F.try_element_at(tiers, F.lit(1)))
-    good = F.filter("__fits", lambda c: c["tier"] == F.col("__tier"))
-    mates = F.filter("__free", lambda c: (c["tier"] == F.col("__tier")) & ~F.exists("__fits", lambda g: g["name"] == c["name"]))
-    blend = F.when(F.size(good) < 3, F.concat(good, F.slice(shuffled(mates, key, salt + ".mate"), 1, 4))).otherwise(good)
-    ladder = F.filter("__free", lambda c: F.array_contains("__order", c["tier"]))
-    candidates = F.when(F.col("__tier").isNotNull(), blend).when(F.size(ladder) > 0, ladder).otherwise(F.col("__free"))
-    r = r.withColumn("__cands", candidates)
-    keyed = F.transform("__cands", lambda c, i: F.struct((-F.log(rng.uniform(key, salt, i)) / c["w"]).alias("u"), c.alias("c")))
+    r = rows.withColumn("order", F.concat(stage, F.when(F.col(strength) < 0.35, "|True").otherwise("|False"))).join(choices, ["preferred", "order"])
+    free = lambda a: F.filter(a, lambda c: c["name"] != F.coalesce(F.col(excluded), F.lit(""))) if excluded else F.col(a)
+    first = F.size(free("c_good")) > 0
+
+    def blend(good: Column) -> Column:
+        mates = F.when(first, free("c_mates")).otherwise(free("c_next_mates"))
+        wide = F.when(F.size(free("c_ladder")) > 0, free("c_ladder")).otherwise(free("c_all"))
+        return F.when(F.size(good) >= 3, good).when(F.size(good) > 0, F.concat(good, F.slice(shuffled(mates, key, salt + ".mate"), 1, 4))).otherwise(wide)
+
+    cands = M.let(F.when(first, free("c_good")).otherwise(free("c_next")), blend)
+    keyed = F.transform(cands, lambda c, i: F.struct((-F.log(rng.uniform(key, salt, i)) / c["w"]).alias("u"), c.alias("c")))
     won = F.try_element_at(F.array_sort(keyed), F.lit(1))["c"]
     default = F.struct(F.lit("tier_5").alias("tier"), F.lit("Confidential Company").alias("name"), F.lit("Technology").alias("domain"), F.lit("₹10 LPA").alias("ctc"), F.lit(1.0).alias("w"), F.lit("technology").alias("plain"))
-    return r.withColumn(out, F.coalesce(won, default)).drop("__pool", "__order", "__free", "__fits", "__tier", "__cands")
+    return r.withColumn(out, F.coalesce(won, default)).drop("order", *(c for c in choices.columns if c.startswith("c_")))
 
 
 def contact(record_id: Column) -> Column:
@@ -328,77 +348,139 @@ def contact(record_id: Column) -> Column:
     return F.struct(name.alias("name"), rng.pick(strings(CITIES), record_id, "city").alias("city"), phone.alias("phone"), mail.alias("email"))
 
 
-def candidates(jds: DataFrame, profiles: DataFrame, companies: DataFrame, colleges: DataFrame, adjacent: dict[str, str], mismatch: dict[str, list[str]], branches, names, usage: DataFrame | None = None, as_of_year: int = 2025) -> DataFrame:
+#: Parts of a candidate, in the order they are made, and what each needs.
+PARTS = {"persona": [], "companies": ["persona"], "skills": ["persona"], "paths": ["skills"], "focus": ["skills"], "experience": ["companies", "paths", "focus"], "templates": ["skills"], "projects": ["paths", "templates"], "school": ["persona"], "scored": ["experience", "projects", "school"]}
+
+
+def candidates(jds: DataFrame, profiles: DataFrame, companies: DataFrame, colleges: DataFrame, adjacent: dict[str, str], mismatch: dict[str, list[str]], branches, names, usage: DataFrame | None = None, as_of_year: int = 2025, part: str = "scored") -> DataFrame:
     """One candidate for each row of jds (jd_id, job_title, jd_role, skills, domain, min_years, manages,
-    education, preset, attempt), scored."""
-    key = F.concat_ws("|", "jd_id", "preset", "attempt")
-    r = jds.withColumn(KEY, key)
+    education, preset, attempt), scored; or only the part of it that is asked for, and what that needs, which keeps
+    the plan small.  usage is a table (name, used) of company counts."""
+    make = {
+        "persona": lambda r: _persona(r, profiles, adjacent, mismatch),
+        "companies": lambda r: _companies(r, companies, usage),
+        "skills": lambda r: _skills(r, profiles),
+        "paths": _paths,
+        "focus": _focus,
+        "experience": _experience,
+        "templates": lambda r: r.withColumn("bundle_compact", M.compacted(F.col("bundle"))).withColumn("chosen", templates_for(F.col("p_templates"), F.col("bundle_compact"), F.col("stage"), F.col(KEY))),
+        "projects": lambda r: _projects(r, branches, names),
+        "school": lambda r: _school(r, colleges, as_of_year),
+        "scored": lambda r: _scored(r, adjacent),
+    }
+    needed, todo = set(), [part]
+    while todo:
+        needed.add(todo[-1])
+        todo += [x for x in PARTS[todo.pop()] if x not in needed]
+    r = jds.withColumn(KEY, F.concat_ws("|", "jd_id", "preset", "attempt"))
+    for name in PARTS:
+        if name in needed:
+            r = make[name](r)
+    return r.drop(*(c for c in r.columns if c.startswith(("p_", "f_"))))
+
+
+def _persona(r: DataFrame, profiles: DataFrame, adjacent: dict[str, str], mismatch: dict[str, list[str]]) -> DataFrame:
     k = F.col(KEY)
-    r = r.withColumn("dials", dials(F.col("preset"), k))
-    r = r.withColumn("strength", (F.col("dials.education_tier") + F.col("dials.skill_coverage")) / 2)
     pools = F.when(F.lit(False), strings([""]))
     for role, others in mismatch.items():
         pools = pools.when(F.col("jd_role") == role, strings(others))
-    r = r.withColumn("role", F.when(F.col("preset") == "mismatch", F.coalesce(rng.pick(pools, k, "role"), F.col("jd_role"))).otherwise(F.col("jd_role")))
-    r = r.withColumn("filler", F.when(F.col("preset") == "hard_negative", F.coalesce(by_value(F.col("jd_role"), adjacent), F.col("role"))).otherwise(F.col("role")))
-    mine = profiles.select(F.col("role"), *(F.col(c).alias(f"p_{c}") for c in profiles.columns if c != "role"))
+    role = F.when(F.col("preset") == "mismatch", F.coalesce(rng.pick(pools, k, "role"), F.col("jd_role"))).otherwise(F.col("jd_role"))
+    r = r.withColumns({"dials": dials(F.col("preset"), k), "role": role, "need": S.required_years(F.col("min_years"), F.col("job_title")), "band": S.band(F.col("job_title"))})
+    filler = F.when(F.col("preset") == "hard_negative", F.coalesce(by_value(F.col("jd_role"), adjacent), F.col("role"))).otherwise(F.col("role"))
+    strength = (F.col("dials.education_tier") + F.col("dials.skill_coverage")) / 2
+    r = r.withColumns({"filler": filler, "strength": strength, "years": experience(F.col("need.years"), F.col("dials.experience_years"), F.col("preset"), k), "generated_manages": F.col("manages") | (F.col("band") == "principal")})
+    mine = profiles.select("role", *(F.col(c).alias(f"p_{c}") for c in ("domains", "company_domains", "degrees", "themes", "titles")))
+    r = r.join(mine, "role")  # one row a role: Spark broadcasts them if their size allows
+    r = r.withColumns({"stage": S.stage(F.col("years")), "target": domain(F.col("domain"), F.col("p_domains"), F.col("dials.domain_relevance"), F.col("preset"), k)})
+    return r.withColumns({"before": earlier(F.col("stage")), "two": (F.col("years") >= 5.0) & F.col("stage").isin("mid", "senior")})
+
+
+def _companies(r: DataFrame, companies: DataFrame, usage: DataFrame | None) -> DataFrame:
+    r = r.withColumns({"preferred": M.distinct_in_order(F.concat("p_company_domains", F.array("target"))), "weaker": F.col("strength") * 0.88})
+    choices = company_choices(r, companies, usage)
+    r = choose_company(r, choices, "stage", "strength", None, "company", "company").withColumn("taken", F.col("company.name"))
+    return choose_company(r, choices, "before", "weaker", "taken", "previous", "previous")
+
+
+def _skills(r: DataFrame, profiles: DataFrame) -> DataFrame:
+    k = F.col(KEY)
+    mine = profiles.select("role", *(F.col(c).alias(f"p_{c}") for c in ("skill_paths", "supporting_skills", "templates")))
     fill = profiles.select(F.col("role").alias("filler"), F.col("skill_paths").alias("f_paths"), F.col("supporting_skills").alias("f_support"), F.col("templates").alias("f_templates"))
-    r = r.join(mine, "role").join(fill, "filler")  # one row a role: Spark broadcasts them if their size allows
-    need = S.required_years(F.col("min_years"), F.col("job_title"))
-    r = r.withColumn("need", need).withColumn("years", experience(F.col("need.years"), F.col("dials.experience_years"), F.col("preset"), k))
-    r = r.withColumn("stage", S.stage(F.col("years"))).withColumn("band", S.band(F.col("job_title")))
-    r = r.withColumn("generated_manages", F.col("manages") | (F.col("band") == "principal"))
-    cat = catalogue(F.col("p_skill_paths"), F.col("p_supporting_skills"), F.col("p_templates"))
-    r = r.withColumns({"catalogue": cat, "jd_compact": M.compacted(F.col("skills"))})
-    firsts = M.let(M.paired(F.col("catalogue")), lambda pairs: F.transform("skills", lambda s: M.first_of_pairs(s, pairs)))
-    r = r.withColumn("firsts", firsts).withColumn("available", M.distinct_in_order(F.col("firsts")))
+    mine = mine.withColumn("p_pairs", M.paired(catalogue(F.col("p_skill_paths"), F.col("p_supporting_skills"), F.col("p_templates"))))
+    r = r.join(mine, "role").join(fill, "filler")
+    firsts = F.transform("skills", lambda s: M.first_of_pairs(s, F.col("p_pairs")))
+    r = r.withColumns({"jd_compact": M.compacted(F.col("skills")), "firsts": firsts, "most": most_skills(F.col("strength"), F.col("preset"))})
+    r = r.withColumn("available", M.distinct_in_order(F.col("firsts")))
     r = r.withColumn("kept", rng.subset(F.col("available"), match_count(F.size("available"), F.col("dials.skill_coverage"), F.col("preset"), k), k, "keep"))
-    r = r.withColumns({"kept_compact": M.compacted(F.col("kept")), "most": most_skills(F.col("strength"), F.col("preset"))})
     spare = F.slice(shuffled(fillers(F.col("f_paths"), F.col("f_support"), F.col("f_templates"), F.col("jd_compact")), k, "fill"), F.lit(1), F.greatest(F.lit(0), F.col("most") - F.size("kept")))
     r = r.withColumn("bundle", M.distinct_in_order(F.concat("kept", spare)))
     short = (F.size("bundle") < 4) & (F.col("preset") != "mismatch")
     missing = F.filter("skills", lambda s, i: F.element_at(F.col("firsts"), i + 1).isNull())
-    r = r.withColumn("bundle", F.slice(F.when(short, M.distinct_in_order(F.concat("bundle", missing))).otherwise(F.col("bundle")), F.lit(1), F.col("most")))
-    r = r.withColumn("ranked", ranked_paths(F.col("f_paths"), F.col("kept_compact"), k))
+    return r.withColumn("bundle", F.slice(F.when(short, M.distinct_in_order(F.concat("bundle", missing))).otherwise(F.col("bundle")), F.lit(1), F.col("most")))
+
+
+def _paths(r: DataFrame) -> DataFrame:
+    k = F.col(KEY)
+    r = r.withColumn("ranked", ranked_paths(F.col("f_paths"), M.compacted(F.col("kept")), k))
     r = r.withColumn("paths", chosen_paths(F.col("ranked"), F.col("strength"), F.col("dials.deployment_skills"), F.col("preset"), k))
-    r = r.withColumn("target", domain(F.col("domain"), F.col("p_domains"), F.col("dials.domain_relevance"), F.col("preset"), k))
-    r = r.withColumn("preferred", M.distinct_in_order(F.concat("p_company_domains", F.array("target"))))
-    r = choose_company(r, companies, usage, "stage", "strength", "preferred", None, "company", "company")
-    r = r.withColumns({"two": (F.col("years") >= 5.0) & F.col("stage").isin("mid", "senior"), "before": earlier(F.col("stage")), "weaker": F.col("strength") * 0.88, "taken": F.col("company.name")})
-    r = choose_company(r, companies, usage, "before", "weaker", "preferred", "taken", "previous", "previous")
+    return r.withColumn("recent_stack", stack(F.col("paths"), F.col("bundle"), 5))
+
+
+def _focus(r: DataFrame) -> DataFrame:
+    areas = focus(F.col("p_themes"), F.col("kept"), F.col("target"), F.col("stage"), F.col("generated_manages"), F.col("dials.deployment_skills"), F.array().cast("array<string>"), F.col(KEY), "now")
+    return r.withColumn("now_focus", F.slice(areas, 1, 3))
+
+
+def _experience(r: DataFrame) -> DataFrame:
+    k = F.col(KEY)
     share = 0.45 + 0.17 * rng.uniform(k, "recent")
     recent = half_up(F.greatest(F.lit(1.5), F.least(F.col("years") - 1.0, F.col("years") * share)), 1)
     r = r.withColumn("recent", F.when(F.col("two"), recent).otherwise(F.greatest(F.lit(1.0), F.col("years"))))
     honoured = (F.col("role") == F.col("jd_role")) & (F.col("preset") != "mismatch")
-    none = F.array().cast("array<string>")
-    now_focus = F.slice(focus(F.col("p_themes"), F.col("kept"), F.col("target"), F.col("stage"), F.col("generated_manages"), F.col("dials.deployment_skills"), none, k, "now"), 1, 3)
-    r = r.withColumn("now_focus", now_focus)
     then_focus = F.slice(focus(F.col("p_themes"), F.slice("kept", 1, 2), F.col("target"), F.col("before"), F.col("generated_manages") & (F.col("before") != "entry"), F.greatest(F.lit(0.0), F.col("dials.deployment_skills") - 0.1), F.col("now_focus"), k, "then"), 1, 2)
 
     def job(company: str, years: Column, name: Column, tech: Column, areas: Column) -> Column:
         return F.struct(F.col(f"{company}.name").alias("company"), F.col(f"{company}.domain").alias("company_domain"), F.col("target").alias("role_domain"), years.alias("duration_years"), name.alias("role_title"), tech.alias("primary_tech_stack"), areas.alias("focus_areas"))
 
-    current = job("company", F.col("recent"), title(F.col("job_title"), F.col("p_titles"), F.col("stage"), honoured, k), stack(F.col("paths"), F.col("bundle"), 5), F.col("now_focus"))
+    current = job("company", F.col("recent"), title(F.col("job_title"), F.col("p_titles"), F.col("stage"), honoured, k), F.col("recent_stack"), F.col("now_focus"))
     past = job("previous", half_up(F.greatest(F.lit(1.0), F.col("years") - F.col("recent")), 1), title(F.col("job_title"), F.col("p_titles"), F.col("before"), F.lit(False), k, "title2"), stack(F.slice("paths", 1, 1), F.slice("bundle", 1, 5), 4), then_focus)
-    r = r.withColumn("experience", F.when(F.col("two"), F.array(current, past)).otherwise(F.array(current)))
-    chosen = templates_for(F.col("p_templates"), F.col("bundle_compact"), F.col("stage"), k)
-    r = r.withColumn("bundle_compact", M.compacted(F.col("bundle"))).withColumns({"chosen": chosen, "recent_stack": F.col("experience")[0]["primary_tech_stack"]})
-    r = r.withColumn("recent_compact", M.compacted(F.col("recent_stack")))
-    r = r.withColumn("projects", projects(F.col("chosen"), F.col("recent_stack"), F.col("recent_compact"), F.col("bundle"), F.col("kept"), F.col("target"), F.col("stage"), F.col("dials.deployment_skills"), F.col("generated_manages"), k, branches, names))
-    tier = S.college_tier(F.col("education"), F.col("dials.education_tier"))
-    schools = colleges.groupBy("tier").agg(F.array_sort(F.collect_list("name")).alias("schools"))
-    r = r.withColumn("tier", tier).join(schools, "tier", "left")
+    return r.withColumn("experience", F.when(F.col("two"), F.array(current, past)).otherwise(F.array(current)))
+
+
+def _projects(r: DataFrame, branches, names) -> DataFrame:
+    return r.withColumn("projects", projects(F.col("chosen"), F.col("recent_stack"), M.compacted(F.col("recent_stack")), F.col("bundle"), F.col("kept"), F.col("target"), F.col("stage"), F.col("dials.deployment_skills"), F.col("generated_manages"), F.col(KEY), branches, names))
+
+
+def _school(r: DataFrame, colleges: DataFrame, as_of_year: int) -> DataFrame:
+    k = F.col(KEY)
+    schools = colleges.groupBy("tier").agg(F.array_sort(F.collect_list("name")).alias("p_schools"))
+    r = r.withColumn("tier", S.college_tier(F.col("education"), F.col("dials.education_tier"))).join(schools, "tier", "left")
     buffer = F.when(F.col("band") == "principal", 2).when(F.col("stage").isin("mid", "senior"), 1).otherwise(0)
     year = F.lit(as_of_year) - F.greatest(F.lit(1), F.bround(F.col("years") + buffer, 0).cast("int"))
-    school = F.struct(F.coalesce(rng.pick(F.col("schools"), k, "school"), F.lit("Open University")).alias("institution"), degree(F.col("p_degrees"), F.col("education"), F.col("stage"), k).alias("degree"), year.alias("graduation_year"))
-    r = r.withColumn("school", school)
-    logistics = F.struct(S.notice(F.col("dials.notice_period")).alias("notice_period"), F.col("company.ctc").alias("current_ctc"))
-    inventory = M.distinct_in_order(F.concat("bundle", F.flatten(F.transform("experience", lambda e: F.concat(e["primary_tech_stack"], e["focus_areas"]))), F.flatten(F.transform("projects", lambda p: F.concat(p["technologies_used"], p["impact_signals"], F.array(p["architecture_type"]))))))
-    r = r.withColumns({"logistics": logistics, "inventory": inventory}).withColumn("inv_compact", M.compacted(F.col("inventory")))
-    return _scored(r, adjacent)
+    return r.withColumn("school", F.struct(F.coalesce(rng.pick(F.col("p_schools"), k, "school"), F.lit("Open University")).alias("institution"), degree(F.col("p_degrees"), F.col("education"), F.col("stage"), k).alias("degree"), year.alias("graduation_year")))
+
+
+def in_rounds(jds: DataFrame, round_of: Column, rounds: int, companies: DataFrame, make, store) -> DataFrame:
+    """Candidates of jds in rounds 0 .. rounds - 1 (round_of, an expression of jds; null counts as 0): a company
+    that the rounds before used n times weighs 1 / (1 + ln(1 + n)) in a round's draws.
+
+    make(rows, usage) generates, and store(df) writes a round to a table, which is then read: a lost executor costs
+    its tasks of one round.  A round's counts are one row a company; both jobs of a candidate count if it has two."""
+    rows = jds.withColumn("__round", F.coalesce(round_of.cast("int"), F.lit(0)))
+    out, usage = None, companies.select("name", F.lit(0).cast("long").alias("used"))
+    for n in range(rounds):
+        done = store(make(rows.where(F.col("__round") == n), usage).withColumnRenamed("__round", "round"))
+        out = done if out is None else out.unionByName(done)
+        both = F.when(F.col("two"), F.array("company.name", "previous.name")).otherwise(F.array("company.name"))
+        used = done.select(F.explode(both).alias("name")).groupBy("name").agg(F.count("*").alias("used"))
+        usage = store(usage.unionByName(used).groupBy("name").agg(F.sum("used").alias("used")))
+    return out
 
 
 def _scored(r: DataFrame, adjacent: dict[str, str]) -> DataFrame:
+    inventory = M.distinct_in_order(F.concat("bundle", F.flatten(F.transform("experience", lambda e: F.concat(e["primary_tech_stack"], e["focus_areas"]))), F.flatten(F.transform("projects", lambda p: F.concat(p["technologies_used"], p["impact_signals"], F.array(p["architecture_type"]))))))
+    logistics = F.struct(S.notice(F.col("dials.notice_period")).alias("notice_period"), F.col("company.ctc").alias("current_ctc"))
+    r = r.withColumns({"logistics": logistics, "inventory": inventory}).withColumn("inv_compact", M.compacted(F.col("inventory")))
     r = r.withColumn("matched", M.matched(F.col("skills"), F.col("inv_compact")))
     total = half_up(F.aggregate("experience", F.lit(0.0), lambda a, e: a + e["duration_years"]), 1)
     near = F.lit(False)
@@ -428,12 +510,12 @@ def passes() -> Column:
 
 def accepted(jds: DataFrame, by: list[str], make, store, most: int = 6) -> DataFrame:
     """One candidate for each row of jds (keys `by`): the first attempt that its preset accepts, else the last
-    of `most`.  make(jds with column attempt) generates; only what is still open is tried again, and store(df)
-    writes each attempt's candidates to a table that is then read."""
-    out, left = None, jds
-    for n in range(1, most + 1):
-        tried = store(make(left.withColumn("attempt", F.lit(n))).withColumn("accepted", passes()))
-        done = tried if n == most else tried.where("accepted")
-        out = done if out is None else out.unionByName(done)
-        left = left.join(tried.where("not accepted").select(*by), by, "left_semi")
-    return out
+    of `most`.  make(jds with column attempt) generates; rows that the first attempt leaves open get the others in
+    one plan, and store(df) writes what is made to a table that is then read."""
+    first = store(make(jds.withColumn("attempt", F.lit(1))).withColumn("accepted", passes()))
+    if most == 1:
+        return first
+    left = jds.join(first.where("not accepted").select(*by), by, "left_semi")
+    more = store(make(left.withColumn("attempt", F.explode(F.sequence(F.lit(2), F.lit(most))))).withColumn("accepted", passes()))
+    taken = more.groupBy(*by).agg(F.coalesce(F.min(F.when(F.col("accepted"), F.col("attempt"))), F.lit(most)).alias("attempt"))
+    return first.where("accepted").unionByName(more.join(taken, [*by, "attempt"]).select(*first.columns))

@@ -34,12 +34,12 @@ def jds(s, d):
     return base.withColumn("preset", F.explode(F.array(*map(F.lit, S.PRESETS)))).withColumn("attempt", F.lit(1))
 
 
-def generate(rows, s):
-    return G.candidates(rows, P.profiles(s), P.companies(s), P.colleges(s), P.ADJACENT, P.MISMATCH, P.METRIC_BRANCHES, P.METRIC_NAMES)
+def generate(rows, s, part="scored", usage=None):
+    return G.candidates(rows, P.profiles(s), P.companies(s), P.colleges(s), P.ADJACENT, P.MISMATCH, P.METRIC_BRANCHES, P.METRIC_NAMES, usage=usage, part=part)
 
 
-def made(s, d):
-    return generate(jds(s, d), s)
+def made(s, d, part="scored"):
+    return generate(jds(s, d), s, part)
 
 
 def _keyed(s, d):
@@ -85,22 +85,22 @@ def _projects():
     return F.array_join(F.transform("projects", one), ",")
 
 
-for _id, _cols, _sql in (
-    ("SMP7", lambda: [_flat("kept"), _flat("bundle"), _flat("available")], "array_to_string(kept, ',') AS kept, array_to_string(bundle, ',') AS bundle, array_to_string(available, ',') AS available"),
-    ("SMP8", lambda: [_lists("paths").alias("paths")], "array_to_string(list_transform(paths, lambda p: array_to_string(p, '+')), ',') AS paths"),
-    ("SMP9", lambda: [K("target")], "target"),
-    ("SMP10", lambda: [K("years")], "years"),
-    ("SMP11", lambda: [K("company.name").alias("company"), K("company.tier").alias("company_tier"), K("previous.name").alias("previous"), K("previous.tier").alias("previous_tier")], "company.name AS company, company.tier AS company_tier, previous.name AS previous, previous.tier AS previous_tier"),
-    ("SMP12", lambda: [K("school.institution").alias("institution"), K("school.degree").alias("degree"), K("school.graduation_year").alias("graduation_year"), K("stage")], "institution, degree, graduation_year, stage"),
-    ("SMP13", lambda: [F.array_join("now_focus", ",").alias("focus")], "array_to_string(now_focus, ',') AS focus"),
-    ("SMP14", lambda: [_jobs().alias("experience")], "array_to_string(experience, ',') AS experience"),
-    ("SMP16", lambda: [G.label(K("target"), K(G.KEY), "context").alias("context")], sql.label("context") + " AS context"),
-    ("SMP17", lambda: [F.array_join(F.transform("projects", _figures), ",").alias("metrics")], "array_to_string(metrics, ',') AS metrics"),
-    ("SMP18", lambda: [_projects().alias("projects"), F.array_join(F.transform("projects", lambda p: F.array_join(p["impact_signals"], "+")), ",").alias("impacts")], "array_to_string(done, ',') AS projects, array_to_string(shown, ',') AS impacts"),
-    ("WIN5", lambda: [_lists(F.transform("ranked", lambda r: r["p"])).alias("ranked")], "array_to_string(list_transform(every_path, lambda p: array_to_string(p, '+')), ',') AS ranked"),
-    ("WIN6", lambda: [F.array_join(F.transform("chosen", lambda t: t["name"]), ",").alias("templates")], "array_to_string(list_transform(chosen, lambda t: t.name), ',') AS templates"),
+for _id, _part, _cols, _sql in (
+    ("SMP7", "skills", lambda: [_flat("kept"), _flat("bundle"), _flat("available")], "array_to_string(kept, ',') AS kept, array_to_string(bundle, ',') AS bundle, array_to_string(available, ',') AS available"),
+    ("SMP8", "paths", lambda: [_lists("paths").alias("paths")], "array_to_string(list_transform(paths, lambda p: array_to_string(p, '+')), ',') AS paths"),
+    ("SMP9", "persona", lambda: [K("target")], "target"),
+    ("SMP10", "persona", lambda: [K("years")], "years"),
+    ("SMP11", "companies", lambda: [K("company.name").alias("company"), K("company.tier").alias("company_tier"), K("previous.name").alias("previous"), K("previous.tier").alias("previous_tier")], "company.name AS company, company.tier AS company_tier, previous.name AS previous, previous.tier AS previous_tier"),
+    ("SMP12", "school", lambda: [K("school.institution").alias("institution"), K("school.degree").alias("degree"), K("school.graduation_year").alias("graduation_year"), K("stage")], "institution, degree, graduation_year, stage"),
+    ("SMP13", "focus", lambda: [F.array_join("now_focus", ",").alias("focus")], "array_to_string(now_focus, ',') AS focus"),
+    ("SMP14", "experience", lambda: [_jobs().alias("experience")], "array_to_string(experience, ',') AS experience"),
+    ("SMP16", "persona", lambda: [G.label(K("target"), K(G.KEY), "context").alias("context")], sql.label("context") + " AS context"),
+    ("SMP17", "projects", lambda: [F.array_join(F.transform("projects", _figures), ",").alias("metrics")], "array_to_string(metrics, ',') AS metrics"),
+    ("SMP18", "projects", lambda: [_projects().alias("projects"), F.array_join(F.transform("projects", lambda p: F.array_join(p["impact_signals"], "+")), ",").alias("impacts")], "array_to_string(done, ',') AS projects, array_to_string(shown, ',') AS impacts"),
+    ("WIN5", "paths", lambda: [_lists(F.transform("ranked", lambda r: r["p"])).alias("ranked")], "array_to_string(list_transform(every_path, lambda p: array_to_string(p, '+')), ',') AS ranked"),
+    ("WIN6", "templates", lambda: [F.array_join(F.transform("chosen", lambda t: t["name"]), ",").alias("templates")], "array_to_string(list_transform(chosen, lambda t: t.name), ',') AS templates"),
 ):
-    Q[_id] = (lambda s, d, c=_cols: made(s, d).select("jd_id", "preset", *c()), _CHAIN + f"SELECT jd_id, preset, {_sql} FROM made")
+    Q[_id] = (lambda s, d, p=_part, c=_cols: made(s, d, p).select("jd_id", "preset", *c()), _CHAIN + f"SELECT jd_id, preset, {_sql} FROM made")
 _SCORES = [*S.WEIGHTS, "total_years", "overall", "rationale"]
 Q["SMP20"] = (lambda s, d: made(s, d).select("jd_id", "preset", *_SCORES), sql.scored(_SKILLS, _ROLE) + f"SELECT jd_id, preset, {', '.join(_SCORES)} FROM scored")
 Q["SMP15"] = (

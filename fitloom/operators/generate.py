@@ -103,10 +103,9 @@ def catalogue(paths: Column, supporting: Column, templates: Column) -> Column:
     return M.distinct_in_order(F.concat(F.flatten(paths), supporting, F.flatten(F.transform(templates, lambda t: t["skills"]))))
 
 
-def fillers(paths: Column, supporting: Column, templates: Column, jd_compact: Column) -> Column:
-    """Skills of a profile that match none of the job's."""
-    every = F.concat(F.flatten(paths), F.flatten(F.transform(templates, lambda t: t["skills"])), supporting)
-    return M.distinct_in_order(M.unmatched(every, jd_compact))
+def fillers(pairs: Column, jd_compact: Column) -> Column:
+    """Skills of a profile, paired with their compact forms, that match none of the job's."""
+    return M.let(M.joined(jd_compact), lambda job: F.transform(F.filter(pairs, lambda r: ~M.known(r["c"], job)), lambda r: r["x"]))
 
 
 def shuffled(items: Column, key: Column, salt: str) -> Column:
@@ -120,8 +119,10 @@ def most_skills(strength: Column, preset: Column) -> Column:
 
 
 def ranked_paths(paths: Column, matched_compact: Column, key: Column) -> Column:
-    """Paths by matched skills, length and chance, best first."""
-    rows = F.transform(paths, lambda p, i: F.struct((-M.path_score(p, matched_compact)).alias("s"), (-F.size(p)).alias("n"), rng.uniform(key, "path", i).alias("u"), p.alias("p")))
+    """Paths (p, with their compact forms c and whether they are delivery paths) by matched skills, length and
+    chance, best first."""
+    score = lambda r, known: F.lit(3) * F.size(F.filter(r["c"], lambda c: M.known(c, known)))
+    rows = M.let(M.joined(matched_compact), lambda known: F.transform(paths, lambda r, i: F.struct((-score(r, known)).alias("s"), (-F.size(r["p"])).alias("n"), rng.uniform(key, "path", i).alias("u"), r["p"].alias("p"), r["delivery"].alias("delivery"))))
     return F.array_sort(rows)
 
 
@@ -137,7 +138,7 @@ def chosen_paths(ranked: Column, strength: Column, deployment: Column, preset: C
         .otherwise(1)
     )
     all_paths = F.transform(ranked, lambda r: r["p"])
-    delivery = F.try_element_at(F.filter(all_paths, lambda p: (p != seed) & M.is_delivery(p)), F.lit(1))
+    delivery = F.try_element_at(F.filter(ranked, lambda r: (r["p"] != seed) & r["delivery"]), F.lit(1))["p"]
 
     def step(taken: Column, i: Column) -> Column:
         left = F.filter(all_paths, lambda p: ~F.array_contains(taken, p))
@@ -191,9 +192,9 @@ def focus(themes: Column, matched: Column, target: Column, stage: Column, manage
     )
 
 
-def figures(stage: Column, architecture: Column, target: Column, branches: list[tuple[str, list[str]]], names: dict[str, list[str]], key: Column, salt: str) -> Column:
+def figures(stage: Column, target: Column, branches: list[tuple[str, list[str]]], names: dict[str, list[str]], key: Column, salt: str) -> Column:
     """One of the stage's maps of the domain's branch, the first whose words the domain has, with values by
-    stage, and more for event and serverless designs.  A branch has five figures, a map two neighbours."""
+    stage.  A branch has five figures, a map two neighbours."""
 
     def branch_of(d: Column) -> Column:
         out = F.when(F.lit(False), strings([""]))
@@ -206,10 +207,15 @@ def figures(stage: Column, architecture: Column, target: Column, branches: list[
     one = F.concat((rng.integer(key, salt + ".a", 2, 9) * size).cast("string"), F.lit("k+"))
     other = F.concat(F.lit("<"), rng.integer(key, salt + ".b", 1, 5).cast("string"), F.lit("%"))
     two = lambda b: M.let(at, lambda i: F.create_map(F.element_at(b, i), one, F.element_at(b, i + 1), other))
+    return M.let(M.let(normal(target), branch_of), two)
+
+
+def with_design(figures: Column, architecture: Column) -> Column:
+    """Figures, and more for event and serverless designs."""
     low, none = F.lower(architecture), F.create_map().cast("map<string,string>")
     event = F.when(low.contains("event"), F.create_map(F.lit("events"), F.lit("1M+/day"))).otherwise(none)
     serverless = F.when(low.contains("serverless"), F.create_map(F.lit("autoscaling"), F.lit("0 to 1k in 1 min"))).otherwise(none)
-    return F.map_concat(M.let(M.let(normal(target), branch_of), two), event, serverless)
+    return F.map_concat(figures, event, serverless)
 
 
 def label(target: Column, key: Column, salt: str) -> Column:
@@ -224,70 +230,85 @@ def label(target: Column, key: Column, salt: str) -> Column:
     return M.let(normal(target), lambda d: M.let(of(d), lambda a: rng.pick(a, key, salt)))
 
 
+def named(base: Column, words: Column, ctx: Column, plain: Column, key: Column, salt: str) -> Column:
+    """One of the variants of a project's name (words: of its normal form) that don't repeat a word of its context
+    ctx, whose normal form is plain."""
+
+    def of(long: Column, suffix: Column) -> Column:
+        overlap = F.arrays_overlap(words, F.split(plain, " "))
+        variants = F.array(base, long, F.when(overlap, long).otherwise(F.concat(base, F.lit(" for "), ctx)), F.when(overlap, F.concat(base, F.lit(" Engine"))).otherwise(F.concat(ctx, F.lit(" "), suffix)))
+        return M.let(F.array_distinct(variants), lambda a: rng.pick(a, key, salt + ".variant"))
+
+    suffix = rng.pick(F.filter(strings(SUFFIXES), lambda x: (F.lower(x) != plain) & (F.lower(x) != F.element_at(words, -1))), key, salt + ".suffix")
+    return M.let(suffix, lambda x: M.let(F.concat(base, F.lit(" "), x), lambda long: of(long, x)))
+
+
 def project_name(name: Column, target: Column, key: Column, salt: str) -> Column:
     """One of the variants of a project's name that don't repeat a word."""
+    return M.let(F.initcap(name), lambda base: M.let(F.split(normal(base), " "), lambda words: M.let(label(target, key, salt + ".ctx"), lambda ctx: M.let(normal(ctx), lambda plain: named(base, words, ctx, plain, key, salt)))))
 
-    def of(base: Column, words: Column, ctx: Column, plain: Column) -> Column:
-        overlap = F.arrays_overlap(words, F.split(plain, " "))
-        suffix = rng.pick(F.filter(strings(SUFFIXES), lambda x: (F.lower(x) != plain) & (F.lower(x) != F.element_at(words, -1))), key, salt + ".suffix")
-        variants = lambda long: F.array_distinct(F.array(base, long, F.when(overlap, long).otherwise(F.concat(base, F.lit(" for "), ctx)), F.when(overlap, F.concat(base, F.lit(" Engine"))).otherwise(F.concat(ctx, F.lit(" "), suffix))))
-        return M.let(F.concat(base, F.lit(" "), suffix), lambda long: M.let(variants(long), lambda a: rng.pick(a, key, salt + ".variant")))
 
-    return M.let(F.initcap(name), lambda base: M.let(F.split(normal(base), " "), lambda words: M.let(label(target, key, salt + ".ctx"), lambda ctx: M.let(normal(ctx), lambda plain: of(base, words, ctx, plain)))))
+def tail(target: Column, stage: Column, key: Column, salt: str) -> Column:
+    """How a problem sentence ends."""
+    of = lambda ctx: by_value(stage, {"entry": F.concat(F.lit("Aimed at "), ctx, F.lit(" users.")), "mid": F.concat(F.lit("Served the "), ctx, F.lit(" domain under load.")), "senior": F.concat(F.lit("Supports "), ctx, F.lit(" at scale."))})
+    return M.let(label(target, key, salt + ".ctx"), of)
 
 
 def problem(text: Column, target: Column, stage: Column, key: Column, salt: str) -> Column:
-    tail = lambda ctx: by_value(stage, {"entry": F.concat(F.lit("Aimed at "), ctx, F.lit(" users.")), "mid": F.concat(F.lit("Served the "), ctx, F.lit(" domain under load.")), "senior": F.concat(F.lit("Supports "), ctx, F.lit(" at scale."))})
-    return F.concat(text, F.lit(" "), M.let(label(target, key, salt + ".ctx"), tail))
+    return F.concat(text, F.lit(" "), tail(target, stage, key, salt))
 
 
 def templates_for(templates: Column, skills_compact: Column, stage: Column, key: Column) -> Column:
     """The two (senior: three) templates with most matched skills, ties by chance."""
-    hits = lambda t, known: F.filter(M.compacted(t["skills"]), lambda c: M.known(c, known))
+    hits = lambda t, known: F.filter(t["pairs"], lambda r: M.known(r["c"], known))
     rows = M.let(M.joined(skills_compact), lambda known: F.transform(templates, lambda t, i: F.struct((-F.size(hits(t, known))).alias("s"), rng.uniform(key, "template", i).alias("u"), t.alias("t"))))
     return F.transform(F.slice(F.array_sort(rows), F.lit(1), F.when(stage == "senior", 3).otherwise(2)), lambda r: r["t"])
 
 
 def projects(chosen: Column, recent: Column, recent_compact: Column, skills: Column, matched: Column, target: Column, stage: Column, deployment: Column, manages: Column, key: Column, branches, names) -> Column:
-    """Projects in order; a fold carries the (compact) technologies and impacts that earlier ones used."""
+    """Projects in order; a fold carries the (compact) technologies and impacts that earlier ones used.  What all
+    projects of a row share is made once, before it."""
     kind = "struct<done:array<struct<project_name:string,project_domain:string,business_problem:string,architecture_type:string,technologies_used:array<string>,complexity_tier:string,impact_signals:array<string>,quantitative_metrics:map<string,string>,resume_fit_reason:string>>,seen:array<string>,impacts:array<string>>"
     none = F.array().cast("array<string>")
     empty = F.from_json(F.lit('{"done":[],"seen":[],"impacts":[]}'), kind)
     lead = F.slice(F.when(F.size(matched) > 0, matched).otherwise(skills), 1, 2)
-
-    def own_of(t: Column, recent_known: Column, seen: Column) -> Column:
+    why = F.concat(F.lit("Extends the "), F.array_join(lead, ", "), F.lit(" stack of the candidate's experience."), F.when(manages, " It also shows coordination.").otherwise(""))
+    extra = by_value(stage, {k: strings(v) for k, v in EXTRA_IMPACTS.items()})
+    shared = F.struct(
+        M.joined(recent_compact).alias("recent"), M.paired(F.array_distinct(F.concat(recent, skills))).alias("every"), label(target, key, "name.ctx").alias("ctx"), tail(target, stage, key, "problem").alias("tail"),
+        figures(stage, target, branches, names, key, "figure").alias("figures"), shuffled(extra, key, "extra").alias("extra"), why.alias("why"), by_value(stage, COMPLEXITY).alias("complexity"),
+    )
+
+    def own_of(t: Column, all_: Column, seen: Column) -> Column:
         """The template's skills that the recent stack has and no earlier project used."""
-        rows = M.paired(t["skills"])
-        return F.transform(F.filter(rows, lambda r: M.known(r["c"], recent_known) & ~M.known(r["c"], seen)), lambda r: r["x"])
+        return F.transform(F.filter(t["pairs"], lambda r: M.known(r["c"], all_["recent"]) & ~M.known(r["c"], seen)), lambda r: r["x"])
 
-    def tech_of(t: Column, own: Column, every: Column, seen: Column) -> Column:
+    def tech_of(t: Column, own: Column, all_: Column, seen: Column) -> Column:
         """Up to four: own ones first, then of the recent stack and the skills what is new."""
-        fresh = M.let(M.joined(M.compacted(own)), lambda mine: F.filter(every, lambda r: ~M.known(r["c"], seen) & ~M.known(r["c"], mine)))
+        fresh = M.let(M.joined(M.compacted(own)), lambda mine: F.filter(all_["every"], lambda r: ~M.known(r["c"], seen) & ~M.known(r["c"], mine)))
         more = F.slice(F.transform(fresh, lambda r: r["x"]), F.lit(1), F.greatest(F.lit(0), F.lit(4) - F.size(own)))
         return M.let(F.slice(M.distinct_in_order(F.concat(own, more)), 1, 6), lambda a: F.when(F.size(a) > 0, a).otherwise(F.slice(M.distinct_in_order(F.concat(t["skills"], skills)), 1, 4)))
 
-    def signals_of(acc: Column, t: Column) -> Column:
-        extra = by_value(stage, {k: strings(v) for k, v in EXTRA_IMPACTS.items()})
-        fresh = F.filter(M.distinct_in_order(F.concat(t["outcomes"], shuffled(extra, key, "extra"))), lambda x: ~F.array_contains(acc["impacts"], x))
+    def signals_of(acc: Column, t: Column, all_: Column) -> Column:
+        fresh = F.filter(M.distinct_in_order(F.concat(t["outcomes"], all_["extra"])), lambda x: ~F.array_contains(acc["impacts"], x))
         return M.let(fresh, lambda a: F.slice(shuffled(F.when(F.size(a) > 0, a).otherwise(extra), key, "impact"), 1, 2))
 
-    def row_of(acc: Column, t: Column, tech: Column, shape: Column, signals: Column) -> Column:
-        why = F.concat(F.lit("Extends the "), F.array_join(lead, ", "), F.lit(" stack of the candidate's experience."), F.when(manages, " It also shows coordination.").otherwise(""))
+    def row_of(acc: Column, t: Column, all_: Column, plain: Column, tech: Column, shape: Column, signals: Column) -> Column:
         row = F.struct(
-            project_name(t["name"], target, key, "name").alias("project_name"), target.alias("project_domain"), problem(t["problem"], target, stage, key, "problem").alias("business_problem"),
-            shape.alias("architecture_type"), tech.alias("technologies_used"), by_value(stage, COMPLEXITY).alias("complexity_tier"), signals.alias("impact_signals"),
-            figures(stage, shape, target, branches, names, key, "figure").alias("quantitative_metrics"), why.alias("resume_fit_reason"),
+            named(t["title"], t["words"], all_["ctx"], plain, key, "name").alias("project_name"), target.alias("project_domain"), F.concat(t["problem"], F.lit(" "), all_["tail"]).alias("business_problem"),
+            shape.alias("architecture_type"), tech.alias("technologies_used"), all_["complexity"].alias("complexity_tier"), signals.alias("impact_signals"),
+            with_design(all_["figures"], shape).alias("quantitative_metrics"), all_["why"].alias("resume_fit_reason"),
         )
         return F.struct(F.concat(acc["done"], F.array(row)).alias("done"), F.concat(acc["seen"], M.compacted(tech)).alias("seen"), F.array_union(acc["impacts"], signals).alias("impacts")).cast(kind)
 
-    def add(acc: Column, t: Column, recent_known: Column, every: Column) -> Column:
+    def add(acc: Column, t: Column, all_: Column, plain: Column) -> Column:
         shapes = M.distinct_in_order(F.concat(t["architecture"], F.when(deployment > 0.65, strings(["Event-Driven", "Serverless"])).otherwise(none)))
         shape = F.coalesce(M.let(shapes, lambda a: rng.pick(a, key, "shape", F.size(acc["done"]))), F.lit("Microservices"))
-        tech = lambda seen: M.let(own_of(t, recent_known, seen), lambda own: tech_of(t, own, every, seen))
-        return M.let(M.let(M.joined(acc["seen"]), tech), lambda tech: M.let(shape, lambda sh: M.let(signals_of(acc, t), lambda sig: row_of(acc, t, tech, sh, sig))))
+        tech = lambda seen: M.let(own_of(t, all_, seen), lambda own: tech_of(t, own, all_, seen))
+        return M.let(M.let(M.joined(acc["seen"]), tech), lambda tech: M.let(shape, lambda sh: M.let(signals_of(acc, t, all_), lambda sig: row_of(acc, t, all_, plain, tech, sh, sig))))
 
-    fold = lambda recent_known, every: F.aggregate(chosen, empty, lambda acc, t: add(acc, t, recent_known, every), lambda acc: acc["done"])
-    return M.let(M.joined(recent_compact), lambda k: M.let(M.paired(F.array_distinct(F.concat(recent, skills))), lambda every: fold(k, every)))
+    fold = lambda all_, plain: F.aggregate(chosen, empty, lambda acc, t: add(acc, t, all_, plain), lambda acc: acc["done"])
+    return M.let(shared, lambda all_: M.let(normal(all_["ctx"]), lambda plain: fold(all_, plain)))
 
 
 def company_choices(rows: DataFrame, companies: DataFrame, usage: DataFrame | None) -> DataFrame:
@@ -402,17 +423,28 @@ def _companies(r: DataFrame, companies: DataFrame, usage: DataFrame | None) -> D
     return choose_company(r, choices, "before", "weaker", "taken", "previous", "previous")
 
 
+def _prepared(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What depends on profiles alone, made once a profile and not once a row: compact forms of catalogue, templates
+    and paths, titles of projects and their words, and which paths deliver; for a row's role and for its filler."""
+    def template(t: Column) -> Column:
+        return F.struct(*(t[f].alias(f) for f in ("name", "skills", "problem", "architecture", "outcomes")), M.paired(t["skills"]).alias("pairs"), F.initcap(t["name"]).alias("title"), F.split(normal(F.initcap(t["name"])), " ").alias("words"))
+
+    paths, support, templates = F.col("skill_paths"), F.col("supporting_skills"), F.col("templates")
+    mine = profiles.select("role", M.paired(catalogue(paths, support, templates)).alias("p_pairs"), F.transform(templates, template).alias("p_templates"))
+    every = M.distinct_in_order(F.concat(F.flatten(paths), F.flatten(F.transform(templates, lambda t: t["skills"])), support))
+    path = lambda p: F.struct(p.alias("p"), M.compacted(p).alias("c"), M.is_delivery(p).alias("delivery"))
+    return mine, profiles.select(F.col("role").alias("filler"), F.transform(paths, path).alias("f_paths"), M.paired(every).alias("f_pairs"))
+
+
 def _skills(r: DataFrame, profiles: DataFrame) -> DataFrame:
     k = F.col(KEY)
-    mine = profiles.select("role", *(F.col(c).alias(f"p_{c}") for c in ("skill_paths", "supporting_skills", "templates")))
-    fill = profiles.select(F.col("role").alias("filler"), F.col("skill_paths").alias("f_paths"), F.col("supporting_skills").alias("f_support"), F.col("templates").alias("f_templates"))
-    mine = mine.withColumn("p_pairs", M.paired(catalogue(F.col("p_skill_paths"), F.col("p_supporting_skills"), F.col("p_templates"))))
+    mine, fill = _prepared(profiles)
     r = r.join(mine, "role").join(fill, "filler")
     firsts = F.transform("skills", lambda s: M.first_of_pairs(s, F.col("p_pairs")))
     r = r.withColumns({"jd_compact": M.compacted(F.col("skills")), "firsts": firsts, "most": most_skills(F.col("strength"), F.col("preset"))})
     r = r.withColumn("available", M.distinct_in_order(F.col("firsts")))
     r = r.withColumn("kept", rng.subset(F.col("available"), match_count(F.size("available"), F.col("dials.skill_coverage"), F.col("preset"), k), k, "keep"))
-    spare = F.slice(shuffled(fillers(F.col("f_paths"), F.col("f_support"), F.col("f_templates"), F.col("jd_compact")), k, "fill"), F.lit(1), F.greatest(F.lit(0), F.col("most") - F.size("kept")))
+    spare = F.slice(shuffled(fillers(F.col("f_pairs"), F.col("jd_compact")), k, "fill"), F.lit(1), F.greatest(F.lit(0), F.col("most") - F.size("kept")))
     r = r.withColumn("bundle", M.distinct_in_order(F.concat("kept", spare)))
     short = (F.size("bundle") < 4) & (F.col("preset") != "mismatch")
     missing = F.filter("skills", lambda s, i: F.element_at(F.col("firsts"), i + 1).isNull())

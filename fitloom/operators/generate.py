@@ -45,8 +45,8 @@ FIRST_NAMES, LAST_NAMES = ["Asha", "Ravi", "Meera", "Kiran", "Divya", "Arjun", "
 MAILS = ["gmail.com", "outlook.com", "yahoo.com"]
 
 KEY = "__key"
-#: Companies of a pool.
-POOL = 10_000
+#: Companies of a pool, and rows of choices among them that are broadcast.
+POOL, CHOICES = 10_000, 20_000
 
 
 def by_value(c: Column, values: dict[str, Column | float | str], other=None) -> Column:
@@ -311,13 +311,19 @@ def projects(chosen: Column, recent: Column, recent_compact: Column, skills: Col
     return M.let(shared, lambda all_: M.let(normal(all_["ctx"]), lambda plain: fold(all_, plain)))
 
 
-def company_choices(rows: DataFrame, companies: DataFrame, usage: DataFrame | None) -> DataFrame:
-    """(preferred, order, c_*): what rows with this list of preferred domains and this order of tiers draw from.
+def company_choices(jds: DataFrame, profiles: DataFrame, companies: DataFrame, usage: DataFrame | None) -> DataFrame:
+    """(preferred, order, c_*): what rows with this list of preferred domains and this order of tiers draw from,
+    for each role and each domain that a candidate of jds can end in.
 
     c_good are the companies of a preferred domain in the first tier that has any, c_mates others of that tier if
     these are few; c_next and c_next_mates the same of the next tier, for rows whose only one is taken; c_ladder
     those of the order's tiers, and c_all the pool, where next to nothing fits.  weight w is by usage.  The pool is
-    one row of POOL companies at most, or the query fails; it meets the distinct lists, not the rows."""
+    one row of POOL companies at most, or the query fails; it meets the distinct lists, not the rows.  Up to CHOICES
+    rows, which are counted, are broadcast; more meet by a shuffle."""
+    own = profiles.select(F.explode("domains").alias("target"))
+    targets = jds.select(F.trim("domain").alias("target")).union(own).union(profiles.select(F.explode(strings(FALLBACK_DOMAINS)))).where("target is not null").distinct()
+    wanted = profiles.select("company_domains").join(targets).select(M.distinct_in_order(F.concat("company_domains", F.array("target"))).alias("preferred")).distinct()
+    few = len(LADDER) * 2 * wanted.count() <= CHOICES
     pool, weight = companies, F.lit(1.0)
     if usage is not None:
         pool = companies.join(usage, "name", "left")
@@ -326,7 +332,7 @@ def company_choices(rows: DataFrame, companies: DataFrame, usage: DataFrame | No
     every = every.select(F.when(F.size("pool") <= POOL, F.col("pool")).otherwise(F.raise_error(F.lit(f"more than {POOL} companies"))).alias("pool"))
     orders = [F.struct(F.lit(f"{stage}|{weak}").alias("order"), strings(tiers[::-1] if weak else tiers).alias("tiers")) for stage, tiers in LADDER.items() for weak in (False, True)]
     fits = M.let(F.transform("preferred", normal), lambda wanted: F.filter("pool", lambda c: F.exists(wanted, lambda w: M.plain_domains_match(w, c["plain"]))))
-    d = rows.select("preferred").distinct().crossJoin(F.broadcast(every)).withColumn("fits", fits).select("*", F.inline(F.array(*orders)))  # one row
+    d = wanted.crossJoin(F.broadcast(every)).withColumn("fits", fits).select("*", F.inline(F.array(*orders)))  # one row
     d = d.withColumn("levels", F.filter("tiers", lambda t: F.exists("fits", lambda c: c["tier"] == t)))
     nothing = F.filter("pool", lambda c: F.lit(False))
     of = lambda k: F.filter("fits", lambda c: c["tier"] == F.get("levels", F.lit(k)))
@@ -337,7 +343,8 @@ def company_choices(rows: DataFrame, companies: DataFrame, usage: DataFrame | No
     ladder = F.when(none_left, F.filter("pool", lambda c: F.array_contains("tiers", c["tier"]))).otherwise(nothing)
     d = d.withColumns({"c_mates": F.when(few("c_good"), mates(0)).otherwise(nothing), "c_next_mates": F.when(few("c_next"), mates(1)).otherwise(nothing), "c_ladder": ladder})
     d = d.withColumn("c_all", F.when(none_left & (F.size("c_ladder") <= 1), F.col("pool")).otherwise(nothing))
-    return d.select("preferred", "order", "c_good", "c_mates", "c_next", "c_next_mates", "c_ladder", "c_all")
+    d = d.select("preferred", "order", "c_good", "c_mates", "c_next", "c_next_mates", "c_ladder", "c_all")
+    return F.broadcast(d) if few else d
 
 
 def choose_company(rows: DataFrame, choices: DataFrame, stage: str, strength: str, excluded: str | None, salt: str, out: str) -> DataFrame:
@@ -379,7 +386,7 @@ def candidates(jds: DataFrame, profiles: DataFrame, companies: DataFrame, colleg
     the plan small.  usage is a table (name, used) of company counts."""
     make = {
         "persona": lambda r: _persona(r, profiles, adjacent, mismatch),
-        "companies": lambda r: _companies(r, companies, usage),
+        "companies": lambda r: _companies(r, company_choices(jds, profiles, companies, usage)),
         "skills": lambda r: _skills(r, profiles),
         "paths": _paths,
         "focus": _focus,
@@ -393,7 +400,9 @@ def candidates(jds: DataFrame, profiles: DataFrame, companies: DataFrame, colleg
     while todo:
         needed.add(todo[-1])
         todo += [x for x in PARTS[todo.pop()] if x not in needed]
-    r = jds.withColumn(KEY, F.concat_ws("|", "jd_id", "preset", "attempt"))
+    # a row costs a millisecond: few rows of one file would keep one task busy
+    tasks = int(jds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = jds.withColumn(KEY, F.concat_ws("|", "jd_id", "preset", "attempt")).repartition(tasks, KEY)
     for name in PARTS:
         if name in needed:
             r = make[name](r)
@@ -416,9 +425,8 @@ def _persona(r: DataFrame, profiles: DataFrame, adjacent: dict[str, str], mismat
     return r.withColumns({"before": earlier(F.col("stage")), "two": (F.col("years") >= 5.0) & F.col("stage").isin("mid", "senior")})
 
 
-def _companies(r: DataFrame, companies: DataFrame, usage: DataFrame | None) -> DataFrame:
+def _companies(r: DataFrame, choices: DataFrame) -> DataFrame:
     r = r.withColumns({"preferred": M.distinct_in_order(F.concat("p_company_domains", F.array("target"))), "weaker": F.col("strength") * 0.88})
-    choices = company_choices(r, companies, usage)
     r = choose_company(r, choices, "stage", "strength", None, "company", "company").withColumn("taken", F.col("company.name"))
     return choose_company(r, choices, "before", "weaker", "taken", "previous", "previous")
 

@@ -101,6 +101,10 @@ for _id, _part, _cols, _sql in (
     ("WIN6", "templates", lambda: [F.array_join(F.transform("chosen", lambda t: t["name"]), ",").alias("templates")], "array_to_string(list_transform(chosen, lambda t: t.name), ',') AS templates"),
 ):
     Q[_id] = (lambda s, d, p=_part, c=_cols: made(s, d, p).select("jd_id", "preset", *c()), _CHAIN + f"SELECT jd_id, preset, {_sql} FROM made")
+Q["SMP11_usage"] = (
+    lambda s, d: G.in_rounds(jds(s, d), F.pmod("jd_id", F.lit(2)), 2, P.companies(s), lambda rows, usage: generate(rows, s, "companies", usage), lambda df: stored(df, "round")).select("jd_id", "preset", "round", K("company.name").alias("company"), K("previous.name").alias("previous")),
+    sql.in_rounds(_SKILLS, _ROLE, 2) + "SELECT jd_id, preset, CAST(round AS INT) AS round, company.name AS company, previous.name AS previous FROM drawn",
+)
 _SCORES = [*S.WEIGHTS, "total_years", "overall", "rationale"]
 Q["SMP20"] = (lambda s, d: made(s, d).select("jd_id", "preset", *_SCORES), sql.scored(_SKILLS, _ROLE) + f"SELECT jd_id, preset, {', '.join(_SCORES)} FROM scored")
 Q["SMP15"] = (

@@ -108,8 +108,10 @@ def _band() -> str:
     return "CASE " + " ".join(f"WHEN {contains_sql(t, words)} THEN '{b}'" for b, _, words in S.BANDS) + " ELSE 'unspecified' END"
 
 
-def _company(before: str, name: str, stage: str, strength: str, excluded: str | None, salt: str, out: str) -> str:
-    """Steps that add a company struct `out` to table expression `before`, as `name`."""
+def _company(before: str, name: str, stage: str, strength: str, excluded: str | None, salt: str, out: str, used: str | None = None) -> str:
+    """Steps that add a company struct `out` to table expression `before`, as `name`; used is a map of how often
+    companies were drawn."""
+    weight = f" / ({number(1)} / ({number(1)} + ln({number(1)} + coalesce({used}[c.name], 0))))" if used else ""
     pool = lit([{"tier": t, "name": n, "domain": d, "ctc": c} for t, n, d, c in sorted(P.COMPANIES)])
     ladder = case(stage, {k: sql_list(v) for k, v in G.LADDER.items()})
     free = f"list_filter({pool}, lambda c: c.name <> {excluded})" if excluded else pool
@@ -121,7 +123,7 @@ def _company(before: str, name: str, stage: str, strength: str, excluded: str |
         f"{name}3 AS (SELECT *, list_filter(ladder, lambda t: len(list_filter(fits, lambda c: c.tier = t)) > 0)[1] AS level FROM {name}2), "
         f"{name}4 AS (SELECT *, list_filter(fits, lambda c: c.tier = level) AS good, list_filter(free, lambda c: c.tier = level AND len(list_filter(fits, lambda g: g.name = c.name)) = 0) AS mates, list_filter(free, lambda c: list_contains(ladder, c.tier)) AS near FROM {name}3), "
         f"{name}5 AS (SELECT *, CASE WHEN level IS NOT NULL THEN {blend} WHEN len(near) > 0 THEN near ELSE free END AS cands FROM {name}4), "
-        f"{name} AS (SELECT * EXCLUDE (ladder, free, fits, level, good, mates, near, cands), coalesce(list_sort(list_transform(cands, lambda c, i: {{'u': -ln({u(salt, '(i - 1)')}), 'c': c}}))[1].c, {none}) AS {out} FROM {name}5)"
+        f"{name} AS (SELECT * EXCLUDE (ladder, free, fits, level, good, mates, near, cands), coalesce(list_sort(list_transform(cands, lambda c, i: {{'u': -ln({u(salt, '(i - 1)')}){weight}, 'c': c}}))[1].c, {none}) AS {out} FROM {name}5)"
     )
 
 
@@ -265,6 +267,22 @@ def chain(skills: list[str], roles: list[str], attempts: int = 1) -> str:
     return "WITH " + ", ".join(steps) + " "
 
 
+def in_rounds(skills: list[str], roles: list[str], rounds: int) -> str:
+    """WITH expressions up to `drawn`: companies of jobs whose id leaves 0, 1, ... by `rounds`, one round after
+    another, each weighted by what the rounds before drew."""
+    steps = []
+    for n in range(rounds):
+        earlier = " UNION ALL ".join(f"SELECT company.name AS name FROM u{i}b UNION ALL SELECT previous.name FROM u{i}b WHERE two" for i in range(n)) or "SELECT NULL AS name WHERE false"
+        steps += [
+            f"used{n} AS (SELECT name, count(*) AS n FROM ({earlier}) GROUP BY name)",
+            f"r{n} AS (SELECT *, {n} AS round, years >= 5 AND stage IN ('mid', 'senior') AS two, coalesce((SELECT map_from_entries(list((name, n))) FROM used{n}), CAST(MAP {{}} AS MAP(VARCHAR, BIGINT))) AS used FROM g24 WHERE jd_id % {rounds} = {n})",
+            _company(f"r{n}", f"u{n}a", "stage", "strength", None, "company", "company", "used"),
+            _company(f"u{n}a", f"u{n}b", "prior", "weaker", "company.name", "previous", "previous", "used"),
+        ]
+    every = " UNION ALL ".join(f"SELECT jd_id, preset, round, company, previous FROM u{n}b" for n in range(rounds))
+    return chain(skills, roles).rstrip() + ", " + ", ".join(steps) + f", drawn AS ({every}) "
+
+
 def _education() -> str:
     w, d, i = sql_normal("education"), sql_normal("degree"), sql_normal("institution")
     base = f"CASE WHEN {contains_sql(w, S.MASTER_WANTED)} THEN CASE WHEN {contains_sql(d, S.MASTER_HELD)} THEN {number(1)} ELSE {number(0.45)} END WHEN {contains_sql(w, S.BACHELOR_WANTED)} THEN CASE WHEN {d} <> '' THEN {number(1)} ELSE {number(0.6)} END ELSE {number(0.5)} END"

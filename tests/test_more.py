@@ -199,3 +199,40 @@ def test_attempts_end(spark):
     got = sorted((r["id"], r["attempt"], r["accepted"]) for r in generate.accepted(rows, ["id"], make, lambda df: df, 4).collect())
     assert got == [(i, 4, False) if i == 8 else (i, {1: 1, 2: 2, 0: 3}[i % 3], True) for i in range(9)]
     assert tries == [9, 6, 4, 1]
+
+
+def test_company_usage_in_rounds_flattens(spark):
+    """Companies that earlier rounds drew are drawn less: the counts of eight rounds are flatter than those of one."""
+    from collections import Counter
+
+    from fitloom.operators import generate as G
+    from fitloom.plans import profiles as P
+    from fitloom.plans import q_generate as q
+    from fitloom.plans.tools import stored
+
+    jds = q.jds(spark, SF).withColumn("domain", F.lit("Retail"))
+    make = lambda rows, usage: q.generate(rows, spark, "companies", usage)
+
+    def spread(rounds):
+        out = G.in_rounds(jds, F.pmod("jd_id", F.lit(rounds)), rounds, P.companies(spark), make, lambda df: stored(df, "round")).select("jd_id", "round", "company.name", "company.tier").collect()
+        assert len(out) == jds.count() and {r["round"] for r in out} == set(range(rounds))
+        n = Counter(r["name"] for r in out)
+        tiers = Counter(r["tier"] for r in out)
+        return sum(v * v for v in n.values()) / sum(n.values()) ** 2, tiers
+
+    one, _ = spread(1)
+    eight, _ = spread(8)
+    assert eight < one
+
+
+def test_parts_of_a_candidate(spark):
+    """A part makes its own columns and what it needs; no row carries the pool or a profile on."""
+    from fitloom.plans import q_generate as q
+
+    jds = q.jds(spark, SF).limit(3)
+    companies = q.generate(jds, spark, "companies")
+    assert {"company", "previous", "preferred"} <= set(companies.columns) and "bundle" not in companies.columns
+    scored = q.generate(jds, spark)
+    assert "projects" in scored.columns and not [c for c in scored.columns if c.startswith(("p_", "f_", "c_"))]
+    plan = companies._jdf.queryExecution().optimizedPlan().toString()
+    assert "project_name" not in plan

@@ -236,3 +236,23 @@ def test_parts_of_a_candidate(spark):
     assert "projects" in scored.columns and not [c for c in scored.columns if c.startswith(("p_", "f_", "c_"))]
     plan = companies._jdf.queryExecution().optimizedPlan().toString()
     assert "project_name" not in plan
+
+
+@pytest.mark.parametrize("block", [1, 3, 4096])
+def test_fuzzy_join_of_tables(spark, block):
+    """All pairs that match and no others, whatever the blocks of common runs; no product of the tables in the plan."""
+    import random
+
+    from fitloom.operators import fuzzy
+
+    rnd = random.Random(block)
+    words = lambda n: ["".join(rnd.choices("ab", k=rnd.randint(0, 9))) for _ in range(n)] + [None, "", "  ", "Aa-bb", "prefix" + "ab" * 3, "Prefix"]
+    a, b = words(80), words(120)
+    plain = lambda x: "".join(c for c in (x or "").lower() if c.isalnum())
+    match = lambda x, y: bool(x and y and (x == y or len(x) >= 4 and x in y or len(y) >= 4 and y in x))
+    left, right = spark.createDataFrame([(i, x) for i, x in enumerate(a)], "i int, x string"), spark.createDataFrame([(i, y) for i, y in enumerate(b)], "k int, y string")
+    got = fuzzy.fuzzy_join(left, right, "x", "y", block)
+    assert sorted((r["i"], r["k"]) for r in got.collect()) == [(i, k) for i, x in enumerate(a) for k, y in enumerate(b) if match(plain(x), plain(y))]
+    assert "CartesianProduct" not in (plan := got._jdf.queryExecution().executedPlan().toString()) and "NestedLoop" not in plan
+    missing = fuzzy.fuzzy_missing(left, right, "x", "y", block)
+    assert sorted(r["i"] for r in missing.collect()) == [i for i, x in enumerate(a) if not any(match(plain(x), plain(y)) for y in b)]

@@ -2,18 +2,26 @@
 
 A client is an object with `complete(prompt, settings) -> str` that raises CallError; it is made in each
 task by a factory, so it needn't be serialised.  A table's rows call in their own tasks, each at a share of
-the rate limit; a row that fails keeps its place with `_error`.
+the rate limit and with a window of calls in flight; a row that fails keeps its place with `_error`.
+
+Calls are paid for, so what they give is logged in a folder that all executors see before it is used: a task or a
+job that starts again reads the log first, and calls only for what isn't in it (CallLog).
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
+import threading
 import time
+import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,15 +59,62 @@ class Limiter:
     now: Callable[[], float] = time.monotonic
     sleep: Callable[[float], None] = time.sleep
     free: float = field(default=0.0)
+    lock: threading.Lock = field(default_factory=threading.Lock)
 
     def wait(self) -> None:
-        pause = self.free - self.now()
-        if pause > 0:
-            self.sleep(pause)
-        self.free = max(self.now(), self.free) + 60.0 * self.tasks / self.rpm
+        """Takes the next free moment and sleeps until it comes; threads take one after another."""
+        with self.lock:
+            now = self.now()
+            start = max(now, self.free)
+            self.free = start + 60.0 * self.tasks / self.rpm
+        if start > now:
+            self.sleep(start - now)
 
     def defer(self, seconds: float) -> None:
-        self.free = max(self.free, self.now() + seconds)
+        with self.lock:
+            self.free = max(self.free, self.now() + seconds)
+
+
+class CallLog:
+    """What calls gave, by row, try and prompt: line JSON in one folder a bucket of rows, each file written whole
+    under another name and then moved, so that a reader never sees half of one.
+
+    `group` results share a file: of a lost task at most group - 1 results that were not written yet are called
+    for again (none if it is 1)."""
+
+    def __init__(self, folder: str, bucket: int, group: int = 1):
+        self.fs, self.path = pafs.FileSystem.from_uri(f"{folder.rstrip('/')}/bucket={bucket}")
+        self.group, self.held, self.lock, self.known = group, [], threading.Lock(), {}
+        self.fs.create_dir(self.path, recursive=True)
+        for f in self.fs.get_file_info(pafs.FileSelector(self.path)):
+            if f.path.endswith(".jsonl"):
+                with self.fs.open_input_stream(f.path) as stream:
+                    self.known |= {(x["row"], x["n"], x["prompt"]): (x["text"], x["error"]) for x in map(json.loads, stream.read().decode().splitlines())}
+
+    @staticmethod
+    def mark(prompt: str, settings: dict) -> str:
+        return hashlib.md5(json.dumps([prompt, settings], sort_keys=True).encode()).hexdigest()
+
+    def get(self, row: str, n: int, prompt: str) -> tuple[str | None, str | None] | None:
+        return self.known.get((row, n, prompt))
+
+    def add(self, row: str, n: int, prompt: str, text: str | None, error: str | None) -> None:
+        with self.lock:
+            self.held.append({"row": row, "n": n, "prompt": prompt, "text": text, "error": error})
+            if len(self.held) >= self.group:
+                self._write()
+
+    def close(self) -> None:
+        with self.lock:
+            self._write()
+
+    def _write(self) -> None:
+        if self.held:
+            name = f"{self.path}/{uuid.uuid4().hex}"
+            with self.fs.open_output_stream(f"{name}.open") as out:
+                out.write("".join(json.dumps(x) + "\n" for x in self.held).encode())
+            self.fs.move(f"{name}.open", f"{name}.jsonl")
+            self.held = []
 
 
 def pause(attempt: int, error: CallError) -> float:
@@ -73,34 +128,66 @@ def pause(attempt: int, error: CallError) -> float:
     return 1.0 if error.overflow else min(8.0, float(attempt))
 
 
-def call(client, prompts: list[str], limiter: Limiter, settings: dict, good: Callable[[str], bool] | None = None) -> tuple[str | None, str | None, int]:
+def call(client, prompts: list[str], limiter: Limiter, settings: dict, good: Callable[[str], bool] | None = None, log: CallLog | None = None, row: str = "") -> tuple[str | None, str | None, int]:
     """(text, error, tries): the prompts are tried in turn, one a try, the last repeated if need be.  With
-    `good`, tries go on until an answer passes, and the last answer stays if none does."""
+    `good`, tries go on until an answer passes, and the last answer stays if none does.  Tries that the log has
+    aren't called again."""
     text, error, n = None, None, 0
     for n, prompt in enumerate(prompts, 1):
-        limiter.wait()
-        try:
-            text, error = client.complete(prompt, settings), None
-            if good is None or good(text):
-                break
-        except CallError as e:
-            error = str(e)
-            limiter.defer(pause(n, e))
+        mark = log and log.mark(prompt, settings)
+        if log and (had := log.get(row, n, mark)):
+            text, error = (had[0], None) if had[1] is None else (text, had[1])
+        else:
+            limiter.wait()
+            try:
+                text, error = client.complete(prompt, settings), None
+            except CallError as e:
+                error = str(e)
+                limiter.defer(pause(n, e))
+            if log:
+                log.add(row, n, mark, text if error is None else None, error)
+        if error is None and (good is None or good(text)):
+            break
     return text, (error if text is None else None), n
 
 
-def complete(df: DataFrame, prompts: str, factory: Callable[[], object], rpm: float = 55, settings: dict | None = None, good: Callable[[str], bool] | None = None, limiter: Callable[[float, int], Limiter] = Limiter, tasks: int = 4) -> DataFrame:
-    """Adds answer, _error and tries.  `prompts` is an array column, one prompt for each try.  The rows are
-    called in `tasks` tasks, each at its share of the rate."""
+def complete(
+    df: DataFrame, prompts: str, factory: Callable[[], object], rpm: float = 55, settings: dict | None = None, good: Callable[[str], bool] | None = None, limiter: Callable[[float, int], Limiter] = Limiter,
+    tasks: int | None = 4, log: str | None = None, key: str | None = None, in_flight: int = 1, group: int = 1,
+) -> DataFrame:
+    """Adds answer, _error and tries.  `prompts` is an array column, one prompt for each try.
+
+    The rows are called in `tasks` tasks, each at its share of the rate; None keeps the table's partitions, for
+    calls without a limit.  With `in_flight` above 1 the client is called from as many threads.  With `log`, a
+    folder that all executors see, results are logged by `key`, a column that tells rows apart and is not null."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    buckets = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client, pace = factory(), limiter(rpm, tasks)
-        for pdf in frames:
-            rows = [call(client, list(p), pace, settings or {}, good) for p in pdf[prompts]]
-            yield pdf.assign(answer=[r[0] for r in rows], _error=[r[1] for r in rows], tries=[r[2] for r in rows])
-
-    return df.repartition(tasks).mapInPandas(run, f"{fields}, answer string, _error string, tries int")
+        client, pace, logs = factory(), limiter(rpm, tasks or 1), {}
+
+        def one(row: tuple) -> tuple[str | None, str | None, int]:
+            asked, bucket, name = row
+            return call(client, list(asked), pace, settings or {}, good, logs.get(bucket), name)
+
+        with ThreadPoolExecutor(in_flight) as pool:
+            for pdf in frames:
+                bucket = pdf.pop("__bucket") if log else [None] * len(pdf)
+                for b in set(bucket) - set(logs) if log else ():
+                    logs[b] = CallLog(log, b, group)
+                try:
+                    done = list(pool.map(one, zip(pdf[prompts], bucket, pdf[key].astype(str) if log else bucket, strict=True)))
+                finally:
+                    for x in logs.values():
+                        x.close()
+                yield pdf.assign(answer=[r[0] for r in done], _error=[r[1] for r in done], tries=[r[2] for r in done])
+
+    if log:
+        df = df.withColumn("__bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        rows = df.repartition(buckets, "__bucket")  # a bucket is in one task, which alone writes its log
+    else:
+        rows = df.repartition(tasks) if tasks else df
+    return rows.mapInPandas(run, f"{fields}, answer string, _error string, tries int")
 
 
 def extraction_prompts(title: Column, text: Column) -> Column:

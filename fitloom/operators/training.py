@@ -33,9 +33,9 @@ def fit(rows: DataFrame, trainer: Callable[[], Trainer]) -> Callable[[], object]
     return trainer().fit(rows)
 
 
-def generate(model: Callable[[], object], df: DataFrame, prompt: str = "prompt", rpm: float = 1e9) -> DataFrame:
-    """df with n_prompt and the model's answer to each prompt."""
-    out = complete(df.drop("answer").withColumn("__prompts", F.array(prompt)), "__prompts", model, rpm=rpm, limiter=lambda r, n: Limiter(r, n))
+def generate(model: Callable[[], object], df: DataFrame, prompt: str = "prompt", rpm: float | None = None) -> DataFrame:
+    """df with n_prompt and the model's answer to each prompt, in the table's own partitions unless a rate is given."""
+    out = complete(df.drop("answer").withColumn("__prompts", F.array(prompt)), "__prompts", model, rpm=rpm or 1e9, limiter=lambda r, n: Limiter(r, n), tasks=4 if rpm else None)
     return out.withColumn("n_prompt", F.size(F.split(prompt, " "))).drop("__prompts")
 
 

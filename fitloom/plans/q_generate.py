@@ -15,7 +15,7 @@ from ..operators import http, training
 from . import profiles as P
 from . import sql_generate as sql
 from .flagship import bought
-from .tools import DOMAINS, TITLES, WANTED, pick, read, sql_clean, sql_pick, sql_text, sql_trim, sql_u, stored
+from .tools import DOMAINS, TITLES, WANTED, pick, read, scratch, sql_clean, sql_pick, sql_text, sql_trim, sql_u, stored
 
 Q: dict = {}
 K = F.col
@@ -238,6 +238,23 @@ Q["TXT14"] = (
     lambda s, d: read(s, d, "documents").select("doc_id", X.judge_prompts(K("text"), F.struct("doc_id", "lang"))[0].alias("prompt")),
     "SELECT doc_id, " + _judge("t", """'{"doc_id":' || doc_id || ',"lang":"' || lang || '"}'""") + f" AS prompt FROM (SELECT doc_id, lang, {sql_clean('text')} AS t FROM documents)",
 )
+class Silent:
+    """A client that must not be called."""
+
+    def complete(self, prompt: str, settings: dict) -> str:
+        raise RuntimeError("called again")
+
+
+def _resumed(s, d):
+    """Extraction as a job that is run again with the log of a first run: no call is made twice."""
+    docs = read(s, d, "documents").select("doc_id", "text")
+    rows = docs.select("doc_id", X.extraction_prompts(F.concat(F.lit("Title "), "doc_id"), K("text")).alias("prompts"))
+    log = scratch(s, "calls")
+    X.complete(rows, "prompts", Echo, limiter=_fast, log=log, key="doc_id", in_flight=1, group=256).write.format("noop").mode("overwrite").save()
+    return X.complete(rows, "prompts", Silent, limiter=_fast, log=log, key="doc_id", in_flight=8)
+
+
+Q["EXT1_resumed"] = (lambda s, d: _resumed(s, d).select("doc_id", "answer", "_error", "tries"), _EXTRACTED)
 _HEADERS = """'{"Content-Type":"application/json","Accept":"application/json","User-Agent":"fitloom/1.0"}'"""
 Q["EXT8"] = (
     lambda s, d: read(s, d, "customer").select("c_custkey", http.request(F.concat(F.lit("Hello "), "c_name"), "small", {"temperature": 0.7, "max_tokens": 800}).alias("r")).select("c_custkey", F.to_json("r.headers").alias("headers"), "r.body"),

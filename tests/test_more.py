@@ -256,3 +256,51 @@ def test_fuzzy_join_of_tables(spark, block):
     assert "CartesianProduct" not in (plan := got._jdf.queryExecution().executedPlan().toString()) and "NestedLoop" not in plan
     missing = fuzzy.fuzzy_missing(left, right, "x", "y", block)
     assert sorted(r["i"] for r in missing.collect()) == [i for i, x in enumerate(a) if not any(match(plain(x), plain(y)) for y in b)]
+
+
+def test_calls_of_a_killed_task_are_paid_once(spark, tmp_path):
+    """A worker dies half way; the run after it reads the log and calls for the rest only."""
+    import os
+    import uuid
+
+    class Paid:
+        """A fake server: it notes every call it answers, and takes its worker down at one of them, once."""
+
+        def complete(self, prompt, settings):
+            if len(os.listdir(tmp_path / "paid")) >= 25 and not (tmp_path / "died").exists():
+                (tmp_path / "died").touch()
+                os._exit(1)
+            (tmp_path / "paid" / f"{prompt}.{uuid.uuid4().hex}").touch()
+            return "bad" if prompt.endswith("-0") else prompt.upper()
+
+    (tmp_path / "paid").mkdir()
+    rows = spark.createDataFrame([(i, [f"p{i}-0", f"p{i}-1", f"p{i}-2"]) for i in range(40)], "id int, prompts array<string>").repartition(3)
+    run = lambda: external.complete(rows, "prompts", Paid, rpm=1e9, good=lambda t: t != "bad", log=f"file://{tmp_path}/log", key="id", tasks=1).collect()
+    with pytest.raises(Exception):
+        run()
+    assert len(os.listdir(tmp_path / "paid")) == 25
+    got = run()
+    assert sorted((r["id"], r["answer"], r["tries"]) for r in got) == [(i, f"P{i}-1", 2) for i in range(40)]
+    paid = [x.partition(".")[0] for x in os.listdir(tmp_path / "paid")]
+    assert sorted(paid) == sorted(f"p{i}-{n}" for i in range(40) for n in (0, 1))
+    run()
+    assert len(os.listdir(tmp_path / "paid")) == 80
+
+
+def test_window_of_calls(spark):
+    """Calls in flight overlap, and keep to the rate together."""
+    import time
+
+    class Slow:
+        def complete(self, prompt, settings):
+            time.sleep(0.2)
+            return prompt
+
+    rows = spark.createDataFrame([(i, [f"p{i}"]) for i in range(32)], "id int, prompts array<string>").coalesce(1)
+    began = time.time()
+    assert len(external.complete(rows, "prompts", Slow, rpm=1e9, tasks=1, in_flight=16).collect()) == 32
+    assert time.time() - began < 5
+    clock = external.Limiter(60, 1, now=lambda: 0.0, sleep=lambda x: None)
+    for _ in range(5):
+        clock.wait()
+    assert clock.free == 5.0

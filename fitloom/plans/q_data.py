@@ -8,7 +8,7 @@ from ..functions import rng
 from ..functions.coerce import half_up
 from ..functions.text import COMPLETE_ENDINGS, clean, looks_complete, role_family
 from ..operators import corpus, joins, metrics, sampling
-from ..sources import readers, sinks
+from ..sources import manifest, readers, sinks
 from . import flagship
 from .q_score import _AXES, _ranked
 from .tools import TITLES, pick, read, scratch, sql_clean, sql_pick, sql_text, sql_u
@@ -265,6 +265,35 @@ def _appended(s, d):
 Q["SNK2"] = (_appended, _EV)
 
 
+def _committed(s, d):
+    """Events committed in batches, one of them twice and one that holds rows of another; files of a writer that
+    died before its manifest stay out."""
+    e = read(s, d, "events").select("event_id", "user_id", "event_type", "value", "props")
+    t = manifest.Table(s, scratch(s, "commits"), e.schema)
+    clicks = e.where("event_type = 'click'")
+    t.append(clicks, "clicks", "event_id")
+    clicks.write.parquet(f"{t.path}/data/left-by-a-lost-writer")
+    for batch in ("all", "all", "all again"):
+        t.append(e, batch, "event_id")
+    return t.read()
+
+
+Q["SNK2_commits"] = (_committed, _EV)
+
+
+def _replaced(s, d):
+    """Names of parts as word lists, rewritten in place by what the table itself holds."""
+    before = read(s, d, "part").select("p_partkey", F.split("p_name", " ").alias("w"))
+    t = manifest.Table(s, scratch(s, "replaced"), before.schema)
+    t.append(before, "parts", "p_partkey")
+    t.replace(t.read().withColumn("w", F.filter("w", lambda x: F.length(x) > 3)))
+    t.vacuum()
+    return t.read().select("p_partkey", F.array_join("w", " ").alias("words"))
+
+
+Q["SNK4_replace"] = (_replaced, "SELECT p_partkey, array_to_string(list_filter(string_split(p_name, ' '), lambda y: length(y) > 3), ' ') AS words FROM part")
+
+
 def _pools(s, d):
     path = scratch(s, "snk6")
     sinks.write_pool(readers.companies(_markdown(s, d)), path)

@@ -12,15 +12,19 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def append_new(df: DataFrame, path: str, key: str) -> None:
-    """Appends the rows whose key the target doesn't have yet; running it again adds nothing."""
+    """Appends the rows whose key the target doesn't have yet; running it again adds nothing.  A null key counts as
+    one key, and of rows that share a key the least stays.  A run that is cut off may leave part of its rows, which
+    the next one completes; sources.manifest has appends that are there as a whole or not at all."""
     spark = df.sparkSession
     try:
-        done = spark.read.schema(df.schema).json(path).select(key).distinct()
+        done = spark.read.schema(df.schema).json(path).select(F.col(key).alias("__done")).distinct()
     except Exception as e:  # noqa: BLE001  no target yet
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        done = spark.createDataFrame([], df.select(key).schema)
-    write_jsonl(df.join(done, key, "left_anti").select(df.columns), path, "append")
+        done = spark.createDataFrame([], df.select(F.col(key).alias("__done")).schema)
+    new = df.groupBy(F.col(key).alias("__key")).agg(F.min(F.struct(*df.columns)).alias("__row"))
+    new = new.join(done, F.col("__key").eqNullSafe(F.col("__done")), "left_anti")
+    write_jsonl(new.select(*(F.col("__row")[c].alias(c) for c in df.columns)), path, "append")
 
 
 def write_pool(df: DataFrame, path: str) -> None:

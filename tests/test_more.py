@@ -304,3 +304,38 @@ def test_window_of_calls(spark):
     for _ in range(5):
         clock.wait()
     assert clock.free == 5.0
+
+
+def test_commits_of_a_table(spark, tmp_path, monkeypatch):
+    """Repeats add nothing, null keys and repeated keys have their rule, a writer that dies or loses leaves the old state."""
+    from fitloom.sources.manifest import Conflict, Table
+
+    t = Table(spark, f"file://{tmp_path}/t", "k int, v string")
+    rows = lambda: sorted(((r["k"], r["v"]) for r in t.read().collect()), key=str)
+    batch = spark.createDataFrame([(1, "a"), (None, "n"), (2, "z"), (2, "b"), (None, "m")], "k int, v string")
+    assert rows() == [] and t.append(batch, "one", "k") == 1
+    assert rows() == [(1, "a"), (2, "b"), (None, "m")]
+    assert t.append(batch, "one", "k") == 1 and t.append(batch, "again", "k") == 2 and len(rows()) == 3
+    more = spark.createDataFrame([(3, "c"), (None, "x")], "k int, v string")
+    with monkeypatch.context() as m:
+        m.setattr(t, "_commit", lambda *_: (_ for _ in ()).throw(OSError("killed after its files, before its manifest")))
+        with pytest.raises(OSError):
+            t.append(more, "two", "k")
+        with pytest.raises(OSError):
+            t.replace(t.read().where("k = 1"))
+    assert t.version() == 2 and len(rows()) == 3
+    with pytest.raises(Conflict):
+        t._commit(1, {"folders": [], "batches": []})
+    assert t.append(more, "two", "k") == 3 and rows() == [(1, "a"), (2, "b"), (3, "c"), (None, "m")]
+    t.replace(t.read().withColumn("v", F.upper("v")))
+    assert rows() == [(1, "A"), (2, "B"), (3, "C"), (None, "M")]
+    assert t.read(3).count() == 4 and t.vacuum() > 0 and len(rows()) == 4 and t.append(more, "two", "k") == 4
+
+
+def test_appends_of_null_and_repeated_keys(spark, tmp_path):
+    from fitloom.sources import sinks
+
+    df = spark.createDataFrame([(1, "a"), (None, "n"), (2, "z"), (2, "b")], "k int, v string")
+    for _ in range(3):
+        sinks.append_new(df, f"{tmp_path}/t", "k")
+    assert sorted(((r["k"], r["v"]) for r in readers.jsonl(spark, f"{tmp_path}/t", "k int, v string").collect()), key=str) == [(1, "a"), (2, "b"), (None, "n")]

@@ -154,6 +154,11 @@ def parts(docs: DataFrame, rows: int = 1500, size: int = 8 << 20) -> int:
     return max(1, -(-many // rows), -(-total // size))
 
 
+def readers(files: int) -> int:
+    """Tasks that read so many files back: one a file, and beyond 2,000 files up to eight in a task, however many."""
+    return max(1, min(2000, files), -(-files // 8))
+
+
 def dealt(docs: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
     """docs with a column __part that deals rows out by a hash of the key; null keys go by the text."""
     by = F.xxhash64(key, "text") if "text" in docs.columns else F.xxhash64(key)

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import map_texts, schema, shared_folder, slices, table, written
+from .frames import map_texts, readers, schema, shared_folder, slices, table, written
 from .wavelet import get, put
 
 #: The skippable frame that carries a dictionary, and the frame mark of Zstandard.
@@ -199,5 +199,4 @@ def read_archives(paths: DataFrame, payloads: bool = False) -> DataFrame:
                         rows, size = [], 0
                 yield from table(kinds, rows).to_batches()
 
-    n = max(1, min(2000, paths.count()))
-    return map_texts(paths.select("path").repartition(n, "path"), run, schema(None, **types))
+    return map_texts(paths.select("path").repartition(readers(paths.count()), "path"), run, schema(None, **types))

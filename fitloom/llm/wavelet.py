@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from .bpe import byte_chars
-from .frames import map_texts, schema, shared_folder, slices, table, texts, written
+from .frames import map_texts, readers, schema, shared_folder, slices, table, texts, written
 
 MAGIC = b"FLWM0001"
 BLOCK = 1024
@@ -322,8 +322,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
     totals = totals.select("part", earlier("sum", Window.orderBy("part")).alias("base"))
     own = earlier("tokens", Window.partitionBy("part").orderBy("shard"))
     placed = manifest.select("part", "path", "shard", own.alias("own")).join(totals, "part").select("path", (F.col("base") + F.col("own")).cast("long").alias("start"), "shard")
-    n = max(1, min(2000, manifest.count()))
-    return map_texts(placed.repartition(n, "shard"), run, schema(None, doc_id="long", start="long", n_tokens="long", ids="binary"))
+    return map_texts(placed.repartition(readers(manifest.count()), "shard"), run, schema(None, doc_id="long", start="long", n_tokens="long", ids="binary"))
 
 
 def crc(column: str = "ids"):

@@ -140,6 +140,17 @@ def _details(s, d):
 _STRIP = lambda x: sql_clean(f"regexp_replace({x}, '<[^>]*>', ' ', 'g')")
 _H1, _ART = r"regexp_extract(html, '(?is)<h1\b[^>]*>(.*?)</h1>', 1)", r"regexp_extract(html, '(?is)<article\b[^>]*>(.*?)</article>', 1)"
 Q["SRC8"] = (_details, f"SELECT * FROM (SELECT '/p/' || page_id AS source_url, coalesce(nullif({_STRIP(_H1)}, ''), 'Unknown Title') AS job_title, {_STRIP(_ART)} AS raw_jd_text FROM pages WHERE page_id % 7 <> 0) WHERE raw_jd_text <> ''")
+
+
+def _nested(s, d):
+    """Pages whose article is a div with divs before, around and after, the last one of them not closed."""
+    html = F.replace(F.regexp_replace("html", "(?i)</?div[^>]*>", " "), F.lit("<article>"), F.lit("<div><div class='wide job-desc'><div>before<div></div></div>"))
+    html = F.replace(html, F.lit("</article>"), F.lit("<div><DIV id=x>b</DIV></div>end</div>after<div class='job-desc'>other"))
+    return readers.details(read(s, d, "pages").where(F.col("html").contains("<article>")).select("page_id", html.alias("html")), "page_id", "html").select(F.col("source_url").alias("page_id"), "raw_jd_text")
+
+
+_INNER = f"'before <x>' || {_ART} || ' <x>b<x>end'"
+Q["SRC8_nested"] = (_nested, f"SELECT page_id, {_STRIP(_INNER)} AS raw_jd_text FROM pages WHERE contains(html, '<article>')")
 Q["SRC7_search"] = (
     lambda s, d: read(s, d, "nation").select("n_nationkey", F.posexplode(readers.search_pages(F.concat(F.lit("/jobs-"), "n_name"), 3)).alias("n", "url")).select("n_nationkey", "url"),
     "SELECT n_nationkey, '/jobs-' || n_name || CASE WHEN i > 1 THEN '-' || i ELSE '' END AS url FROM nation, (SELECT unnest([1, 2, 3]) AS i)",

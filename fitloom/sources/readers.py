@@ -7,6 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import match as M
 from ..functions.coerce import largest_number, pay_tier
 from ..functions.skills import normalize, split_list
 from ..functions.text import clean
@@ -124,11 +125,41 @@ def strip_tags(c: Column) -> Column:
     return clean(F.regexp_replace(c, r"<[^>]*>", " "))
 
 
+#: Elements that never have an end tag.
+_VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
+
+
+def element(html: Column, tag: str, kind: str | None = None) -> Column:
+    """Markup within the first `tag` element (whose class has the text `kind`, if given), to its own end tag, also if
+    it holds elements of the same tag; to the end of the page if it has none.  Null if there is no such element.
+
+    The page is cut into pieces that start with a start or end tag of this kind; a running depth over them tells
+    where the element ends.  Depth is a fold over pieces of this tag alone, so it costs a step a tag."""
+    opens = rf"(?is)^<{tag}(?=[\s/>])[^>]*"
+    wanted = opens + (rf"""\bclass\s*=\s*(?:"[^"]*{kind}[^"]*"|'[^']*{kind}[^']*'|[^\s>"']*{kind}[^\s>]*)[^>]*>""" if kind else ">")
+    cut = F.regexp_replace(F.regexp_replace(html, r"(?s)<!--.*?-->", " "), rf"(?i)<(?=/?{tag}[\s/>])", "\x01<")
+    pieces = F.slice(F.split(cut, "\x01"), 2, 1 << 30)
+    nothing = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("ended"))
+
+    def step(a: Column, x: Column) -> Column:
+        depth = a["depth"] + F.when(x.rlike(rf"(?i)^</{tag}"), -1).when(x.rlike(r"(?s)^<[^>]*/>"), 0).otherwise(1)
+        more = F.struct(depth.alias("depth"), (a["n"] + (depth > 0).cast("int")).alias("n"), (depth <= 0).alias("ended"))
+        return F.when(a["ended"], a).otherwise(more)
+
+    def inner(p: Column) -> Column:
+        text = lambda n: F.when(n > 0, F.concat(F.regexp_replace(p[0], r"(?s)^<[^>]*>", ""), F.array_join(F.slice(p, F.lit(2), n - 1), ""))).otherwise("")
+        return M.let(F.aggregate(p, nothing, step, lambda a: a["n"]), text)
+
+    first = lambda p: F.array_position(F.transform(p, lambda x: x.rlike(wanted)), F.lit(True)).cast("int")
+    return M.let(pieces, lambda p: M.let(first(p), lambda k: F.when(k > 0, M.let(F.slice(p, k, F.lit(1 << 30)), inner))))
+
+
 def details(pages: DataFrame, url: str, html: str, body: str = "job-desc") -> DataFrame:
-    """(source_url, job_title, raw_jd_text): first h1 and the first div, else section, of a matching class; pages without text go."""
-    h = F.col(html)
-    title = F.coalesce(F.nullif(strip_tags(F.regexp_extract(h, r"(?is)<h1\b[^>]*>(.*?)</h1>", 1)), F.lit("")), F.lit("Unknown Title"))
-    piece = lambda tag: strip_tags(F.regexp_extract(h, rf"(?is)<{tag}\b[^>]*class=\"[^\"]*{body}[^\"]*\"[^>]*>(.*?)</{tag}>", 1))
+    """(source_url, job_title, raw_jd_text): first h1 and the first div, else section, of a matching class, each to
+    its own end tag; pages without text go."""
+    h = F.replace(F.col(html), F.lit("\x01"), F.lit(" "))
+    title = F.coalesce(F.nullif(strip_tags(element(h, "h1")), F.lit("")), F.lit("Unknown Title"))
+    piece = lambda tag: strip_tags(element(h, tag, f"(?i:{body})"))
     text = F.coalesce(F.nullif(piece("div"), F.lit("")), F.nullif(piece("section"), F.lit("")))
     return pages.select(F.col(url).alias("source_url"), title.alias("job_title"), text.alias("raw_jd_text")).where(F.col("raw_jd_text").isNotNull())
 

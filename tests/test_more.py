@@ -339,3 +339,43 @@ def test_appends_of_null_and_repeated_keys(spark, tmp_path):
     for _ in range(3):
         sinks.append_new(df, f"{tmp_path}/t", "k")
     assert sorted(((r["k"], r["v"]) for r in readers.jsonl(spark, f"{tmp_path}/t", "k int, v string").collect()), key=str) == [(1, "a"), (2, "b"), (None, "n")]
+
+
+def test_elements_go_to_their_own_end(spark):
+    """Nested, unclosed, void-like, commented and oddly written tags against a plain parser."""
+    import random
+    from html.parser import HTMLParser
+
+    class First(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=False)
+            self.depth, self.found, self.text = 0, False, []
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "div" and self.depth:
+                self.depth += 1
+            elif tag == "div" and not self.found and "job-desc" in (dict(attrs).get("class") or ""):
+                self.depth, self.found = 1, True
+
+        def handle_startendtag(self, tag, attrs):
+            if tag == "div" and not self.depth and "job-desc" in (dict(attrs).get("class") or ""):
+                self.found = True
+
+        def handle_endtag(self, tag):
+            self.depth -= bool(self.depth and tag == "div")
+
+        def handle_data(self, data):
+            self.text += [data] if self.depth else []
+
+    rnd = random.Random(6)
+    parts = ['<div class="job-desc">', "<div class='x job-desc y'>", "<DIV id=a>", "<div>", "</div>", "</div>", "</DIV >", "<p>", "</p>", "<divide>", "<br/>", "<div/>", "<!-- <div> -->", " words ", "more", "<section class='job-desc'>", "</section>", "\n"]
+    pages = ["".join(rnd.choices(parts, k=rnd.randint(0, 25))) for _ in range(1500)] + ["<div class=job-desc>" + "<div>a" * 3000 + "</div>" * 3000 + "b</div>c", ""]
+    want = []
+    for page in pages:
+        p = First()
+        p.feed(page)
+        p.close()
+        want.append(" ".join("".join(x if x.strip() else " " for x in p.text).split()) if p.found else None)
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, html string").select("i", readers.strip_tags(readers.element(F.col("html"), "div", "(?i:job-desc)")).alias("t"), readers.element(F.col("html"), "div", "(?i:job-desc)").isNull().alias("none")).orderBy("i").collect()
+    squeeze = lambda x: "".join((x or "").split())
+    assert [None if r["none"] else squeeze(r["t"]) for r in df] == [None if w is None else squeeze(w) for w in want]

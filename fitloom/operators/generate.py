@@ -322,7 +322,10 @@ def company_choices(jds: DataFrame, profiles: DataFrame, companies: DataFrame, u
     rows, which are counted, are broadcast; more meet by a shuffle."""
     own = profiles.select(F.explode("domains").alias("target"))
     targets = jds.select(F.trim("domain").alias("target")).union(own).union(profiles.select(F.explode(strings(FALLBACK_DOMAINS)))).where("target is not null").distinct()
-    wanted = profiles.select("company_domains").join(targets).select(M.distinct_in_order(F.concat("company_domains", F.array("target"))).alias("preferred")).distinct()
+    lists = profiles.agg(F.collect_set("company_domains").alias("lists"))
+    lists = lists.select(F.when(F.size("lists") <= POOL, F.col("lists")).otherwise(F.raise_error(F.lit(f"company domains of more than {POOL} roles"))).alias("lists"))
+    wanted = targets.crossJoin(F.broadcast(lists)).select("target", F.explode("lists").alias("own"))  # one row
+    wanted = wanted.select(M.distinct_in_order(F.concat("own", F.array("target"))).alias("preferred")).distinct()
     few = len(LADDER) * 2 * wanted.count() <= CHOICES
     pool, weight = companies, F.lit(1.0)
     if usage is not None:
@@ -548,14 +551,22 @@ def passes() -> Column:
     return S.fits_preset(F.col("preset"), F.col("overall"), F.col("experience_fit"), F.col("jd_role") == F.col("role"))
 
 
-def accepted(jds: DataFrame, by: list[str], make, store, most: int = 6) -> DataFrame:
+def accepted(jds: DataFrame, by: list[str], make, store, most: int = 6, at_once: bool = False) -> DataFrame:
     """One candidate for each row of jds (keys `by`): the first attempt that its preset accepts, else the last
-    of `most`.  make(jds with column attempt) generates; rows that the first attempt leaves open get the others in
-    one plan, and store(df) writes what is made to a table that is then read."""
-    first = store(make(jds.withColumn("attempt", F.lit(1))).withColumn("accepted", passes()))
-    if most == 1:
-        return first
-    left = jds.join(first.where("not accepted").select(*by), by, "left_semi")
-    more = store(make(left.withColumn("attempt", F.explode(F.sequence(F.lit(2), F.lit(most))))).withColumn("accepted", passes()))
-    taken = more.groupBy(*by).agg(F.coalesce(F.min(F.when(F.col("accepted"), F.col("attempt"))), F.lit(most)).alias("attempt"))
-    return first.where("accepted").unionByName(more.join(taken, [*by, "attempt"]).select(*first.columns))
+    of `most`.  make(jds with column attempt) generates, and store(df) writes what is made to a table that is then
+    read.  Only what is still open is tried again: attempt after attempt, or with at_once all further attempts in one
+    plan, which makes more candidates but plans twice only."""
+    tried = lambda rows: store(make(rows).withColumn("accepted", passes()))
+    if at_once and most > 1:
+        first = tried(jds.withColumn("attempt", F.lit(1)))
+        left = jds.join(first.where("not accepted").select(*by), by, "left_semi")
+        more = tried(left.withColumn("attempt", F.explode(F.sequence(F.lit(2), F.lit(most)))))
+        taken = more.groupBy(*by).agg(F.coalesce(F.min(F.when(F.col("accepted"), F.col("attempt"))), F.lit(most)).alias("attempt"))
+        return first.where("accepted").unionByName(more.join(taken, [*by, "attempt"]).select(*first.columns))
+    out, left = None, jds
+    for n in range(1, most + 1):
+        made = tried(left.withColumn("attempt", F.lit(n)))
+        done = made if n == most else made.where("accepted")
+        out = done if out is None else out.unionByName(done)
+        left = left.join(made.where("not accepted").select(*by), by, "left_semi")
+    return out

@@ -199,6 +199,8 @@ def test_attempts_end(spark):
     got = sorted((r["id"], r["attempt"], r["accepted"]) for r in generate.accepted(rows, ["id"], make, lambda df: df, 4).collect())
     assert got == [(i, 4, False) if i == 8 else (i, {1: 1, 2: 2, 0: 3}[i % 3], True) for i in range(9)]
     assert tries == [9, 6, 4, 1]
+    once = generate.accepted(rows, ["id"], make, lambda df: df, 4, at_once=True).collect()
+    assert sorted((r["id"], r["attempt"], r["accepted"]) for r in once) == got and tries[4:] == [9, 18]
 
 
 def test_company_usage_in_rounds_flattens(spark):

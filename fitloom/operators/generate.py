@@ -45,8 +45,8 @@ FIRST_NAMES, LAST_NAMES = ["Asha", "Ravi", "Meera", "Kiran", "Divya", "Arjun", "
 MAILS = ["gmail.com", "outlook.com", "yahoo.com"]
 
 KEY = "__key"
-#: Companies of a pool, and rows of choices among them that are broadcast.
-POOL, CHOICES = 10_000, 20_000
+#: Companies of a pool, lists of company domains of roles, and rows of choices among companies that are broadcast.
+POOL, LISTS, CHOICES = 10_000, 10_000, 20_000
 
 
 def by_value(c: Column, values: dict[str, Column | float | str], other=None) -> Column:
@@ -323,7 +323,7 @@ def company_choices(jds: DataFrame, profiles: DataFrame, companies: DataFrame, u
     own = profiles.select(F.explode("domains").alias("target"))
     targets = jds.select(F.trim("domain").alias("target")).union(own).union(profiles.select(F.explode(strings(FALLBACK_DOMAINS)))).where("target is not null").distinct()
     lists = profiles.agg(F.collect_set("company_domains").alias("lists"))
-    lists = lists.select(F.when(F.size("lists") <= POOL, F.col("lists")).otherwise(F.raise_error(F.lit(f"company domains of more than {POOL} roles"))).alias("lists"))
+    lists = lists.select(F.when(F.size("lists") <= LISTS, F.col("lists")).otherwise(F.raise_error(F.lit(f"more than {LISTS} lists of company domains"))).alias("lists"))
     wanted = targets.crossJoin(F.broadcast(lists)).select("target", F.explode("lists").alias("own"))  # one row
     wanted = wanted.select(M.distinct_in_order(F.concat("own", F.array("target"))).alias("preferred")).distinct()
     few = len(LADDER) * 2 * wanted.count() <= CHOICES

@@ -22,6 +22,8 @@ Words are compared as 64-bit hashes.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -141,6 +143,9 @@ class _Part:
         return out
 
 
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
 def _first(key: np.ndarray, *by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order by key and then by, and for each place in it the number of its key."""
     order = np.lexsort((*by[::-1], key))
@@ -148,11 +153,27 @@ def _first(key: np.ndarray, *by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.cumsum(np.concatenate(([True], k[1:] != k[:-1]))[: len(k)]) - 1
 
 
-def remove_repeats(docs: DataFrame, n: int = 13) -> DataFrame:
+def rest(text: bytes, cut: list[bool], spaces: bool) -> bytes:
+    """What is left of a text without the words that are cut: joined by single spaces, or each with the white space
+    that was before it, and the white space at the end if the last word is left."""
+    if not spaces:
+        return b" ".join(w for w, c in zip(text.split(), cut, strict=True) if not c)
+    out, at = [], 0
+    for found, c in zip(_WORD.finditer(text), cut, strict=True):
+        if not c:
+            out.append(text[at : found.end()])
+        at = found.end()
+    if not cut or not cut[-1]:
+        out.append(text[at:])
+    return b"".join(out)
+
+
+def remove_repeats(docs: DataFrame, n: int = 13, spaces: bool = False) -> DataFrame:
     """docs with its text cut, and long columns n_words and n_removed (replaced if docs has such).
 
     Cut is every word that a window of n words covers which a document of smaller doc_id has too; the
-    rest is joined by single spaces.  Windows are judged on the input.  Null and empty texts give an
+    rest is joined by single spaces, or keeps the white space before each word that is left (spaces), so that a
+    text of which nothing is cut stays as it is.  Windows are judged on the input.  Null and empty texts give an
     empty text.  A null doc_id counts as larger than any other; rows of one doc_id don't cut each other.
     """
     count = parts(docs)
@@ -299,10 +320,10 @@ def remove_repeats(docs: DataFrame, n: int = 13) -> DataFrame:
             else:
                 cover = tx.spread(np.unique(at), n, len(words))
                 gone.append(int(cover.sum()))
-                words = [w for w, c in zip(words, cover.tolist(), strict=True) if not c]
-            kept.append(b" ".join(words).decode())
-        rest = [c for c in group.column_names if c not in ("text", "n_words", "n_removed", "__part")]
-        cols = {c: group.column(c) for c in rest} | {"text": pa.array(kept, pa.string()), "n_words": pa.array(many, pa.int64()), "n_removed": pa.array(gone, pa.int64())}
+                t = rest(t, cover.tolist(), spaces)
+            kept.append((t if spaces or at is not None else b" ".join(words)).decode())
+        others = [c for c in group.column_names if c not in ("text", "n_words", "n_removed", "__part")]
+        cols = {c: group.column(c) for c in others} | {"text": pa.array(kept, pa.string()), "n_words": pa.array(many, pa.int64()), "n_removed": pa.array(gone, pa.int64())}
         return pa.table({c: cols[c] for c in order_out})
 
     out = schema(docs, n_words="long", n_removed="long")

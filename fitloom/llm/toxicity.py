@@ -121,33 +121,54 @@ def severity(row: np.ndarray, feature: np.ndarray, value: np.ndarray, toxic: np.
     return np.where(toxic == 0, 0, np.where(mass > middle, 2, 1))
 
 
-LOOKS = 4
+#: Least hashes of a sketch, and how many of them make a band: rows that agree in a band are compared on full sets.
+LOOKS, BAND = 32, 4
+#: Labelled rows of this similarity of 3-word runs to an earlier one, or more, are left out of training.
+ALIKE = 0.8
 
 
-def sketch(raw: list[bytes]) -> np.ndarray:
-    """For each text the least hash of its 3-word runs under LOOKS hash functions."""
+def runs(raw: list[bytes]) -> list[np.ndarray]:
+    """For each text the sorted hashes of its distinct 3-word runs; of fewer words, of all of them as one."""
     w = tx.Words(raw, lower=True)
-    g, out = np.concatenate((tx.windows(w.hashes(), 3), np.zeros(3, np.uint64))), np.zeros((len(raw), LOOKS), np.uint64)
-    for i, (a, b) in enumerate(zip(w.bounds[:-1], w.bounds[1:], strict=True)):
-        if b > a:
-            out[i] = [tx.mix(g[a : max(a + 1, b - 2)] + np.uint64(k + 1)).min() for k in range(LOOKS)]
+    h = w.hashes()
+    return [np.unique(tx.windows(h[a:b], min(3, b - a))) if b > a else np.zeros(0, np.uint64) for a, b in zip(w.bounds[:-1], w.bounds[1:], strict=True)]
+
+
+def sketch(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set its least hash under each of LOOKS hash functions; zeros for an empty one."""
+    out = np.zeros((len(sets), LOOKS), np.uint64)
+    for i, g in enumerate(sets):
+        if len(g):
+            out[i] = [tx.mix(g + np.uint64(k + 1)).min() for k in range(LOOKS)]
     return out
 
 
-def distinct(sketches: np.ndarray) -> list[int]:
-    """Texts that share no value with an earlier one: copies and near copies would pass for evidence."""
-    seen, out = set(), []
-    for i, row in enumerate(sketches.tolist()):
-        mine = set(enumerate(row))
-        if not mine & seen:
-            out.append(i)
-        seen |= mine
+def suspects(sketches: np.ndarray) -> list[tuple[int, int]]:
+    """For each text that agrees in a band with an earlier one (text, the earlier one that agrees in most values).
+    Of a band's texts the first and the last so far are looked at; a pair of similarity 0.8 shares a band of the
+    eight with a probability of 0.985."""
+    first, last, out = {}, {}, []
+    for i, row in enumerate(sketches):
+        bands = [(k, row[k : k + BAND].tobytes()) for k in range(0, LOOKS, BAND)]
+        near = {j for b in bands for j in (first.get(b), last.get(b)) if j is not None}
+        if near:
+            out.append((i, max(sorted(near), key=lambda j: int((sketches[j] == row).sum()))))
+        for b in bands:
+            first.setdefault(b, i)
+            last[b] = i
     return out
 
 
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets of runs, sorted, have a Jaccard similarity of ALIKE or more; two empty ones do."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= ALIKE * (len(a) + len(b) - both)
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "toxic") -> Ordinal:
-    """Fits on at most `sample` labelled rows, whole texts, near copies left out.  Rows with a null id or label are left out; of
-    labels that repeat an id the greatest counts.  Without any rows the model calls nothing toxic.
+    """Fits on at most `sample` labelled rows, whole texts.  Rows with a null id or label are left out, and so are
+    rows that are near copies of one of smaller id (ALIKE, on full sets of runs); of labels that repeat an id the
+    greatest counts.  Without any rows the model calls nothing toxic.
 
     The driver gets sketches and labels of these rows, and of their features those that tell or mark: at least
     LEAST rows have each of them."""
@@ -162,21 +183,39 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str =
                 row, f, value, _ = features(raw)
                 cut = np.searchsorted(row, np.arange(batch.num_rows + 1))
                 pack = [pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()) for x in (f, value.astype(np.float32))]
-                marks = pa.array([x.tobytes() for x in sketch(raw)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("__label"), *pack, marks], names=["doc_id", "label", "f", "v", "marks"])
+                sets = runs(raw)
+                marks, sets = (pa.array([x.tobytes() for x in y], pa.binary()) for y in (sketch(sets), sets))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("__label"), *pack, marks, sets], names=["doc_id", "label", "f", "v", "marks", "runs"])
 
-    made = map_texts(rows.withColumn("doc_id", F.col("doc_id").cast("long")), run, schema(None, doc_id="long", label="int", f="binary", v="binary", marks="binary"))
+    made = map_texts(rows.withColumn("doc_id", F.col("doc_id").cast("long")), run, schema(None, doc_id="long", label="int", f="binary", v="binary", marks="binary", runs="binary"))
     made, path = stored(made.withColumn("own", F.xxhash64("doc_id", "f")), "labelled")
     seen = made.select("doc_id", "own", "marks", "label").toArrow().sort_by([("doc_id", "ascending"), ("own", "ascending")])
     try:
         if not seen.num_rows:
             return Ordinal(np.zeros(0, np.uint64), np.zeros(0), np.array([10.0]))
-        seen = seen.take(distinct(np.frombuffer(b"".join(seen.column("marks").to_pylist()), np.uint64).reshape(-1, LOOKS)))
-        return _fitted(made, np.unique(seen.column("own").to_numpy()))
+        own = seen.column("own").to_numpy()
+        maybe = suspects(np.frombuffer(b"".join(seen.column("marks").to_pylist()), np.uint64).reshape(-1, LOOKS))
+        copies = _confirmed(made, sorted({(int(own[i]), int(own[j])) for i, j in maybe if own[i] != own[j]}))
+        return _fitted(made, np.setdiff1d(own, np.array(copies, np.int64)))
     finally:
         removed(docs.sparkSession, path)
 
 
+def _confirmed(made: DataFrame, pairs: list[tuple[int, int]]) -> list[int]:
+    """Of pairs of rows, SAMPLE at most, the first rows of those that are alike."""
+
+    def compare(batches):
+        for whole in batches:
+            for batch in slices(whole, "runs"):
+                mine, other = ([np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()] for c in ("runs", "other"))
+                yield pa.RecordBatch.from_arrays([batch.column("own").filter(pa.array([alike(a, b) for a, b in zip(mine, other, strict=True)], pa.bool_()))], names=["own"])
+
+    table_ = made.sparkSession.createDataFrame(pairs, "own long, of long")
+    sets = made.select("own", "runs").dropDuplicates(["own"])
+    met = sets.join(F.broadcast(table_), "own").join(sets.select(F.col("own").alias("of"), F.col("runs").alias("other")), "of")
+    return [r["own"] for r in map_texts(met.select("own", "runs", "other"), compare, schema(None, own="long")).collect()]
+
+
 def _fitted(made: DataFrame, kept: np.ndarray) -> Ordinal:
     """The model of the rows of these numbers; rows alike count once."""
     spark = made.sparkSession

@@ -1,7 +1,9 @@
 """Operators without a contract: against libraries, brute force and held-out rows."""
 
 import itertools
+import math
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -189,7 +191,9 @@ def test_toxicity_on_held_out_rows():
     rows = duckdb.sql(f"SELECT d.text, toxic FROM '/root/testdata/sf0.1/documents.parquet' d JOIN '/root/testdata/sf0.1/labels.parquet' l USING (doc_id) ORDER BY hash(d.doc_id)").fetchall()
     half = len(rows) // 2
     train, test = rows[:half], rows[half:]
-    keep = toxicity.distinct(toxicity.sketch([t.encode() for t, _ in train]))
+    sets = toxicity.runs([t.encode() for t, _ in train])
+    copies = {i for i, j in toxicity.suspects(toxicity.sketch(sets)) if toxicity.alike(sets[i], sets[j])}
+    keep = [i for i in range(len(train)) if i not in copies]
     row, f, v, _ = toxicity.features([train[i][0].encode() for i in keep])
     y = np.array([train[i][1] for i in keep])
     model = toxicity.fit(row, f, v, toxicity.severity(row, f, v, y))
@@ -201,6 +205,65 @@ def test_toxicity_on_held_out_rows():
     assert (p[truth == 0, 0] < 0.4).mean() > 0.99 and (p[truth == 1, 0] >= 0.4).mean() > 0.85
 
 
+def test_only_confirmed_copies_leave_training():
+    """Rows left out have an earlier row at 0.8, and hardly a row that has one stays, against all pairs."""
+    rnd = random.Random(5)
+    texts = []
+    for _ in range(60):
+        words = [f"w{rnd.randrange(400)}" for _ in range(rnd.choice((1, 2, 3, 40, 90)))]
+        texts.append(words)
+        texts += [[f"x{rnd.randrange(400)}" if rnd.random() < rate else w for w in words] for rate in (0.0, 0.01, 0.03, 0.1, 0.3)]
+    rnd.shuffle(texts)
+    raw = [" ".join(w).encode() for w in texts] + [b"", b" "]
+    plain = [{tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))} if w else set() for w in (r.split() for r in raw)]
+    near = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    want = {i for i in range(len(raw)) if any(near(plain[i], plain[j]) for j in range(i))}
+    sets = toxicity.runs(raw)
+    assert [len(x) for x in sets] == [len(x) for x in plain]
+    got = {i for i, j in toxicity.suspects(toxicity.sketch(sets)) if toxicity.alike(sets[i], sets[j])}
+    assert got <= want and len(got) > 0.95 * len(want) > 50
+
+
+def test_fit_and_prediction_against_plain_sums(spark):
+    """Severity and grade of predict() from each text's own counts; fit() against the likelihood worked out row by row."""
+    rnd = random.Random(6)
+    words = [f"v{i}" for i in range(12)]
+    data = [(k, " ".join(rnd.choices(words, k=rnd.randint(0, 30)))) for k in range(200)] + [(200, None), (201, "")]
+    raw = [(t or "").encode() for _, t in data]
+    row, f, v, _ = toxicity.features(raw)
+    # without some grades at random no finite weights would be the likeliest
+    y = np.array([rnd.randrange(3) if rnd.random() < 0.25 else min(2, (t or "").count("v1 ") // 2) for _, t in data])
+    m = toxicity.fit(row, f, v, y)
+    assert len(m.names) and (np.diff(m.thresholds) > 0).all()
+    weight = dict(zip(m.names.tolist(), m.weights.tolist(), strict=True))
+    score = [sum(weight.get(int(a), 0.0) * b for a, b in zip(f[row == i], v[row == i], strict=True)) for i in range(len(data))]
+
+    def loss(shift):
+        out = 0.0
+        for s, g in zip(score, y.tolist(), strict=True):
+            above = [1.0, *(1 / (1 + math.exp(t + shift - s)) for t in m.thresholds), 0.0]
+            out -= math.log(above[g] - above[g + 1])
+        return out
+
+    assert loss(0.0) < min(loss(0.2), loss(-0.2))
+    got = {r["doc_id"]: r for r in toxicity.predict(spark.createDataFrame(data, "doc_id long, text string"), m).collect()}
+    for i, s in enumerate(score):
+        above = [1 / (1 + math.exp(t - s)) for t in m.thresholds]
+        each = [1 - above[0], above[0] - above[1], above[1]]
+        r = got[i]
+        assert abs(r["severity"] - sum(above)) < 1e-9 and abs(r["p_toxic"] - above[0]) < 1e-9 and r["kept"] == (above[0] < 0.4)
+        assert each[r["grade"]] > max(each) - 1e-9
+
+
+def test_white_space_stays_where_nothing_is_cut(spark):
+    text = " ".join(f"w{i}" for i in range(20))
+    df = spark.createDataFrame([(1, text), (2, f" a\tb\n\n{text}\n c  d\n"), (3, " x \n y\t"), (4, None), (5, " \n"), (6, f"\n{text} "), (7, f"{text}\n e")], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in substring.remove_repeats(df, 13, spaces=True).collect()}
+    assert got == {1: text, 2: " a\tb\n c  d\n", 3: " x \n y\t", 4: "", 5: " \n", 6: "", 7: "\n e"}
+    joined = {r["doc_id"]: r["text"] for r in substring.remove_repeats(df, 13).collect()}
+    assert joined == {k: " ".join(t.split()) for k, t in got.items()}
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None), (None, "")], "doc_id long, text string")
     model = toxicity.train(docs, spark.createDataFrame([], "doc_id long, toxic int"))
@@ -272,16 +335,19 @@ def test_pipeline_against_plain_stages(spark):
     first = {d: c for d, _, c, _ in brute.op5(clean, 5, 80)}
     kept = [(d, t) for d, t in clean if first[d] == d]
     seen, cut = {}, []
-    words = {d: brute.words(t) for d, t in kept}
+    words, text_of = {d: brute.words(t) for d, t in kept}, {d: t or "" for d, t in kept}
     for d in sorted(words):
         for i in range(len(words[d]) - 12):
             seen.setdefault(tuple(words[d][i : i + 13]), d)
     for d, w in words.items():
         gone = {j for i in range(len(w) - 12) if seen[tuple(w[i : i + 13])] < d for j in range(i, i + 13)}
         if not w or len(gone) < len(w):
-            cut.append((d, " ".join(x for j, x in enumerate(w) if j not in gone)))
+            pieces = re.findall(r"[ \t-\r]*[^ \t-\r]+", text_of[d])
+            tail = text_of[d][sum(map(len, pieces)) :]
+            cut.append((d, "".join(x for j, x in enumerate(pieces) if j not in gone) + (tail if len(w) - 1 not in gone else "")))
     items = [" ".join(r[0].split()) for r in duckdb.sql(f"SELECT text FROM '{sf}/benchmark.parquet'").fetchall()]
-    want = brute.op2([(d, t) for d, t in cut if not any(i in t for i in items)])
+    assert any("\n" in t for _, t in cut)
+    want = brute.op2([(d, t) for d, t in cut if not any(i in " ".join(t.split()) for i in items)])
     got = sorted(tuple(r) for r in corpus_pipeline.run(spark, sf).collect())
     assert got == want
 

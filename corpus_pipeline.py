@@ -42,8 +42,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts 13-word windows that a document of smaller id has, a null id being the largest; documents that are left
-    without words go, those that had none stay.  Rows of one doc_id don't cut each other."""
-    return _where(docs, lambda d: substring.remove_repeats(d, n=13), "n_words = 0 or n_removed < n_words")
+    without words go, those that had none stay.  Words that stay keep their white space.  Rows of one doc_id don't cut
+    each other."""
+    return _where(docs, lambda d: substring.remove_repeats(d, n=13, spaces=True), "n_words = 0 or n_removed < n_words")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import rng
 from ..functions.coerce import half_up
 from ..functions.text import COMPLETE_ENDINGS, clean, looks_complete, role_family
-from ..operators import corpus, joins, metrics, sampling
+from ..operators import corpus, joins, metrics, packing, sampling
 from ..sources import manifest, readers, sinks
+from ..streaming import restart
 from . import flagship
 from .q_score import _AXES, _ranked
 from .tools import TITLES, pick, read, scratch, sql_clean, sql_pick, sql_text, sql_u
@@ -292,6 +293,26 @@ def _committed(s, d):
 Q["SNK2_commits"] = (_committed, _EV)
 
 
+def _delivered(s, d):
+    """Events as three deliveries in order of time, each with the last hour of the one before it once more, read by a
+    stream that is started anew for each: every event is there once."""
+    e = read(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    low, high = e.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+    at, hour = F.unix_micros("ts"), 3_600_000_000
+    if low is None:
+        return e.select("event_id", "user_id", "event_type", "value", "props")
+    edges = [low + (high + 1 - low) * k // 3 for k in range(4)]
+    t = manifest.Table(s, scratch(s, "once"), e.schema)
+    source, checkpoint = scratch(s, "deliveries"), scratch(s, "once-state")
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        e.where((at >= a - hour) & (at < b)).write.mode("append").parquet(source)
+        restart.once(s.readStream.schema(e.schema).parquet(source), t, checkpoint, "event_id", "ts", "1 hour").awaitTermination()
+    return t.read().select("event_id", "user_id", "event_type", "value", "props")
+
+
+Q["SNK3_stream"] = (_delivered, _EV)
+
+
 def _replaced(s, d):
     """Names of parts as word lists, rewritten in place by what the table itself holds."""
     before = read(s, d, "part").select("p_partkey", F.split("p_name", " ").alias("w"))
@@ -422,3 +443,15 @@ Q["EXT10"] = (
     lambda s, d: _chat(s, d).select("candidate_id", F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "\n").alias("chat")),
     _WITH + f"""SELECT candidate_id, 'system: ' || {sql_text(_SYSTEM)} || chr(10) || 'user: JD Role: ' || jd_role || chr(10) || 'JD:' || chr(10) || '{{"job_title":"' || jd_role || '","domain":"' || jd_domain || '"}}' || chr(10) || chr(10) || 'Resume:' || chr(10) || resume_text || chr(10) || 'assistant: {{"candidate":"' || cand_role || '","relevance_score":"' || printf('%.3f', overall) || '"}}' AS chat FROM rp""",
 )
+
+
+def _packed(s, d):
+    """Chats as rows of 1,024 tokens for fine-tuning; a vocabulary has no SQL, so tests hold it to plain packing."""
+    import public_tokenizers
+
+    rows = packing.tokenised(_chat(s, d), "candidate_id", public_tokenizers.path("byte_bpe_50k.json"))
+    trained = F.size(F.filter("labels", lambda x: x != packing.IGNORE))
+    return packing.packed(rows, "candidate_id").select("pack", "keys", F.size("keys").alias("n_examples"), F.size("ids").alias("n_tokens"), trained.alias("n_trained"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2(F.array_join("labels", ","), 256).alias("labels_sha256"))
+
+
+Q["EXT9_packed"] = (_packed, None)

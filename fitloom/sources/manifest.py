@@ -47,6 +47,10 @@ class Table:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*(f"{self.path}/{f}" for f in folders))
 
+    def has(self, batch: str) -> bool:
+        """Whether a batch was committed."""
+        return batch in self._manifest(self.version())["batches"]
+
     def _written(self, df: DataFrame) -> str:
         folder = f"data/{uuid.uuid4().hex}"
         df.select(*self.schema.names).write.parquet(f"{self.path}/{folder}")
@@ -63,8 +67,8 @@ class Table:
             raise Conflict(f"version {after + 1} is there already")
         return after + 1
 
-    def append(self, df: DataFrame, batch: str, key: str) -> int:
-        """Appends the rows whose key the table doesn't have, and returns the version.
+    def append(self, df: DataFrame, batch: str, key: str | None = None) -> int:
+        """Appends the rows whose key the table doesn't have, or all rows without a key, and returns the version.
 
         A null key is a key like others: the table holds one row of it.  Of rows of a batch that share a key the
         least stays, by the order of the columns.  A batch that was committed before adds nothing."""
@@ -72,6 +76,8 @@ class Table:
         manifest = self._manifest(now)
         if batch in manifest["batches"]:
             return now
+        if key is None:
+            return self._commit(now, {"folders": [*manifest["folders"], self._written(df)], "batches": [*manifest["batches"], batch]})
         row = F.struct(*self.schema.names)
         new = df.groupBy(F.col(key).alias("__key")).agg(F.min(row).alias("__row"))
         done = self.read(now).select(F.col(key).alias("__done")).distinct()

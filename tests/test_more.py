@@ -1,7 +1,9 @@
 """Scores as published, row numbers, headings and lines in blocks, calls over HTTP, jobs and training."""
 
+import datetime as dt
 import http.server
 import json
+import random
 import threading
 
 import pytest
@@ -10,8 +12,8 @@ from pyspark.sql import functions as F
 from fitloom import catalog, job
 from fitloom.functions import score as S
 from fitloom.functions import skills
-from fitloom.operators import corpus, external, generate, http as calls, joins, sampling, training
-from fitloom.sources import readers
+from fitloom.operators import corpus, external, generate, http as calls, joins, packing, sampling, training
+from fitloom.sources import manifest, readers
 from fitloom.streaming import restart
 
 SF = "/root/testdata/sf0.001"
@@ -381,3 +383,105 @@ def test_elements_go_to_their_own_end(spark):
     df = spark.createDataFrame(list(enumerate(pages)), "i int, html string").select("i", readers.strip_tags(readers.element(F.col("html"), "div", "(?i:job-desc)")).alias("t"), readers.element(F.col("html"), "div", "(?i:job-desc)").isNull().alias("none")).orderBy("i").collect()
     squeeze = lambda x: "".join((x or "").split())
     assert [None if r["none"] else squeeze(r["t"]) for r in df] == [None if w is None else squeeze(w) for w in want]
+
+
+def plain_bins(sizes, room):
+    """Best fit from the largest down, each bin looked at."""
+    out = []
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        free = [(room - sum(sizes[j] for j in b), n) for n, b in enumerate(out)]
+        fits = [x for x in free if x[0] >= sizes[i]]
+        if fits:
+            out[min(fits)[1]].append(i)
+        else:
+            out.append([i])
+    return out
+
+
+def test_bins_against_plain_best_fit():
+    rnd = random.Random(3)
+    for n in (0, 1, 7, 300):
+        sizes = [rnd.randint(1, 50) for _ in range(n)]
+        assert packing.bins(sizes, 50) == plain_bins(sizes, 50)
+
+
+def test_packed_rows_against_plain_tokens(spark, monkeypatch):
+    """Every example once and whole, prompts masked, whatever the partitions; odd chats have their defined results."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "CELL", 100)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coder = Tokenizer.from_file(path)
+    rnd = random.Random(4)
+    some = lambda n: " ".join(f"word{rnd.randrange(50)}" for _ in range(rnd.randint(1, n)))
+    chats = [(str(k), [("system", "Judge."), ("user", some(40)), ("assistant", some(15))]) for k in range(600)]
+    chats += [("two", [("user", "a"), ("assistant", "b"), ("user", "c\nd"), ("assistant", "é")]), (None, [("user", "x"), ("assistant", "y")])] + [("same", [("user", "x"), ("assistant", "y")])] * 250
+    chats += [("null", None), ("none", []), ("asks", [("user", "only a question")]), ("long prompt", [("user", "long " * 300), ("assistant", "z")]), ("long answer", [("user", "q"), ("assistant", "long " * 300)]), ("gaps", [(None, "x"), ("assistant", None)])]
+    want = []
+    for key, chat in chats:
+        ids, labels = [], []
+        for role, content in chat or []:
+            head, body = (coder.encode(t, add_special_tokens=False).ids for t in (f"<|im_start|>{role or ''}\n", (content or "") + "<|im_end|>\n"))
+            ids += head + body
+            labels += [-100] * len(head) + (body if role == "assistant" else [-100] * len(body))
+        if any(x != -100 for x in labels[:256]):
+            want.append((key, ids[:256], labels[:256]))
+    assert {"two", "same", "long answer", "gaps"} <= {k for k, _, _ in want} and not {"null", "none", "asks", "long prompt"} & {k for k, _, _ in want}
+    df = spark.createDataFrame(chats, "id string, messages array<struct<role: string, content: string>>")
+    results = []
+    for n in (1, 7):
+        rows = packing.tokenised(df.repartition(n), "id", path, most=256)
+        assert rows.where("id = 'same'").select("copy").distinct().count() == 250
+        packs = packing.packed(rows, "id", room=256, tasks=2).collect()
+        got = []
+        for p in packs:
+            assert len(p["ids"]) == len(p["labels"]) == sum(p["lengths"]) <= 256 and len(p["keys"]) == len(p["lengths"])
+            at = 0
+            for k, m in zip(p["keys"], p["lengths"], strict=True):
+                got.append((k, p["ids"][at : at + m], p["labels"][at : at + m]))
+                at += m
+        order = lambda x: (x[0] or "", x[1])
+        assert sorted(got, key=order) == sorted(want, key=order)
+        assert len({p["pack"] for p in packs}) == len(packs)
+        assert sum(len(p["ids"]) for p in packs) > 0.9 * 256 * len(packs)
+        results.append(sorted((p["pack"], p["keys"], p["ids"]) for p in packs if None not in p["keys"]))
+    assert results[0] == results[1]
+    assert packing.packed(packing.tokenised(df.limit(0), "id", path), "id").count() == 0
+    with pytest.raises(Exception, match="is the most"):
+        packing.packed(packing.tokenised(df, "id", path, most=256), "id", room=200).count()
+
+
+def test_whole_table_is_packed_full(spark):
+    got = catalog.queries()["EXT9_packed"](spark, SF).collect()
+    chats = spark.read.parquet(f"{SF}/customer.parquet").count()
+    assert sum(r["n_examples"] for r in got) >= chats and all(0 < r["n_trained"] < r["n_tokens"] <= 1024 for r in got)
+    assert sum(r["n_tokens"] for r in got) > 0.95 * 1024 * (len(got) - 8)
+
+
+def test_stream_adds_each_key_once(spark, tmp_path):
+    """A key comes again within a delivery, in the next run and after a crash between commit and checkpoint."""
+    schema = "k long, ts timestamp, v string"
+    put = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    day = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
+    t = manifest.Table(spark, f"{tmp_path}/t", schema)
+    run = lambda table: restart.once(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), table, f"{tmp_path}/cp", "k", "ts", "2 hours").awaitTermination()
+    put([(1, day(1), "a"), (1, day(1), "a"), (2, day(2), "b"), (None, day(2), "c"), (3, None, "d")])
+    run(t)
+    put([(2, day(2), "b"), (4, day(3), "e")])
+
+    class Dies:
+        has = staticmethod(t.has)
+
+        def append(self, batch, name):
+            t.append(batch, name)
+            raise RuntimeError("lost after the commit")
+
+    with pytest.raises(Exception, match="lost after the commit"):
+        run(Dies())
+    assert sorted(r["k"] for r in t.read().collect()) == [1, 2, 4]
+    run(t)
+    run(t)
+    put([(4, day(3), "e"), (5, day(9), "f"), (6, day(1, 30), "late, but the newest time so far is 3")])
+    run(t)
+    assert sorted((r["k"], r["v"]) for r in t.read().collect()) == [(1, "a"), (2, "b"), (4, "e"), (5, "f"), (6, "late, but the newest time so far is 3")]

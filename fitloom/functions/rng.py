@@ -27,9 +27,11 @@ def normal(key: Column, salt: str, i: Column | int = 0) -> Column:
 
 def truncated(key: Column, salt: str, mean: Column, sd: Column, low: Column, high: Column) -> Column:
     """First of 12 Gaussian draws within bounds, else the mean put within them."""
-    draws = F.transform(F.sequence(F.lit(1), F.lit(12)), lambda i: mean + sd * normal(key, salt, i))
-    good = F.filter(draws, lambda x: (x >= low) & (x <= high))
-    return F.coalesce(F.try_element_at(good, F.lit(1)), F.greatest(low, F.least(high, mean)))
+    bounded = lambda x: F.when((x >= low) & (x <= high), x)
+    draw = lambda i: F.transform(F.array(mean + sd * normal(key, salt, i)), bounded)[0]
+    # a draw is made only while none before it was within bounds
+    first = F.aggregate(F.sequence(F.lit(1), F.lit(12)), F.lit(None).cast("double"), lambda found, i: F.coalesce(found, draw(i)))
+    return F.coalesce(first, F.greatest(low, F.least(high, mean)))
 
 
 def pick(items: Column, key: Column, salt: str, i: Column | int = 0) -> Column:

@@ -17,6 +17,7 @@ from ..functions import rng
 from ..functions import score as S
 from ..functions.coerce import half_up
 from ..functions.text import normal
+from . import joins
 
 # Dials by preset, and the share of matched skills that a preset may keep.
 DIALS = {
@@ -265,11 +266,22 @@ def templates_for(templates: Column, skills_compact: Column, stage: Column, key:
     return F.transform(F.slice(F.array_sort(rows), F.lit(1), F.when(stage == "senior", 3).otherwise(2)), lambda r: r["t"])
 
 
+def architecture(t: Column, i: Column, deployment: Column, key: Column) -> Column:
+    """The design of the template that is a row's project i (from 0)."""
+    more = F.when(deployment > 0.65, strings(["Event-Driven", "Serverless"])).otherwise(F.array().cast("array<string>"))
+    return F.coalesce(M.let(M.distinct_in_order(F.concat(t["architecture"], more)), lambda a: rng.pick(a, key, "shape", i)), F.lit("Microservices"))
+
+
+def metrics(chosen: Column, target: Column, stage: Column, deployment: Column, key: Column, branches, names) -> Column:
+    """The quantitative_metrics of projects() alone: no project's figures depend on another project."""
+    each = lambda own: F.transform(chosen, lambda t, i: with_design(own, architecture(t, i, deployment, key)))
+    return M.let(figures(stage, target, branches, names, key, "figure"), each)
+
+
 def projects(chosen: Column, recent: Column, recent_compact: Column, skills: Column, matched: Column, target: Column, stage: Column, deployment: Column, manages: Column, key: Column, branches, names) -> Column:
     """Projects in order; a fold carries the (compact) technologies and impacts that earlier ones used.  What all
     projects of a row share is made once, before it."""
     kind = "struct<done:array<struct<project_name:string,project_domain:string,business_problem:string,architecture_type:string,technologies_used:array<string>,complexity_tier:string,impact_signals:array<string>,quantitative_metrics:map<string,string>,resume_fit_reason:string>>,seen:array<string>,impacts:array<string>>"
-    none = F.array().cast("array<string>")
     empty = F.from_json(F.lit('{"done":[],"seen":[],"impacts":[]}'), kind)
     lead = F.slice(F.when(F.size(matched) > 0, matched).otherwise(skills), 1, 2)
     why = F.concat(F.lit("Extends the "), F.array_join(lead, ", "), F.lit(" stack of the candidate's experience."), F.when(manages, " It also shows coordination.").otherwise(""))
@@ -302,8 +314,7 @@ def projects(chosen: Column, recent: Column, recent_compact: Column, skills: Col
         return F.struct(F.concat(acc["done"], F.array(row)).alias("done"), F.concat(acc["seen"], M.compacted(tech)).alias("seen"), F.array_union(acc["impacts"], signals).alias("impacts")).cast(kind)
 
     def add(acc: Column, t: Column, all_: Column, plain: Column) -> Column:
-        shapes = M.distinct_in_order(F.concat(t["architecture"], F.when(deployment > 0.65, strings(["Event-Driven", "Serverless"])).otherwise(none)))
-        shape = F.coalesce(M.let(shapes, lambda a: rng.pick(a, key, "shape", F.size(acc["done"]))), F.lit("Microservices"))
+        shape = architecture(t, F.size(acc["done"]), deployment, key)
         tech = lambda seen: M.let(own_of(t, all_, seen), lambda own: tech_of(t, own, all_, seen))
         return M.let(M.let(M.joined(acc["seen"]), tech), lambda tech: M.let(shape, lambda sh: M.let(signals_of(acc, t, all_), lambda sig: row_of(acc, t, all_, plain, tech, sh, sig))))
 
@@ -380,7 +391,7 @@ def contact(record_id: Column) -> Column:
 
 
 #: Parts of a candidate, in the order they are made, and what each needs.
-PARTS = {"persona": [], "companies": ["persona"], "skills": ["persona"], "paths": ["skills"], "focus": ["skills"], "experience": ["companies", "paths", "focus"], "templates": ["skills"], "projects": ["paths", "templates"], "school": ["persona"], "scored": ["experience", "projects", "school"]}
+PARTS = {"persona": [], "companies": ["persona"], "skills": ["persona"], "paths": ["skills"], "focus": ["skills"], "experience": ["companies", "paths", "focus"], "templates": ["skills"], "metrics": ["templates"], "projects": ["paths", "templates"], "school": ["persona"], "scored": ["experience", "projects", "school"]}
 
 
 def candidates(jds: DataFrame, profiles: DataFrame, companies: DataFrame, colleges: DataFrame, adjacent: dict[str, str], mismatch: dict[str, list[str]], branches, names, usage: DataFrame | None = None, as_of_year: int = 2025, part: str = "scored") -> DataFrame:
@@ -395,6 +406,7 @@ def candidates(jds: DataFrame, profiles: DataFrame, companies: DataFrame, colleg
         "focus": _focus,
         "experience": _experience,
         "templates": lambda r: r.withColumn("bundle_compact", M.compacted(F.col("bundle"))).withColumn("chosen", templates_for(F.col("p_templates"), F.col("bundle_compact"), F.col("stage"), F.col(KEY))),
+        "metrics": lambda r: r.withColumn("metrics", metrics(F.col("chosen"), F.col("target"), F.col("stage"), F.col("dials.deployment_skills"), F.col(KEY), branches, names)),
         "projects": lambda r: _projects(r, branches, names),
         "school": lambda r: _school(r, colleges, as_of_year),
         "scored": lambda r: _scored(r, adjacent),
@@ -403,6 +415,8 @@ def candidates(jds: DataFrame, profiles: DataFrame, companies: DataFrame, colleg
     while todo:
         needed.add(todo[-1])
         todo += [x for x in PARTS[todo.pop()] if x not in needed]
+    # unmarked, Spark deals all rows of a role, or of a tier of colleges, to one task
+    profiles, colleges = joins.bounded(profiles), joins.bounded(colleges) if "school" in needed else colleges
     # a row costs a millisecond: few rows of one file would keep one task busy
     tasks = int(jds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     r = jds.withColumn(KEY, F.concat_ws("|", "jd_id", "preset", "attempt")).repartition(tasks, KEY)
@@ -423,7 +437,7 @@ def _persona(r: DataFrame, profiles: DataFrame, adjacent: dict[str, str], mismat
     strength = (F.col("dials.education_tier") + F.col("dials.skill_coverage")) / 2
     r = r.withColumns({"filler": filler, "strength": strength, "years": experience(F.col("need.years"), F.col("dials.experience_years"), F.col("preset"), k), "generated_manages": F.col("manages") | (F.col("band") == "principal")})
     mine = profiles.select("role", *(F.col(c).alias(f"p_{c}") for c in ("domains", "company_domains", "degrees", "themes", "titles")))
-    r = r.join(mine, "role")  # one row a role: Spark broadcasts them if their size allows
+    r = r.join(mine, "role")  # one row a role
     r = r.withColumns({"stage": S.stage(F.col("years")), "target": domain(F.col("domain"), F.col("p_domains"), F.col("dials.domain_relevance"), F.col("preset"), k)})
     return r.withColumns({"before": earlier(F.col("stage")), "two": (F.col("years") >= 5.0) & F.col("stage").isin("mid", "senior")})
 

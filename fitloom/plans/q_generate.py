@@ -76,12 +76,12 @@ def _jobs():
     return F.array_join(F.transform("experience", one), ",")
 
 
-def _figures(p):
-    return F.array_join(F.array_sort(F.transform(F.map_entries(p["quantitative_metrics"]), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), "+")
+def _figures(m):
+    return F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), "+")
 
 
 def _projects():
-    one = lambda p: F.array_join(F.array(p["project_name"], p["project_domain"], p["business_problem"], p["architecture_type"], F.array_join(p["technologies_used"], "+"), p["complexity_tier"], F.array_join(p["impact_signals"], "+"), _figures(p), p["resume_fit_reason"]), "/")
+    one = lambda p: F.array_join(F.array(p["project_name"], p["project_domain"], p["business_problem"], p["architecture_type"], F.array_join(p["technologies_used"], "+"), p["complexity_tier"], F.array_join(p["impact_signals"], "+"), _figures(p["quantitative_metrics"]), p["resume_fit_reason"]), "/")
     return F.array_join(F.transform("projects", one), ",")
 
 
@@ -95,7 +95,7 @@ for _id, _part, _cols, _sql in (
     ("SMP13", "focus", lambda: [F.array_join("now_focus", ",").alias("focus")], "array_to_string(now_focus, ',') AS focus"),
     ("SMP14", "experience", lambda: [_jobs().alias("experience")], "array_to_string(experience, ',') AS experience"),
     ("SMP16", "persona", lambda: [G.label(K("target"), K(G.KEY), "context").alias("context")], sql.label("context") + " AS context"),
-    ("SMP17", "projects", lambda: [F.array_join(F.transform("projects", _figures), ",").alias("metrics")], "array_to_string(metrics, ',') AS metrics"),
+    ("SMP17", "metrics", lambda: [F.array_join(F.transform("metrics", _figures), ",").alias("metrics")], "array_to_string(metrics, ',') AS metrics"),
     ("SMP18", "projects", lambda: [_projects().alias("projects"), F.array_join(F.transform("projects", lambda p: F.array_join(p["impact_signals"], "+")), ",").alias("impacts")], "array_to_string(done, ',') AS projects, array_to_string(shown, ',') AS impacts"),
     ("WIN5", "paths", lambda: [_lists(F.transform("ranked", lambda r: r["p"])).alias("ranked")], "array_to_string(list_transform(every_path, lambda p: array_to_string(p, '+')), ',') AS ranked"),
     ("WIN6", "templates", lambda: [F.array_join(F.transform("chosen", lambda t: t["name"]), ",").alias("templates")], "array_to_string(list_transform(chosen, lambda t: t.name), ',') AS templates"),
@@ -112,7 +112,7 @@ Q["SMP15"] = (
     "SELECT c_custkey AS jd_id, array_to_string(list_transform(list_sort(list_transform(list_filter(range(1, 7), lambda i: list_position(a, a[i]) = i), lambda i: i))[1:4], lambda i: a[i]), ',') AS stack FROM (SELECT c_custkey, ['Java', 'Git'] || [" + ", ".join(f"({'[' + ', '.join(map(sql_text, _SKILLS)) + ']'})[CAST((c_custkey * {t} + {p}) % 10 + 1 AS BIGINT)]" for t, p in ((1, 0), (3, 1), (7, 2), (9, 5))) + "] AS a FROM customer)",
 )
 Q["SMP19"] = (
-    lambda s, d: G.accepted(jds(s, d).drop("attempt"), ["jd_id", "preset"], lambda rows: generate(rows, s), lambda df: stored(df, "attempt"), at_once=True).select("jd_id", "preset", "attempt", "accepted", "overall"),
+    lambda s, d: G.accepted(jds(s, d).drop("attempt"), ["jd_id", "preset"], lambda rows: generate(rows, s).select("jd_id", "preset", "attempt", "jd_role", "role", "experience_fit", "overall"), lambda df: stored(df, "attempt"), at_once=True).select("jd_id", "preset", "attempt", "accepted", "overall"),
     sql.scored(_SKILLS, _ROLE, 6) + f", tried AS (SELECT *, {sql.ACCEPTED} AS accepted FROM scored) SELECT jd_id, preset, CAST(attempt AS INT) AS attempt, accepted, overall FROM tried QUALIFY row_number() OVER (PARTITION BY jd_id, preset ORDER BY CASE WHEN accepted THEN attempt ELSE 1000 - attempt END) = 1",
 )
 Q["SMP21"] = (

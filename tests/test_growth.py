@@ -18,3 +18,33 @@ def test_figures_alone_are_those_of_projects(spark):
     figures = lambda part, c: {(r.jd_id, r.preset, tuple(map(lambda m: tuple(sorted(m.items())), r.m))) for r in G.made(spark, SF, part).select("jd_id", "preset", F.expr(c).alias("m")).collect()}
     assert figures("metrics", "metrics") == figures("projects", "transform(projects, p -> p.quantitative_metrics)")
     assert "project_name" not in G.Q["SMP17"][0](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_calls_are_dealt_over_more_tasks_as_rows_grow(spark, tmp_path, monkeypatch):
+    """A task has few rows however many there are, a log serves a table that grew, and the rate is shared by all."""
+    from fitloom.operators import external as X
+
+    class Named:
+        def complete(self, prompt, settings):
+            return prompt.upper()
+
+    class New:
+        """A client that answers rows from 60 on only."""
+
+        def complete(self, prompt, settings):
+            if int(prompt[1:]) < 60:
+                raise RuntimeError("paid twice")
+            return prompt.upper()
+
+    def shares(rpm, tasks):
+        (tmp_path / f"shares-{tasks}").touch()
+        return X.Limiter(rpm, tasks)
+
+    monkeypatch.setattr(X, "ROWS", 10)
+    table = lambda n: spark.range(n).select("id", F.array(F.concat(F.lit("p"), "id")).alias("prompts"))
+    for log in (None, f"file://{tmp_path}/log"):
+        done = X.complete(table(60), "prompts", Named, rpm=1e9, tasks=1, log=log, key="id", limiter=shares).withColumn("task", F.spark_partition_id()).collect()
+        assert {(r.id, r.answer) for r in done} == {(i, f"P{i}") for i in range(60)} and len({r.task for r in done}) > 3
+    grown = X.complete(table(200), "prompts", New, rpm=1e9, tasks=1, log=f"file://{tmp_path}/log", key="id").collect()
+    assert {(r.id, r.answer) for r in grown} == {(i, f"P{i}") for i in range(200)}
+    assert (tmp_path / f"shares-{min(6, spark.sparkContext.defaultParallelism)}").exists() and not (tmp_path / "shares-1").exists()

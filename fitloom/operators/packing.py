@@ -52,7 +52,9 @@ def tokenised(df: DataFrame, key: str, vocabulary: str, template: Template = Tem
                     parts += [template.opening.replace("{role}", role), content + template.closing]
                     marks += [False, role == template.answers]
                 ends.append(len(parts))
-            coded = [e.ids for e in coder.encode_batch(parts, add_special_tokens=False)]
+            once = list(dict.fromkeys(parts))  # openings and system turns are the same in most chats
+            known = {p: e.ids for p, e in zip(once, coder.encode_batch(once, add_special_tokens=False), strict=True)}
+            coded = [known[p] for p in parts]
             ids, labels, at = [], [], 0
             for end in ends:
                 ids.append([i for p in coded[at:end] for i in p][:most])

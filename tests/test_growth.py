@@ -48,3 +48,17 @@ def test_calls_are_dealt_over_more_tasks_as_rows_grow(spark, tmp_path, monkeypat
     grown = X.complete(table(200), "prompts", New, rpm=1e9, tasks=1, log=f"file://{tmp_path}/log", key="id").collect()
     assert {(r.id, r.answer) for r in grown} == {(i, f"P{i}") for i in range(200)}
     assert (tmp_path / f"shares-{min(6, spark.sparkContext.defaultParallelism)}").exists() and not (tmp_path / "shares-1").exists()
+
+
+def test_rows_with_an_inventory_are_not_dealt_again_for_resumes(spark):
+    """Resumes meet the orders: of a candidate's row nothing but ranks is dealt by order, and nothing by resume."""
+    from fitloom.plans import q_data
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("PRJ5", "EXT10", "JOI2", "JOI3", "JOI4"):
+            plan = q_data.Q[name][0](spark, SF)._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning(custkey" in plan and "hashpartitioning(resume_id" not in plan and "_resume#" not in plan, name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from ..functions.text import compact
 
 GRAM, BLOCK = 4, 4096
+#: Forms that a task takes apart into runs.
+FORMS = 20_000
 
 
 def _grams(form: Column) -> Column:
@@ -36,12 +38,19 @@ def _within(small: DataFrame, large: DataFrame, block: int) -> DataFrame:
     return both.where((F.length("small") < F.length("large")) & F.col("large").contains(F.col("small"))).select("small", "large")
 
 
-def matching_forms(left: DataFrame, right: DataFrame, block: int = BLOCK) -> DataFrame:
+def matching_forms(left: DataFrame, right: DataFrame, block: int = BLOCK, store=None) -> DataFrame:
     """(left_form, right_form), one row for each matching pair of distinct compact forms; left and right have one
-    column of texts each.  Null and empty forms match nothing."""
+    column of texts each.  Null and empty forms match nothing.
+
+    store(df) writes the distinct forms to a table that is then read: the texts are read once and not at each use,
+    and the forms are counted and dealt over tasks of about FORMS.  A partition that is small in forms is large in runs."""
 
     def forms(df: DataFrame, name: str) -> DataFrame:
-        return df.select(compact(F.col(df.columns[0])).alias(name)).where(F.col(name) != "").distinct()
+        found = df.select(compact(F.col(df.columns[0])).alias(name)).where(F.col(name) != "").distinct()
+        if not store:
+            return found
+        found = store(found)
+        return found.repartition(found.count() // FORMS + 1, name)
 
     a, b = forms(left, "a"), forms(right, "b")
     equal = a.join(b, F.col("a") == F.col("b"))
@@ -50,14 +59,14 @@ def matching_forms(left: DataFrame, right: DataFrame, block: int = BLOCK) -> Dat
     return equal.unionAll(inside).unionAll(around).select(F.col("a").alias("left_form"), F.col("b").alias("right_form"))
 
 
-def fuzzy_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, block: int = BLOCK) -> DataFrame:
+def fuzzy_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, block: int = BLOCK, store=None) -> DataFrame:
     """Rows of left and right whose texts match, with the columns of both, which must differ in name."""
-    forms = matching_forms(left.select(left_on), right.select(right_on), block)
+    forms = matching_forms(left.select(left_on), right.select(right_on), block, store)
     a, b = left.withColumn("left_form", compact(F.col(left_on))), right.withColumn("right_form", compact(F.col(right_on)))
     return a.join(forms, "left_form").join(b, "right_form").drop("left_form", "right_form")
 
 
-def fuzzy_missing(left: DataFrame, right: DataFrame, left_on: str, right_on: str, block: int = BLOCK) -> DataFrame:
+def fuzzy_missing(left: DataFrame, right: DataFrame, left_on: str, right_on: str, block: int = BLOCK, store=None) -> DataFrame:
     """Rows of left whose text matches none of right."""
-    found = matching_forms(left.select(left_on), right.select(right_on), block).select("left_form").distinct()
+    found = matching_forms(left.select(left_on), right.select(right_on), block, store).select("left_form").distinct()
     return left.withColumn("left_form", compact(F.col(left_on))).join(found, "left_form", "left_anti").drop("left_form")

@@ -11,7 +11,7 @@ from ..functions.coerce import half_up
 from ..functions.text import normal
 from ..operators import corpus, fuzzy, joins
 from . import flagship
-from .tools import DEGREES, DOMAINS, SCHOOLS, SKILLS, TITLES, WANTED, contains_sql, pick, read, sql_clean, sql_compact, sql_key, sql_list, sql_match, sql_normal, sql_pick, sql_text
+from .tools import DEGREES, DOMAINS, SCHOOLS, SKILLS, TITLES, WANTED, contains_sql, pick, read, sql_clean, sql_compact, sql_key, sql_list, sql_match, sql_normal, sql_pick, sql_text, stored
 
 Q: dict = {}
 
@@ -112,14 +112,18 @@ def _words(s, d, table):
     return read(s, d, table).select(F.explode(F.split(F.coalesce("text", F.lit("")), " ")).alias("word")).distinct()
 
 
+def _forms(df):
+    return stored(df, "forms")
+
+
 _WORDS = "SELECT DISTINCT c FROM (SELECT {c} AS c FROM (SELECT unnest(string_split(coalesce(text, ''), ' ')) AS w FROM {t})) WHERE c <> ''"
 _PAIRS = f"SELECT b.c AS item, d.c AS word FROM ({_WORDS.format(c=sql_compact('w'), t='benchmark')}) b JOIN ({_WORDS.format(c=sql_compact('w'), t='documents')}) d ON {sql_match('b.c', 'd.c')}"
 Q["JOI6_tables"] = (
-    lambda s, d: fuzzy.matching_forms(_words(s, d, "benchmark"), _words(s, d, "documents")).groupBy(F.col("left_form").alias("item")).agg(F.count("*").alias("n"), F.min("right_form").alias("first"), F.max("right_form").alias("last"), F.sum(F.length("right_form")).alias("letters")),
+    lambda s, d: fuzzy.matching_forms(_words(s, d, "benchmark"), _words(s, d, "documents"), store=_forms).groupBy(F.col("left_form").alias("item")).agg(F.count("*").alias("n"), F.min("right_form").alias("first"), F.max("right_form").alias("last"), F.sum(F.length("right_form")).alias("letters")),
     f"SELECT item, count(*) AS n, min(word) AS first, max(word) AS last, CAST(sum(length(word)) AS BIGINT) AS letters FROM ({_PAIRS}) GROUP BY item",
 )
 Q["JOI9_tables"] = (
-    lambda s, d: fuzzy.fuzzy_missing(_words(s, d, "benchmark"), _words(s, d, "documents"), "word", "word").select("word"),
+    lambda s, d: fuzzy.fuzzy_missing(_words(s, d, "benchmark"), _words(s, d, "documents"), "word", "word", store=_forms).select("word"),
     f"SELECT DISTINCT w AS word FROM (SELECT unnest(string_split(coalesce(text, ''), ' ')) AS w FROM benchmark) WHERE {sql_compact('w')} NOT IN (SELECT item FROM ({_PAIRS}))",
 )
 Q["JOI7"] = (

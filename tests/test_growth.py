@@ -62,3 +62,15 @@ def test_rows_with_an_inventory_are_not_dealt_again_for_resumes(spark):
             assert "hashpartitioning(custkey" in plan and "hashpartitioning(resume_id" not in plan and "_resume#" not in plan, name
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_forms_are_made_once_and_dealt_by_their_number(spark, monkeypatch):
+    from fitloom.operators import fuzzy
+    from fitloom.plans import q_score
+
+    monkeypatch.setattr(fuzzy, "FORMS", 50)
+    found = q_score.Q["JOI6_tables"][0](spark, SF)
+    assert not any("documents" in f for f in found.inputFiles())
+    words = [spark.createDataFrame(q_score._words(spark, SF, t).orderBy("word").limit(300).collect(), "word string") for t in ("benchmark", "documents")]
+    pairs = lambda **more: sorted(map(tuple, fuzzy.matching_forms(*words, **more).collect()))
+    assert pairs() and pairs(store=q_score._forms) == pairs()

@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from dataclasses import dataclass
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +39,8 @@ def tokenised(df: DataFrame, key: str, vocabulary: str, template: Template = Tem
     vocabulary is a tokenizers file that all workers can read.  Chats of more than `most` tokens are cut at the end;
     those without any token of an answer within these go, as do null chats.  Null roles and contents are empty.  Rows
     that repeat key and messages are tokenised once and numbered by copy."""
+    turn = df.schema["messages"].dataType.elementType
+    places = [turn.fieldNames().index(c) for c in ("role", "content")]
     kept = df.where(F.col("messages").isNotNull()).groupBy(key, "messages").agg(F.count("*").alias("__n"))
 
     def run(batches):
@@ -45,24 +50,28 @@ def tokenised(df: DataFrame, key: str, vocabulary: str, template: Template = Tem
         coder.no_truncation()
         coder.no_padding()
         for batch in batches:
-            parts, marks, ends = [], [], []
-            for chat in batch.column("messages").to_pylist():
-                for turn in chat:
-                    role, content = ((turn or {}).get(c) or "" for c in ("role", "content"))
-                    parts += [template.opening.replace("{role}", role), content + template.closing]
-                    marks += [False, role == template.answers]
-                ends.append(len(parts))
-            once = list(dict.fromkeys(parts))  # openings and system turns are the same in most chats
-            known = {p: e.ids for p, e in zip(once, coder.encode_batch(once, add_special_tokens=False), strict=True)}
-            coded = [known[p] for p in parts]
-            ids, labels, at = [], [], 0
-            for end in ends:
-                ids.append([i for p in coded[at:end] for i in p][:most])
-                labels.append([i if m else IGNORE for p, m in zip(coded[at:end], marks[at:end], strict=True) for i in p][:most])
-                at = end
-            use = pa.array([any(i != IGNORE for i in x) for x in labels], pa.bool_())
-            cols = [batch.column(key), batch.column("__n"), pa.array(ids, pa.list_(pa.int32())), pa.array(labels, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(cols, names=[key, "__n", "ids", "labels"]).filter(use)
+            chats = batch.column("messages")
+            ends = np.cumsum(pc.list_value_length(chats).to_numpy(zero_copy_only=False), dtype=np.int64)
+            roles, contents = (pc.fill_null(pc.struct_field(chats.flatten(), [at]), "").to_pylist() for at in places)
+            parts = [p for r, c in zip(roles, contents, strict=True) for p in (template.opening.replace("{role}", r), c + template.closing)]
+            once = {p: i for i, p in enumerate(dict.fromkeys(parts))}  # openings and system turns are the same in most chats
+            known = [e.ids for e in coder.encode_batch_fast(list(once), add_special_tokens=False)]
+            many = np.fromiter(map(len, known), np.int64, len(known))
+            tokens = np.fromiter(chain.from_iterable(known), np.int32, int(many.sum()))
+            use = np.fromiter((once[p] for p in parts), np.int64, len(parts))
+            first, sizes = (np.cumsum(many) - many)[use], many[use]
+            # of each part what is left below `most` tokens of its chat
+            ends = np.concatenate([[0], 2 * ends])
+            before = np.concatenate([[0], np.cumsum(sizes)])
+            sizes = np.clip(most - (before[:-1] - np.repeat(before[ends[:-1]], np.diff(ends))), 0, sizes)
+            before = np.concatenate([[0], np.cumsum(sizes)])
+            ids = tokens[np.repeat(first - before[:-1], sizes) + np.arange(before[-1])]
+            marks = np.zeros(len(parts), bool)
+            marks[1::2] = np.fromiter((r == template.answers for r in roles), bool, len(roles))
+            labels = np.where(np.repeat(marks, sizes), ids, np.int32(IGNORE))
+            trained = np.concatenate([[0], np.cumsum(np.where(marks, sizes, 0))])[ends]
+            cols = [batch.column(key), batch.column("__n"), *(listed(before[ends], x) for x in (ids, labels))]
+            yield pa.RecordBatch.from_arrays(cols, names=[key, "__n", "ids", "labels"]).filter(pa.array(np.diff(trained) > 0))
 
     made = kept.mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, __n bigint, ids array<int>, labels array<int>")
     blocks = made.withColumn("__block", F.explode(F.sequence(F.lit(0), F.expr(f"(__n - 1) div {CELL}"))))
@@ -71,6 +80,11 @@ def tokenised(df: DataFrame, key: str, vocabulary: str, template: Template = Tem
     return copies.select(key, "copy", "ids", "labels")
 
 
+def listed(ends: np.ndarray, values: np.ndarray | pa.Array) -> pa.ListArray:
+    """Values as lists that begin at 0 and end at ends[1:]."""
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values) if isinstance(values, np.ndarray) else values)
+
+
 def bins(sizes: list[int], room: int) -> list[list[int]]:
     """Places of sizes, none above room, in bins: from the largest down, each into the fullest bin that takes it, of
     equals the oldest."""
@@ -98,17 +112,19 @@ def packed(rows: DataFrame, key: str, room: int = 1024, tasks: int | None = None
     tasks = tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def fill(task: int, cell: int, batch: pa.Table):
-        key_, ids, labels = (batch.column(c).to_pylist() for c in ("__key", "ids", "labels"))
-        sizes = [len(x) for x in ids]
-        if max(sizes) > room:
-            raise ValueError(f"an example has {max(sizes)} tokens, {room} is the most")
-        found = bins(sizes, room)
-        base = (task << 40) + (cell << 13)
+        key_, ids, labels = (batch.column(c).combine_chunks() for c in ("__key", "ids", "labels"))
+        sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
+        if sizes.max() > room:
+            raise ValueError(f"an example has {sizes.max()} tokens, {room} is the most")
+        found = bins(sizes.tolist(), room)
+        order = np.fromiter(chain.from_iterable(found), np.int64, len(sizes))
+        many = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))])
+        ends = np.concatenate([[0], np.cumsum(sizes[order])])[many]
         cols = [
-            pa.array([base + i for i in range(len(found))], pa.int64()),
-            pa.array([[key_[i] for i in b] for b in found], pa.list_(pa.string())),
-            pa.array([[sizes[i] for i in b] for b in found], pa.list_(pa.int32())),
-            *(pa.array([[t for i in b for t in x[i]] for b in found], pa.list_(pa.int32())) for x in (ids, labels)),
+            pa.array((task << 40) + (cell << 13) + np.arange(len(found)), pa.int64()),
+            listed(many, key_.take(order)),
+            listed(many, sizes[order].astype(np.int32)),
+            *(listed(ends, x.take(order).flatten()) for x in (ids, labels)),
         ]
         return pa.RecordBatch.from_arrays(cols, names=["pack", "keys", "lengths", "ids", "labels"])
 

@@ -74,3 +74,26 @@ def test_forms_are_made_once_and_dealt_by_their_number(spark, monkeypatch):
     words = [spark.createDataFrame(q_score._words(spark, SF, t).orderBy("word").limit(300).collect(), "word string") for t in ("benchmark", "documents")]
     pairs = lambda **more: sorted(map(tuple, fuzzy.matching_forms(*words, **more).collect()))
     assert pairs() and pairs(store=q_score._forms) == pairs()
+
+
+def test_packing_costs_little_more_than_passing_the_tokens(spark):
+    """Tokens go through Python as whole arrays: lists of Python numbers took some 2 microseconds a token."""
+    import time
+
+    from fitloom.operators import packing
+
+    ids = F.sequence(F.lit(1), F.lit(1000))
+    rows = spark.range(0, 8000, 1, 1).select("id", F.lit(0).alias("copy"), ids.alias("ids"), ids.alias("labels")).cache()
+
+    def seconds(df):
+        began = time.time()
+        df.write.format("noop").mode("overwrite").save()
+        return time.time() - began
+
+    assert rows.count() == 8000
+    passed = rows.drop("copy").repartition(1).mapInArrow(lambda batches: batches, "id long, ids array<int>, labels array<int>")
+    packs = packing.packed(rows, "id", tasks=1)
+    seconds(passed), seconds(packs)
+    assert seconds(packs) < 2 * seconds(passed) + 3
+    assert packs.count() == 8000
+    rows.unpersist()

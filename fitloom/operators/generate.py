@@ -565,22 +565,22 @@ def passes() -> Column:
     return S.fits_preset(F.col("preset"), F.col("overall"), F.col("experience_fit"), F.col("jd_role") == F.col("role"))
 
 
-def accepted(jds: DataFrame, by: list[str], make, store, most: int = 6, at_once: bool = False) -> DataFrame:
+def accepted(jds: DataFrame, by: list[str], make, store, most: int = 6, at_once: bool = False, ends: tuple[int, ...] | None = None) -> DataFrame:
     """One candidate for each row of jds (keys `by`): the first attempt that its preset accepts, else the last
     of `most`.  make(jds with column attempt) generates, and store(df) writes what is made to a table that is then
     read.  Only what is still open is tried again: attempt after attempt, or with at_once all further attempts in one
-    plan, which makes more candidates but plans twice only."""
+    plan, which makes more candidates but plans twice only.  ends says otherwise: the last attempt of each plan."""
     tried = lambda rows: store(make(rows).withColumn("accepted", passes()))
-    if at_once and most > 1:
-        first = tried(jds.withColumn("attempt", F.lit(1)))
-        left = jds.join(first.where("not accepted").select(*by), by, "left_semi")
-        more = tried(left.withColumn("attempt", F.explode(F.sequence(F.lit(2), F.lit(most)))))
-        taken = more.groupBy(*by).agg(F.coalesce(F.min(F.when(F.col("accepted"), F.col("attempt"))), F.lit(most)).alias("attempt"))
-        return first.where("accepted").unionByName(more.join(taken, [*by, "attempt"]).select(*first.columns))
-    out, left = None, jds
-    for n in range(1, most + 1):
-        made = tried(left.withColumn("attempt", F.lit(n)))
-        done = made if n == most else made.where("accepted")
+    ends = [n for n in ends or ((1,) if at_once else range(1, most)) if n < most] + [most]
+    out, left, first = None, jds, 1
+    for last in ends:
+        if first == last:
+            made = tried(left.withColumn("attempt", F.lit(first)))
+        else:
+            more = tried(left.withColumn("attempt", F.explode(F.sequence(F.lit(first), F.lit(last)))))
+            taken = more.groupBy(*by).agg(F.coalesce(F.min(F.when(F.col("accepted"), F.col("attempt"))), F.lit(last)).alias("attempt"))
+            made = more.join(taken, [*by, "attempt"]).select(*more.columns)
+        done = made if last == most else made.where("accepted")
         out = done if out is None else out.unionByName(done)
-        left = left.join(made.where("not accepted").select(*by), by, "left_semi")
+        left, first = left.join(made.where("not accepted").select(*by), by, "left_semi"), last + 1
     return out

@@ -112,7 +112,7 @@ Q["SMP15"] = (
     "SELECT c_custkey AS jd_id, array_to_string(list_transform(list_sort(list_transform(list_filter(range(1, 7), lambda i: list_position(a, a[i]) = i), lambda i: i))[1:4], lambda i: a[i]), ',') AS stack FROM (SELECT c_custkey, ['Java', 'Git'] || [" + ", ".join(f"({'[' + ', '.join(map(sql_text, _SKILLS)) + ']'})[CAST((c_custkey * {t} + {p}) % 10 + 1 AS BIGINT)]" for t, p in ((1, 0), (3, 1), (7, 2), (9, 5))) + "] AS a FROM customer)",
 )
 Q["SMP19"] = (
-    lambda s, d: G.accepted(jds(s, d).drop("attempt"), ["jd_id", "preset"], lambda rows: generate(rows, s).select("jd_id", "preset", "attempt", "jd_role", "role", "experience_fit", "overall"), lambda df: stored(df, "attempt"), at_once=True).select("jd_id", "preset", "attempt", "accepted", "overall"),
+    lambda s, d: G.accepted(jds(s, d).drop("attempt"), ["jd_id", "preset"], lambda rows: generate(rows, s).select("jd_id", "preset", "attempt", "jd_role", "role", "experience_fit", "overall"), lambda df: stored(df, "attempt"), ends=(1, 3, 6)).select("jd_id", "preset", "attempt", "accepted", "overall"),
     sql.scored(_SKILLS, _ROLE, 6) + f", tried AS (SELECT *, {sql.ACCEPTED} AS accepted FROM scored) SELECT jd_id, preset, CAST(attempt AS INT) AS attempt, accepted, overall FROM tried QUALIFY row_number() OVER (PARTITION BY jd_id, preset ORDER BY CASE WHEN accepted THEN attempt ELSE 1000 - attempt END) = 1",
 )
 Q["SMP21"] = (

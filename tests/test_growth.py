@@ -97,3 +97,23 @@ def test_packing_costs_little_more_than_passing_the_tokens(spark):
     assert seconds(packs) < 2 * seconds(passed) + 3
     assert packs.count() == 8000
     rows.unpersist()
+
+
+def test_rows_that_pass_early_are_not_made_again(spark):
+    """Attempts 4 to 6 are made for those rows only that attempts 1 to 3 left open."""
+    from fitloom.operators import generate
+
+    sizes = []
+
+    def make(rows):
+        good = F.col("attempt") == F.col("id") + 1
+        return rows.select("id", "attempt", F.lit("full_match").alias("preset"), F.when(good, 0.9).otherwise(0.1).alias("overall"), F.lit(1.0).alias("experience_fit"), F.lit("r").alias("jd_role"), F.lit("r").alias("role"))
+
+    def store(df):
+        kept = spark.createDataFrame(df.collect(), df.schema)
+        sizes.append(kept.count())
+        return kept
+
+    got = generate.accepted(spark.range(8), ["id"], make, store, 6, ends=(1, 3, 6)).collect()
+    assert sorted((r.id, r.attempt, r.accepted) for r in got) == [(i, min(i + 1, 6), i < 6) for i in range(8)]
+    assert sizes == [8, 7 * 2, 5 * 3]
